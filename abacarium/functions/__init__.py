@@ -2,11 +2,11 @@
 
 from .bands import GRADE_BANDS, band, grade_band
 from .dates import date_key, in_range, month_of, month_range, parse_or_null, quarter_label, year_range
-from .money import amount, percent, ratio, round_half_even, to_double
+from .money import amount, mean, percent, percentage, ratio, round_half_even, rounded_ratio, to_double
 from .text import contains_any_ci, text_or, trimmed_or
 
 __all__ = [
-    "GRADE_BANDS", "amount", "band", "contains_any_ci", "date_key", "grade_band", "in_range", "month_of",
-    "month_range", "parse_or_null", "percent", "quarter_label", "ratio", "round_half_even", "text_or",
-    "to_double", "trimmed_or", "year_range",
+    "GRADE_BANDS", "amount", "band", "contains_any_ci", "date_key", "grade_band", "in_range", "mean",
+    "month_of", "month_range", "parse_or_null", "percent", "percentage", "quarter_label", "ratio",
+    "round_half_even", "rounded_ratio", "text_or", "to_double", "trimmed_or", "year_range",
 ]

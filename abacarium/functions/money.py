@@ -5,6 +5,8 @@ Float sums depend on the order of the rows, so two runs on a cluster can differ.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, functions as F
 
 
@@ -36,3 +38,28 @@ def percent(numerator: Column | str, denominator: Column | str) -> Column:
 def round_half_even(value: Column | str, digits: int = 2) -> Column:
     """Banker's rounding, as Python's ``round`` does it."""
     return F.bround(_col(value), digits)
+
+
+def rounded_ratio(numerator: Column | str, denominator: Column | str, times: int = 1, digits: int = 2) -> Column:
+    """``times * numerator / denominator`` rounded half away from zero, exactly.
+
+    A decimal quotient is cut before it can be rounded, and a double quotient may
+    fall on the wrong side of a tie; whole-number division does neither. The
+    arguments may have up to four decimals. NULL for a zero denominator.
+    """
+    n = (_col(numerator).cast("decimal(30,4)") * 10_000).cast("decimal(34,0)")
+    d = F.nullif((_col(denominator).cast("decimal(30,4)") * 10_000).cast("decimal(34,0)"), F.lit(0).cast("decimal(34,0)"))
+    doubled = F.abs(n) * F.lit(2 * times * 10**digits) + F.abs(d)
+    quotient = F.call_function("div", doubled, F.lit(2) * F.abs(d))
+    signed = F.when((n < 0) != (d < 0), -quotient).otherwise(quotient)
+    return signed.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-digits))
+
+
+def mean(total: Column | str, count: Column | str, digits: int = 2) -> Column:
+    """``ROUND(AVG(x), digits)`` from the sum and the count."""
+    return rounded_ratio(total, count, 1, digits)
+
+
+def percentage(numerator: Column | str, denominator: Column | str, digits: int = 2) -> Column:
+    """``ROUND(100 * a / b, digits)``."""
+    return rounded_ratio(numerator, denominator, 100, digits)

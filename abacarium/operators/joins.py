@@ -96,14 +96,17 @@ def bought_all(lines: DataFrame, who: str | Sequence[str], what: str, wanted: Se
     )
 
 
-def above_average(df: DataFrame, measure: Column | str, average_of: DataFrame, of: Column | str) -> DataFrame:
-    """Rows whose ``measure`` exceeds the average of ``of`` (scalar subquery, no cross join)."""
-    measure = F.col(measure) if isinstance(measure, str) else measure
-    of = F.col(of) if isinstance(of, str) else of
-    # Sum and count, so that the comparison is exact in decimals: m > s/n  <=>  m*n > s.
-    total = average_of.agg(F.sum(of)).scalar()
-    count = average_of.agg(F.count(of)).scalar()
-    return df.where(measure * count > total)
+def above_average(df: DataFrame, total: str, weight: str | None = None) -> DataFrame:
+    """Rows whose average ``total / weight`` exceeds the average over all rows.
+
+    ``weight`` is the number of values in ``total`` (one if not named). The two
+    numbers of the comparison are scalar subqueries, there is no cross join; it is
+    made on products, so that it is exact in decimals.
+    """
+    number = F.col(weight) if weight else F.lit(1)
+    all_totals = df.agg(F.sum(total)).scalar()
+    all_numbers = df.agg(F.sum(number) if weight else F.count(total)).scalar()
+    return df.where(F.col(total) * all_numbers > all_totals * number)
 
 
 def _distinct_keys(right: DataFrame, on: Mapping[str, str]) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from abacarium.functions import ratio
+from abacarium.functions import mean, percentage
 
 
 def order_summary(
@@ -44,9 +44,9 @@ def revenue_card(summary: DataFrame, measure: str = "net_amount") -> DataFrame:
     """Total, number and average of the orders in ``summary``."""
     total = F.sum(measure)
     return summary.agg(
-        total.cast("double").alias("total_revenue"),
+        total.alias("total_revenue"),
         F.count(F.lit(1)).alias("orders_counted"),
-        ratio(total, F.count(measure)).alias("avg_order_value"),
+        mean(total, F.count(measure)).alias("avg_order_value"),
     )
 
 
@@ -56,7 +56,7 @@ def lost_rate(orders: DataFrame, status: str, lost: Sequence[str]) -> DataFrame:
     return orders.agg(
         F.count(F.lit(1)).alias("total_orders"),
         F.count_if(is_lost).alias("lost_orders"),
-        (ratio(F.count_if(is_lost), F.count(F.lit(1))) * 100).alias("lost_pct"),
+        percentage(F.count_if(is_lost), F.count(F.lit(1))).alias("lost_pct"),
     )
 
 
@@ -94,7 +94,7 @@ def lifetime_value(summary: DataFrame, customer: str, day: str, measure: str = "
     return summary.groupBy(customer).agg(
         F.count(F.lit(1)).alias("orders"),
         F.sum(measure).alias("total_spent"),
-        ratio(F.sum(measure), F.count(measure)).alias("avg_order_value"),
+        mean(F.sum(measure), F.count(measure)).alias("avg_order_value"),
         F.min(day).alias("first_order"),
         F.max(day).alias("last_order"),
         F.datediff(F.max(day), F.min(day)).cast("long").alias("days_active"),
@@ -105,7 +105,7 @@ def margin(price: Column | str, cost: Column | str) -> Column:
     """Margin as a share of the price in percent, NULL for a zero price."""
     price = F.col(price) if isinstance(price, str) else price
     cost = F.col(cost) if isinstance(cost, str) else cost
-    return ratio(price - cost, price) * 100
+    return percentage(price - cost, price)
 
 
 def stock_action(stock: Column | str, low: int) -> Column:
