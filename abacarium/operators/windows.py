@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from abacarium.functions import percent
+from abacarium.functions import mean, percentage
 
 
 def top_k_per_group(
@@ -44,22 +44,20 @@ def top_share(
     """
     totals = df.groupBy(group).agg(F.sum(measure).alias("_total"))
     best = top_k_per_group(df, [group], [F.desc(measure), *tie_break], k, name="rn")
-    return best.join(totals, group).withColumn(share, percent(measure, "_total")).drop("_total")
+    return best.join(totals, group).withColumn(share, percentage(measure, "_total")).drop("_total")
 
 
 def share_of_total(df: DataFrame, measure: str, name: str = "pct_of_total") -> DataFrame:
     """Each row's share of the grand total in percent."""
-    return df.withColumn(name, percent(F.col(measure), df.agg(F.sum(measure)).scalar()))
+    return df.withColumn(name, percentage(F.col(measure), df.agg(F.sum(measure)).scalar()))
 
 
 def month_spine(months: DataFrame, period: str, partition: Sequence[str] = ()) -> DataFrame:
     """Every month (``yyyy-MM``) between the first and the last one, per partition if given."""
     as_date = F.to_date(F.concat(F.col(period), F.lit("-01")))
     bounds = months.groupBy(*partition).agg(F.min(as_date).alias("_lo"), F.max(as_date).alias("_hi"))
-    step = F.expr("interval 1 month")
-    return bounds.select(
-        *partition, F.date_format(F.explode(F.sequence("_lo", "_hi", step)), "yyyy-MM").alias(period)
-    )
+    days = bounds.select(*partition, F.explode(F.sequence("_lo", "_hi", F.expr("interval 1 month"))).alias("_day"))
+    return days.select(*partition, F.date_format("_day", "yyyy-MM").alias(period))
 
 
 def period_over_period(
@@ -88,7 +86,7 @@ def period_over_period(
     return out.select(
         *df_columns, previous,
         (F.col(measure) - F.col(previous)).alias(change),
-        percent(F.col(measure) - F.col(previous), previous).alias(growth),
+        percentage(F.col(measure) - F.col(previous), previous).alias(growth),
     )
 
 
@@ -111,10 +109,9 @@ def running_and_moving(
     """Running total and moving average over the rows of a calendar."""
     window = Window.partitionBy(*partition).orderBy(period)
     last = window.rowsBetween(-(width - 1), Window.currentRow)
-    total = F.sum(measure).over(last).cast("double")
     return df.withColumns({
         running: F.sum(measure).over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-        moving: total / F.count(measure).over(last).cast("double"),
+        moving: mean(F.sum(measure).over(last), F.count(measure).over(last)),
     })
 
 

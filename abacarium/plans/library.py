@@ -1,6 +1,6 @@
 """Importing this module registers all named queries."""
 
-from abacarium.plans import joining, selects, totals  # noqa: F401
+from abacarium.plans import joining, loads, rankings, selects, totals  # noqa: F401
 from abacarium.plans.catalog import QUERIES
 
 __all__ = ["QUERIES"]
