@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from abacarium.functions import amount as as_amount, ratio
+from abacarium.functions import amount as as_amount, mean
 from abacarium.operators.ordering import running_sums
 
 # Entry types that add to and take from a balance, account kinds and their limits.
@@ -43,7 +43,7 @@ def by_type(ledger: DataFrame) -> DataFrame:
     return ledger.groupBy("type").agg(
         F.count("amount").alias("count"),
         F.sum("amount").alias("sum"),
-        ratio(F.sum("amount"), F.count("amount")).alias("mean"),
+        mean(F.sum("amount"), F.count("amount")).alias("mean"),
     )
 
 
