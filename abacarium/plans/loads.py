@@ -307,26 +307,27 @@ def delete(t: Tables) -> DataFrame:
 
 
 @query("propagate_delete", """
-WITH gone AS (SELECT c_custkey FROM customer WHERE c_custkey % 100 = 0),
+WITH gone AS (SELECT c_custkey FROM customer WHERE c_acctbal < 0),
 o AS (SELECT * FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM gone)),
 l AS (SELECT * FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM o)),
-c AS (SELECT c_custkey, CASE WHEN r % 100 = 0 THEN NULL ELSE r END AS r FROM (
+c AS (SELECT c_custkey, CASE WHEN r IN (SELECT c_custkey FROM gone) THEN NULL ELSE r END AS r FROM (
         SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_custkey // 2 END AS r FROM customer)
-      WHERE c_custkey % 100 <> 0)
+      WHERE c_custkey NOT IN (SELECT c_custkey FROM gone))
 SELECT 'customer' AS tbl, COUNT(*) AS rows, CAST(SUM(c_custkey) AS BIGINT) AS key_sum, CAST(SUM(r) AS BIGINT) AS link_sum
 FROM c
 UNION ALL SELECT 'orders', COUNT(*), CAST(SUM(o_orderkey) AS BIGINT), CAST(SUM(o_custkey) AS BIGINT) FROM o
 UNION ALL SELECT 'lineitem', COUNT(*), CAST(SUM(l_partkey) AS BIGINT), CAST(SUM(l_orderkey) AS BIGINT) FROM l""")
 def cascade(t: Tables) -> DataFrame:
-    customers = t.customer.select(
-        "c_custkey", F.when(F.col("c_custkey") % 3 == 0, F.expr("c_custkey div 2")).alias("referrer"))
+    referrer = F.when(F.col("c_custkey") % 3 == 0, F.expr("c_custkey div 2")).alias("referrer")
+    customers = t.customer.select("c_custkey", referrer)
+    doomed = t.customer.where("c_acctbal < 0").select("c_custkey", referrer)
     links = [
         Link("customer", "referrer", "customer", "c_custkey", "set null"),
         Link("orders", "o_custkey", "customer", "c_custkey", "cascade"),
         Link("lineitem", "l_orderkey", "orders", "o_orderkey", "cascade"),
     ]
     tables = {"customer": customers, "orders": t.orders, "lineitem": t.lineitem}
-    after, _ = propagate_delete(tables, links, "customer", "c_custkey", customers.where("c_custkey % 100 = 0"))
+    after, _ = propagate_delete(tables, links, "customer", "c_custkey", doomed)
     sums = {"customer": ("c_custkey", "referrer"), "orders": ("o_orderkey", "o_custkey"),
             "lineitem": ("l_partkey", "l_orderkey")}
     parts = [
