@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from abacarium.functions import amount as as_amount, mean
 from abacarium.operators.ordering import running_sums
+from abacarium.schemas import LEDGER_CSV
+from abacarium.sources.files import scan_csv, sink_csv
 
 # Entry types that add to and take from a balance, account kinds and their limits.
 IN_TYPES = ("DEPOSIT", "TRANSFER_IN")
@@ -19,6 +21,8 @@ OUT_TYPES = ("WITHDRAWAL", "TRANSFER_OUT")
 SAVINGS_RATE = "0.04"
 SAVINGS_MIN_BALANCE = "500"
 CURRENT_OVERDRAFT = "1000"
+CSV_COLUMNS = ("timestamp", "account_id", "type", "amount", "balance_after")
+CSV_TIME = "yyyy-MM-dd HH:mm:ss"
 
 
 def _one_of(types: Sequence[str]) -> Column:
@@ -197,18 +201,14 @@ def default_accounts(accounts: DataFrame) -> DataFrame:
     return filled
 
 
-def export(ledger: DataFrame, path: str, columns: Sequence[str] = ("ts", "account_id", "type", "amount", "balance_after")) -> str:
+def export(
+    ledger: DataFrame, path: str, columns: Sequence[str] = CSV_COLUMNS, timestamp_format: str = CSV_TIME
+) -> str:
     """Write the ledger as CSV files in global order; one file per range, no single task."""
-    ledger.orderBy("ts", "seq").select(*columns).write.mode("overwrite").option("header", True).csv(path)
-    return path
+    ordered = ledger.orderBy("ts", "seq").withColumnRenamed("ts", "timestamp").select(*columns)
+    return sink_csv(ordered, path, timestamp_format)
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """A recorded ledger CSV: ``timestamp, account_id, type, amount, balance_after[, seq]``."""
-    from abacarium.schemas import LEDGER_CSV
-
-    return (
-        spark.read.schema(LEDGER_CSV).option("header", True).option("mode", "FAILFAST")
-        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
-        .withColumnRenamed("timestamp", "ts")
-    )
+def read(spark: SparkSession, path: str, timestamp_format: str = CSV_TIME) -> DataFrame:
+    """A recorded ledger: ``timestamp, account_id, type, amount, balance_after[, seq]``."""
+    return scan_csv(spark, path, LEDGER_CSV, timestamp_format).withColumnRenamed("timestamp", "ts")

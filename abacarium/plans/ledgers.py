@@ -183,11 +183,12 @@ def current_balances(t: Tables) -> DataFrame:
 
 
 @query("ledger_export", f"""
-WITH {_RECORDED} SELECT account_id, type, CAST(amount AS DOUBLE) AS amount, {dbl("balance_after")} AS balance_after FROM rec""")
+WITH {_RECORDED} SELECT date_trunc('second', ts) AS ts, account_id, type, CAST(amount AS DOUBLE) AS amount,
+       {dbl("balance_after")} AS balance_after FROM rec""")
 def export(t: Tables) -> DataFrame:
     path = led.export(_recorded(t), scratch_path(t.spark, "export"))
-    back = t.spark.read.schema("ts string, account_id bigint, type string, amount double, balance_after double")
-    return back.option("header", True).csv(path).drop("ts")
+    back = led.read(t.spark, path).drop("seq").withColumn("account_id", F.col("account_id").cast("long"))
+    return _money(back, "amount", "balance_after")
 
 
 # ---- JSON records ----------------------------------------------------------------------------------------------

@@ -14,6 +14,7 @@ from abacarium.session import build_session  # noqa: E402
 def spark(tmp_path_factory):
     session = build_session(
         "abacarium-tests", "local[4]", spark__sql__shuffle__partitions="4", spark__driver__memory="4g",
+        spark__sql__maxMetadataStringLength="100000",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("scratch")),
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )
