@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from abacarium.functions import amount as as_amount, mean
 from abacarium.operators.ordering import running_sums
@@ -209,6 +210,11 @@ def export(
     return sink_csv(ordered, path, timestamp_format)
 
 
-def read(spark: SparkSession, path: str, timestamp_format: str = CSV_TIME) -> DataFrame:
-    """A recorded ledger: ``timestamp, account_id, type, amount, balance_after[, seq]``."""
-    return scan_csv(spark, path, LEDGER_CSV, timestamp_format).withColumnRenamed("timestamp", "ts")
+def read(spark: SparkSession, path: str, timestamp_format: str = CSV_TIME, has_seq: bool = False) -> DataFrame:
+    """A recorded ledger: ``timestamp, account_id, type, amount, balance_after[, seq]``.
+
+    Without a ``seq`` column the position in the file takes its place.
+    """
+    schema = LEDGER_CSV if has_seq else StructType([f for f in LEDGER_CSV.fields if f.name != "seq"])
+    rows = scan_csv(spark, path, schema, timestamp_format).withColumnRenamed("timestamp", "ts")
+    return rows if has_seq else rows.withColumn("seq", F.monotonically_increasing_id())

@@ -81,49 +81,44 @@ def _lay_out(requests: DataFrame, accounts: DataFrame, slices: int | None) -> Da
     return stored(ranged.withColumn("slice", F.spark_partition_id()), "replay")
 
 
-def _openings(nets: DataFrame) -> DataFrame:
-    """The balance before each piece: the opening plus the net of the earlier pieces."""
+def _openings(pieces: DataFrame) -> DataFrame:
+    """Add the balance before each piece: the account's opening plus the net of its earlier pieces."""
     before = Window.partitionBy("account_id").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    return nets.select(
-        *_PIECE, "net", (F.col("opening") + F.coalesce(F.sum("net").over(before), F.lit(0))).alias("start")
-    )
+    return pieces.withColumn("start", F.col("opening") + F.coalesce(F.sum("net").over(before), F.lit(0)))
 
 
 def _settle(layout: DataFrame) -> dict[str, DataFrame]:
     """Openings per piece and refused transfers that agree with the decisions they lead to."""
-    first_opening = F.max("opening").alias("opening")
     assumed = F.when(F.col("refused_early").isNull(), F.col("cents")).otherwise(F.lit(0))
-    opening = stored(_openings(layout.groupBy(*_PIECE).agg(first_opening, F.sum(assumed).alias("net"))), "openings")
-    account_openings = layout.groupBy(*_PIECE).agg(first_opening)
-    refused = stored(layout.select(*_PIECE, "seq").limit(0), "refused")
-    nets, redo = None, layout
+    first_guess = layout.groupBy(*_PIECE).agg(F.max("opening").alias("opening"), F.sum(assumed).alias("net"))
+    opening = stored(_openings(first_guess), "openings")
+    refused = layout.sparkSession.createDataFrame([], layout.select(*_PIECE, "seq").schema)
+    redo, everything = layout, True
     while True:
         decided = stored(
             _fold(redo, opening, refused).select(*_PIECE, "seq", "type", "cents", "accepted"), "decisions"
         )
         effect = F.when(F.col("accepted"), F.col("cents")).otherwise(F.lit(0))
-        new_nets = decided.groupBy(*_PIECE).agg(F.sum(effect).alias("net"))
+        new_nets = decided.groupBy(*_PIECE).agg(F.sum(effect).alias("new_net"))
+        new_opening = stored(_openings(
+            opening.join(new_nets, _PIECE, "left").select(
+                *_PIECE, "opening", F.coalesce("new_net", "net").alias("net"), F.col("start").alias("old_start"))
+        ), "openings")
         new_refused = decided.where((F.col("type") == "TRANSFER_OUT") & ~F.col("accepted")).select(*_PIECE, "seq")
-        if nets is not None:
+        if not everything:
             replayed = decided.select(*_PIECE).distinct()
-            new_nets = nets.join(replayed, _PIECE, "left_anti").unionByName(new_nets)
             new_refused = refused.join(replayed, _PIECE, "left_anti").unionByName(new_refused)
-        nets, new_refused = stored(new_nets, "nets"), stored(new_refused, "refused")
-        new_opening = stored(_openings(nets.join(account_openings, _PIECE)), "openings")
+        new_refused = stored(new_refused, "refused")
 
-        moved = (
-            new_opening.join(opening.select(*_PIECE, F.col("start").alias("old")), _PIECE)
-            .where(F.col("start") != F.col("old"))
-            .select(*_PIECE)
-        )
+        moved = new_opening.where(F.col("start") != F.col("old_start")).select(*_PIECE)
         now, then = new_refused.select("seq"), refused.select("seq")
         flipped = now.join(then, "seq", "left_anti").unionByName(then.join(now, "seq", "left_anti"))
         credits = layout.where("type = 'TRANSFER_IN'").join(flipped, "seq", "left_semi").select(*_PIECE)
         dirty = stored(moved.unionByName(credits).distinct(), "dirty")
-        opening, refused = new_opening, new_refused
+        opening, refused = new_opening.drop("old_start"), new_refused
         if dirty.isEmpty():
             return {"opening": opening, "refused": refused}
-        redo = layout.join(dirty, _PIECE, "left_semi")
+        redo, everything = layout.join(dirty, _PIECE, "left_semi"), False
 
 
 def _fold(rows: DataFrame, opening: DataFrame, refused: DataFrame) -> DataFrame:

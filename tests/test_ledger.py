@@ -88,12 +88,22 @@ def test_transfers_pair_up(ledger, spark):
 def test_export_and_read_back(spark, ledger):
     path = scratch_path(spark, "ledger")
     led.export(ledger, path, [*led.CSV_COLUMNS, "seq"])
-    again = led.read(spark, path)
+    again = led.read(spark, path, has_seq=True)
     assert sorted(again.select("seq", "account_id", "balance_after").collect()) == sorted(
         ledger.select("seq", "account_id", "balance_after").collect())
     assert again.where(F.col("ts") == F.lit(NOW)).count() == 11
 
 
+def test_position_in_the_file_orders_entries(spark, ledger, tmp_path):
+    lines = ["timestamp,account_id,type,amount,balance_after"]
+    lines += [f"2026-09-15 09:41:40,{r['account_id']},{r['type']},{r['amount']},{r['balance_after']}"
+              for r in ledger.orderBy("seq").collect()]
+    (tmp_path / "entries.csv").write_text("\n".join(lines) + "\n")
+    recorded = led.read(spark, str(tmp_path / "entries.csv"))
+    assert led.reconcile(recorded).count() == 0
+    assert {r[0]: r[4] for r in led.by_account(recorded).collect()} == {"ACC1001": 4700, "ACC1002": 900, "ACC1003": 2392}
+
+
 def test_statement_numbers_entries(ledger):
     rows = led.statement(ledger).where("account_id = 'ACC1002'").orderBy("entry_no").collect()
     assert [(r["entry_no"], r["balance"]) for r in rows] == [(1, 1000), (2, -300), (3, 700), (4, 900)]
