@@ -16,6 +16,16 @@ def month_of(value: Column | str) -> Column:
     return F.date_format(_col(value), "yyyy-MM")
 
 
+def month_start(value: Column | str) -> Column:
+    """The first day of the month: a cheap key to group rows by, see :func:`month_label`."""
+    return F.trunc(F.to_date(_col(value)), "month")
+
+
+def month_label(value: Column | str) -> Column:
+    """``yyyy-MM`` of a month start, for the few rows that are left after grouping."""
+    return F.date_format(_col(value), "yyyy-MM")
+
+
 def quarter_label(value: Column | str) -> Column:
     return F.concat(F.lit("Q"), _col(value).cast("string"))
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from abacarium.functions import mean, percentage
+from abacarium.functions import mean, month_label, month_start, percentage
 
 
 def order_summary(
@@ -20,14 +20,14 @@ def order_summary(
 ) -> DataFrame:
     """One row per order that has lines, with ``gross_amount`` and ``net_amount``.
 
-    The net amount is rounded per order, before any further sum. It comes from a
-    discount of the whole order (``discount_pct``, in percent) or from a net
-    amount per line (``net``). Lines are added up before the join: the map-side
+    ``gross`` and ``net`` are aggregates over the lines of an order. The net amount is rounded per order, before any further sum. It comes from a
+    discount of the whole order (``discount_pct``, in percent) or from the net
+    amounts of its lines (``net``). Lines are added up before the join: the map-side
     combine takes the weight of a huge order off the shuffle.
     """
-    sums = [F.sum(gross).alias("gross_amount")]
+    sums = [gross.alias("gross_amount")]
     if net is not None:
-        sums.append(F.sum(net).alias("_net"))
+        sums.append(net.alias("_net"))
     per_order = lines.groupBy(F.col(line_key).alias("_order")).agg(*sums)
     joined = orders.join(per_order, F.col(order_key) == F.col("_order"))
     if net is None:
@@ -117,6 +117,7 @@ def stock_action(stock: Column | str, low: int) -> Column:
     )
 
 
-def monthly_totals(df: DataFrame, month: Column, sums: dict[str, Column], by: Sequence[str] = ()) -> DataFrame:
-    """Sums per month, and per further columns if given."""
-    return df.groupBy(month.alias("ym"), *by).agg(*[F.sum(expr).alias(name) for name, expr in sums.items()])
+def per_month(df: DataFrame, day: str, name: str, *aggregates: Column, by: Sequence[str] = ()) -> DataFrame:
+    """Aggregates per month (``yyyy-MM`` in ``name``) of ``day``, and per further columns if given."""
+    grouped = df.groupBy(month_start(day).alias("_month"), *by).agg(*aggregates)
+    return grouped.select(month_label("_month").alias(name), *[c for c in grouped.columns if c != "_month"])

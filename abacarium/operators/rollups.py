@@ -10,21 +10,23 @@ from pyspark.sql import Column, DataFrame, functions as F
 def rollup_report(
     df: DataFrame,
     levels: Sequence[str],
-    sums: Mapping[str, str],
+    sums: Mapping[str, str | Column],
     labels: Mapping[str, str],
     distinct: Mapping[str, str] | None = None,
     blank_in_grand_total: Sequence[str] = (),
 ) -> DataFrame:
     """ROLLUP over ``levels`` with labelled totals, plus ``_g_<level>`` flags to sort by.
 
-    ``sums`` maps result names to columns, ``distinct`` result names to columns
+    ``sums`` maps result names to columns or to aggregates that add up, ``distinct`` result names to columns
     that are counted distinct. ``labels`` names the total of each level; levels
     in ``blank_in_grand_total`` stay NULL in the grand total row. The rows are
     added up at the finest level first, so only groups are expanded.
     """
     distinct = distinct or {}
     grain = [*levels, *dict.fromkeys(distinct.values())]
-    base = df.groupBy(*grain).agg(*[F.sum(column).alias(name) for name, column in sums.items()])
+    base = df.groupBy(*grain).agg(*[
+        (F.sum(value) if isinstance(value, str) else value).alias(name) for name, value in sums.items()
+    ])
     rolled = base.rollup(*levels).agg(
         *[F.sum(name).alias(name) for name in sums],
         *[F.countDistinct(column).alias(name) for name, column in distinct.items()],

@@ -10,7 +10,7 @@ from abacarium.operators.joins import (
 )
 from abacarium.plans.catalog import query
 from abacarium.plans.checks import LINES, SUMMARY, VALID_LINES, dbl, mean as sql_mean
-from abacarium.plans.tables import Tables, valid_sale
+from abacarium.plans.tables import Tables, gross_total, revenue_total, valid_sale
 
 FEB = "o_orderdate >= TIMESTAMP '1996-02-01' AND o_orderdate < TIMESTAMP '1996-03-01'"
 JAN_SHIP = "l_shipdate >= TIMESTAMP '1996-01-01' AND l_shipdate < TIMESTAMP '1996-02-01'"
@@ -125,7 +125,7 @@ def q28(t: Tables) -> DataFrame:
     per_cell = (
         t.valid_lines.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
         .groupBy("o_custkey", "p_type")
-        .agg(F.sum("units").alias("units"), F.sum("gross").alias("spend"))
+        .agg(F.sum("units").alias("units"), gross_total().alias("spend"))
     )
     return (
         per_cell.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
@@ -270,7 +270,7 @@ def star_join(t: Tables) -> DataFrame:
         .join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
         .groupBy("s_nationkey", "c_mktsegment", "p_type")
-        .agg(F.sum("units").alias("units"), F.sum("net_amount").alias("revenue"))
+        .agg(F.sum("units").alias("units"), revenue_total().alias("revenue"))
         .join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
         .groupBy(F.col("n_name").alias("store_nation"), "c_mktsegment", "p_type")
         .agg(F.sum("units").alias("units"), to_double(F.sum("revenue")).alias("revenue"))
@@ -285,14 +285,14 @@ JOIN nation ON n_nationkey = c_nationkey JOIN part ON p_partkey = l_partkey
 WHERE l_returnflag <> 'R' GROUP BY n_name, p_type ORDER BY SUM(gross) DESC, n_name, p_type LIMIT 10""")
 def city_category_top10(t: Tables) -> DataFrame:
     fact = t.lines.where("l_returnflag <> 'R'").select(
-        F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("p_partkey"), "gross")
+        F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("p_partkey"), "gross_cents")
     customers = t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey"))
     return (
         fact.join(t.orders.select("o_orderkey", "o_custkey"), "o_orderkey")
         .join(customers, "o_custkey")
         .join(t.part.select("p_partkey", "p_type"), "p_partkey")
         .groupBy("n_nationkey", "p_type")
-        .agg(F.sum("gross").alias("gross"), F.count(F.lit(1)).alias("orders"))
+        .agg(gross_total().alias("gross"), F.count(F.lit(1)).alias("orders"))
         .join(t.nation, "n_nationkey")
         .groupBy(F.col("n_name").alias("city"), F.col("p_type").alias("category"))
         .agg(F.sum("gross").alias("gross"), F.sum("orders").alias("orders"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
-from abacarium.functions import amount, to_double
+from abacarium.functions import amount, from_cents, to_double
 from abacarium.operators.facts import (
     fact_scan, insert_if_absent, new_facts, partition_audit as audit, route, surrogate_lookup,
 )
@@ -121,7 +121,7 @@ _LOADED: dict[tuple[str, str], str] = {}
 def _fact_table(t: Tables) -> DataFrame:
     """The lines as a table partitioned by declared month, written once per session and folder."""
     columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_shipdate"]
-    rows = route(t.lines.select(*columns, F.col("gross").alias("amount")), "l_shipdate", DECLARED)
+    rows = route(t.lines.select(*columns, from_cents("gross_cents").alias("amount")), "l_shipdate", DECLARED)
     known = (t.spark.sparkContext.applicationId, t.folder)
     if known not in _LOADED:
         path = scratch_path(t.spark, "fact")
@@ -171,7 +171,7 @@ WITH {_DIM}, {LINES}, loaded AS (
   FROM li JOIN orders ON o_orderkey = l_orderkey JOIN dim ON c_custkey = o_custkey)
 SELECT order_month, COUNT(*) AS row_count, {dbl("SUM(gross)")} AS revenue FROM loaded WHERE rn = 1 GROUP BY 1""")
 def load_fact(t: Tables) -> DataFrame:
-    staging = t.lines.select("l_orderkey", "l_linenumber", "l_shipdate", F.col("gross").alias("amount")).join(
+    staging = t.lines.select("l_orderkey", "l_linenumber", "l_shipdate", from_cents("gross_cents").alias("amount")).join(
         t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
     matched, _ = surrogate_lookup(staging, _known_customers(t), "o_custkey", "customer_key")
     batch = route(

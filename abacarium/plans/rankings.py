@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from abacarium.functions import month_of, percent, quarter_label, to_double
+from abacarium.functions import month_label, month_start, percent, quarter_label, to_double
 from abacarium.operators.ordering import global_ranks, ntile
+from abacarium.operators.reports import per_month
 from abacarium.operators.rollups import in_report_order, rollup_report
 from abacarium.operators.windows import (
     best_and_worst, cumulative, neighbours, period_over_period, running_and_moving, share_of_total, top_k_per_group,
@@ -13,19 +14,19 @@ from abacarium.operators.windows import (
 )
 from abacarium.plans.catalog import query
 from abacarium.plans.checks import LINES, MONTHS, SUMMARY, VALID_LINES, dbl, mean as sql_mean, pct
-from abacarium.plans.tables import Tables
+from abacarium.plans.tables import Tables, gross_total, revenue_total
 
 
 def _part_revenue(t: Tables) -> DataFrame:
     """Revenue per product with its category; facts are added up before the join."""
-    per_part = t.lines.groupBy("l_partkey").agg(F.sum("net_amount").alias("revenue"))
+    per_part = t.lines.groupBy("l_partkey").agg(revenue_total().alias("revenue"))
     return per_part.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
         "p_partkey", "p_name", "p_type", "p_brand", "revenue")
 
 
 def _customer_revenue(t: Tables) -> DataFrame:
     """Revenue per customer with nation and region."""
-    per_order = t.lines.groupBy("l_orderkey").agg(F.sum("net_amount").alias("revenue"))
+    per_order = t.lines.groupBy("l_orderkey").agg(revenue_total().alias("revenue"))
     per_customer = (
         per_order.join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy("o_custkey").agg(F.sum("revenue").alias("revenue"))
@@ -128,12 +129,13 @@ r AS (SELECT *, RANK() OVER (PARTITION BY ym ORDER BY revenue DESC) AS rnk FROM
 SELECT ym AS yr_month, p_partkey, p_name, {dbl("revenue")} AS revenue FROM r JOIN part ON p_partkey = l_partkey
 WHERE rnk = 1""")
 def w7(t: Tables) -> DataFrame:
-    monthly = t.lines.groupBy(month_of("l_shipdate").alias("yr_month"), "l_partkey").agg(
-        F.sum("net_amount").alias("revenue"))
-    best = top_k_per_group(monthly, ["yr_month"], [F.desc("revenue")], 1, ties=True, name=None)
+    monthly = t.lines.groupBy(month_start("l_shipdate").alias("month"), "l_partkey").agg(
+        revenue_total().alias("revenue"))
+    best = top_k_per_group(monthly, ["month"], [F.desc("revenue")], 1, ties=True, name=None)
     # Only the best are joined to their names.
     return best.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
-        "yr_month", "p_partkey", "p_name", to_double("revenue").alias("revenue")).orderBy("yr_month")
+        month_label("month").alias("yr_month"), "p_partkey", "p_name", to_double("revenue").alias("revenue"),
+    ).orderBy("yr_month")
 
 
 @query("q33_best_in_category", f"""
@@ -172,7 +174,7 @@ def q42(t: Tables) -> DataFrame:
 
 
 def _sales_months(t: Tables) -> DataFrame:
-    return t.sales.groupBy(month_of("o_orderdate").alias("ym")).agg(F.sum("net_amount").alias("revenue"))
+    return per_month(t.sales, "o_orderdate", "ym", F.sum("net_amount").alias("revenue"))
 
 
 _SALES_MONTHS = SUMMARY + """, monthly AS (
@@ -206,10 +208,11 @@ SELECT ym AS yr_month, {dbl("revenue")} AS revenue, orders, units, {dbl("revenue
        CASE WHEN prev IS NULL THEN 'n/a' WHEN revenue > prev THEN 'UP' WHEN revenue < prev THEN 'DOWN'
             ELSE 'FLAT' END AS trend FROM p""")
 def m1(t: Tables) -> DataFrame:
-    per_order = t.lines.groupBy(month_of("l_shipdate").alias("yr_month"), "l_orderkey").agg(
-        F.sum("net_amount").alias("revenue"), F.sum("units").alias("units"))
-    monthly = per_order.groupBy("yr_month").agg(
-        F.sum("revenue").alias("revenue"), F.count(F.lit(1)).alias("orders"), F.sum("units").alias("units"))
+    per_order = t.lines.groupBy(month_start("l_shipdate").alias("month"), "l_orderkey").agg(
+        revenue_total().alias("revenue"), F.sum("units").alias("units"))
+    monthly = per_month(
+        per_order, "month", "yr_month", F.sum("revenue").alias("revenue"), F.count(F.lit(1)).alias("orders"),
+        F.sum("units").alias("units"))
     report = period_over_period(monthly, "yr_month", "revenue", change="mom_change", growth="mom_pct")
     return report.select(
         "yr_month", to_double("revenue").alias("revenue"), "orders", "units",
@@ -224,11 +227,8 @@ WITH {LINES}, m AS (
 p AS (SELECT *, LAG(revenue) OVER (PARTITION BY category ORDER BY ym) AS prev FROM m)
 SELECT ym AS yr_month, category, {dbl("revenue")} AS revenue, {pct("revenue - prev", "prev")} AS mom_pct FROM p""")
 def m2(t: Tables) -> DataFrame:
-    monthly = (
-        t.lines.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-        .groupBy(month_of("l_shipdate").alias("yr_month"), F.col("p_type").alias("category"))
-        .agg(F.sum("net_amount").alias("revenue"))
-    )
+    facts = t.lines.join(t.part, F.col("l_partkey") == F.col("p_partkey")).withColumnRenamed("p_type", "category")
+    monthly = per_month(facts, "l_shipdate", "yr_month", revenue_total().alias("revenue"), by=["category"])
     report = period_over_period(monthly, "yr_month", "revenue", partition=["category"], growth="mom_pct")
     return report.select(
         "yr_month", "category", to_double("revenue").alias("revenue"), F.col("mom_pct").cast("double"),
@@ -289,9 +289,9 @@ SELECT CASE WHEN gy = 1 THEN 'ALL YEARS' ELSE CAST(y AS VARCHAR) END AS yr,
 def r1(t: Tables) -> DataFrame:
     facts = t.lines.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
         F.year("l_shipdate").alias("yr"), quarter_label(F.quarter("l_shipdate")).alias("qtr"),
-        F.col("p_type").alias("category"), "net_amount")
+        F.col("p_type").alias("category"), "net_cents")
     report = rollup_report(
-        facts, _R1_LEVELS, {"revenue": "net_amount"},
+        facts, _R1_LEVELS, {"revenue": revenue_total()},
         {"yr": "ALL YEARS", "qtr": "All Quarters", "category": "All Categories"})
     return in_report_order(report, _R1_LEVELS).withColumn("revenue", to_double("revenue"))
 
@@ -307,7 +307,7 @@ SELECT CASE WHEN gr = 1 THEN 'GRAND TOTAL' ELSE r END AS region,
 FROM r""")
 def r2(t: Tables) -> DataFrame:
     # An order has one customer, hence one state: its lines are added up first, and orders can be counted by sums.
-    per_order = t.lines.groupBy("l_orderkey").agg(F.sum("net_amount").alias("revenue"))
+    per_order = t.lines.groupBy("l_orderkey").agg(revenue_total().alias("revenue"))
     facts = (
         per_order.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
@@ -334,10 +334,10 @@ def r2_distinct(t: Tables) -> DataFrame:
     facts = (
         t.lines.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(t.geography, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select(F.col("r_name").alias("region"), F.col("n_name").alias("state"), "l_orderkey", "net_amount")
+        .select(F.col("r_name").alias("region"), F.col("n_name").alias("state"), "l_orderkey", "net_cents")
     )
     report = rollup_report(
-        facts, ["region", "state"], {"revenue": "net_amount"},
+        facts, ["region", "state"], {"revenue": revenue_total()},
         {"region": "GRAND TOTAL", "state": "Region subtotal"}, distinct={"orders": "l_orderkey"},
         blank_in_grand_total=["state"])
     return in_report_order(report, ["region", "state"]).withColumn("revenue", to_double("revenue"))
@@ -354,7 +354,7 @@ SELECT CASE WHEN gc = 1 THEN 'ALL CHANNELS' ELSE c END AS channel,
        {dbl("revenue")} AS revenue, {dbl("discounts")} AS discounts FROM r""")
 def r3(t: Tables) -> DataFrame:
     per_store = t.lines.groupBy("l_suppkey").agg(
-        F.sum("net_amount").alias("revenue"), F.sum(F.col("gross") - F.col("net_amount")).alias("discounts"))
+        revenue_total().alias("revenue"), (gross_total() - revenue_total()).alias("discounts"))
     facts = (
         per_store.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from abacarium.functions import (
-    contains_any_ci, month_range, percentage, text_or, to_double,
+    cents, contains_any_ci, month_range, text_or, to_double, whole_ratio,
 )
 from abacarium.operators.reports import stock_action
 from abacarium.plans.catalog import query
 from abacarium.plans.checks import LINES, dbl, pct
-from abacarium.plans.tables import Tables
+from abacarium.plans.tables import Tables, revenue_total
 
 
 def _priority():
@@ -85,14 +85,15 @@ def q10(t: Tables) -> DataFrame:
 
 
 @query("q11_margin", f"""
-WITH {LINES}
-SELECT l_orderkey, l_linenumber, l_extendedprice, l_discount,
-       {pct("gross - net", "CAST(l_discount AS DECIMAL(4,2)) * gross")} AS margin_pct FROM li""")
+SELECT l_orderkey, l_linenumber, l_discount, l_tax,
+       {pct("CAST(l_discount AS DECIMAL(4,2)) - CAST(l_tax AS DECIMAL(4,2))", "CAST(l_discount AS DECIMAL(4,2))")}
+         AS margin_pct FROM lineitem""")
 def q11(t: Tables) -> DataFrame:
-    discount = F.col("l_discount").cast("decimal(4,2)")
-    return t.lines.select(
-        "l_orderkey", "l_linenumber", "l_extendedprice", "l_discount",
-        percentage(F.col("gross") - F.col("net"), discount * F.col("gross")).cast("double").alias("margin_pct"),
+    # The discount stands for the price, because it is zero on some lines, and the tax for the cost.
+    price, cost = cents("l_discount"), cents("l_tax")
+    return t.lineitem.select(
+        "l_orderkey", "l_linenumber", "l_discount", "l_tax",
+        whole_ratio(price - cost, price, 100).cast("double").alias("margin_pct"),
     ).orderBy(F.desc("margin_pct"))
 
 
@@ -123,7 +124,7 @@ WHERE year(l_shipdate) = 1996 AND month(l_shipdate) BETWEEN 1 AND 3 GROUP BY p_t
 def range_predicate(t: Tables) -> DataFrame:
     per_part = (
         t.lines.where(month_range("l_shipdate", "1996-01", 3))
-        .groupBy("l_partkey").agg(F.sum("net_amount").alias("revenue"))
+        .groupBy("l_partkey").agg(revenue_total().alias("revenue"))
     )
     return (
         per_part.join(t.part, F.col("l_partkey") == F.col("p_partkey"))

@@ -12,10 +12,10 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from abacarium.functions import amount, month_of
+from abacarium.functions import cents, from_cents, round_whole, sum_whole
 from abacarium.operators.facts import MonthRange
 from abacarium.operators.ledger import default_accounts
-from abacarium.operators.reports import order_summary
+from abacarium.operators.reports import order_summary, per_month
 
 SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -58,11 +58,11 @@ class Tables:
 
     @cached_property
     def lines(self) -> DataFrame:
-        """Order lines with ``gross`` and ``net`` (exact) and ``net_amount`` (rounded per line)."""
+        """Order lines with amounts in whole numbers, see ``gross_total``, ``net_total`` and ``revenue_total``."""
         return self.lineitem.withColumns({
-            "gross": amount("l_extendedprice"),
-            "net": line_net(),
-            "net_amount": F.round(line_net(), 2).cast("decimal(12,2)"),
+            "gross_cents": cents("l_extendedprice"),
+            "net_parts": line_net(),
+            "net_cents": round_whole(line_net(), 100),
             "units": F.col("l_quantity").cast("long"),
         })
 
@@ -70,9 +70,7 @@ class Tables:
     def summary(self) -> DataFrame:
         """One row per order with its gross and net amount."""
         orders = self.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
-        return order_summary(
-            orders, self.lineitem, "o_orderkey", "l_orderkey", gross=amount("l_extendedprice"), net=line_net()
-        )
+        return order_summary(orders, self.lines, "o_orderkey", "l_orderkey", gross=gross_total(), net=net_total())
 
     @cached_property
     def sales(self) -> DataFrame:
@@ -95,14 +93,14 @@ class Tables:
     @cached_property
     def months(self) -> DataFrame:
         """Revenue per ship month over all lines."""
-        return self.lines.groupBy(month_of("l_shipdate").alias("ym")).agg(F.sum("net_amount").alias("revenue"))
+        return per_month(self.lines, "l_shipdate", "ym", revenue_total().alias("revenue"))
 
     @cached_property
     def ledger(self) -> DataFrame:
         """The events as ledger entries."""
         return self.events.select(
             F.col("user_id").alias("account_id"), "ts", F.col("event_id").alias("seq"),
-            F.col("event_type").alias("type"), amount("value").alias("amount"),
+            F.col("event_type").alias("type"), from_cents(cents("value")).alias("amount"),
         )
 
     @cached_property
@@ -115,7 +113,23 @@ class Tables:
 
 
 def line_net() -> Column:
-    return amount("l_extendedprice") * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))
+    """The amount of a line after its discount, in ten-thousandths."""
+    return cents("l_extendedprice") * (100 - cents("l_discount"))
+
+
+def gross_total() -> Column:
+    """The sum of the undiscounted amounts of lines."""
+    return sum_whole("gross_cents")
+
+
+def net_total() -> Column:
+    """The sum of the discounted amounts of lines, before rounding."""
+    return sum_whole("net_parts", 4)
+
+
+def revenue_total() -> Column:
+    """The sum of the discounted amounts of lines, each rounded to cents."""
+    return sum_whole("net_cents")
 
 
 def valid_sale() -> Column:

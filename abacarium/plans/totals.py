@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from abacarium.functions import amount, mean, month_of, month_range, to_double
-from abacarium.operators.reports import lifetime_value, lost_rate, revenue_card, spend_per_customer, spend_segment
+from abacarium.functions import amount, mean, month_range, month_start, to_double
+from abacarium.operators.reports import (
+    lifetime_value, lost_rate, per_month, revenue_card, spend_per_customer, spend_segment,
+)
 from abacarium.plans.catalog import query
 from abacarium.plans.checks import LINES, SUMMARY, VALID_LINES, dbl, mean as sql_mean, pct
-from abacarium.plans.tables import LOST_STATUS, Tables, valid_sale
+from abacarium.plans.tables import LOST_STATUS, Tables, gross_total, revenue_total, valid_sale
 
 SEGMENTS = [(300_000, "Gold"), (100_000, "Silver")]
 
@@ -38,8 +40,8 @@ SELECT strftime(o_orderdate, '%Y-%m') AS order_month, COUNT(*) AS orders, {dbl("
 FROM sales GROUP BY 1""")
 def q15(t: Tables) -> DataFrame:
     return (
-        t.sales.groupBy(month_of("o_orderdate").alias("order_month"))
-        .agg(F.count(F.lit(1)).alias("orders"), to_double(F.sum("net_amount")).alias("revenue"))
+        per_month(t.sales, "o_orderdate", "order_month", F.count(F.lit(1)).alias("orders"),
+                  to_double(F.sum("net_amount")).alias("revenue"))
         .orderBy("order_month")
     )
 
@@ -90,7 +92,7 @@ def q46(t: Tables) -> DataFrame:
 
 def _category_sales(t: Tables) -> DataFrame:
     per_part = t.valid_lines.groupBy("l_partkey").agg(
-        F.sum("units").alias("units"), F.sum("gross").alias("revenue"))
+        F.sum("units").alias("units"), gross_total().alias("revenue"))
     return per_part.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
 
 
@@ -113,7 +115,7 @@ GROUP BY p_brand HAVING SUM(gross) * 25 > (SELECT SUM(gross) FROM vl)""")
 def q20(t: Tables) -> DataFrame:
     # A 25th of all revenue takes the place of the fixed threshold and works at every scale.
     per_brand = _category_sales(t).groupBy("p_brand").agg(F.sum("revenue").alias("revenue"))
-    total = t.valid_lines.agg(F.sum("gross")).scalar()
+    total = per_brand.agg(F.sum("revenue")).scalar()
     return per_brand.where(F.col("revenue") * 25 > total).select(
         "p_brand", to_double("revenue").alias("gross_revenue"))
 
@@ -319,7 +321,7 @@ SELECT l_partkey, {dbl("SUM(net_amount)")} AS revenue, SUM(units) AS units FROM
 WHERE l_shipdate >= TIMESTAMP '1996-01-01' AND l_shipdate < TIMESTAMP '1996-04-01' GROUP BY l_partkey""")
 def product_range_agg(t: Tables) -> DataFrame:
     return t.lines.where(month_range("l_shipdate", "1996-01", 3)).groupBy("l_partkey").agg(
-        to_double(F.sum("net_amount")).alias("revenue"), F.sum("units").alias("units"))
+        to_double(revenue_total()).alias("revenue"), F.sum("units").alias("units"))
 
 
 @query("region_rev", f"""
@@ -328,7 +330,7 @@ SELECT r_name AS region, {dbl("SUM(net_amount)")} AS revenue
 FROM li JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
 JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey GROUP BY r_name""")
 def region_rev(t: Tables) -> DataFrame:
-    per_order = t.lines.groupBy("l_orderkey").agg(F.sum("net_amount").alias("revenue"))
+    per_order = t.lines.groupBy("l_orderkey").agg(revenue_total().alias("revenue"))
     return (
         per_order.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy("o_custkey").agg(F.sum("revenue").alias("revenue"))
@@ -347,9 +349,9 @@ def agg_monthly_category(t: Tables) -> DataFrame:
     # Distinct orders first, with the sums along the way: one exchange carries both.
     per_order = (
         t.lines.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-        .groupBy(month_of("l_shipdate").alias("yr_month"), F.col("p_type").alias("category"), "l_orderkey")
-        .agg(F.sum("net_amount").alias("revenue"), F.sum("units").alias("units"))
+        .groupBy(month_start("l_shipdate").alias("month"), F.col("p_type").alias("category"), "l_orderkey")
+        .agg(revenue_total().alias("revenue"), F.sum("units").alias("units"))
     )
-    return per_order.groupBy("yr_month", "category").agg(
-        to_double(F.sum("revenue")).alias("revenue"), F.sum("units").alias("units"),
-        F.count(F.lit(1)).alias("orders"))
+    return per_month(
+        per_order, "month", "yr_month", to_double(F.sum("revenue")).alias("revenue"), F.sum("units").alias("units"),
+        F.count(F.lit(1)).alias("orders"), by=["category"])

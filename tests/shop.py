@@ -82,7 +82,7 @@ def tables(spark) -> dict:
     out = {name: spark.createDataFrame(data, SHOP[name]) for name, data in rows.items()}
     out["summary"] = order_summary(
         out["orders"], out["order_items"], "order_id", "order_id",
-        gross=F.col("quantity") * F.col("unit_price"), discount_pct=F.col("discount_pct"))
+        gross=F.sum(F.col("quantity") * F.col("unit_price")), discount_pct=F.col("discount_pct"))
     out["payments"] = _payments(out["summary"])
     return out
 
