@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from abacarium.operators.ordering import global_index
 from abacarium.operators.windows import dedupe_latest
+from abacarium.session import stored
 
 
 def assign_keys(
@@ -77,6 +78,8 @@ def merge_dimension(
     ]
     if surrogate is None:
         return joined.select(*columns)
+    # Numbering reads the new rows more than once; the join is not repeated for it.
+    joined = stored(joined, "merge")
     kept = joined.where(~inserted).select(F.col(surrogate).cast("long").alias(surrogate), *columns)
     new_rows = joined.where(inserted).select(*columns)
     highest = target.agg(F.max(surrogate)).scalar()

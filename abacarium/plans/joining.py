@@ -31,7 +31,7 @@ def q22(t: Tables) -> DataFrame:
             "o_orderkey", F.to_date("o_orderdate").alias("order_date"), F.col("c_name").alias("customer"),
             "p_partkey", "p_name", "l_quantity", F.col("l_extendedprice").alias("line_total"),
         )
-        .orderBy("o_orderkey", "p_name")
+        .orderBy("o_orderkey", "p_name", "p_partkey")
     )
 
 
@@ -67,7 +67,7 @@ def q26(t: Tables) -> DataFrame:
         .join(categories, F.col("p_type") == F.col("category"))
         .join(t.supplier, F.col("supplier_id") == F.col("s_suppkey"), "left")
         .select("p_partkey", "p_name", "p_type", "products", text_or("s_name", "-").alias("supplier"), "p_retailprice")
-        .orderBy("p_type", "p_name")
+        .orderBy("p_type", "p_name", "p_partkey")
     )
 
 
@@ -240,7 +240,7 @@ def q36(t: Tables) -> DataFrame:
     return (
         better.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
         .select("p_partkey", "p_name", mean("total", "reviews").cast("double").alias("avg_rating"))
-        .orderBy(F.desc("avg_rating"))
+        .orderBy(F.desc("avg_rating"), "p_partkey")
     )
 
 

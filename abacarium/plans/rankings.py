@@ -57,7 +57,7 @@ SELECT p_partkey, p_name, p_type, {dbl("revenue")} AS revenue, RANK() OVER (ORDE
 def w1(t: Tables) -> DataFrame:
     ranked = global_ranks(
         _part_revenue(t).drop("p_brand"), [F.desc("revenue")], ["revenue"], ["p_partkey"])
-    return ranked.withColumn("revenue", to_double("revenue")).orderBy("rnk")
+    return ranked.withColumn("revenue", to_double("revenue")).orderBy("row_num")
 
 
 @query("w2_top2_category", f"""
@@ -94,7 +94,7 @@ def w4(t: Tables) -> DataFrame:
     tiled = ntile(_customer_revenue(t), [F.desc("revenue"), "c_custkey"], 4, "spend_quartile")
     return tiled.select(
         "c_custkey", F.col("c_name").alias("customer"), to_double("revenue").alias("revenue"), "spend_quartile",
-    ).orderBy(F.desc("revenue"))
+    ).orderBy(F.desc("revenue"), "c_custkey")
 
 
 @query("w5_running_moving", f"""
@@ -170,7 +170,7 @@ def q42(t: Tables) -> DataFrame:
         spend, [F.desc("spend")], ["spend"], ["c_custkey"], within=["state"], row_number=None, rank=None,
         dense_rank="state_rank")
     return ranked.select("state", "c_custkey", "customer", to_double("spend").alias("total_spent"), "state_rank").orderBy(
-        "state", "state_rank")
+        "state", "state_rank", "c_custkey")
 
 
 def _sales_months(t: Tables) -> DataFrame:

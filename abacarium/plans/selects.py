@@ -20,7 +20,8 @@ def _priority():
 
 @query("q01_active_products", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'O'")
 def q01(t: Tables) -> DataFrame:
-    return t.orders.where("o_orderstatus = 'O'").select("o_orderkey", "o_totalprice").orderBy(F.desc("o_totalprice"))
+    return t.orders.where("o_orderstatus = 'O'").select("o_orderkey", "o_totalprice").orderBy(
+        F.desc("o_totalprice"), "o_orderkey")
 
 
 @query("q02_in_between", """
@@ -94,7 +95,7 @@ def q11(t: Tables) -> DataFrame:
     return t.lineitem.select(
         "l_orderkey", "l_linenumber", "l_discount", "l_tax",
         whole_ratio(price - cost, price, 100).cast("double").alias("margin_pct"),
-    ).orderBy(F.desc("margin_pct"))
+    ).orderBy(F.desc("margin_pct"), "l_orderkey", "l_linenumber")
 
 
 @query("q13_case_null", """
@@ -114,7 +115,7 @@ FROM part WHERE p_size - 1 < 10""")
 def q49(t: Tables) -> DataFrame:
     # The bound is on the stored column, so that the scan can use it.
     low = t.part.where(F.col("p_size") < 11).withColumn("stock", F.col("p_size") - 1)
-    return low.select("p_partkey", "p_name", "stock", stock_action("stock", 10).alias("action")).orderBy("stock")
+    return low.select("p_partkey", "p_name", "stock", stock_action("stock", 10).alias("action")).orderBy("stock", "p_partkey")
 
 
 @query("q_range_vs_func", f"""
@@ -144,7 +145,7 @@ def cust_history(t: Tables) -> DataFrame:
     since = F.col("o_orderdate") >= F.lit("1996-08-01").cast("timestamp_ntz")
     return (
         t.orders.where((F.col("o_custkey") == 3) & since)
-        .orderBy(F.desc("o_orderdate"))
+        .orderBy(F.desc("o_orderdate"), "o_orderkey")
         .select("o_orderkey", F.to_date("o_orderdate").alias("order_date"), "o_totalprice")
     )
 

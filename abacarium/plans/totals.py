@@ -201,7 +201,7 @@ def q34(t: Tables) -> DataFrame:
     return (
         _category_sales(t)
         .select("p_partkey", "p_name", F.col("units").alias("units_sold"), to_double(profit).alias("total_profit"))
-        .orderBy(F.desc("total_profit"))
+        .orderBy(F.desc("total_profit"), "p_partkey")
     )
 
 
@@ -220,7 +220,7 @@ def q35(t: Tables) -> DataFrame:
     return (
         t.part.join(ratings, F.col("p_partkey") == F.col("l_partkey"), "left")
         .withColumn("review_count", F.coalesce("reviews", F.lit(0).cast("long")))
-        .orderBy(mean("total", "reviews").desc_nulls_last(), F.desc("review_count"))
+        .orderBy(mean("total", "reviews").desc_nulls_last(), F.desc("review_count"), "p_partkey")
         .select("p_partkey", "p_name", "review_count", F.coalesce(shown, F.lit("No reviews")).alias("avg_rating"))
     )
 
@@ -265,7 +265,7 @@ def q38(t: Tables) -> DataFrame:
         _month_spend(t)
         .select("c_custkey", F.col("c_name").alias("customer"), "orders",
                 to_double(F.coalesce("spend", F.lit(0))).alias("total_spent"))
-        .orderBy(F.desc("total_spent"))
+        .orderBy(F.desc("total_spent"), "c_custkey")
     )
 
 
@@ -280,7 +280,7 @@ def q41(t: Tables) -> DataFrame:
         .select("c_custkey", F.col("c_name").alias("customer"),
                 to_double(F.coalesce("spend", F.lit(0))).alias("total_spent"),
                 spend_segment("spend", SEGMENTS).alias("segment"))
-        .orderBy(F.desc("total_spent"))
+        .orderBy(F.desc("total_spent"), "c_custkey")
     )
 
 
@@ -293,7 +293,8 @@ def q40(t: Tables) -> DataFrame:
     )
     return (
         often.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-        .select("c_custkey", F.col("c_name").alias("customer"), "orders").orderBy(F.desc("orders"))
+        .select("c_custkey", F.col("c_name").alias("customer"), "orders").orderBy(
+            F.desc("orders"), "c_custkey")
     )
 
 
@@ -311,7 +312,7 @@ def q43(t: Tables) -> DataFrame:
         .select("c_custkey", F.col("c_name").alias("customer"), "orders",
                 to_double("total_spent").alias("total_spent"), F.col("avg_order_value").cast("double"),
                 "first_order", "last_order", "days_active")
-        .orderBy(F.desc("total_spent"))
+        .orderBy(F.desc("total_spent"), "c_custkey")
     )
 
 
