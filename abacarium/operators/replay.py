@@ -13,7 +13,7 @@ hot account is spread over many tasks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
@@ -140,29 +140,34 @@ def _fold(rows: DataFrame, opening: DataFrame, refused: DataFrame) -> DataFrame:
         "accepted boolean, balance bigint, reason string"
     )
     # One piece is one run of rows in one task, and a slice is bounded by its range partition.
-    return marked.repartition(*_PIECE).sortWithinPartitions(*_PIECE, "ts", "seq", "leg").mapInPandas(_walk, schema)
-
-
-def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    piece, balance = None, 0
-    for batch in batches:
-        accepted, balances, reasons = [], [], []
-        columns = (batch[c].tolist() for c in
-                   ("account_id", "slice", "cents", "floor", "start", "early", "floor_reason"))
-        for account, slice_no, cents, floor, start, early, floor_reason in zip(*columns, strict=True):
-            if (account, slice_no) != piece:
-                piece, balance = (account, slice_no), start
-            reason = early if isinstance(early, str) else None
-            if reason is None and cents < 0 and balance + cents < floor:
-                reason = floor_reason
-            if reason is None:
-                balance += cents
-            accepted.append(reason is None)
-            balances.append(balance)
-            reasons.append(reason)
-        out = batch[["account_id", "slice", "ts", "seq", "leg", "type", "cents"]].copy()
-        out["accepted"], out["balance"], out["reason"] = accepted, balances, reasons
-        yield out
+    return marked.repartition(*_PIECE).sortWithinPartitions(*_PIECE, "ts", "seq", "leg").mapInPandas(_walker(), schema)
+
+
+def _walker() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """The per-task replay. An inner function is shipped by value, so executors need not have this package."""
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        piece, balance = None, 0
+        for batch in batches:
+            accepted, balances, reasons = [], [], []
+            columns = (batch[c].tolist() for c in
+                       ("account_id", "slice", "cents", "floor", "start", "early", "floor_reason"))
+            for account, slice_no, cents, floor, start, early, floor_reason in zip(*columns, strict=True):
+                if (account, slice_no) != piece:
+                    piece, balance = (account, slice_no), start
+                reason = early if isinstance(early, str) else None
+                if reason is None and cents < 0 and balance + cents < floor:
+                    reason = floor_reason
+                if reason is None:
+                    balance += cents
+                accepted.append(reason is None)
+                balances.append(balance)
+                reasons.append(reason)
+            out = batch[["account_id", "slice", "ts", "seq", "leg", "type", "cents"]].copy()
+            out["accepted"], out["balance"], out["reason"] = accepted, balances, reasons
+            yield out
+
+    return walk
 
 
 def _decide(layout: DataFrame, settled: dict[str, DataFrame]) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from abacarium.operators.facts import partition_of
 from abacarium.plans.catalog import query
@@ -13,7 +14,7 @@ from abacarium.session import scratch_path
 from abacarium.sources.snapshots import SnapshotTable
 from abacarium.streaming.feeds import read_feed, stream_facts, stream_merge
 
-_FILES = 4
+_BATCHES = 4
 _TRACKED = ["o_orderpriority", "o_orderstatus"]
 _NEWER = ["o_orderdate", "o_orderkey"]
 _DIMENSION = (
@@ -21,10 +22,12 @@ _DIMENSION = (
     "is_active boolean, created_at timestamp, updated_at timestamp")
 
 
-def _landed(df: DataFrame, by: str, label: str) -> str:
-    path = scratch_path(df.sparkSession, label)
-    df.repartitionByRange(_FILES, by).write.parquet(path)
-    return path
+def _feed(df: DataFrame, day: str) -> DataFrame:
+    """Land the rows as files by year and stream them in a few batches."""
+    path = scratch_path(df.sparkSession, "feed")
+    df.withColumn("feed_year", F.year(day)).hint("rebalance", "feed_year").write.partitionBy("feed_year").parquet(path)
+    files = len(df.sparkSession.read.schema(df.schema).parquet(path).inputFiles())
+    return read_feed(df.sparkSession, path, df.schema, max(1, files // _BATCHES)).select(*df.columns)
 
 
 @query("stream_merge_dim", """
@@ -32,14 +35,10 @@ SELECT o_custkey, o_orderpriority, o_orderstatus, o_orderkey FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders)
 WHERE rn = 1""")
 def stream_merge_dim(t: Tables) -> DataFrame:
-    from pyspark.sql.types import StructType
-
     rows = t.orders.select("o_custkey", *_TRACKED, *_NEWER)
-    feed = read_feed(t.spark, _landed(rows, "o_orderdate", "feed"), rows.schema)
-    schema = StructType.fromDDL(_DIMENSION)
-    table = SnapshotTable(t.spark, scratch_path(t.spark, "dimension"), schema)
+    table = SnapshotTable(t.spark, scratch_path(t.spark, "dimension"), StructType.fromDDL(_DIMENSION))
     stream = stream_merge(
-        feed, table, "o_custkey", _TRACKED, _NEWER, scratch_path(t.spark, "progress"), dt.datetime(2002, 1, 1))
+        _feed(rows, "o_orderdate"), table, "o_custkey", _TRACKED, _NEWER, scratch_path(t.spark, "progress"), dt.datetime(2002, 1, 1))
     stream.awaitTermination()
     return table.read().select("o_custkey", *_TRACKED, "o_orderkey")
 
@@ -51,10 +50,9 @@ SELECT DISTINCT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS ship_date,
 def stream_fact(t: Tables) -> DataFrame:
     columns = ["l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice"]
     rows = t.lineitem.select(*columns)
-    feed = read_feed(t.spark, _landed(rows, "l_orderkey", "feed"), rows.schema)
     path = scratch_path(t.spark, "fact")
     stream = stream_facts(
-        feed, path, ["l_orderkey", "l_linenumber", "l_shipdate"], "l_shipdate", DECLARED,
+        _feed(rows, "l_shipdate"), path, ["l_orderkey", "l_linenumber", "l_shipdate"], "l_shipdate", DECLARED,
         scratch_path(t.spark, "progress"))
     stream.awaitTermination()
     fact = t.spark.read.schema(rows.withColumn("order_month", partition_of("l_shipdate", DECLARED)).schema).parquet(path)
