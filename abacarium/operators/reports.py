@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from abacarium.functions import mean, month_label, month_start, percentage
+from abacarium.functions.labels import LOWEST_SEGMENT, NO_PURCHASES, STOCK_LOW, STOCK_OUT
 
 
 def order_summary(
@@ -79,7 +80,7 @@ def spend_per_customer(
 
 
 def spend_segment(
-    spend: Column | str, bands: Sequence[tuple[float, str]], otherwise: str = "Bronze", none: str = "No purchases"
+    spend: Column | str, bands: Sequence[tuple[float, str]], otherwise: str = LOWEST_SEGMENT, none: str = NO_PURCHASES
 ) -> Column:
     """Segment label by total spend; NULL means that nothing was bought."""
     spend = F.col(spend) if isinstance(spend, str) else spend
@@ -112,8 +113,8 @@ def stock_action(stock: Column | str, low: int) -> Column:
     """The label of a stock alert; NULL where the stock is not low."""
     stock = F.col(stock) if isinstance(stock, str) else stock
     return (
-        F.when(stock == 0, F.lit("OUT OF STOCK - reorder now"))
-        .when(stock < low, F.lit("Low stock - reorder soon"))
+        F.when(stock == 0, F.lit(STOCK_OUT))
+        .when(stock < low, F.lit(STOCK_LOW))
     )
 
 

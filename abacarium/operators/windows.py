@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from abacarium.functions import mean, percentage
+from abacarium.functions.labels import BEST, TREND_DOWN, TREND_FLAT, TREND_UNKNOWN, TREND_UP, WORST
 
 
 def top_k_per_group(
@@ -95,10 +96,10 @@ def trend(now: Column | str, before: Column | str) -> Column:
     now = F.col(now) if isinstance(now, str) else now
     before = F.col(before) if isinstance(before, str) else before
     return (
-        F.when(before.isNull(), F.lit("n/a"))
-        .when(now > before, F.lit("UP"))
-        .when(now < before, F.lit("DOWN"))
-        .otherwise(F.lit("FLAT"))
+        F.when(before.isNull(), F.lit(TREND_UNKNOWN))
+        .when(now > before, F.lit(TREND_UP))
+        .when(now < before, F.lit(TREND_DOWN))
+        .otherwise(F.lit(TREND_FLAT))
     )
 
 
@@ -134,7 +135,7 @@ def neighbours(
 
 
 def best_and_worst(
-    df: DataFrame, measure: str, k: int, columns: Sequence[str], labels: tuple[str, str] = ("Best", "Worst")
+    df: DataFrame, measure: str, k: int, columns: Sequence[str], labels: tuple[str, str] = (BEST, WORST)
 ) -> DataFrame:
     """The ``k`` best and the ``k`` worst ranks of a calendar, ties kept, under a label."""
     known = df.where(F.col(measure).isNotNull())

@@ -9,14 +9,14 @@ from abacarium.operators.merge import merge_dimension
 from abacarium.operators.quality import Unique
 from abacarium.plans.catalog import query
 from abacarium.plans.checks import LINES, dbl, pct
-from abacarium.plans.loads import _TRACKED, _day, _feed, _latest, _order_days
+from abacarium.plans.loads import TRACKED, day, feed, latest_sql, order_days
 from abacarium.plans.tables import Tables
 from abacarium.plans.totals import agg_monthly_category
 from abacarium.session import stored
 from abacarium.sources.generators import date_dimension
 
 _EARLY, _LATE = "o_orderdate < TIMESTAMP '1996-01-01'", "o_orderdate >= TIMESTAMP '1996-01-01'"
-_TWO_FEEDS = f"{_latest('f1', _EARLY)}, {_latest('f2', _LATE)}"
+_TWO_FEEDS = f"{latest_sql('f1', _EARLY)}, {latest_sql('f2', _LATE)}"
 
 
 @query("merge_versions", f"""
@@ -34,8 +34,8 @@ def versions(t: Tables) -> DataFrame:
         [], "o_custkey bigint, o_orderpriority string, o_orderstatus string, valid_from timestamp_ntz, "
             "valid_to timestamp_ntz, is_current boolean")
     latest = ["o_orderdate", "o_orderkey"]
-    day1 = merge_versions(history, _feed(t, None, "1996-01-01"), "o_custkey", _TRACKED, _day("1996-01-01"), latest)
-    return merge_versions(day1, _feed(t, "1996-01-01", None), "o_custkey", _TRACKED, _day("2002-01-01"), latest)
+    day1 = merge_versions(history, feed(t, None, "1996-01-01"), "o_custkey", TRACKED, day("1996-01-01"), latest)
+    return merge_versions(day1, feed(t, "1996-01-01", None), "o_custkey", TRACKED, day("2002-01-01"), latest)
 
 
 @query("merge_soft_delete", f"""
@@ -50,7 +50,7 @@ def soft_delete(t: Tables) -> DataFrame:
             "created_at timestamp_ntz, updated_at timestamp_ntz")
     for start, end, as_of in ((None, "1996-01-01", "1996-01-01"), ("1996-01-01", None, "2002-01-01")):
         merged = merge_dimension(
-            target, _feed(t, start, end), "o_custkey", _TRACKED, _day(as_of), latest=["o_orderdate", "o_orderkey"],
+            target, feed(t, start, end), "o_custkey", TRACKED, day(as_of), latest=["o_orderdate", "o_orderkey"],
             soft_delete=True)
         target = merged.drop("action")
     return merged.select("o_custkey", "is_active", "action")
@@ -74,7 +74,7 @@ SELECT p_partkey, p_size * 5 - COALESCE(sold, 0) AS stock, p_size * 5 - COALESCE
 FROM part LEFT JOIN s ON l_partkey = p_partkey""")
 def stock(t: Tables) -> DataFrame:
     products = t.part.select("p_partkey", (F.col("p_size") * 5).cast("long").alias("stock"))
-    recent = t.lines.where(F.col("l_shipdate") >= _day("2001-10-01"))
+    recent = t.lines.where(F.col("l_shipdate") >= day("2001-10-01"))
     return decrement_stock(products, "p_partkey", "stock", recent, "l_partkey", "units")
 
 
@@ -84,7 +84,7 @@ SELECT CAST(strftime(d, '%Y%m%d') AS INT) AS date_key, year(d + INTERVAL 9 MONTH
        CAST(d AS DATE) NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders) AS is_holiday
 FROM (SELECT unnest(generate_series(MIN(o_orderdate), MAX(o_orderdate), INTERVAL 1 DAY)) AS d FROM orders)""")
 def fiscal(t: Tables) -> DataFrame:
-    dates = date_dimension(_order_days(t), fiscal_start_month=4)
+    dates = date_dimension(order_days(t), fiscal_start_month=4)
     # Days without any order stand for holidays.
     busy = t.orders.select(F.to_date("o_orderdate").alias("full_date")).distinct()
     quiet = dates.select("full_date").join(busy, "full_date", "left_anti")

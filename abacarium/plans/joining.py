@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from abacarium.functions import mean, month_range, text_or, to_double
+from abacarium.functions import labels, mean, month_range, text_or, to_double
 from abacarium.operators.joins import (
     above_average, bought_all, full_outer_rows, not_in, pair_counts, with_match, without_match,
 )
@@ -52,7 +52,7 @@ def q09(t: Tables) -> DataFrame:
         _supplied_parts(t)
         .join(t.supplier, F.col("supplier_id") == F.col("s_suppkey"), "left")
         .orderBy(F.col("s_suppkey").isNull().desc(), "p_partkey")
-        .select("p_partkey", "p_name", text_or("s_name", "No supplier assigned").alias("supplier"))
+        .select("p_partkey", "p_name", text_or("s_name", labels.NO_SUPPLIER).alias("supplier"))
     )
 
 
@@ -66,7 +66,7 @@ def q26(t: Tables) -> DataFrame:
         _supplied_parts(t)
         .join(categories, F.col("p_type") == F.col("category"))
         .join(t.supplier, F.col("supplier_id") == F.col("s_suppkey"), "left")
-        .select("p_partkey", "p_name", "p_type", "products", text_or("s_name", "-").alias("supplier"), "p_retailprice")
+        .select("p_partkey", "p_name", "p_type", "products", text_or("s_name", labels.NO_SUPPLIER_SHORT).alias("supplier"), "p_retailprice")
         .orderBy("p_type", "p_name", "p_partkey")
     )
 
@@ -111,7 +111,7 @@ def q27(t: Tables) -> DataFrame:
     return (
         c.join(r, F.col("c.referrer") == F.col("r.c_custkey"), "left")
         .select("c.c_custkey", F.col("c.c_name").alias("customer"),
-                text_or(F.col("r.c_name"), "Organic signup").alias("referred_by"))
+                text_or(F.col("r.c_name"), labels.ORGANIC).alias("referred_by"))
         .orderBy("c_custkey")
     )
 
@@ -206,7 +206,7 @@ def q48(t: Tables) -> DataFrame:
     # Only orders without a partner survive, so the state can only be the fallback.
     unpaid = without_match(t.orders, t.lineitem.where("l_linestatus = 'F'"), {"o_orderkey": "l_orderkey"})
     return unpaid.select("o_orderkey", "o_orderstatus", F.to_date("o_orderdate").alias("order_date"),
-                         F.lit("No payment row").alias("payment_state"))
+                         F.lit(labels.NO_PAYMENT).alias("payment_state"))
 
 
 @query("q50_division", """

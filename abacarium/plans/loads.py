@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
 from abacarium.functions import amount, from_cents, to_double
 from abacarium.operators.facts import (
@@ -17,7 +19,7 @@ from abacarium.operators.windows import dedupe_latest as latest_rows
 from abacarium.plans.catalog import query
 from abacarium.plans.checks import LEDGER, LINES, dbl
 from abacarium.plans.tables import DECLARED, SCHEMAS, Tables
-from abacarium.plans.totals import _PAYMENTS, _payments
+from abacarium.plans.totals import PAYMENTS, payments
 from abacarium.schemas import LEDGER_CSV
 from abacarium.session import scratch_path, stored
 from abacarium.sources import files
@@ -76,10 +78,10 @@ SELECT CAST(strftime(d, '%Y%m%d') AS INT) AS date_key, CAST(d AS DATE) AS full_d
        quarter(d) AS quarter_num, year(d) AS year_num, strftime(d, '%Y-%m') AS yr_month
 FROM (SELECT unnest(generate_series(MIN(o_orderdate), MAX(o_orderdate), INTERVAL 1 DAY)) AS d FROM orders)""")
 def dim_date(t: Tables) -> DataFrame:
-    return date_dimension(_order_days(t))
+    return date_dimension(order_days(t))
 
 
-def _order_days(t: Tables) -> DataFrame:
+def order_days(t: Tables) -> DataFrame:
     return t.orders.agg(
         F.to_date(F.min("o_orderdate")).alias("first_day"), F.to_date(F.max("o_orderdate")).alias("last_day"))
 
@@ -97,12 +99,10 @@ SELECT i AS sales_key, CAST(strftime(d, '%Y%m%d') AS INT) AS date_key, ck AS cus
        CAST(gross AS DOUBLE) AS gross_amount, CAST(ROUND(gross * disc * 0.01, 2) AS DOUBLE) AS discount_amount,
        CAST(ROUND(gross * (100 - disc) * 0.01, 2) AS DOUBLE) AS net_amount FROM g""")
 def gen_fact_sales(t: Tables) -> DataFrame:
-    import datetime as dt
-
     products = t.part.select((F.col("p_partkey") + 1).alias("product_key"),
                              amount("p_retailprice", 10).alias("unit_price"))
     facts = sales_facts(
-        numbers(t.spark, t.lineitem.count()), products, date_dimension(_order_days(t)), dt.date(1995, 1, 1), 2404,
+        numbers(t.spark, t.lineitem.count()), products, date_dimension(order_days(t)), dt.date(1995, 1, 1), 2404,
         t.customer.count(), t.part.count(), t.supplier.count())
     money = ["unit_price", "discount_pct", "gross_amount", "discount_amount", "net_amount"]
     return facts.withColumns({c: F.col(c).cast("double") for c in money})
@@ -199,47 +199,47 @@ def insert_absent(t: Tables) -> DataFrame:
 @query("dedupe_latest", f"""
 WITH r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, {_LINE_ORDER})
            AS rn FROM lineitem) SELECT * EXCLUDE (rn) FROM r WHERE rn = 1""")
-def dedupe_latest(t: Tables) -> DataFrame:
+def dedupelatest_sql(t: Tables) -> DataFrame:
     return latest_rows(t.lineitem, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
 
 
 # ---- dimension merge -------------------------------------------------------------------------------------------
 
-_TRACKED = ["o_orderpriority", "o_orderstatus"]
+TRACKED = ["o_orderpriority", "o_orderstatus"]
 _DIMENSION = (
     "customer_key bigint, o_custkey bigint, o_orderpriority string, o_orderstatus string, is_active boolean, "
     "created_at timestamp_ntz, updated_at timestamp_ntz")
 
 
-def _day(text: str):
+def day(text: str):
     return F.lit(text).cast("timestamp_ntz")
 
 
-def _feed(t: Tables, start: str | None, end: str | None) -> DataFrame:
+def feed(t: Tables, start: str | None, end: str | None) -> DataFrame:
     """The orders of a period as a feed of customers with their priority and status; many rows per customer."""
     rows = t.orders
     if start:
-        rows = rows.where(F.col("o_orderdate") >= _day(start))
+        rows = rows.where(F.col("o_orderdate") >= day(start))
     if end:
-        rows = rows.where(F.col("o_orderdate") < _day(end))
-    return rows.select("o_custkey", *_TRACKED, "o_orderdate", "o_orderkey")
+        rows = rows.where(F.col("o_orderdate") < day(end))
+    return rows.select("o_custkey", *TRACKED, "o_orderdate", "o_orderkey")
 
 
 def _merged(t: Tables, target: DataFrame | None, start: str | None, end: str | None, as_of: str) -> DataFrame:
     if target is None:
         target = t.spark.createDataFrame([], _DIMENSION)
     return merge_dimension(
-        target, _feed(t, start, end), "o_custkey", _TRACKED, _day(as_of), latest=["o_orderdate", "o_orderkey"],
+        target, feed(t, start, end), "o_custkey", TRACKED, day(as_of), latest=["o_orderdate", "o_orderkey"],
         surrogate="customer_key")
 
 
-def _latest(name: str, where: str) -> str:
+def latest_sql(name: str, where: str) -> str:
     return f"""{name} AS (SELECT * FROM (
   SELECT o_custkey AS k, o_orderpriority AS p, o_orderstatus AS s, ROW_NUMBER() OVER (
     PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders WHERE {where}) WHERE rn = 1)"""
 
 
-_DAY1 = f"""{_latest("f1", "o_orderdate < TIMESTAMP '1996-01-01'")}, {_latest("f2", "o_orderdate >= TIMESTAMP '1996-01-01'")},
+_DAY1 = f"""{latest_sql("f1", "o_orderdate < TIMESTAMP '1996-01-01'")}, {latest_sql("f2", "o_orderdate >= TIMESTAMP '1996-01-01'")},
 d1 AS (SELECT ROW_NUMBER() OVER (ORDER BY k) AS ck, k, p, s FROM f1),
 m AS (SELECT d1.ck, COALESCE(d1.k, f2.k) AS k, COALESCE(f2.p, d1.p) AS p, COALESCE(f2.s, d1.s) AS s, d1.p AS old_p,
              d1.s AS old_s,
@@ -279,7 +279,7 @@ WITH {_SNAPSHOT} SELECT o_custkey, o_orderpriority, o_orderstatus, updated_at >
 FROM snap WHERE action <> 'KEEP'""")
 def merge_day2(t: Tables) -> DataFrame:
     changed = _two_days(t).where("action <> 'KEEP'")
-    return changed.select("o_custkey", *_TRACKED, (F.col("updated_at") > F.col("created_at")).alias("was_updated"), "action")
+    return changed.select("o_custkey", *TRACKED, (F.col("updated_at") > F.col("created_at")).alias("was_updated"), "action")
 
 
 @query("assign_keys", "SELECT ROW_NUMBER() OVER (ORDER BY c_name) AS customer_key, c_custkey, c_name FROM customer")
@@ -290,13 +290,13 @@ def keys(t: Tables) -> DataFrame:
 # ---- mutations -------------------------------------------------------------------------------------------------
 
 @query("conditional_update", f"""
-WITH {_PAYMENTS}
+WITH {PAYMENTS}
 SELECT o_orderkey, CASE WHEN payment_status = 'Refunded' THEN 'Cash on Delivery' ELSE payment_method END AS payment_method,
        {dbl("amount")} AS amount,
        CASE WHEN payment_status = 'Refunded' THEN 'Pending' ELSE payment_status END AS payment_status FROM pay""")
 def update(t: Tables) -> DataFrame:
     changes = {"payment_method": F.lit("Cash on Delivery"), "payment_status": F.lit("Pending")}
-    paid = _payments(t).drop("payment_date").withColumn("amount", to_double("amount"))
+    paid = payments(t).drop("payment_date").withColumn("amount", to_double("amount"))
     return conditional_update(paid, F.col("payment_status") == "Refunded", changes)
 
 
@@ -342,8 +342,6 @@ def cascade(t: Tables) -> DataFrame:
 SELECT c_custkey, c_name, 'India' AS country, 0 AS stock_qty, TRUE AS is_active, CAST(NULL AS VARCHAR) AS phone
 FROM customer""")
 def defaults(t: Tables) -> DataFrame:
-    from pyspark.sql.types import BooleanType
-
     schema = StructType([
         StructField("c_custkey", LongType()), StructField("c_name", StringType()), StructField("country", StringType()),
         StructField("stock_qty", IntegerType()), StructField("is_active", BooleanType()), StructField("phone", StringType())])

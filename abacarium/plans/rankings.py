@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from abacarium.functions import month_label, month_start, percent, quarter_label, to_double
+from abacarium.functions import labels, month_label, month_start, percent, quarter_label, to_double
 from abacarium.operators.ordering import global_ranks, ntile
 from abacarium.operators.reports import per_month
 from abacarium.operators.rollups import in_report_order, rollup_report
@@ -292,7 +292,7 @@ def r1(t: Tables) -> DataFrame:
         F.col("p_type").alias("category"), "net_cents")
     report = rollup_report(
         facts, _R1_LEVELS, {"revenue": revenue_total()},
-        {"yr": "ALL YEARS", "qtr": "All Quarters", "category": "All Categories"})
+        {"yr": labels.ALL_YEARS, "qtr": labels.ALL_QUARTERS, "category": labels.ALL_CATEGORIES})
     return in_report_order(report, _R1_LEVELS).withColumn("revenue", to_double("revenue"))
 
 
@@ -316,7 +316,7 @@ def r2(t: Tables) -> DataFrame:
     )
     report = rollup_report(
         facts, ["region", "state"], {"orders": "one", "revenue": "revenue"},
-        {"region": "GRAND TOTAL", "state": "Region subtotal"}, blank_in_grand_total=["state"])
+        {"region": labels.GRAND_TOTAL, "state": labels.REGION_SUBTOTAL}, blank_in_grand_total=["state"])
     return in_report_order(report, ["region", "state"]).withColumn("revenue", to_double("revenue"))
 
 
@@ -338,7 +338,7 @@ def r2_distinct(t: Tables) -> DataFrame:
     )
     report = rollup_report(
         facts, ["region", "state"], {"revenue": revenue_total()},
-        {"region": "GRAND TOTAL", "state": "Region subtotal"}, distinct={"orders": "l_orderkey"},
+        {"region": labels.GRAND_TOTAL, "state": labels.REGION_SUBTOTAL}, distinct={"orders": "l_orderkey"},
         blank_in_grand_total=["state"])
     return in_report_order(report, ["region", "state"]).withColumn("revenue", to_double("revenue"))
 
@@ -362,7 +362,7 @@ def r3(t: Tables) -> DataFrame:
     )
     report = rollup_report(
         facts, ["channel", "store"], {"revenue": "revenue", "discounts": "discounts"},
-        {"channel": "ALL CHANNELS", "store": "Channel subtotal"})
+        {"channel": labels.ALL_CHANNELS, "store": labels.CHANNEL_SUBTOTAL})
     return in_report_order(report, ["channel", "store"]).withColumns(
         {c: to_double(c) for c in ("revenue", "discounts")})
 

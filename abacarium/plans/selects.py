@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from abacarium.functions import (
-    cents, contains_any_ci, month_range, text_or, to_double, whole_ratio,
+    cents, contains_any_ci, labels, month_range, text_or, to_double, whole_ratio,
 )
 from abacarium.operators.reports import stock_action
 from abacarium.plans.catalog import query
@@ -63,7 +63,7 @@ def q06(t: Tables) -> DataFrame:
 @query("q07_coalesce", """
 SELECT o_orderkey, COALESCE(NULLIF(o_orderpriority, '5-LOW'), 'Not provided') AS priority_display FROM orders""")
 def q07(t: Tables) -> DataFrame:
-    return t.orders.select("o_orderkey", text_or(_priority(), "Not provided").alias("priority_display"))
+    return t.orders.select("o_orderkey", text_or(_priority(), labels.NOT_PROVIDED).alias("priority_display"))
 
 
 @query("q08_ifnull_sort", """

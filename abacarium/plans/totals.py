@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from abacarium.functions import amount, mean, month_range, month_start, to_double
+from abacarium.functions import amount, labels, mean, month_range, month_start, to_double
 from abacarium.operators.reports import (
     lifetime_value, lost_rate, per_month, revenue_card, spend_per_customer, spend_segment,
 )
@@ -120,7 +120,7 @@ def q20(t: Tables) -> DataFrame:
         "p_brand", to_double("revenue").alias("gross_revenue"))
 
 
-def _payments(t: Tables) -> DataFrame:
+def payments(t: Tables) -> DataFrame:
     """One payment per order with lines; the method rotates by order key, lost orders are refunded."""
     methods = F.array(*[F.lit(m) for m in ("UPI", "Credit Card", "Debit Card", "Net Banking")])
     return t.summary.select(
@@ -132,7 +132,7 @@ def _payments(t: Tables) -> DataFrame:
     )
 
 
-_PAYMENTS = SUMMARY + """, pay AS (
+PAYMENTS = SUMMARY + """, pay AS (
   SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'UPI' WHEN 1 THEN 'Credit Card' WHEN 2 THEN 'Debit Card'
                      ELSE 'Net Banking' END AS payment_method, net_amount AS amount,
          CASE WHEN o_orderstatus IN ('F', 'O') THEN CAST(o_orderdate AS DATE) END AS payment_date,
@@ -140,21 +140,21 @@ _PAYMENTS = SUMMARY + """, pay AS (
 
 
 @query("derive_payments", f"""
-WITH {_PAYMENTS}
+WITH {PAYMENTS}
 SELECT o_orderkey, payment_method, {dbl("amount")} AS amount, payment_date, payment_status FROM pay""")
-def derive_payments(t: Tables) -> DataFrame:
-    return _payments(t).withColumn("amount", to_double("amount"))
+def derivepayments(t: Tables) -> DataFrame:
+    return payments(t).withColumn("amount", to_double("amount"))
 
 
 @query("q19_method", f"""
-WITH {_PAYMENTS}
+WITH {PAYMENTS}
 SELECT payment_method, COUNT(*) AS payments, {dbl("SUM(amount)")} AS total_amount,
        {sql_mean("SUM(amount)", "COUNT(*)")} AS avg_amount
 FROM pay WHERE payment_status = 'Completed' GROUP BY payment_method""")
 def q19(t: Tables) -> DataFrame:
     total, count = F.sum("amount"), F.count(F.lit(1))
     return (
-        _payments(t).where("payment_status = 'Completed'").groupBy("payment_method")
+        payments(t).where("payment_status = 'Completed'").groupBy("payment_method")
         .agg(count.alias("payments"), to_double(total).alias("total_amount"),
              mean(total, count).cast("double").alias("avg_amount"))
         .orderBy(F.desc("total_amount"))
@@ -221,7 +221,7 @@ def q35(t: Tables) -> DataFrame:
         t.part.join(ratings, F.col("p_partkey") == F.col("l_partkey"), "left")
         .withColumn("review_count", F.coalesce("reviews", F.lit(0).cast("long")))
         .orderBy(mean("total", "reviews").desc_nulls_last(), F.desc("review_count"), "p_partkey")
-        .select("p_partkey", "p_name", "review_count", F.coalesce(shown, F.lit("No reviews")).alias("avg_rating"))
+        .select("p_partkey", "p_name", "review_count", F.coalesce(shown, F.lit(labels.NO_REVIEWS)).alias("avg_rating"))
     )
 
 

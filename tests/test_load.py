@@ -188,3 +188,31 @@ def test_statistics(spark, shop):
     described = {r[0]: r[1] for r in spark.sql("DESCRIBE EXTENDED stats_demo").collect()}
     assert "6 rows" in described["Statistics"]
     spark.sql("DROP TABLE stats_demo")
+
+
+def test_whole_load_and_day_two(spark, sales):
+    from abacarium.api import run_load
+
+    target = scratch_path(spark, "warehouse")
+    products = spark.createDataFrame([(i, f"P{i}", "C", i) for i in range(1, 9)],
+                                     "product_id int, product_name string, category string, unit_price int")
+
+    def land(day):
+        source = scratch_path(spark, "source")
+        sink_csv(_feed(spark, day), f"{source}/customers")
+        sink_csv(products, f"{source}/products")
+        sink_csv(sales, f"{source}/sales")
+        return source
+
+    first = run_load(spark, land(1), target, T1, DECLARED)
+    assert first.actions == {"INSERT": 20} and first.fact.count() == 400 and first.rejects.count() == 0
+    second = run_load(spark, land(2), target, T2, DECLARED)
+    assert second.actions == {"INSERT": 5, "UPDATE": 8, "KEEP": 12}
+    assert (second.customers.count(), second.fact.count(), second.products.count()) == (25, 400, 8)
+    top = (
+        second.fact.where("status = 'COMPLETED'").join(second.customers, "customer_key").join(second.products, "product_id")
+        .groupBy("city", "category").agg(F.sum("amount").alias("revenue"), F.count("*").alias("orders"))
+        .orderBy(F.desc("revenue"), "city").limit(10)
+    )
+    assert top.count() == 5
+    assert run_load(spark, land(2), target, T2, DECLARED).actions == {"KEEP": 25}
