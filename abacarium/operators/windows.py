@@ -50,7 +50,8 @@ def top_share(
 
 def share_of_total(df: DataFrame, measure: str, name: str = "pct_of_total") -> DataFrame:
     """Each row's share of the grand total in percent."""
-    return df.withColumn(name, percentage(F.col(measure), df.agg(F.sum(measure)).scalar()))
+    with_total = df.withColumn("_total", df.agg(F.sum(measure)).scalar())
+    return with_total.withColumn(name, percentage(measure, "_total")).drop("_total")
 
 
 def month_spine(months: DataFrame, period: str, partition: Sequence[str] = ()) -> DataFrame:

@@ -26,10 +26,10 @@ def _money(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def _recorded(t: Tables) -> DataFrame:
-    """The ledger with a balance that was recorded without the error entries."""
-    return running_sums(
-        t.ledger, ["account_id"], ["ts", "seq"],
-        {"balance_after": led.signed(LEDGER_IN, ["click"])}, F.date_trunc("hour", "ts"))
+    """A recorded ledger, whose balances leave out the error entries."""
+    balances = {"balance_after": led.signed(LEDGER_IN, ["click"])}
+    rows = running_sums(t.ledger, ["account_id"], ["ts", "seq"], balances, F.date_trunc("hour", "ts"))
+    return t.once("recorded-ledger", rows)
 
 
 _RECORDED = LEDGER + """, rec AS (

@@ -115,19 +115,11 @@ def fact_partition_route(t: Tables) -> DataFrame:
     return route(t.lineitem, "l_shipdate", DECLARED).select("l_orderkey", "l_linenumber", "l_extendedprice", "order_month")
 
 
-_LOADED: dict[tuple[str, str], str] = {}
-
-
 def _fact_table(t: Tables) -> DataFrame:
-    """The lines as a table partitioned by declared month, written once per session and folder."""
+    """The lines as a table partitioned by declared month."""
     columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_shipdate"]
     rows = route(t.lines.select(*columns, from_cents("gross_cents").alias("amount")), "l_shipdate", DECLARED)
-    known = (t.spark.sparkContext.applicationId, t.folder)
-    if known not in _LOADED:
-        path = scratch_path(t.spark, "fact")
-        rows.hint("rebalance", "order_month").write.partitionBy("order_month").parquet(path)
-        _LOADED[known] = path
-    return t.spark.read.schema(rows.schema).parquet(_LOADED[known])
+    return t.once("fact", rows, "order_month")
 
 
 @query("pruned_month_sum", f"""
