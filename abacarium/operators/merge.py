@@ -92,6 +92,11 @@ def _absent(soft_delete: bool) -> Column:
     return F.when(F.col("is_active"), F.lit("DEACTIVATE")).otherwise(F.lit("KEEP"))
 
 
+def rows_without_key(feed: DataFrame, key: str) -> DataFrame:
+    """The feed rows that a merge leaves out because they have no key."""
+    return feed.where(F.col(key).isNull())
+
+
 def dropped_duplicates(feed: DataFrame, key: str) -> DataFrame:
     """How many feed rows the reduction to one row per key leaves out."""
     per_key = feed.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))

@@ -72,10 +72,10 @@ def global_ranks(
         starts = peers.groupBy(*keys).agg(
             F.min("_first").alias("_first0"), F.min("_value_no").alias("_value0")
         )
-        peers = _join_null_safe(peers, starts, keys)
+        peers = join_null_safe(peers, starts, keys)
     else:
         peers = peers.withColumns({"_first0": F.lit(1).cast("long"), "_value0": F.lit(1).cast("long")})
-    out = _join_null_safe(numbered, peers, [*keys, *order_columns])
+    out = join_null_safe(numbered, peers, [*keys, *order_columns])
     results = {
         row_number: F.col("_row") - F.col("_first0") + 1,
         rank: F.col("_first") - F.col("_first0") + 1,
@@ -138,7 +138,7 @@ def running_sums(
     keys = list(keys)
     hot = F.broadcast(hot_keys(df, keys, hot_rows).withColumn("_hot", F.lit(True)))
     marked = (
-        _join_null_safe(df.withColumn("_piece", chunk), hot, keys, "left")
+        join_null_safe(df.withColumn("_piece", chunk), hot, keys, "left")
         .withColumn("_piece", F.when(F.col("_hot"), F.col("_piece")))
         .drop("_hot")
         .withColumns({f"_add_{name}": expr for name, expr in sums.items()})
@@ -164,7 +164,7 @@ def running_sums(
     return joined.select(*df.columns, *results)
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join on ``keys`` in which NULL equals NULL; keeps the left keys."""
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     condition = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]

@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from abacarium.operators.ledger import balance_floor, default_accounts, refusal_reason
+from abacarium.operators.ordering import join_null_safe
 from abacarium.session import stored
 
 _ORDER = ["account_id", "ts", "seq", "leg"]
@@ -101,13 +102,13 @@ def _settle(layout: DataFrame) -> dict[str, DataFrame]:
         effect = F.when(F.col("accepted"), F.col("cents")).otherwise(F.lit(0))
         new_nets = decided.groupBy(*_PIECE).agg(F.sum(effect).alias("new_net"))
         new_opening = stored(_openings(
-            opening.join(new_nets, _PIECE, "left").select(
+            join_null_safe(opening, new_nets, _PIECE, "left").select(
                 *_PIECE, "opening", F.coalesce("new_net", "net").alias("net"), F.col("start").alias("old_start"))
         ), "openings")
         new_refused = decided.where((F.col("type") == "TRANSFER_OUT") & ~F.col("accepted")).select(*_PIECE, "seq")
         if not everything:
             replayed = decided.select(*_PIECE).distinct()
-            new_refused = refused.join(replayed, _PIECE, "left_anti").unionByName(new_refused)
+            new_refused = join_null_safe(refused, replayed, _PIECE, "left_anti").unionByName(new_refused)
         new_refused = stored(new_refused, "refused")
 
         moved = new_opening.where(F.col("start") != F.col("old_start")).select(*_PIECE)
@@ -118,14 +119,14 @@ def _settle(layout: DataFrame) -> dict[str, DataFrame]:
         opening, refused = new_opening.drop("old_start"), new_refused
         if dirty.isEmpty():
             return {"opening": opening, "refused": refused}
-        redo, everything = layout.join(dirty, _PIECE, "left_semi"), False
+        redo, everything = join_null_safe(layout, dirty, _PIECE, "left_semi"), False
 
 
 def _fold(rows: DataFrame, opening: DataFrame, refused: DataFrame) -> DataFrame:
     """Replay each piece from its opening balance, streaming over sorted rows."""
     turned_down = refused.select(F.col("seq").alias("_seq")).withColumn("_out_refused", F.lit(True))
     marked = (
-        rows.join(opening.select(*_PIECE, "start"), _PIECE)
+        join_null_safe(rows, opening.select(*_PIECE, "start"), _PIECE)
         .join(turned_down, (F.col("seq") == F.col("_seq")) & (F.col("leg") == 1), "left")
         .select(
             "account_id", "slice", "ts", "seq", "leg", "type", "cents", "floor", "start",

@@ -21,10 +21,11 @@ def order_summary(
 ) -> DataFrame:
     """One row per order that has lines, with ``gross_amount`` and ``net_amount``.
 
-    ``gross`` and ``net`` are aggregates over the lines of an order. The net amount is rounded per order, before any further sum. It comes from a
-    discount of the whole order (``discount_pct``, in percent) or from the net
-    amounts of its lines (``net``). Lines are added up before the join: the map-side
-    combine takes the weight of a huge order off the shuffle.
+    ``gross`` and ``net`` are aggregates over the lines of an order. The net amount is
+    rounded per order, before any further sum. It comes from a discount of the whole
+    order (``discount_pct``, in percent) or from the net amounts of its lines (``net``).
+    Lines are added up before the join: the map-side combine takes the weight of a huge
+    order off the shuffle.
     """
     sums = [gross.alias("gross_amount")]
     if net is not None:

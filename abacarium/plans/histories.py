@@ -15,12 +15,14 @@ from abacarium.plans.totals import agg_monthly_category
 from abacarium.session import stored
 from abacarium.sources.generators import date_dimension
 
-_EARLY, _LATE = "o_orderdate < TIMESTAMP '1996-01-01'", "o_orderdate >= TIMESTAMP '1996-01-01'"
-_TWO_FEEDS = f"{latest_sql('f1', _EARLY)}, {latest_sql('f2', _LATE)}"
+
+def _two_feeds(turn: str) -> str:
+    before, after = f"o_orderdate < TIMESTAMP '{turn}'", f"o_orderdate >= TIMESTAMP '{turn}'"
+    return f"{latest_sql('f1', before)}, {latest_sql('f2', after)}"
 
 
 @query("merge_versions", f"""
-WITH {_TWO_FEEDS}, j AS (
+WITH {_two_feeds("1996-01-01")}, j AS (
   SELECT f1.k AS k1, f1.p AS p1, f1.s AS s1, f2.k AS k2, f2.p AS p2, f2.s AS s2,
          f1.k IS NOT NULL AND f2.k IS NOT NULL AND NOT (f1.p = f2.p AND f1.s = f2.s) AS changed
   FROM f1 FULL JOIN f2 ON f1.k = f2.k)
@@ -39,7 +41,7 @@ def versions(t: Tables) -> DataFrame:
 
 
 @query("merge_soft_delete", f"""
-WITH {_TWO_FEEDS}
+WITH {_two_feeds("2001-01-01")}
 SELECT COALESCE(f1.k, f2.k) AS o_custkey, f2.k IS NOT NULL AS is_active,
        CASE WHEN f1.k IS NULL THEN 'INSERT' WHEN f2.k IS NULL THEN 'DEACTIVATE'
             WHEN f1.p = f2.p AND f1.s = f2.s THEN 'KEEP' ELSE 'UPDATE' END AS action
@@ -48,7 +50,7 @@ def soft_delete(t: Tables) -> DataFrame:
     target = t.spark.createDataFrame(
         [], "o_custkey bigint, o_orderpriority string, o_orderstatus string, is_active boolean, "
             "created_at timestamp_ntz, updated_at timestamp_ntz")
-    for start, end, as_of in ((None, "1996-01-01", "1996-01-01"), ("1996-01-01", None, "2002-01-01")):
+    for start, end, as_of in ((None, "2001-01-01", "2001-01-01"), ("2001-01-01", None, "2002-01-01")):
         merged = merge_dimension(
             target, feed(t, start, end), "o_custkey", TRACKED, day(as_of), latest=["o_orderdate", "o_orderkey"],
             soft_delete=True)

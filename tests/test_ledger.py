@@ -172,6 +172,7 @@ def test_replay_matches_a_loop(spark, seed, slices):
 
 
 def test_requests_of_unknown_accounts_are_refused(spark, accounts):
-    rows = [(1, NOW, "ghost", "DEPOSIT", D(5), None)]
-    row = replay(spark.createDataFrame(rows, REQUESTS), accounts).first()
-    assert (row["accepted"], row["reason"]) == (False, "unknown account")
+    rows = [(1, NOW, "ghost", "DEPOSIT", D(5), None), (2, NOW, None, "WITHDRAWAL", D(5), None),
+            (3, NOW, "ACC1001", "TRANSFER", D(5), None)]
+    found = {r["seq"]: (r["accepted"], r["reason"]) for r in replay(spark.createDataFrame(rows, REQUESTS), accounts, 3).collect()}
+    assert found == {1: (False, "unknown account"), 2: (False, "unknown account"), 3: (False, "unknown counterparty")}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from abacarium.operators.facts import (
     MonthRange, fact_scan, insert_if_absent, partition_audit, refresh_statistics, route, surrogate_lookup,
 )
-from abacarium.operators.merge import dimension_stats, dropped_duplicates, merge_dimension, merge_stats
+from abacarium.operators.merge import dimension_stats, dropped_duplicates, merge_dimension, merge_stats, rows_without_key
 from abacarium.operators.mutations import (
     apply_defaults, conditional_update, delete_where, evolve_schema, next_key, propagate_delete, reset_table,
 )
@@ -90,6 +90,7 @@ def test_merge_null_changes_duplicates_and_missing_keys(spark):
     first = _merge(empty, feed, T1)
     assert {r["customer_id"]: r["email"] for r in first.collect()} == {1: None, 2: "a@x"}
     assert dropped_duplicates(feed, "customer_id").first()[0] == 1
+    assert rows_without_key(feed, "customer_id").count() == 1
     change = spark.createDataFrame([(1, "A", "a@x", "x", "r"), (2, "B", None, "x", "r")], LOAD["stg_customers"])
     assert _actions(_merge(first.drop("action"), change, T2)) == {"UPDATE": 2}
 
