@@ -3,7 +3,7 @@
 BENCH_SF_DIR   folder of the tables      (default /root/testdata/sf0.1)
 BENCH_CPUS     cores of the local master (default 8)
 BENCH_QUERIES  comma-separated names, or "all" (default: the headline queries)
-BENCH_RUNS     timed runs per query after one warm-up (default 3, the median counts)
+BENCH_RUNS     timed runs per query after one warm-up (default 2, the median counts)
 """
 
 from __future__ import annotations
@@ -42,7 +42,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     chosen = os.environ.get("BENCH_QUERIES", "")
     names = list(QUERIES) if chosen == "all" else [n for n in chosen.split(",") if n] or HEADLINE
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = build_session(
         "abacarium-bench", f"local[{cpus}]", spark__sql__shuffle__partitions=cpus, spark__driver__memory="16g",
         spark__ui__showConsoleProgress="false", spark__checkpoint__dir=tempfile.mkdtemp(prefix="abacarium-bench-"),
