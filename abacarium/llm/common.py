@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from abacarium.session import stored
 
-__all__ = ["by_value", "stored", "read_table", "remainder", "whole_text", "bit_slots", "batches"]
+__all__ = ["by_value", "stored", "read_table", "vocabulary_path", "remainder", "whole_text", "bit_slots", "texts"]
 
 
 def by_value(module: str) -> None:
@@ -24,6 +24,13 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{str(folder).rstrip('/')}/{name}.parquet")
 
 
+def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
+    """Where the installed public tokenizers keep a vocabulary file; only the driver reads it."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def remainder(doc_id: str | Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; NULL ids count as the empty text."""
     col = F.col(doc_id) if isinstance(doc_id, str) else doc_id
@@ -49,12 +56,6 @@ def bit_slots(slots: DataFrame, bits: int) -> bytes:
     return out.tobytes()
 
 
-def batches(rows: list[tuple], names: list[str], schema: pa.Schema) -> pa.RecordBatch:
-    """Rows as one Arrow batch."""
-    cols = list(zip(*rows, strict=True)) if rows else [[] for _ in names]
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
-
-
 def texts(batch: pa.RecordBatch, column: str = "text") -> Iterator[str]:
     """The texts of a batch one by one, NULL as the empty text."""
     for value in batch.column(column):

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from abacarium.llm.common import read_table
+from abacarium.llm.bpe import build_encoder, round_trip
+from abacarium.llm.common import read_table, vocabulary_path
 from abacarium.llm.exact_dedup import exact_groups
 from abacarium.llm.winnow import decontaminate
 
@@ -70,3 +71,9 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
        sha256(coalesce(list, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN ids USING (doc_id)"""
+
+
+@query
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return round_trip(docs, build_encoder(docs, vocabulary_path()))
