@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from abacarium.llm.bpe import build_encoder, round_trip
-from abacarium.llm.common import read_table, vocabulary_path
+from abacarium.llm.common import read_table, remainder, vocabulary_path
 from abacarium.llm.exact_dedup import exact_groups
+from abacarium.llm.language import fit, predict
 from abacarium.llm.winnow import decontaminate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +78,10 @@ FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN ids USING (doc_id)"""
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return round_trip(docs, build_encoder(docs, vocabulary_path()))
+
+
+@query
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = remainder("doc_id", 4) == 2
+    return predict(docs, fit(docs.where(~held_out)), "doc_id", "text", held_out.alias("held_out"))
