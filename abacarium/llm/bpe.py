@@ -29,7 +29,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from abacarium.llm.automaton import Automaton, compile_words
-from abacarium.llm.common import by_value, stored, texts
+from abacarium.llm.common import by_value, most_frequent, texts
 
 #: Texts below this character are normalised and split here.
 _LIMIT = 0x530
@@ -208,14 +208,7 @@ def _counted(seen: Counter) -> Iterator[pa.RecordBatch]:
 
 def frequent_words(counts: DataFrame, size: int = 50_000, least: int = 8) -> list[str]:
     """At most ``size`` words, the most frequent ones, each seen ``least`` times or more."""
-    steps = 8
-    kept = stored(counts.where(F.col("n") >= least).withColumn("step", F.floor(F.log2("n") * steps).cast("int")), "words")
-    room, cut = size, None
-    for row in sorted(kept.groupBy("step").count().collect(), reverse=True):
-        if row["count"] > room:
-            break
-        room, cut = room - row["count"], row["step"]
-    return [] if cut is None else kept.where(F.col("step") >= cut).select("word").toArrow()["word"].to_pylist()
+    return most_frequent(counts, size, least).select("word").toArrow()["word"].to_pylist()
 
 
 def build_encoder(docs: DataFrame, path: str, size: int = 50_000, text: str = "text") -> Broadcast:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from abacarium.session import stored
 
-__all__ = ["by_value", "stored", "read_table", "vocabulary_path", "remainder", "whole_text", "bit_slots", "texts"]
+__all__ = ["by_value", "stored", "read_table", "vocabulary_path", "remainder", "whole_text", "bit_slots", "most_frequent", "texts"]
 
 
 def by_value(module: str) -> None:
@@ -56,6 +56,21 @@ def bit_slots(slots: DataFrame, bits: int) -> bytes:
     return out.tobytes()
 
 
+def most_frequent(counts: DataFrame, size: int, least: int) -> DataFrame:
+    """Rows of ``counts`` with the largest ``n``: at most ``size``, each of ``least`` or more.
+
+    The limit is found from a histogram of ``n`` in steps of an eighth of a doubling,
+    so nothing is sorted and the driver sees a few hundred numbers.
+    """
+    kept = stored(counts.where(F.col("n") >= least).withColumn("step", F.floor(F.log2("n") * 8).cast("int")), "counts")
+    room, cut = size, 1 << 30
+    for row in sorted(kept.groupBy("step").count().collect(), reverse=True):
+        if row["count"] > room:
+            break
+        room, cut = room - row["count"], row["step"]
+    return kept.where(F.col("step") >= cut).drop("step")
+
+
 def texts(batch: pa.RecordBatch, column: str = "text") -> Iterator[str]:
     """The texts of a batch one by one, NULL as the empty text."""
     for value in batch.column(column):

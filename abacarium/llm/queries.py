@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from abacarium.llm.bpe import build_encoder, round_trip
 from abacarium.llm.common import read_table, remainder, vocabulary_path
 from abacarium.llm.exact_dedup import exact_groups
+from abacarium.llm.jaccard import similar_groups
 from abacarium.llm.language import fit, predict
 from abacarium.llm.winnow import decontaminate
 
@@ -85,3 +86,8 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     held_out = remainder("doc_id", 4) == 2
     return predict(docs, fit(docs.where(~held_out)), "doc_id", "text", held_out.alias("held_out"))
+
+
+@query
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_groups(read_table(spark, sf_dir, "documents"))
