@@ -270,8 +270,8 @@ def decode(rows: DataFrame, encoder: Broadcast, key: str = "doc_id", ids: str =
         run, "key bigint, text string").withColumnRenamed("key", key)
 
 
-def round_trip(docs: DataFrame, encoder: Broadcast, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Encode, then decode: key, ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` per row.
+def round_trip(docs: DataFrame, encoder: Broadcast, key: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
+    """Encode, then decode: key, ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` per row, and ``ids`` if asked for.
 
     NULL and empty texts give no ids and the digests of the empty text. Repeated
     rows give a row each; an empty table gives no rows; other columns are ignored.
@@ -280,10 +280,14 @@ def round_trip(docs: DataFrame, encoder: Broadcast, key: str = "doc_id", text: s
     def make(value: str) -> tuple:
         entries = encoder_of(encoder).entries(value)
         sha = lambda parts: hashlib.sha256(" ".join(parts).encode()).hexdigest()
-        return sum([e[0] for e in entries]), sha([e[1] for e in entries]), sha([e[2] for e in entries])
-
-    kinds = pa.schema([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
-    return _per_text(docs, key, text, make, kinds, "n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+        found = sum([e[0] for e in entries]), sha([e[1] for e in entries]), sha([e[2] for e in entries])
+        return (*found, np.frombuffer(b"".join([e[3] for e in entries]), np.int32)) if with_ids else found
+
+    kinds = [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
+    spec = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    if with_ids:
+        kinds, spec = [*kinds, ("ids", pa.list_(pa.int32()))], spec + ", ids array<int>"
+    return _per_text(docs, key, text, make, pa.schema(kinds), spec)
 
 
 by_value(__name__)

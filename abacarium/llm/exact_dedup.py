@@ -35,6 +35,11 @@ def sha256(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
+def text_digest(text: Column) -> Column:
+    """The digest that ``exact_groups`` reports for a text."""
+    return F.sha2(normalised(F.coalesce(text, F.lit(""))), 256)
+
+
 def _rank(chars: Column, key: Column) -> Column:
     """One number that is larger for more code points, then for a smaller key; NULL keys come last."""
     scale = F.lit("100000000000000000000").cast("decimal(21,0)")

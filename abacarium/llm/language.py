@@ -165,4 +165,20 @@ def predict(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: st
         F.col("key").alias(key), *more, "lang_pred", "score")
 
 
+def recognised(docs: DataFrame, model: LanguageModel, text: str = "text", least: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` whose language is recognised with a score of ``least`` or more, all columns kept.
+
+    Rows without a text or a letter go. The rows pass through one scan, without a join.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((model.classes, model.table, model.heat))
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = LanguageModel(*shared.value)
+        for batch in source:
+            found = [own.predict(v) for v in texts(batch, text)]
+            yield batch.filter(pa.array([lang != "und" and score >= least for lang, score in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 by_value(__name__)

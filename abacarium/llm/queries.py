@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from abacarium.llm.bpe import build_encoder, round_trip
+from abacarium.llm.bpe import build_encoder, round_trip, token_lengths
 from abacarium.llm.common import read_table, remainder, vocabulary_path
 from abacarium.llm.exact_dedup import exact_groups
 from abacarium.llm.jaccard import similar_groups
 from abacarium.llm.language import fit, predict
+from abacarium.llm.pii import find_personal
+from abacarium.llm.sharding import assign_shards
+from abacarium.llm.token_counts import length_histogram, suffix_sums
 from abacarium.llm.winnow import decontaminate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +94,38 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return suffix_sums(length_histogram(token_lengths(docs, build_encoder(docs, vocabulary_path()))))
+
+
+#: Bytes of text that a shard of op4 may hold.
+SHARD_BYTES = 1 << 20
+
+
+@query
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assign_shards(read_table(spark, sf_dir, "documents"), SHARD_BYTES)
+
+
+CHECKS["op4_sharding"] = f"""
+WITH t AS (
+  SELECT doc_id, strlen(coalesce(text, '')) AS n_bytes,
+         ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15))::BIGINT AS h FROM documents),
+levels AS (SELECT doc_id, n_bytes, d AS depth, h >> (60 - d) AS prefix FROM t, unnest(generate_series(0, 60)) AS s(d)),
+sums AS (
+  SELECT *, sum(n_bytes) OVER (PARTITION BY depth, prefix) AS total, count(*) OVER (PARTITION BY depth, prefix) AS docs FROM levels),
+leaf AS (
+  SELECT doc_id, min(depth) FILTER (WHERE total <= {SHARD_BYTES} OR depth = 60) AS depth FROM sums GROUP BY doc_id)
+SELECT doc_id, n_bytes, CAST(depth AS INTEGER) AS depth,
+       CASE WHEN depth = 0 THEN '' ELSE right(lpad(bin(prefix), 64, '0'), CAST(depth AS INTEGER)) END AS shard,
+       CAST(total AS BIGINT) AS shard_bytes, docs AS shard_docs, total <= {SHARD_BYTES} AS fits
+FROM sums JOIN leaf USING (doc_id, depth)"""
+
+
+@query
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal(read_table(spark, sf_dir, "documents"))

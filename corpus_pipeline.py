@@ -1,24 +1,67 @@
-"""A pipeline from documents to token ids."""
+"""From documents to token ids: language, exact copies, near copies, benchmark passages, encoding.
+
+Every stage but the last returns rows of ``documents`` with all their columns. A
+stage drops rows by its operator's verdict on their id; NULL ids compare as equal.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from abacarium.llm.common import read_table, stored
-from abacarium.llm.exact_dedup import exact_groups
+from abacarium.llm.bpe import build_encoder, round_trip
+from abacarium.llm.common import read_table, remainder, stored, vocabulary_path
+from abacarium.llm.exact_dedup import exact_groups, text_digest
+from abacarium.llm.jaccard import similar_groups
+from abacarium.llm.language import fit, recognised
+from abacarium.llm.winnow import decontaminate
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _by_id(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    chosen = ids.select(F.col("doc_id").alias("_id"))
+    return docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["_id"]), how)
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised; those without a letter or below a score of 0.3 go."""
+    return recognised(docs, fit(docs.where(remainder("doc_id", 4) != 2)))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the longest original of each group of equal texts."""
-    kept = exact_groups(docs).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+    """The longest original of each group of equal texts; a row repeated in full stays once."""
+    kept = stored(exact_groups(docs).where("kept").select(F.col("doc_id").alias("_id"), "text_sha256"), "kept")
+    marked = docs.withColumn("_digest", text_digest(F.col("text")))
+    chosen = kept.distinct()
+    out = marked.join(chosen, marked["doc_id"].eqNullSafe(chosen["_id"]) & (F.col("_digest") == F.col("text_sha256")), "left_semi")
+    if not kept.groupBy("_id", "text_sha256").count().where("count > 1").isEmpty():
+        out = out.dropDuplicates(["doc_id", "_digest"])
+    return out.drop("_digest")
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar texts: the one with the smallest id."""
+    groups = similar_groups(docs)
+    return _by_id(docs, groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))), "left_semi")
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of whose words less than 5 % lie in benchmark passages."""
+    found = decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
+    return _by_id(docs, found.where("contaminated"), "left_anti")
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The ids of every document, their number, and the digests of ids and decoded text."""
+    return round_trip(docs, build_encoder(docs, vocabulary_path()), with_ids=True)
 
 
-STAGES: list[tuple[str, Stage]] = [("exact_dedup", exact_dedup)]
+STAGES: list[tuple[str, Stage]] = [
+    ("language", language), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup),
+    ("decontamination", decontamination), ("encoding", encoding),
+]
 
 #: Not expressible in SQL: the stages train a model and split words.
 ORACLE_SQL = None
