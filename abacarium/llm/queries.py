@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from abacarium.llm import toxicity
 from abacarium.llm.bpe import build_encoder, round_trip, token_lengths
 from abacarium.llm.common import read_table, remainder, vocabulary_path
 from abacarium.llm.exact_dedup import exact_groups
@@ -129,3 +130,10 @@ FROM sums JOIN leaf USING (doc_id, depth)"""
 @query
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = read_table(spark, sf_dir, "documents"), remainder("doc_id", 5) == 0
+    labels = read_table(spark, sf_dir, "labels").where(~held_out)
+    return toxicity.score(docs, toxicity.fit(docs, labels), "doc_id", "text", held_out.alias("held_out"))
