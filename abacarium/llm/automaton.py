@@ -17,8 +17,9 @@ import numpy as np
 
 from abacarium.llm.common import by_value
 
-_PARTS = ("first", "label", "target", "before", "final", "offsets", "ids")
-_TYPES = ("<i4", "u1", "<i4", "<i4", "u1", "<i4", "<i4")
+#: Arcs in order of state and byte: ``key`` is 256 times the state plus the byte.
+_PARTS = ("key", "target", "before", "final", "offsets", "ids")
+_TYPES = ("<i8", "<i4", "<i4", "u1", "<i4", "<i4")
 
 
 def compile_words(entries: Iterable[tuple[bytes, list[int]]]) -> bytes:
@@ -54,16 +55,15 @@ def compile_words(entries: Iterable[tuple[bytes, list[int]]]) -> bytes:
         offsets.append(len(outputs))
     close(0)
     states.append((path[0][0], tuple(path[0][1])))
-    first, label, target, before = [0], [], [], []
-    for final, arcs in states:
+    key, target, before = [], [], []
+    for state, (final, arcs) in enumerate(states):
         count = int(final)
         for byte, to in arcs:
-            label.append(byte)
+            key.append(state << 8 | byte)
             target.append(to)
             before.append(count)
             count += sizes[to]
-        first.append(len(label))
-    parts = (first, label, target, before, [int(f) for f, _ in states], offsets, outputs)
+    parts = (key, target, before, [int(f) for f, _ in states], offsets, outputs)
     blocks = [np.asarray(p, t).tobytes() for p, t in zip(parts, _TYPES, strict=True)]
     head = np.asarray([len(b) for b in blocks], "<i8").tobytes()
     return head + b"".join(b + b"\0" * (-len(b) % 8) for b in blocks)
@@ -80,23 +80,33 @@ class Automaton:
                 out.write(block)
             os.replace(own, path)
         mapped = np.memmap(path, np.uint8, "r")
-        lengths, at = mapped[:56].view("<i8"), 56
+        lengths, at = mapped[: 8 * len(_PARTS)].view("<i8"), 8 * len(_PARTS)
         for name, kind, length in zip(_PARTS, _TYPES, lengths.tolist(), strict=True):
             setattr(self, name, mapped[at : at + length].view(kind))
             at += length + -length % 8
 
-    def find(self, word: bytes) -> list[int] | None:
-        """The ids of ``word``, None if it is not in the lexicon."""
-        state, number = len(self.first) - 2, 0
-        for byte in word:
-            lo, hi = int(self.first[state]), int(self.first[state + 1])
-            arc = lo + int(np.searchsorted(self.label[lo:hi], byte))
-            if arc == hi or self.label[arc] != byte:
-                return None
-            number += int(self.before[arc])
-            state = int(self.target[arc])
-        if not self.final[state]:
-            return None
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        """The number of each word, -1 for those that the lexicon does not hold; all words step in parallel."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        data = np.frombuffer(b"".join(words), np.uint8)
+        starts = np.cumsum(sizes) - sizes
+        state, number = np.full(len(words), len(self.final) - 1, np.int64), np.zeros(len(words), np.int64)
+        live, at = np.flatnonzero(sizes > 0), 0
+        lost = sizes == 0
+        while len(live):
+            key = state[live] << 8 | data[starts[live] + at]
+            arc = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+            good = self.key[arc] == key
+            lost[live[~good]] = True
+            live, arc = live[good], arc[good]
+            number[live] += self.before[arc]
+            state[live] = self.target[arc]
+            at += 1
+            live = live[sizes[live] > at]
+        return np.where(lost | (self.final[state] == 0), -1, number)
+
+    def output(self, number: int) -> list[int]:
+        """The ids of word ``number``."""
         return self.ids[self.offsets[number] : self.offsets[number + 1]].tolist()
 
 

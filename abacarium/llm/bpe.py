@@ -49,7 +49,7 @@ _SPLIT = _splitter()
 _LATER = re.compile("[԰-\U0010ffff]")
 _NEVER = 1 << 62
 _FLUSH = 400_000
-_KEEP = 60_000
+_KEEP = 250_000
 
 
 def byte_letters() -> list[str]:
@@ -81,7 +81,6 @@ class Encoder:
         self.lexicon = Automaton(lexicon) if lexicon else None
         self.library = None
         self.known: dict[str, tuple] = {}
-        self.rare: dict[str, tuple] = {}
 
     def merge(self, word: bytes) -> list[int]:
         """Merge the bytes of one word, always the pair of lowest rank first."""
@@ -140,33 +139,35 @@ class Encoder:
         numbers, tokens = self.numbers, self.tokens
         return (len(ids), " ".join([numbers[i] for i in ids]), " ".join([tokens[i] for i in ids]), array("i", ids).tobytes())
 
-    def _resolve(self, word: str) -> tuple:
-        if word in self.rare:
-            return self.rare[word]
-        raw = word.encode()
-        ids = self.lexicon.find(raw) if self.lexicon else None
-        memo = self.rare if ids is None else self.known
-        if len(memo) >= _KEEP:
-            memo.clear()
-        memo[word] = entry = self._entry(self.merge(raw) if ids is None else ids)
-        return entry
-
-    def entries(self, text: str) -> list[tuple]:
-        """Per word or special token: number of ids, ids as text, tokens as text, ids as 32-bit integers."""
-        out: list[tuple] = []
-        for part in self.cut.split(text) if self.cut else [text]:
-            if part in self.special:
-                out.append(self._entry([self.special[part]]))
-            elif part:
-                words = self.words(part)
-                found = list(map(self.known.get, words))
-                if None in found:
-                    found = [self._resolve(w) if e is None else e for w, e in zip(words, found, strict=True)]
-                out += found
-        return out
+    def _learn(self, words: set[str]) -> None:
+        """Remember the entries of words: from the lexicon if it holds them, else by merging."""
+        if len(self.known) + len(words) > _KEEP:
+            self.known.clear()
+        listed = list(words)
+        raw = [w.encode() for w in listed]
+        numbers = self.lexicon.numbers(raw).tolist() if self.lexicon else [-1] * len(raw)
+        for word, own, number in zip(listed, raw, numbers, strict=True):
+            self.known[word] = self._entry(self.merge(own) if number < 0 else self.lexicon.output(number))
+
+    def entries(self, values: list[str]) -> list[list[tuple]]:
+        """Per text, per word or special token: number of ids, ids as text, tokens as text, ids as 32-bit integers."""
+        split = []
+        for text in values:
+            parts = self.cut.split(text) if self.cut else [text]
+            split.append(self.words(text) if len(parts) == 1 else [
+                w for p in parts for w in ([p] if p in self.special else self.words(p))])
+        wanted = set().union(*split)
+        special = wanted & self.special.keys()
+        new = wanted - self.known.keys() - special
+        if new:
+            self._learn(new if len(self.known) + len(new) <= _KEEP else wanted - special)
+        for token in special:
+            self.known[token] = self._entry([self.special[token]])
+        look = self.known.__getitem__
+        return [list(map(look, own)) for own in split]
 
     def encode(self, text: str) -> list[int]:
-        return np.frombuffer(b"".join(e[3] for e in self.entries(text)), np.int32).tolist()
+        return np.frombuffer(b"".join(e[3] for e in self.entries([text])[0]), np.int32).tolist()
 
     def decode(self, ids: list[int]) -> str:
         """Tokens joined by blanks, special ones too; unknown ids are left out."""
@@ -206,12 +207,12 @@ def _counted(seen: Counter) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"word": pa.array(words[lo : lo + 20_000], pa.string()), "n": pa.array(counts[lo : lo + 20_000], pa.int64())})
 
 
-def frequent_words(counts: DataFrame, size: int = 50_000, least: int = 8) -> list[str]:
+def frequent_words(counts: DataFrame, size: int = 100_000, least: int = 8) -> list[str]:
     """At most ``size`` words, the most frequent ones, each seen ``least`` times or more."""
     return most_frequent(counts, size, least).select("word").toArrow()["word"].to_pylist()
 
 
-def build_encoder(docs: DataFrame, path: str, size: int = 50_000, text: str = "text") -> Broadcast:
+def build_encoder(docs: DataFrame, path: str, size: int = 100_000, text: str = "text") -> Broadcast:
     """The shared encoder: the vocabulary at ``path`` and the lexicon of the frequent words of ``docs``.
 
     What is broadcast is bounded by the vocabulary file and by ``size`` words.
@@ -225,14 +226,14 @@ def build_encoder(docs: DataFrame, path: str, size: int = 50_000, text: str = "t
     return context.broadcast({"vocabulary": vocabulary, "lexicon": lexicon})
 
 
-def _per_text(docs: DataFrame, key: str, text: str, make, kinds: pa.Schema, spec: str) -> DataFrame:
+def _per_text(docs: DataFrame, encoder: Broadcast, key: str, text: str, make, kinds: pa.Schema, spec: str) -> DataFrame:
     schema = pa.schema([("key", pa.int64()), *kinds])
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                cols = list(zip(*map(make, texts(part)), strict=True))
+                cols = list(zip(*map(make, encoder_of(encoder).entries(list(texts(part)))), strict=True))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("key"), *(c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(cols, kinds, strict=True))], schema=schema)
 
@@ -243,18 +244,17 @@ def _per_text(docs: DataFrame, key: str, text: str, make, kinds: pa.Schema, spec
 def encode(docs: DataFrame, encoder: Broadcast, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, ``n_tokens``, ``ids`` per row. NULL and empty texts have no ids; repeated rows are encoded each."""
 
-    def make(value: str) -> tuple:
-        ids = np.frombuffer(b"".join([e[3] for e in encoder_of(encoder).entries(value)]), np.int32)
+    def make(entries: list[tuple]) -> tuple:
+        ids = np.frombuffer(b"".join([e[3] for e in entries]), np.int32)
         return len(ids), ids
 
     kinds = pa.schema([("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))])
-    return _per_text(docs, key, text, make, kinds, "n_tokens bigint, ids array<int>")
+    return _per_text(docs, encoder, key, text, make, kinds, "n_tokens bigint, ids array<int>")
 
 
 def token_lengths(docs: DataFrame, encoder: Broadcast, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, ``n_tokens`` per row."""
-    make = lambda value: (sum([e[0] for e in encoder_of(encoder).entries(value)]),)
-    return _per_text(docs, key, text, make, pa.schema([("n_tokens", pa.int64())]), "n_tokens bigint")
+    return _per_text(docs, encoder, key, text, lambda entries: (sum([e[0] for e in entries]),), pa.schema([("n_tokens", pa.int64())]), "n_tokens bigint")
 
 
 def decode(rows: DataFrame, encoder: Broadcast, key: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -277,8 +277,7 @@ def round_trip(docs: DataFrame, encoder: Broadcast, key: str = "doc_id", text: s
     rows give a row each; an empty table gives no rows; other columns are ignored.
     """
 
-    def make(value: str) -> tuple:
-        entries = encoder_of(encoder).entries(value)
+    def make(entries: list[tuple]) -> tuple:
         sha = lambda parts: hashlib.sha256(" ".join(parts).encode()).hexdigest()
         found = sum([e[0] for e in entries]), sha([e[1] for e in entries]), sha([e[2] for e in entries])
         return (*found, np.frombuffer(b"".join([e[3] for e in entries]), np.int32)) if with_ids else found
@@ -287,7 +286,7 @@ def round_trip(docs: DataFrame, encoder: Broadcast, key: str = "doc_id", text: s
     spec = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     if with_ids:
         kinds, spec = [*kinds, ("ids", pa.list_(pa.int32()))], spec + ", ids array<int>"
-    return _per_text(docs, key, text, make, pa.schema(kinds), spec)
+    return _per_text(docs, encoder, key, text, make, pa.schema(kinds), spec)
 
 
 by_value(__name__)
