@@ -12,6 +12,7 @@ from abacarium.llm.common import read_table, remainder, vocabulary_path
 from abacarium.llm.exact_dedup import exact_groups
 from abacarium.llm.jaccard import similar_groups
 from abacarium.llm.language import fit, predict
+from abacarium.llm.line_dedup import repeated_lines
 from abacarium.llm.pii import find_personal
 from abacarium.llm.sharding import assign_shards
 from abacarium.llm.token_counts import length_histogram, suffix_sums
@@ -137,3 +138,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = read_table(spark, sf_dir, "documents"), remainder("doc_id", 5) == 0
     labels = read_table(spark, sf_dir, "labels").where(~held_out)
     return toxicity.score(docs, toxicity.fit(docs, labels), "doc_id", "text", held_out.alias("held_out"))
+
+
+@query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_lines(read_table(spark, sf_dir, "documents"))
