@@ -104,10 +104,10 @@ def test_personal_data_rows(spark):
     rows = [*brute.odd_rows(), (50, "a@b.c and me [at] b (dot) org"), (51, "1." * 50_000), (52, "+" + "1 " * 50_000), (53, "a" * 200_000)]
     got = {(r["doc_id"], r["base_sha256"]): r for r in pii.find_personal(brute.docs_frame(spark, rows)).collect()}
     for d, t in rows:
-        base = pii.spans_text(plain_spans(t or "")) if len(t or "") < 60_000 else ""
+        base = "" if d == 53 else pii.spans_text(plain_spans(t or ""))  # the fixed patterns need quadratic time on the last
         assert (d, hashlib.sha256(base.encode()).hexdigest()) in got
     mail = next(r for (d, _), r in got.items() if d == 50)
-    assert (mail["n_email"], mail["spans"], mail["base_spans"]) == (2, "email:0:5,email:10:28", "email:0:5")
+    assert (mail["n_email"], mail["spans"], mail["base_spans"]) == (2, "email:0:5,email:10:29", "email:0:5")
 
 
 def test_lexicon_numbers_and_outputs():
@@ -120,7 +120,7 @@ def test_lexicon_numbers_and_outputs():
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.text(alphabet=st.one_of(st.sampled_from("theTHE'sd!?., 19\n\t\x1cñéΣİß日😀́½"), st.characters(max_codepoint=0x2FFF, exclude_categories=["Cs", "Cn"])), max_size=50))
+@given(text=st.text(alphabet=st.one_of(st.sampled_from("theTHE'sd!?., 19\n\t\x1cñéΣİß日😀́½"), st.characters(max_codepoint=0x2FFF, exclude_categories=["Cs", "Cn"])), max_size=50))
 def test_encoding_equals_the_library(text, library, own):
     ids = library.encode(text, add_special_tokens=False).ids
     assert own.encode(text) == ids
