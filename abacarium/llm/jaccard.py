@@ -8,9 +8,9 @@ the estimated cost, from the frequencies of the shingles concerned. A pair has t
 share the smaller of its two numbers within the prefixes that belong to the pair.
 
 1. Frequencies of all shingles are counted over all documents in packed blocks. The
-   most frequent ones (a bounded number) are broadcast and decide the order; a
-   bitmap of fixed size tells shingles that occur once, which cannot join. Any
-   order gives the same result, so neither bound touches the result.
+   most frequent ones (a bounded number) are broadcast, and a bitmap of fixed size
+   tells shingles that occur once, which cannot join and come first in the order.
+   Any order gives the same result, so neither bound touches the result.
 2. Equal sets become one, known by the digest of the set.
 3. In every posting list, members are compared with the list's most central member
    only; each set is verified against the one it meets most often.
@@ -120,14 +120,18 @@ def choose(found: np.ndarray, n: int, need: int) -> int:
     """The number of shared shingles to ask for, by estimated cost.
 
     ``found`` estimates the partners of each shingle in the longest prefix. Reading a
-    prefix costs its postings; at most postings / l documents share l of them, and
-    each of these costs a verification in proportion to the set.
+    prefix costs its postings. Documents that share ``l`` of its shingles are about as
+    many as the ``l``-th most frequent one has, since frequent shingles tend to come
+    from one passage; each costs a verification in proportion to the set.
     """
-    sums = np.concatenate([[0], np.cumsum(found)])
     most = min(LONGEST, need)
-    sizes = np.minimum(n - need + np.arange(1, most + 1), len(found))
-    cost = sums[sizes] * (1 + (1 + n / 16) / np.arange(1, most + 1))
-    return int(cost.argmin()) + 1
+    if not found.any():
+        return 1
+    cost = []
+    for ask in range(1, most + 1):
+        own = np.sort(found[: n - need + ask])[::-1]
+        cost.append(own.sum() + (own[ask - 1] if ask <= len(own) else 0) * (1 + n / 16))
+    return int(np.argmin(cost)) + 1
 
 
 def _prefixes(docs: DataFrame, shingle: int, percent: int, mask: bytes, heavy: pa.Table, bits: int) -> DataFrame:
@@ -162,13 +166,13 @@ def _prefix(own: np.ndarray, percent: int, flags: np.ndarray, keys: np.ndarray,
     if len(keys):
         at = np.minimum(np.searchsorted(keys, place), len(keys) - 1)
         df = np.where(keys[at] == place, numbers[at], 0)
-    order = np.lexsort((own, df)) if df.any() else np.arange(n)
-    order = order[: min(n, n - need + LONGEST)]
-    slot = own[order] >> np.uint64(64 - SLOT_BITS)
+    slot = own >> np.uint64(64 - SLOT_BITS)
     hit = (flags[(slot >> np.uint64(3)).astype(np.int64)] >> (np.uint8(7) - (slot & np.uint64(7)).astype(np.uint8))) & 1 > 0
-    ask = choose(np.where(hit, np.maximum(df[order], 1), 0), n, need)
+    df = np.where(hit, np.maximum(df, 1), 0)
+    order = np.argsort(df, kind="stable")[: min(n, n - need + LONGEST)]
+    ask = choose(df[order], n, need)
     size = min(n, n - need + ask)
-    pos = np.flatnonzero(hit[:size])
+    pos = np.flatnonzero(hit[order[:size]])
     return n, _digest(own), ask, own[order[pos]].view(np.int64), pos.astype(np.int32)
 
 
