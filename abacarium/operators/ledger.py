@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from abacarium.functions import amount as as_amount, mean
-from abacarium.operators.ordering import running_sums
+from abacarium.operators.ordering import global_index, running_sums
 from abacarium.schemas import LEDGER_CSV
+from abacarium.session import stored
 from abacarium.sources.files import scan_csv, sink_csv
 
 # Entry types that add to and take from a balance, account kinds and their limits.
@@ -24,6 +25,7 @@ SAVINGS_MIN_BALANCE = "500"
 CURRENT_OVERDRAFT = "1000"
 CSV_COLUMNS = ("timestamp", "account_id", "type", "amount", "balance_after")
 CSV_TIME = "yyyy-MM-dd HH:mm:ss"
+CSV_EXACT_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 def _one_of(types: Sequence[str]) -> Column:
@@ -74,27 +76,19 @@ def net_flow(ledger: DataFrame, ins: Sequence[str] = IN_TYPES, outs: Sequence[st
     return ledger.agg((_sum_where(ins) - _sum_where(outs)).alias("net_flow"))
 
 
-def _chunk() -> Column:
-    # Coarse enough to keep chunk totals few, fine enough to split a hot account.
-    return F.date_trunc("hour", F.col("ts"))
-
-
 def running_balance(
     ledger: DataFrame, ins: Sequence[str] = IN_TYPES, outs: Sequence[str] = OUT_TYPES,
-    name: str = "balance", hot_rows: int = 1_000_000, chunk: Column | None = None,
+    name: str = "balance", slices: int | None = None,
 ) -> DataFrame:
-    """The balance after each entry. ``chunk`` splits hot accounts and must follow ``(ts, seq)``."""
-    return running_sums(
-        ledger, ["account_id"], ["ts", "seq"], {name: signed(ins, outs)},
-        _chunk() if chunk is None else chunk, hot_rows,
-    )
+    """The balance after each entry."""
+    return running_sums(ledger, ["account_id"], ["ts", "seq"], {name: signed(ins, outs)}, slices)
 
 
 def reconcile(
-    ledger: DataFrame, ins: Sequence[str] = IN_TYPES, outs: Sequence[str] = OUT_TYPES, hot_rows: int = 1_000_000
+    ledger: DataFrame, ins: Sequence[str] = IN_TYPES, outs: Sequence[str] = OUT_TYPES, slices: int | None = None
 ) -> DataFrame:
     """Entries whose recorded balance differs from the computed one."""
-    computed = running_balance(ledger, ins, outs, "computed_balance", hot_rows)
+    computed = running_balance(ledger, ins, outs, "computed_balance", slices)
     return computed.where(~F.col("balance_after").eqNullSafe(F.col("computed_balance")))
 
 
@@ -118,11 +112,10 @@ def refusal_reason() -> Column:
 
 
 def audit_rules(
-    ledger: DataFrame, accounts: DataFrame, ins: Sequence[str] = IN_TYPES, outs: Sequence[str] = OUT_TYPES,
-    hot_rows: int = 1_000_000,
+    ledger: DataFrame, accounts: DataFrame, ins: Sequence[str] = IN_TYPES, outs: Sequence[str] = OUT_TYPES
 ) -> DataFrame:
     """Entries that break a rule: amounts must be positive, money out must respect the floor."""
-    balances = running_balance(ledger, ins, outs, "balance", hot_rows)
+    balances = running_balance(ledger, ins, outs)
     checked = balances.join(accounts, "account_id").withColumn(
         "violation",
         F.when(F.col("amount") <= 0, F.lit("amount not positive"))
@@ -180,12 +173,12 @@ def interest_postings(balances: DataFrame, accounts: DataFrame, as_of) -> DataFr
 
 
 def statement(
-    ledger: DataFrame, ins: Sequence[str] = IN_TYPES, outs: Sequence[str] = OUT_TYPES, hot_rows: int = 1_000_000
+    ledger: DataFrame, ins: Sequence[str] = IN_TYPES, outs: Sequence[str] = OUT_TYPES
 ) -> DataFrame:
     """Each account's entries with their number and the balance after them."""
     return running_sums(
         ledger, ["account_id"], ["ts", "seq"],
-        {"entry_no": F.lit(1).cast("long"), "balance": signed(ins, outs)}, _chunk(), hot_rows,
+        {"entry_no": F.lit(1).cast("long"), "balance": signed(ins, outs)},
     )
 
 
@@ -203,18 +196,29 @@ def default_accounts(accounts: DataFrame) -> DataFrame:
 
 
 def export(
-    ledger: DataFrame, path: str, columns: Sequence[str] = CSV_COLUMNS, timestamp_format: str = CSV_TIME
+    ledger: DataFrame, path: str, columns: Sequence[str] = (*CSV_COLUMNS, "seq"), timestamp_format: str = CSV_EXACT_TIME
 ) -> str:
-    """Write the ledger as CSV files in global order; one file per range, no single task."""
+    """Write the ledger as CSV files in global order; one file per range, no single task.
+
+    ``seq`` and the fractions of a second go along, since only they order entries of one second.
+    """
     ordered = ledger.orderBy("ts", "seq").withColumnRenamed("ts", "timestamp").select(*columns)
     return sink_csv(ordered, path, timestamp_format)
 
 
-def read(spark: SparkSession, path: str, timestamp_format: str = CSV_TIME, has_seq: bool = False) -> DataFrame:
+def read(spark: SparkSession, path: str, timestamp_format: str = CSV_EXACT_TIME, has_seq: bool = True) -> DataFrame:
     """A recorded ledger: ``timestamp, account_id, type, amount, balance_after[, seq]``.
 
-    Without a ``seq`` column the position in the file takes its place.
+    Without a ``seq`` column the entries are numbered in the order of the file names
+    and of the lines in them: by file, by the place of the split in its file, and by
+    the place of the line in its split.
     """
-    schema = LEDGER_CSV if has_seq else StructType([f for f in LEDGER_CSV.fields if f.name != "seq"])
-    rows = scan_csv(spark, path, schema, timestamp_format).withColumnRenamed("timestamp", "ts")
-    return rows if has_seq else rows.withColumn("seq", F.monotonically_increasing_id())
+    if has_seq:
+        return scan_csv(spark, path, LEDGER_CSV, timestamp_format).withColumnRenamed("timestamp", "ts")
+    schema = StructType([f for f in LEDGER_CSV.fields if f.name != "seq"])
+    rows = scan_csv(spark, path, schema, timestamp_format).select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_line"))
+    # Stored first: the line numbers belong to this scan's splits.
+    numbered = global_index(stored(rows, "entries"), ["_file", "_block", "_line"], "seq")
+    return numbered.drop("_file", "_block", "_line").withColumnRenamed("timestamp", "ts")

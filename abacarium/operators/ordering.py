@@ -105,62 +105,36 @@ def ntile(df: DataFrame, order: Sequence[Column | str], tiles: int, name: str =
     )
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = 1_000_000, at_most: int = 10_000) -> DataFrame:
-    """The keys with more than ``hot_rows`` rows.
-
-    The threshold rises with the table, so that there can never be more than
-    ``at_most`` such keys; their list may be broadcast whatever the table's size.
-    """
-    total = df.agg(F.count(F.lit(1))).scalar()
-    floor = F.greatest(F.lit(hot_rows).cast("double"), total / F.lit(at_most))
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > floor)
-        .select(*keys)
-    )
-
-
 def running_sums(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column | str],
     sums: Mapping[str, Column],
-    chunk: Column,
-    hot_rows: int = 1_000_000,
+    slices: int | None = None,
 ) -> DataFrame:
     """Running sums per key in ``order`` (total), inclusive of the current row.
 
-    ``chunk`` must not decrease along ``order``. A hot key is summed chunk by
-    chunk: totals of its earlier chunks plus a window inside the chunk. Other
-    keys form one chunk. All rows are shuffled once, by key and chunk.
+    The rows are range-partitioned by key and order and stored once, so every key
+    is cut into pieces of bounded size, whatever its number of rows. A piece is
+    summed by a window of its own; the totals of the key's earlier pieces (one row
+    per piece) are carried into it by an equi-join. ``slices`` sets their number.
     """
     keys = list(keys)
-    hot = F.broadcast(hot_keys(df, keys, hot_rows).withColumn("_hot", F.lit(True)))
-    marked = (
-        join_null_safe(df.withColumn("_piece", chunk), hot, keys, "left")
-        .withColumn("_piece", F.when(F.col("_hot"), F.col("_piece")))
-        .drop("_hot")
-        .withColumns({f"_add_{name}": expr for name, expr in sums.items()})
-    )
-    pieces = (
-        marked.where(F.col("_piece").isNotNull())
-        .groupBy(*keys, "_piece")
-        .agg(*[F.sum(f"_add_{name}").alias(f"_sum_{name}") for name in sums])
-    )
+    added = df.withColumns({f"_add_{name}": expr for name, expr in sums.items()})
+    ranged = added.repartitionByRange(*([slices] if slices else []), *keys, *order)
+    laid = stored(ranged.withColumn("_piece", F.spark_partition_id()), "running")
+    piece = [*keys, "_piece"]
+    totals = laid.groupBy(*piece).agg(*[F.sum(f"_add_{name}").alias(f"_sum_{name}") for name in sums])
     before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    carried = pieces.select(
-        *keys, "_piece", *[F.sum(f"_sum_{name}").over(before).alias(f"_carry_{name}") for name in sums]
-    )
-    inside = (
-        Window.partitionBy(*keys, "_piece").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    joined = marked.repartition(*keys, "_piece").join(carried, [*keys, "_piece"], "left")
-    results = []
-    for name in sums:
-        carry = F.col(f"_carry_{name}")
-        local = F.sum(f"_add_{name}").over(inside)
-        results.append(F.when(carry.isNull(), local).otherwise(local + carry).alias(name))
+    carried = totals.select(*piece, *[F.sum(f"_sum_{name}").over(before).alias(f"_carry_{name}") for name in sums])
+    inside = Window.partitionBy(*piece).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = laid.withColumns({f"_add_{name}": F.sum(f"_add_{name}").over(inside) for name in sums})
+    joined = join_null_safe(local, carried, piece)
+    results = [
+        F.when(F.col(f"_carry_{name}").isNull(), F.col(f"_add_{name}"))
+        .otherwise(F.col(f"_add_{name}") + F.col(f"_carry_{name}")).alias(name)
+        for name in sums
+    ]
     return joined.select(*df.columns, *results)
 
 

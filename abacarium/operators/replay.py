@@ -1,14 +1,22 @@
 """Replay of account requests in which a refusal leaves no trace.
 
 Whether a withdrawal is accepted depends on the balance, hence on all earlier
-decisions, and with transfers on those of other accounts. Requests are laid out
-once in (account, time) order and cut into slices of bounded size. Every slice is
-replayed on its own from an assumed opening balance; then the openings are
-recomputed from the outcomes, and the slices whose assumptions changed are
-replayed again. When nothing changes any more, all assumptions equal the
-outcomes, and by induction over time the replay is exact. Each round settles at
-least the earliest open slice; accounts inside one slice need one round, and a
-hot account is spread over many tasks.
+decisions about the account. Requests are laid out once in (account, time) order
+and cut into slices of bounded size. The part of an account in one slice, a piece,
+has a net amount and a lowest running sum if everything in it is accepted; both are
+window sums. A piece whose opening balance plus that lowest sum does not fall below
+the account's floor has no refusal, and its net is known without a replay. Only the
+other pieces are replayed row by row, each from its assumed opening. Then the
+openings are worked out again from the nets, and the pieces whose opening moved are
+looked at again until none moves; then all assumptions hold.
+
+Each round settles the earliest open piece of every account at least, so there are
+no more rounds than slices that one account spans, plus one; accounts inside one
+slice need one round. A round writes one small table, with a row per piece.
+
+Transfers are not replayed: a chain of transfers that depend on one another has no
+parallel form. Their two legs are ledger entries (``transfer_legs``), which the
+pairing check and the audit of balances take.
 """
 
 from __future__ import annotations
@@ -16,69 +24,65 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from abacarium.operators.ledger import balance_floor, default_accounts, refusal_reason
 from abacarium.operators.ordering import join_null_safe
 from abacarium.session import stored
 
-_ORDER = ["account_id", "ts", "seq", "leg"]
+_ORDER = ["account_id", "ts", "seq"]
 _PIECE = ["account_id", "slice"]
 
 
 def replay(requests: DataFrame, accounts: DataFrame, slices: int | None = None) -> DataFrame:
     """Decide every request in ``(ts, seq)`` order.
 
-    ``requests``: ``seq`` (unique), ``ts``, ``account_id``, ``type`` (DEPOSIT,
-    WITHDRAWAL or TRANSFER), ``amount`` and ``counterparty`` (for transfers).
-    ``accounts``: ``account_id``, ``kind`` (base, savings or current) and
-    optionally ``opening`` and the limits. Returns one row per entry: accepted
-    transfers have a TRANSFER_OUT and a TRANSFER_IN, a refused request has one row
-    with the reason and the unchanged balance.
+    ``requests``: ``seq`` (unique), ``ts``, ``account_id``, ``type`` (DEPOSIT or
+    WITHDRAWAL), ``amount``; any other type is refused. ``accounts``: ``account_id``,
+    ``kind`` (base, savings or current) and optionally ``opening`` and the limits.
+    Returns one row per request; a refused one has a reason and the unchanged balance.
     """
     layout = _lay_out(requests, accounts, slices)
-    settled = _settle(layout)
-    return _decide(layout, settled)
+    pieces = settle(layout)
+    calm = F.col("start") + F.col("low") >= F.col("floor")
+    marked = join_null_safe(layout, pieces.select(*_PIECE, "start", "low"), _PIECE)
+    inside = Window.partitionBy(*_PIECE).orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    plain = marked.where(calm).withColumns({
+        "accepted": F.col("early").isNull(), "balance": F.col("start") + F.sum(_effect()).over(inside), "reason": F.col("early")})
+    columns = [*_ORDER, "type", "amount", "accepted", "balance", "reason"]
+    decided = plain.select(*columns).unionByName(_fold(marked.where(~calm), _walker(), _decisions(marked)).select(*columns))
+    return decided.select(
+        "account_id", "ts", "seq", "type", "amount", "accepted",
+        (F.col("balance").cast("decimal(20,0)") / F.lit(100)).cast("decimal(20,2)").alias("balance_after"), "reason",
+    )
+
+
+def _effect() -> Column:
+    """What a request adds if it is not refused early."""
+    return F.when(F.col("early").isNull(), F.col("cents")).otherwise(F.lit(0))
 
 
 def _lay_out(requests: DataFrame, accounts: DataFrame, slices: int | None) -> DataFrame:
     rules = default_accounts(accounts)
     if "opening" not in rules.columns:
         rules = rules.withColumn("opening", F.lit(0).cast("decimal(12,2)"))
-    if "counterparty" not in requests.columns:
-        requests = requests.withColumn("counterparty", F.lit(None).cast(requests.schema["account_id"].dataType))
     rules = rules.select(
         "account_id", balance_floor().alias("floor"), refusal_reason().alias("floor_reason"), "opening"
     )
-    is_transfer = F.col("type") == "TRANSFER"
-    known = rules.select(F.col("account_id").alias("counterparty"), F.lit(True).alias("_known"))
-    checked = requests.join(known, "counterparty", "left").withColumn(
-        "refused_early",
-        F.when(F.col("amount") <= 0, F.lit("amount not positive"))
-        .when(is_transfer & F.col("_known").isNull(), F.lit("unknown counterparty")),
-    )
-    own = checked.select(
-        "account_id", "ts", "seq", F.lit(0).alias("leg"),
-        F.when(is_transfer, F.lit("TRANSFER_OUT")).otherwise(F.col("type")).alias("type"),
-        "amount", "refused_early",
-    )
-    credit = checked.where(is_transfer & F.col("refused_early").isNull()).select(
-        F.col("counterparty").alias("account_id"), "ts", "seq", F.lit(1).alias("leg"),
-        F.lit("TRANSFER_IN").alias("type"), "amount", "refused_early",
-    )
-    adds = F.col("type").isin("DEPOSIT", "TRANSFER_IN")
-    legs = (
-        own.unionByName(credit)
-        .join(rules, "account_id", "left")
-        .withColumns({
-            # An account without rules refuses everything.
-            "refused_early": F.when(F.col("floor").isNull(), F.lit("unknown account")).otherwise(F.col("refused_early")),
-            "cents": (F.when(adds, F.col("amount")).otherwise(-F.col("amount")) * 100).cast("long"),
-            "floor": (F.coalesce("floor", F.lit(0)) * 100).cast("long"),
-            "opening": (F.coalesce("opening", F.lit(0)) * 100).cast("long"),
-        })
+    amount = F.col("amount").cast("decimal(12,2)")
+    early = (
+        # An account without rules refuses everything.
+        F.when(F.col("floor").isNull(), F.lit("unknown account"))
+        .when(~F.col("type").isin("DEPOSIT", "WITHDRAWAL"), F.lit("unknown type"))
+        .when(~F.coalesce(F.col("amount") > 0, F.lit(False)), F.lit("amount not positive"))
     )
-    ranged = legs.repartitionByRange(slices, *_ORDER) if slices else legs.repartitionByRange(*_ORDER)
+    rows = requests.select(*_ORDER, "type", amount.alias("amount")).join(rules, "account_id", "left").withColumns({
+        "early": early,
+        "cents": (F.coalesce(F.when(F.col("type") == "DEPOSIT", amount).otherwise(-amount), F.lit(0)) * 100).cast("long"),
+        "floor": (F.coalesce("floor", F.lit(0)) * 100).cast("long"),
+        "opening": (F.coalesce("opening", F.lit(0)) * 100).cast("long"),
+    })
+    ranged = rows.repartitionByRange(slices, *_ORDER) if slices else rows.repartitionByRange(*_ORDER)
     return stored(ranged.withColumn("slice", F.spark_partition_id()), "replay")
 
 
@@ -88,96 +92,95 @@ def _openings(pieces: DataFrame) -> DataFrame:
     return pieces.withColumn("start", F.col("opening") + F.coalesce(F.sum("net").over(before), F.lit(0)))
 
 
-def _settle(layout: DataFrame) -> dict[str, DataFrame]:
-    """Openings per piece and refused transfers that agree with the decisions they lead to."""
-    assumed = F.when(F.col("refused_early").isNull(), F.col("cents")).otherwise(F.lit(0))
-    first_guess = layout.groupBy(*_PIECE).agg(F.max("opening").alias("opening"), F.sum(assumed).alias("net"))
-    opening = stored(_openings(first_guess), "openings")
-    refused = layout.sparkSession.createDataFrame([], layout.select(*_PIECE, "seq").schema)
-    redo, everything = layout, True
+def settle(layout: DataFrame, rounds: list[int] | None = None) -> DataFrame:
+    """Per piece its ``start``, ``floor`` and ``low``, with starts that agree with the decisions they lead to.
+
+    ``rounds``, if given, receives the number of pieces that each round replayed.
+    """
+    inside = Window.partitionBy(*_PIECE).orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = layout.withColumn("sum", F.sum(_effect()).over(inside))
+    pieces = sums.groupBy(*_PIECE).agg(
+        F.max("opening").alias("opening"), F.max("floor").alias("floor"), F.sum(_effect()).alias("free"),
+        # Only withdrawals are refused; a piece without any can have no refusal.
+        F.coalesce(F.min(F.when((F.col("cents") < 0) & F.col("early").isNull(), F.col("sum"))), F.lit(1 << 62)).alias("low"))
+    pieces = stored(_openings(pieces.withColumn("net", F.col("free"))).withColumn("looked_at", F.lit(None).cast("long")), "pieces")
     while True:
-        decided = stored(
-            _fold(redo, opening, refused).select(*_PIECE, "seq", "type", "cents", "accepted"), "decisions"
-        )
-        effect = F.when(F.col("accepted"), F.col("cents")).otherwise(F.lit(0))
-        new_nets = decided.groupBy(*_PIECE).agg(F.sum(effect).alias("new_net"))
-        new_opening = stored(_openings(
-            join_null_safe(opening, new_nets, _PIECE, "left").select(
-                *_PIECE, "opening", F.coalesce("new_net", "net").alias("net"), F.col("start").alias("old_start"))
-        ), "openings")
-        new_refused = decided.where((F.col("type") == "TRANSFER_OUT") & ~F.col("accepted")).select(*_PIECE, "seq")
-        if not everything:
-            replayed = decided.select(*_PIECE).distinct()
-            new_refused = join_null_safe(refused, replayed, _PIECE, "left_anti").unionByName(new_refused)
-        new_refused = stored(new_refused, "refused")
-
-        moved = new_opening.where(F.col("start") != F.col("old_start")).select(*_PIECE)
-        now, then = new_refused.select("seq"), refused.select("seq")
-        flipped = now.join(then, "seq", "left_anti").unionByName(then.join(now, "seq", "left_anti"))
-        credits = layout.where("type = 'TRANSFER_IN'").join(flipped, "seq", "left_semi").select(*_PIECE)
-        dirty = stored(moved.unionByName(credits).distinct(), "dirty")
-        opening, refused = new_opening.drop("old_start"), new_refused
-        if dirty.isEmpty():
-            return {"opening": opening, "refused": refused}
-        redo, everything = join_null_safe(layout, dirty, _PIECE, "left_semi"), False
-
-
-def _fold(rows: DataFrame, opening: DataFrame, refused: DataFrame) -> DataFrame:
-    """Replay each piece from its opening balance, streaming over sorted rows."""
-    turned_down = refused.select(F.col("seq").alias("_seq")).withColumn("_out_refused", F.lit(True))
-    marked = (
-        join_null_safe(rows, opening.select(*_PIECE, "start"), _PIECE)
-        .join(turned_down, (F.col("seq") == F.col("_seq")) & (F.col("leg") == 1), "left")
-        .select(
-            "account_id", "slice", "ts", "seq", "leg", "type", "cents", "floor", "start",
-            F.when(F.col("_out_refused"), F.lit("transfer refused")).otherwise(F.col("refused_early")).alias("early"),
-            "floor_reason",
-        )
-    )
-    kind = marked.schema["account_id"].dataType.simpleString()
-    time = marked.schema["ts"].dataType.simpleString()
-    schema = (
-        f"account_id {kind}, slice int, ts {time}, seq bigint, leg int, type string, cents bigint, "
-        "accepted boolean, balance bigint, reason string"
-    )
-    # One piece is one run of rows in one task, and a slice is bounded by its range partition.
-    return marked.repartition(*_PIECE).sortWithinPartitions(*_PIECE, "ts", "seq", "leg").mapInPandas(_walker(), schema)
+        open_ = pieces.where(~F.col("start").eqNullSafe(F.col("looked_at")))
+        if open_.isEmpty():
+            return pieces
+        calm = F.col("start") + F.col("low") >= F.col("floor")
+        hard = join_null_safe(layout, open_.where(~calm).select(*_PIECE, "start"), _PIECE)
+        kind = layout.schema["account_id"].dataType.simpleString()
+        nets = _fold(hard, _netter(), f"account_id {kind}, slice int, net bigint").groupBy(*_PIECE).agg(F.sum("net").alias("new_net"))
+        known = join_null_safe(pieces, nets, _PIECE, "left").withColumn(
+            "net", F.when(calm, F.col("free")).otherwise(F.coalesce("new_net", "net")))
+        known = known.withColumn("looked_at", F.col("start")).drop("new_net", "start")
+        after = stored(_openings(known).select(*pieces.columns), "pieces")
+        if rounds is not None:
+            rounds.append(open_.where(~calm).count())
+        pieces = after
+
+
+def _fold(rows: DataFrame, walk: Callable, schema: str) -> DataFrame:
+    """Replay each piece from its opening balance, streaming over sorted rows.
+
+    One piece is one run of rows in one task, and a slice is bounded by its range partition.
+    """
+    return rows.repartition(*_PIECE).sortWithinPartitions(*_PIECE, "ts", "seq").mapInPandas(walk, schema)
+
+
+def _decisions(rows: DataFrame) -> str:
+    kind, time = (rows.schema[c].dataType.simpleString() for c in ("account_id", "ts"))
+    return (f"account_id {kind}, slice int, ts {time}, seq bigint, type string, amount decimal(12,2), "
+            "accepted boolean, balance bigint, reason string")
+
+
+def _steps() -> Callable[[pd.DataFrame, tuple, int], tuple]:
+    """The decisions of one batch. Inner functions are shipped by value, so executors need not have this package."""
+
+    def steps(batch: pd.DataFrame, piece: tuple | None, balance: int) -> tuple:
+        accepted, balances, reasons = [], [], []
+        columns = (batch[c].tolist() for c in ("account_id", "slice", "cents", "floor", "start", "early", "floor_reason"))
+        for account, slice_no, cents, floor, start, early, floor_reason in zip(*columns, strict=True):
+            if (account, slice_no) != piece:
+                piece, balance = (account, slice_no), start
+            reason = early if isinstance(early, str) else None
+            if reason is None and cents < 0 and balance + cents < floor:
+                reason = floor_reason
+            if reason is None:
+                balance += cents
+            accepted.append(reason is None)
+            balances.append(balance)
+            reasons.append(reason)
+        return piece, balance, accepted, balances, reasons
+
+    return steps
 
 
 def _walker() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """The per-task replay. An inner function is shipped by value, so executors need not have this package."""
+    steps = _steps()
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         piece, balance = None, 0
         for batch in batches:
-            accepted, balances, reasons = [], [], []
-            columns = (batch[c].tolist() for c in
-                       ("account_id", "slice", "cents", "floor", "start", "early", "floor_reason"))
-            for account, slice_no, cents, floor, start, early, floor_reason in zip(*columns, strict=True):
-                if (account, slice_no) != piece:
-                    piece, balance = (account, slice_no), start
-                reason = early if isinstance(early, str) else None
-                if reason is None and cents < 0 and balance + cents < floor:
-                    reason = floor_reason
-                if reason is None:
-                    balance += cents
-                accepted.append(reason is None)
-                balances.append(balance)
-                reasons.append(reason)
-            out = batch[["account_id", "slice", "ts", "seq", "leg", "type", "cents"]].copy()
+            piece, balance, accepted, balances, reasons = steps(batch, piece, balance)
+            out = batch[["account_id", "slice", "ts", "seq", "type", "amount"]].copy()
             out["accepted"], out["balance"], out["reason"] = accepted, balances, reasons
             yield out
 
     return walk
 
 
-def _decide(layout: DataFrame, settled: dict[str, DataFrame]) -> DataFrame:
-    decided = _fold(layout, settled["opening"], settled["refused"])
-    # The credit of a refused transfer never existed; the refusal shows on the debit.
-    return decided.where((F.col("leg") == 0) | F.col("accepted")).select(
-        "account_id", "ts", "seq", "type",
-        (F.abs("cents") / F.lit(100)).cast("decimal(12,2)").alias("amount"),
-        "accepted",
-        (F.col("balance").cast("decimal(20,0)") / F.lit(100)).cast("decimal(20,2)").alias("balance_after"),
-        "reason",
-    )
+def _netter() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Only what each batch adds to its pieces, a row per piece and batch."""
+    steps = _steps()
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        piece, balance = None, 0
+        for batch in batches:
+            piece, balance, accepted, _, _ = steps(batch, piece, balance)
+            out = batch[["account_id", "slice"]].copy()
+            out["net"] = batch["cents"].where(accepted, 0).astype("int64")
+            yield out.groupby(["account_id", "slice"], dropna=False, sort=False, as_index=False)["net"].sum()
+
+    return walk

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from abacarium.functions import amount, to_double
 from abacarium.operators import ledger as led
@@ -15,6 +15,7 @@ from abacarium.plans.catalog import query
 from abacarium.plans.checks import ACCOUNTS, LEDGER, dbl, mean as sql_mean
 from abacarium.plans.tables import LEDGER_IN, LEDGER_OUT, Tables
 from abacarium.session import scratch_path
+from abacarium.sources.files import scan_csv, sink_csv
 
 _RUNNING = LEDGER + """, run AS (
   SELECT *, SUM(delta) OVER (PARTITION BY account_id ORDER BY ts, seq ROWS UNBOUNDED PRECEDING) AS balance,
@@ -28,8 +29,7 @@ def _money(df: DataFrame, *columns: str) -> DataFrame:
 def _recorded(t: Tables) -> DataFrame:
     """A recorded ledger, whose balances leave out the error entries."""
     balances = {"balance_after": led.signed(LEDGER_IN, ["click"])}
-    rows = running_sums(t.ledger, ["account_id"], ["ts", "seq"], balances, F.date_trunc("hour", "ts"))
-    return t.once("recorded-ledger", rows)
+    return running_sums(t.ledger, ["account_id"], ["ts", "seq"], balances)
 
 
 _RECORDED = LEDGER + """, rec AS (
@@ -91,20 +91,10 @@ def rules(t: Tables) -> DataFrame:
     return _money(led.audit_rules(t.ledger, t.accounts, LEDGER_IN, LEDGER_OUT), "amount", "balance")
 
 
-def _requests(t: Tables, views: str) -> DataFrame:
-    """The events as requests; a view is a deposit, or a transfer to the account numbered ``k`` in its props."""
-    kind = (
-        F.when(F.col("type").isin(*LEDGER_OUT), F.lit("WITHDRAWAL"))
-        .when((F.col("type") == "view") & (F.lit(views) == "TRANSFER"), F.lit("TRANSFER"))
-        .otherwise(F.lit("DEPOSIT"))
-    )
-    other = F.get_json_object("props", "$.k").cast("long")
-    props = t.events.select(F.col("event_id").alias("seq"), "props")
-    return (
-        t.ledger.join(props, "seq")
-        .withColumns({"type": kind, "counterparty": F.when(kind == "TRANSFER", other)})
-        .drop("props")
-    )
+def _requests(t: Tables) -> DataFrame:
+    """The events as requests: clicks and errors withdraw, all others deposit."""
+    kind = F.when(F.col("type").isin(*LEDGER_OUT), F.lit("WITHDRAWAL")).otherwise(F.lit("DEPOSIT"))
+    return t.ledger.withColumn("type", kind)
 
 
 @query("ledger_replay", f"""
@@ -124,13 +114,7 @@ SELECT account_id, ts, seq, CASE WHEN takes THEN 'WITHDRAWAL' ELSE 'DEPOSIT' END
        CASE WHEN accepted THEN NULL WHEN kind = 'savings' THEN 'below minimum balance'
             WHEN kind = 'current' THEN 'overdraft limit exceeded' ELSE 'insufficient funds' END AS reason FROM r""")
 def ledger_replay(t: Tables) -> DataFrame:
-    return _money(replay(_requests(t, "DEPOSIT"), t.accounts), "amount", "balance_after")
-
-
-@query("ledger_replay_transfers")
-def ledger_replay_transfers(t: Tables) -> DataFrame:
-    # Accounts depend on each other here; checked against a plain replay in the tests.
-    return _money(replay(_requests(t, "TRANSFER"), t.accounts), "amount", "balance_after")
+    return _money(replay(_requests(t), t.accounts), "amount", "balance_after")
 
 
 def _transfers(t: Tables) -> DataFrame:
@@ -183,12 +167,29 @@ def current_balances(t: Tables) -> DataFrame:
 
 
 @query("ledger_export", f"""
-WITH {_RECORDED} SELECT date_trunc('second', ts) AS ts, account_id, type, CAST(amount AS DOUBLE) AS amount,
-       {dbl("balance_after")} AS balance_after FROM rec""")
+WITH {_RECORDED} SELECT ts, seq, account_id, type, CAST(amount AS DOUBLE) AS amount,
+       {dbl("balance_after")} AS balance_after, {dbl("balance_after")} AS balance_of_file FROM rec""")
 def export(t: Tables) -> DataFrame:
+    # The balance is worked out again from the file, which only its order makes possible.
     path = led.export(_recorded(t), scratch_path(t.spark, "export"))
-    back = led.read(t.spark, path).drop("seq").withColumn("account_id", F.col("account_id").cast("long"))
-    return _money(back, "amount", "balance_after")
+    back = led.running_balance(led.read(t.spark, path), LEDGER_IN, ["click"], "balance_of_file")
+    return _money(back.withColumn("account_id", F.col("account_id").cast("long")), "amount", "balance_after", "balance_of_file")
+
+
+@query("ledger_account_csv", f"""
+WITH {_RECORDED}
+SELECT CAST(account_id AS VARCHAR) AS account_id, COUNT(amount) AS total_transactions,
+       {dbl("SUM(CASE WHEN type IN ('signup', 'purchase') THEN amount ELSE 0 END)")} AS total_deposited,
+       {dbl("SUM(CASE WHEN type IN ('click', 'error') THEN amount ELSE 0 END)")} AS total_withdrawn,
+       {dbl("arg_max(balance_after, seq)")} AS final_balance FROM rec GROUP BY account_id""")
+def account_csv(t: Tables) -> DataFrame:
+    # The report as the file that it is delivered in, read back.
+    report = _money(led.by_account(_recorded(t), LEDGER_IN, LEDGER_OUT), "total_deposited", "total_withdrawn", "final_balance")
+    path = sink_csv(report.orderBy("account_id"), scratch_path(t.spark, "account-report"))
+    return scan_csv(t.spark, path, StructType([
+        StructField("account_id", StringType()), StructField("total_transactions", LongType()),
+        StructField("total_deposited", DoubleType()), StructField("total_withdrawn", DoubleType()),
+        StructField("final_balance", DoubleType())]))
 
 
 # ---- JSON records ----------------------------------------------------------------------------------------------

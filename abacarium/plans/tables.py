@@ -16,7 +16,6 @@ from abacarium.functions import cents, from_cents, round_whole, sum_whole
 from abacarium.operators.facts import MonthRange
 from abacarium.operators.ledger import default_accounts
 from abacarium.operators.reports import order_summary, per_month
-from abacarium.session import scratch_path
 
 SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -38,8 +37,6 @@ LEDGER_IN = ("signup", "purchase")
 LEDGER_OUT = ("click", "error")
 DECLARED = MonthRange("1996-01", "1996-12")
 
-_WRITTEN: dict[tuple[str, str, str], str] = {}
-
 
 class Tables:
     """The tables below one folder; nothing is read before it is used."""
@@ -59,18 +56,6 @@ class Tables:
     lineitem = cached_property(lambda self: self._read("lineitem"))
     events = cached_property(lambda self: self._read("events"))
 
-    def once(self, label: str, rows: DataFrame, partition_by: str | None = None) -> DataFrame:
-        """A table derived from the given ones, written once per session and folder."""
-        key = (self.spark.sparkContext.applicationId, self.folder, label)
-        if key not in _WRITTEN:
-            path = scratch_path(self.spark, label)
-            if partition_by:
-                rows.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(path)
-            else:
-                rows.write.parquet(path)
-            _WRITTEN[key] = path
-        return self.spark.read.schema(rows.schema).parquet(_WRITTEN[key])
-
     @cached_property
     def lines(self) -> DataFrame:
         """Order lines with amounts in whole numbers, see ``gross_total``, ``net_total`` and ``revenue_total``."""

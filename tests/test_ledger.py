@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from abacarium.operators import ledger as led
-from abacarium.operators.replay import replay
+from abacarium.operators.replay import _lay_out, replay, settle
 from abacarium.session import scratch_path
 
 NOW = dt.datetime(2026, 9, 15, 9, 41, 40)
@@ -57,13 +57,13 @@ def test_largest_keeps_ledger_order_for_ties(ledger):
     assert [(r["amount"], r["seq"]) for r in rows] == [(5000, 0), (2000, 8), (1500, 1), (1300, 5), (1000, 3)]
 
 
-@pytest.mark.parametrize("hot_rows", [1, 10**6])
-def test_running_balance_reconciles(ledger, hot_rows):
-    assert led.reconcile(ledger, hot_rows=hot_rows).count() == 0
+@pytest.mark.parametrize("slices", [1, 5, None])
+def test_running_balance_reconciles(ledger, slices):
+    assert led.reconcile(ledger, slices=slices).count() == 0
     wrong = ledger.withColumn("balance_after", F.when(F.col("seq") == 5, 0).otherwise(F.col("balance_after")))
     assert [r["seq"] for r in led.reconcile(wrong).collect()] == [5]
-    chunked = led.running_balance(ledger, hot_rows=1, chunk=F.expr("seq div 2"))
-    assert chunked.where("balance <> balance_after").count() == 0
+    cut = led.running_balance(ledger, slices=7)
+    assert cut.where("balance <> balance_after").count() == 0
 
 
 def test_rules_and_interest(ledger, accounts):
@@ -87,11 +87,38 @@ def test_transfers_pair_up(ledger, spark):
 
 def test_export_and_read_back(spark, ledger):
     path = scratch_path(spark, "ledger")
-    led.export(ledger, path, [*led.CSV_COLUMNS, "seq"])
-    again = led.read(spark, path, has_seq=True)
+    led.export(ledger, path)
+    again = led.read(spark, path)
     assert sorted(again.select("seq", "account_id", "balance_after").collect()) == sorted(
         ledger.select("seq", "account_id", "balance_after").collect())
     assert again.where(F.col("ts") == F.lit(NOW)).count() == 11
+    assert sorted(led.by_account(again).collect()) == sorted(led.by_account(ledger).collect())
+
+
+@pytest.mark.parametrize("keep_seq", [True, False])
+def test_a_large_export_keeps_its_order(spark, keep_seq):
+    i = F.col("id")
+    rows = spark.range(20_000).select(
+        F.lit(NOW).alias("ts"), F.concat(F.lit("A"), i % 3).alias("account_id"), F.lit("DEPOSIT").alias("type"),
+        F.lit(1).cast("decimal(12,2)").alias("amount"), (F.expr("id div 3") + 1).cast("decimal(12,2)").alias("balance_after"), i.alias("seq"))
+    path = scratch_path(spark, "ledger")
+    led.export(rows, path, [*led.CSV_COLUMNS, "seq"] if keep_seq else led.CSV_COLUMNS)
+    again = led.read(spark, path, has_seq=keep_seq)
+    assert {r["account_id"]: r["final_balance"] for r in led.by_account(again).collect()} == {"A0": 6667, "A1": 6667, "A2": 6666}
+    assert led.reconcile(again).count() == 0
+
+
+def _write_entries(path, first, last):
+    lines = [f"2026-09-15 09:41:40,ACC,DEPOSIT,1,{i}" for i in range(first, last + 1)]
+    path.write_text("\n".join(["timestamp,account_id,type,amount,balance_after", *lines]) + "\n")
+
+
+def test_files_are_taken_in_the_order_of_their_names(spark, tmp_path):
+    _write_entries(tmp_path / "a.csv", 1, 3)
+    _write_entries(tmp_path / "b.csv", 4, 2003)
+    recorded = led.read(spark, str(tmp_path), led.CSV_TIME, has_seq=False)
+    assert led.reconcile(recorded).count() == 0
+    assert led.by_account(recorded).first()["final_balance"] == 2003
 
 
 def test_position_in_the_file_orders_entries(spark, ledger, tmp_path):
@@ -99,7 +126,7 @@ def test_position_in_the_file_orders_entries(spark, ledger, tmp_path):
     lines += [f"2026-09-15 09:41:40,{r['account_id']},{r['type']},{r['amount']},{r['balance_after']}"
               for r in ledger.orderBy("seq").collect()]
     (tmp_path / "entries.csv").write_text("\n".join(lines) + "\n")
-    recorded = led.read(spark, str(tmp_path / "entries.csv"))
+    recorded = led.read(spark, str(tmp_path / "entries.csv"), led.CSV_TIME, has_seq=False)
     assert led.reconcile(recorded).count() == 0
     assert {r[0]: r[4] for r in led.by_account(recorded).collect()} == {"ACC1001": 4700, "ACC1002": 900, "ACC1003": 2392}
 
@@ -109,70 +136,65 @@ def test_statement_numbers_entries(ledger):
     assert [(r["entry_no"], r["balance"]) for r in rows] == [(1, 1000), (2, -300), (3, 700), (4, 900)]
 
 
-REQUESTS = ("seq bigint, ts timestamp_ntz, account_id string, type string, amount decimal(12,2), counterparty string")
+REQUESTS = "seq bigint, ts timestamp_ntz, account_id string, type string, amount decimal(12,2)"
 
 
 def test_replay_of_the_recorded_session(spark, accounts):
-    requests = [("ACC1001", "DEPOSIT", 1500, None), ("ACC1001", "WITHDRAWAL", 800, None),
-                ("ACC1002", "WITHDRAWAL", 1300, None), ("ACC1003", "DEPOSIT", 300, None),
-                ("ACC1001", "TRANSFER", 1000, "ACC1002"), ("ACC1003", "DEPOSIT", 92, None),
-                ("ACC1002", "DEPOSIT", 200, None), ("ACC1003", "WITHDRAWAL", 5000, None)]
-    rows = [(i, NOW, account, kind, D(value), other) for i, (account, kind, value, other) in enumerate(requests)]
+    requests = [("ACC1001", "DEPOSIT", 1500), ("ACC1001", "WITHDRAWAL", 800), ("ACC1002", "WITHDRAWAL", 1300),
+                ("ACC1003", "DEPOSIT", 300), ("ACC1003", "DEPOSIT", 92), ("ACC1002", "DEPOSIT", 200), ("ACC1003", "WITHDRAWAL", 5000)]
+    rows = [(i, NOW, account, kind, D(value)) for i, (account, kind, value) in enumerate(requests)]
     opened = accounts.withColumn("opening", F.expr(
         "CASE account_id WHEN 'ACC1001' THEN 5000 WHEN 'ACC1002' THEN 1000 ELSE 2000 END").cast("decimal(12,2)"))
-    done = replay(spark.createDataFrame(rows, REQUESTS), opened)
-    found = {(r["account_id"], r["seq"]): r for r in done.collect()}
-    assert len(found) == 9
-    assert found["ACC1001", 4]["type"] == "TRANSFER_OUT" and found["ACC1001", 4]["balance_after"] == D(4700)
-    assert found["ACC1002", 4]["type"] == "TRANSFER_IN" and found["ACC1002", 4]["balance_after"] == D(700)
-    refused = found["ACC1003", 7]
-    assert (refused["accepted"], refused["balance_after"], refused["reason"]) == (False, D(2392), "below minimum balance")
+    found = {r["seq"]: r for r in replay(spark.createDataFrame(rows, REQUESTS), opened).collect()}
+    assert [found[i]["balance_after"] for i in range(7)] == [6500, 5700, -300, 2300, 2392, -100, 2392]
+    assert [found[i]["accepted"] for i in range(7)] == [True] * 6 + [False]
+    assert found[6]["reason"] == "below minimum balance"
 
 
-def _loop(requests, accounts):
+def _loop(requests, floors):
     """All requests one after the other."""
-    balance = {name: 0 for name in accounts}
-    out = {}
-    for seq, _, account, kind, value, other in requests:
+    balance, out = dict.fromkeys(floors, 0), {}
+    for seq, _, account, kind, value in requests:
         value = int(value * 100)
-        if kind == "DEPOSIT":
-            ok = value > 0
-            balance[account] += value if ok else 0
-            out[seq, account, kind] = (ok, balance[account])
-            continue
-        ok = value > 0 and balance[account] - value >= accounts[account] and (kind != "TRANSFER" or other in accounts)
-        if ok:
-            balance[account] -= value
-        out[seq, account, "TRANSFER_OUT" if kind == "TRANSFER" else kind] = (ok, balance[account])
-        if ok and kind == "TRANSFER":
-            balance[other] += value
-            out[seq, other, "TRANSFER_IN"] = (True, balance[other])
+        ok = value > 0 and (kind == "DEPOSIT" or balance[account] - value >= floors[account])
+        balance[account] += (value if kind == "DEPOSIT" else -value) * ok
+        out[seq] = (ok, balance[account])
     return out
 
 
-@pytest.mark.parametrize("seed, slices", [(1, 7), (2, 23)])
+@pytest.mark.parametrize("seed, slices", [(1, 7), (2, 23), (3, None)])
 def test_replay_matches_a_loop(spark, seed, slices):
-    """One account holds a third of the requests, accounts depend on each other, slices cut accounts."""
+    """One account holds a third of the requests, slices cut accounts."""
     rng = random.Random(seed)
     floors = {"a": 0, "b": 50_000, "c": -100_000, "d": 0, "e": 50_000}
     kinds = {"a": "base", "b": "savings", "c": "current", "d": "base", "e": "savings"}
-    names = list(floors)
     requests = []
     for seq in range(400):
-        account = "a" if rng.random() < 1 / 3 else rng.choice(names)
-        kind = rng.choice(["DEPOSIT", "WITHDRAWAL", "WITHDRAWAL", "TRANSFER"])
-        other = rng.choice([*names, "nobody"]) if kind == "TRANSFER" else None
+        account = "a" if rng.random() < 1 / 3 else rng.choice(list(floors))
         value = D(rng.randint(-2, 900)) + D(rng.randint(0, 99)) / 100
-        requests.append((seq, NOW + dt.timedelta(seconds=seq // 5), account, kind, value, other))
-    expected = _loop(requests, floors)
+        requests.append((seq, NOW + dt.timedelta(seconds=seq // 5), account, rng.choice(["DEPOSIT", "WITHDRAWAL", "WITHDRAWAL"]), value))
     accounts = spark.createDataFrame(list(kinds.items()), "account_id string, kind string")
     done = replay(spark.createDataFrame(requests, REQUESTS), accounts, slices)
-    found = {(r["seq"], r["account_id"], r["type"]): (r["accepted"], int(r["balance_after"] * 100)) for r in done.collect()}
-    assert found == expected
-
-
-def test_requests_of_unknown_accounts_are_refused(spark, accounts):
-    rows = [(1, NOW, "ghost", "DEPOSIT", D(5), None), (2, NOW, None, "WITHDRAWAL", D(5), None),
-            (3, NOW, "ACC1001", "TRANSFER", D(5), None)]
+    assert {r["seq"]: (r["accepted"], int(r["balance_after"] * 100)) for r in done.collect()} == _loop(requests, floors)
+
+
+def test_rounds_are_bounded_by_the_slices_of_an_account(spark):
+    rng, slices = random.Random(4), 6
+    requests = [(i, NOW, "a", rng.choice(["DEPOSIT", "WITHDRAWAL"]), D(rng.randint(1, 900))) for i in range(4000)]
+    accounts = spark.createDataFrame([("a", "base")], "account_id string, kind string")
+    rounds: list[int] = []
+    frame = spark.createDataFrame(requests, REQUESTS)
+    settle(_lay_out(frame, accounts, slices), rounds)
+    assert 0 < len(rounds) <= slices + 1
+    rich = accounts.withColumn("opening", F.lit(9_000_000).cast("decimal(12,2)"))
+    rounds.clear()
+    settle(_lay_out(frame, rich, slices), rounds)
+    assert rounds == [0], "pieces without a refusal are not replayed"
+
+
+def test_requests_that_cannot_be_served_are_refused(spark, accounts):
+    rows = [(1, NOW, "ghost", "DEPOSIT", D(5)), (2, NOW, None, "WITHDRAWAL", D(5)), (3, NOW, "ACC1001", "TRANSFER", D(5)),
+            (4, NOW, "ACC1001", "DEPOSIT", None)]
     found = {r["seq"]: (r["accepted"], r["reason"]) for r in replay(spark.createDataFrame(rows, REQUESTS), accounts, 3).collect()}
-    assert found == {1: (False, "unknown account"), 2: (False, "unknown account"), 3: (False, "unknown counterparty")}
+    assert found == {1: (False, "unknown account"), 2: (False, "unknown account"), 3: (False, "unknown type"),
+                     4: (False, "amount not positive")}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Window, functions as F
 
-from abacarium.operators.ordering import global_index, global_ranks, hot_keys, running_sums
+from abacarium.operators.ordering import global_index, global_ranks, running_sums
 
 
 def _skewed(spark, rows=3000):
@@ -33,16 +33,10 @@ def test_ranks_within_skewed_groups(spark):
     assert sorted(found.select("id", "row_num", "rnk", "dense_rnk").collect()) == sorted(expected.collect())
 
 
-def test_running_sums_split_hot_keys(spark):
-    df = _skewed(spark).withColumn("add", F.coalesce("v", F.lit(0)))
+def test_running_sums_cut_every_key(spark):
+    df = _skewed(spark).withColumn("add", F.coalesce("v", F.lit(0))).withColumn("k", F.nullif("k", F.lit(5)))
     window = Window.partitionBy("k").orderBy("id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     expected = sorted(df.select("id", F.sum("add").over(window).alias("total")).collect())
-    for hot_rows in (10, 500, 10**6):
-        found = running_sums(df, ["k"], ["id"], {"total": F.col("add")}, F.expr("id div 100"), hot_rows)
-        assert sorted(found.select("id", "total").collect()) == expected, hot_rows
-
-
-def test_hot_key_list_is_bounded(spark):
-    df = _skewed(spark)
-    assert hot_keys(df, ["k"], hot_rows=500).count() == 1
-    assert hot_keys(df, ["k"], hot_rows=1, at_most=2).count() <= 2
+    for slices in (1, 9, 60, None):
+        found = running_sums(df, ["k"], ["id"], {"total": F.col("add")}, slices)
+        assert sorted(found.select("id", "total").collect()) == expected, slices
