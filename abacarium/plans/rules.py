@@ -14,15 +14,15 @@ from abacarium.plans.tables import Tables
 UNIQUE_LINE = Unique("line number once per order", "lineitem", ("l_orderkey", "l_linenumber"))
 UNIQUE_RETURN = Unique("one return per order", "lineitem", ("l_orderkey",), where="l_returnflag = 'R'")
 UNIQUE_NAME = Unique("part names differ", "part", ("p_name",), ignore_case=True)
-UNIQUE_ORDER = Unique("order key", "orders", ("o_orderkey",))
+UNIQUE_ORDER = Unique("one order per customer and day", "orders", ("o_custkey", "o_orderdate"))
 GIVEN_PRIORITY = NotNull("priority given", "orders", "priority")
 QUANTITY = Check("quantity up to 45", "lineitem", "l_quantity <= 45")
 DISCOUNT = Check("discount below 9 percent", "lineitem", "l_discount BETWEEN 0 AND 0.08")
-NAME_FORM = Check("name is two words", "part", "p_name RLIKE '^[a-z]+ [a-z]+$' AND p_name LIKE '%_ _%'")
+NAME_FORM = Check("name is two words without a double letter", "part", "p_name RLIKE '^[a-z]+ [a-z]+$' AND NOT p_name RLIKE 'rr|ll|ee|tt|oo'")
 NAME_LENGTH = Check("name has ten letters", "part", "char_length(p_name) >= 10")
 KNOWN_STATUS = Domain("status known", "orders", "o_orderstatus", ("F", "O"))
 KNOWN_PART = ForeignKey("line refers to a small part", "lineitem", ("l_partkey",), "small_part", ("p_partkey",))
-KNOWN_ORDER = ForeignKey("line refers to an order", "lineitem", ("l_orderkey",), "orders", ("o_orderkey",))
+KNOWN_ORDER = ForeignKey("line refers to a valid order", "lineitem", ("l_orderkey",), "valid_order", ("o_orderkey",))
 
 RULES = [
     UNIQUE_LINE, UNIQUE_RETURN, UNIQUE_NAME, UNIQUE_ORDER, GIVEN_PRIORITY, QUANTITY, DISCOUNT, NAME_FORM, NAME_LENGTH,
@@ -35,10 +35,15 @@ def _tables(t: Tables) -> dict[str, DataFrame]:
     return {
         "lineitem": t.lineitem, "part": t.part,
         "orders": t.orders.withColumn("priority", F.nullif(F.col("o_orderpriority"), F.lit("5-LOW"))),
+        "valid_order": t.orders.where(F.col("o_orderstatus") != "P"),
         "small_part": t.part.where("p_size < 48"),
     }
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
 def _found(rule: str, table: str, key: str, detail: str, source: str) -> str:
     return f"SELECT '{rule}' AS rule, '{table}' AS \"table\", {key} AS key, {detail} AS detail FROM {source}"
 
@@ -51,17 +56,23 @@ _SQL = {
                           "lineitem WHERE l_returnflag = 'R' GROUP BY l_orderkey HAVING COUNT(*) > 1"),
     UNIQUE_NAME: _found(UNIQUE_NAME.name, "part", "lower(p_name)", "COUNT(*) || ' rows'",
                         "part GROUP BY lower(p_name) HAVING COUNT(*) > 1"),
+    UNIQUE_ORDER: _found(UNIQUE_ORDER.name, "orders", "o_custkey || '-' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')", "COUNT(*) || ' rows'",
+                         "orders GROUP BY o_custkey, o_orderdate HAVING COUNT(*) > 1"),
     GIVEN_PRIORITY: _found(GIVEN_PRIORITY.name, "orders", "CAST(o_orderkey AS VARCHAR)", "'priority is missing'",
                            "orders WHERE o_orderpriority = '5-LOW'"),
     QUANTITY: _found(QUANTITY.name, "lineitem", _LINE_KEY, "'not (l_quantity <= 45)'", "lineitem WHERE l_quantity > 45"),
     DISCOUNT: _found(DISCOUNT.name, "lineitem", _LINE_KEY, "'not (l_discount BETWEEN 0 AND 0.08)'",
                      "lineitem WHERE NOT (l_discount BETWEEN 0 AND 0.08)"),
+    NAME_FORM: _found(NAME_FORM.name, "part", "CAST(p_partkey AS VARCHAR)", f"'not ({_quoted(NAME_FORM.condition)[1:-1]})'",
+                      "part WHERE NOT (regexp_full_match(p_name, '[a-z]+ [a-z]+') AND NOT regexp_matches(p_name, 'rr|ll|ee|tt|oo'))"),
     NAME_LENGTH: _found(NAME_LENGTH.name, "part", "CAST(p_partkey AS VARCHAR)", "'not (char_length(p_name) >= 10)'",
                         "part WHERE length(p_name) < 10"),
     KNOWN_STATUS: _found(KNOWN_STATUS.name, "orders", "CAST(o_orderkey AS VARCHAR)", "'o_orderstatus = ' || o_orderstatus",
                          "orders WHERE o_orderstatus NOT IN ('F', 'O')"),
     KNOWN_PART: _found(KNOWN_PART.name, "lineitem", "CAST(l_partkey AS VARCHAR)", "COUNT(*) || ' rows'",
                        "lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size < 48) GROUP BY l_partkey"),
+    KNOWN_ORDER: _found(KNOWN_ORDER.name, "lineitem", "CAST(l_orderkey AS VARCHAR)", "COUNT(*) || ' rows'",
+                        "lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P') GROUP BY l_orderkey"),
 }
 
 
@@ -69,7 +80,7 @@ def _union(*rules) -> str:
     return " UNION ALL ".join(_SQL[rule] for rule in rules)
 
 
-@query("dq_unique", _union(UNIQUE_LINE, UNIQUE_RETURN, UNIQUE_NAME))
+@query("dq_unique", _union(UNIQUE_LINE, UNIQUE_RETURN, UNIQUE_NAME, UNIQUE_ORDER))
 def dq_unique(t: Tables) -> DataFrame:
     return apply_rules(_tables(t), [UNIQUE_LINE, UNIQUE_RETURN, UNIQUE_NAME, UNIQUE_ORDER], KEYS)
 
@@ -79,7 +90,7 @@ def dq_not_null(t: Tables) -> DataFrame:
     return apply_rules(_tables(t), [GIVEN_PRIORITY], KEYS)
 
 
-@query("dq_check", _union(QUANTITY, DISCOUNT, NAME_LENGTH))
+@query("dq_check", _union(QUANTITY, DISCOUNT, NAME_FORM, NAME_LENGTH))
 def dq_check(t: Tables) -> DataFrame:
     return apply_rules(_tables(t), [QUANTITY, DISCOUNT, NAME_FORM, NAME_LENGTH], KEYS)
 
@@ -97,18 +108,17 @@ def dq_domain(t: Tables) -> DataFrame:
     return apply_rules(_tables(t), [KNOWN_STATUS], KEYS)
 
 
-@query("dq_foreign_key", _SQL[KNOWN_PART])
+@query("dq_foreign_key", _union(KNOWN_PART, KNOWN_ORDER))
 def dq_foreign_key(t: Tables) -> DataFrame:
     return apply_rules(_tables(t), [KNOWN_PART, KNOWN_ORDER], KEYS)
 
 
 @query("dq_restrict", """
 SELECT c_custkey, c_name FROM customer WHERE c_mktsegment = 'BUILDING'
-  AND EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderdate >= TIMESTAMP '2001-01-01')""")
+  AND EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)""")
 def dq_restrict(t: Tables) -> DataFrame:
     doomed = t.customer.where("c_mktsegment = 'BUILDING'").select("c_custkey", "c_name")
-    open_orders = t.orders.where(F.col("o_orderdate") >= F.lit("2001-01-01").cast("timestamp_ntz"))
-    return blocked_deletes(doomed, open_orders, {"c_custkey": "o_custkey"})
+    return blocked_deletes(doomed, t.orders, {"c_custkey": "o_custkey"})
 
 
 @query("dq_split", """
@@ -125,10 +135,6 @@ def dq_split(t: Tables) -> DataFrame:
         F.count_if(F.col("broken") > 0).alias("bad"), F.count_if(F.col("broken") == 2).alias("bad_twice"))
 
 
-def _quoted(text: str) -> str:
-    return "'" + text.replace("'", "''") + "'"
-
-
 _CATALOG = ", ".join(
     f"({_quoted(rule.table)}, {_quoted(rule.name)}, {_quoted(rule.kind)}, {_quoted(rule.clause())})" for rule in RULES)
 

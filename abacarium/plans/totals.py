@@ -244,25 +244,22 @@ def q37(t: Tables) -> DataFrame:
     )
 
 
-def _month_spend(t: Tables) -> DataFrame:
-    """Every customer with the orders and the spend of one month."""
-    of_month = t.sales.where(month_range("o_orderdate", "1996-02"))
-    return spend_per_customer(t.customer, of_month, "c_custkey", "o_custkey")
+def _spend(t: Tables) -> DataFrame:
+    """Every customer with their valid orders and spend."""
+    return spend_per_customer(t.customer, t.sales, "c_custkey", "o_custkey")
 
 
-_MONTH_SPEND = SUMMARY + """, ms AS (
+_SPEND = SUMMARY + """, ms AS (
   SELECT c_custkey, c_name AS customer, COUNT(o_orderkey) AS orders, SUM(net_amount) AS spend
-  FROM customer LEFT JOIN sales ON o_custkey = c_custkey
-   AND o_orderdate >= TIMESTAMP '1996-02-01' AND o_orderdate < TIMESTAMP '1996-03-01'
-  GROUP BY c_custkey, c_name)"""
+  FROM customer LEFT JOIN sales ON o_custkey = c_custkey GROUP BY c_custkey, c_name)"""
 
 
 @query("q38_all_customers", f"""
-WITH {_MONTH_SPEND}
+WITH {_SPEND}
 SELECT c_custkey, customer, orders, {dbl("COALESCE(spend, 0)")} AS total_spent FROM ms""")
 def q38(t: Tables) -> DataFrame:
     return (
-        _month_spend(t)
+        _spend(t)
         .select("c_custkey", F.col("c_name").alias("customer"), "orders",
                 to_double(F.coalesce("spend", F.lit(0))).alias("total_spent"))
         .orderBy(F.desc("total_spent"), "c_custkey")
@@ -270,13 +267,13 @@ def q38(t: Tables) -> DataFrame:
 
 
 @query("q41_segments", f"""
-WITH {_MONTH_SPEND}
+WITH {_SPEND}
 SELECT c_custkey, customer, {dbl("COALESCE(spend, 0)")} AS total_spent,
        CASE WHEN spend IS NULL THEN 'No purchases' WHEN spend >= 300000 THEN 'Gold'
             WHEN spend >= 100000 THEN 'Silver' ELSE 'Bronze' END AS segment FROM ms""")
 def q41(t: Tables) -> DataFrame:
     return (
-        _month_spend(t)
+        _spend(t)
         .select("c_custkey", F.col("c_name").alias("customer"),
                 to_double(F.coalesce("spend", F.lit(0))).alias("total_spent"),
                 spend_segment("spend", SEGMENTS).alias("segment"))
