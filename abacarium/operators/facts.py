@@ -71,11 +71,20 @@ def surrogate_lookup(
 def new_facts(
     batch: DataFrame, existing: DataFrame | None, keys: Sequence[str], order: Sequence[str] = ()
 ) -> DataFrame:
-    """The rows of ``batch`` to insert: one per key, and none whose key exists."""
-    first = dedupe_latest(batch, keys, order)
+    """The rows of ``batch`` to insert: one per key, and none whose key exists.
+
+    Without an ``order`` the smallest row of a key wins, which is an aggregate that
+    combines before its shuffle. Keys of ``existing`` that repeat do no harm.
+    """
+    rest = [c for c in batch.columns if c not in keys]
+    if order or not rest:
+        first = dedupe_latest(batch, keys, order)
+    else:
+        first = batch.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row")).select(
+            *[F.col(c) if c in keys else F.col(f"_row.{c}") for c in batch.columns])
     if existing is None:
         return first
-    return first.join(existing.select(*keys).distinct(), list(keys), "left_anti")
+    return first.join(existing.select(*keys), list(keys), "left_anti")
 
 
 def insert_if_absent(

@@ -57,28 +57,15 @@ def full_outer_rows(one: DataFrame, many: DataFrame, on: Mapping[str, str]) -> D
 
 def pair_counts(
     lines: DataFrame, basket: str, item: str, names: tuple[str, str, str] = ("item_a", "item_b", "times"),
-    block_rows: int = 2_000,
 ) -> DataFrame:
     """How often two items share a basket, each unordered pair once.
 
-    The items of a basket are made distinct first. Baskets above ``block_rows``
-    items are cut into blocks, and every pair of blocks meets in a task of its
-    own, so the pairs of one huge basket are counted by many tasks. Counts are
+    The items of a basket are made distinct first. Both sides of the self-join read
+    one shuffle, whose large partitions adaptive execution can split. Counts are
     combined before they are shuffled.
     """
-    items = lines.select(F.col(basket).alias("_basket"), F.col(item).alias("_item")).distinct()
-    large = (
-        items.groupBy("_basket")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > block_rows)
-        .select("_basket", F.ceil(F.col("_rows") / block_rows).cast("int").alias("_blocks"))
-    )
-    cut = items.join(large, "_basket", "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
-    own = F.pmod(F.xxhash64("_item"), F.col("_blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
-    left = cut.select("_basket", own.alias("_i"), other.alias("_j"), F.col("_item").alias(names[0]))
-    right = cut.select("_basket", other.alias("_i"), own.alias("_j"), F.col("_item").alias(names[1]))
-    meet = left.join(right, ["_basket", "_i", "_j"]).where(F.col(names[0]) < F.col(names[1]))
+    items = lines.select(F.col(basket).alias("_basket"), F.col(item).alias(names[0])).distinct()
+    meet = items.join(items.withColumnRenamed(names[0], names[1]), "_basket").where(F.col(names[0]) < F.col(names[1]))
     return meet.groupBy(names[0], names[1]).agg(F.count(F.lit(1)).alias(names[2]))
 
 

@@ -68,8 +68,9 @@ def clean(records: DataFrame, config: CleanConfig | None = None) -> DataFrame:
     config = config or CleanConfig()
     flat = flatten(records)
     kept = [c for c in config.columns if c in flat.columns] or flat.columns
-    out = flat.select(*[F.col(f"`{c}`") for c in kept]).dropDuplicates()
+    out = flat.select(*[F.col(f"`{c}`") for c in kept])
     if config.drop_empty_columns:
+        # Counted with the duplicates, which cannot change whether a column is empty.
         filled = out.agg(*[F.count(f"`{c}`").alias(c) for c in kept]).first()
         kept = [c for c in kept if filled[c] > 0]
     final = []
@@ -80,7 +81,7 @@ def clean(records: DataFrame, config: CleanConfig | None = None) -> DataFrame:
         if c in config.fills:
             value = F.coalesce(value, F.lit(config.fills[c]))
         final.append(value.alias(config.renames.get(c, c)))
-    return out.select(*final)
+    return out.dropDuplicates().select(*final)
 
 
 def json_etl(

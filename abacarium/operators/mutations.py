@@ -59,10 +59,13 @@ def propagate_delete(
             after[link.child] = without_match(after[link.child], gone, on)
         elif link.on_delete == "set null":
             keys = gone.select(F.col(link.parent_column).alias("_gone")).distinct()
-            joined = after[link.child].join(keys, F.col(link.child_column) == F.col("_gone"), "left")
-            after[link.child] = joined.withColumn(
+            rows, known = after[link.child], F.col(link.child_column).isNotNull()
+            # Rows without a parent stay out of the join, where they would be one hot key.
+            joined = rows.where(known).join(keys, F.col(link.child_column) == F.col("_gone"), "left")
+            cut = joined.withColumn(
                 link.child_column, F.when(F.col("_gone").isNull(), F.col(link.child_column))
             ).drop("_gone")
+            after[link.child] = cut.unionByName(rows.where(~known))
         else:
             forbidding[f"{link.child}.{link.child_column}"] = with_match(child, gone, on)
     after[root] = without_match(after[root], doomed, {key: key})

@@ -57,31 +57,41 @@ def global_ranks(
     """ROW_NUMBER, RANK and DENSE_RANK by ``order``, per ``within`` if given.
 
     ``order`` sorts by ``order_columns`` (for example descending); ``tie_break``
-    makes the row number total. Ranks are worked out once per distinct order
-    value and joined back, so neither a large group nor a large set of ties has
-    to fit one task.
+    makes the row number total. The rows are range-partitioned once; every group is
+    ranked inside each slice, and one small row per group and slice carries what
+    came before: the rows, the distinct values, and where a run of ties that goes
+    on across a slice began. Neither a large group nor many ties meet in one task.
     """
     keys = list(within)
-    numbered = global_index(df, [*keys, *order, *tie_break], "_row")
-    peers = numbered.groupBy(*keys, *order_columns).agg(F.min("_row").alias("_first"))
-    if dense_rank:
-        peers = global_index(peers, ["_first"], "_value_no")
-    else:
-        peers = peers.withColumn("_value_no", F.lit(0).cast("long"))
-    if keys:
-        starts = peers.groupBy(*keys).agg(
-            F.min("_first").alias("_first0"), F.min("_value_no").alias("_value0")
-        )
-        peers = join_null_safe(peers, starts, keys)
-    else:
-        peers = peers.withColumns({"_first0": F.lit(1).cast("long"), "_value0": F.lit(1).cast("long")})
-    out = join_null_safe(numbered, peers, [*keys, *order_columns])
+    slots = {f"_v{i}": F.col(c) for i, c in enumerate(order_columns)}
+    ranged = df.withColumns(slots).repartitionByRange(*keys, *order, *tie_break)
+    laid = stored(ranged.withColumn("_slice", F.spark_partition_id()), "ranks")
+    piece = [*keys, "_slice"]
+    sorted_ = Window.partitionBy(*piece).orderBy(*order, *tie_break)
+    peers = Window.partitionBy(*piece).orderBy(*order)
+    local = laid.withColumns({
+        "_row": F.row_number().over(sorted_), "_rank": F.rank().over(peers), "_dense": F.dense_rank().over(peers)})
+    value = F.struct(*slots)
+    per_piece = local.groupBy(*piece).agg(
+        F.max("_row").alias("_rows"), F.max("_dense").alias("_values"), F.max("_rank").alias("_last_rank"),
+        F.min_by(value, "_row").alias("_first"), F.max_by(value, "_row").alias("_last"))
+    along = Window.partitionBy(*keys).orderBy("_slice")
+    before, so_far = along.rowsBetween(Window.unboundedPreceding, -1), along.rowsBetween(Window.unboundedPreceding, 0)
+    carried = per_piece.withColumns({
+        "_rows_before": F.coalesce(F.sum("_rows").over(before), F.lit(0)),
+        "_goes_on": F.coalesce(F.lag("_last").over(along).eqNullSafe(F.col("_first")) & F.lag("_rows").over(along).isNotNull(), F.lit(False)),
+    }).withColumns({
+        "_values_before": F.coalesce(F.sum("_values").over(before), F.lit(0)) - F.sum(F.col("_goes_on").cast("int")).over(so_far),
+        # Where the last run of ties of a piece begins, unless all of the piece belongs to a run that began earlier.
+        "_began": F.when(~F.col("_goes_on") | (F.col("_values") > 1), F.col("_rows_before") + F.col("_last_rank")),
+    }).withColumn("_run_start", F.last("_began", ignorenulls=True).over(before))
+    joined = join_null_safe(local, carried.select(*piece, "_rows_before", "_goes_on", "_values_before", "_run_start"), piece)
     results = {
-        row_number: F.col("_row") - F.col("_first0") + 1,
-        rank: F.col("_first") - F.col("_first0") + 1,
-        dense_rank: F.col("_value_no") - F.col("_value0") + 1,
+        row_number: F.col("_rows_before") + F.col("_row"),
+        rank: F.when(F.col("_goes_on") & (F.col("_dense") == 1), F.col("_run_start")).otherwise(F.col("_rows_before") + F.col("_rank")),
+        dense_rank: F.col("_values_before") + F.col("_dense"),
     }
-    return out.select(*df.columns, *[expr.alias(name) for name, expr in results.items() if name])
+    return joined.select(*df.columns, *[expr.cast("long").alias(name) for name, expr in results.items() if name])
 
 
 def ntile(df: DataFrame, order: Sequence[Column | str], tiles: int, name: str = "tile") -> DataFrame:

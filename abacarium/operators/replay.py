@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from abacarium.operators.ledger import balance_floor, default_accounts, refusal_reason
 from abacarium.operators.ordering import join_null_safe
-from abacarium.session import stored
+from abacarium.session import discard, stored, stored_at
 
 _ORDER = ["account_id", "ts", "seq"]
 _PIECE = ["account_id", "slice"]
@@ -103,7 +103,8 @@ def settle(layout: DataFrame, rounds: list[int] | None = None) -> DataFrame:
         F.max("opening").alias("opening"), F.max("floor").alias("floor"), F.sum(_effect()).alias("free"),
         # Only withdrawals are refused; a piece without any can have no refusal.
         F.coalesce(F.min(F.when((F.col("cents") < 0) & F.col("early").isNull(), F.col("sum"))), F.lit(1 << 62)).alias("low"))
-    pieces = stored(_openings(pieces.withColumn("net", F.col("free"))).withColumn("looked_at", F.lit(None).cast("long")), "pieces")
+    pieces, path = stored_at(
+        _openings(pieces.withColumn("net", F.col("free"))).withColumn("looked_at", F.lit(None).cast("long")), "pieces")
     while True:
         open_ = pieces.where(~F.col("start").eqNullSafe(F.col("looked_at")))
         if open_.isEmpty():
@@ -115,10 +116,11 @@ def settle(layout: DataFrame, rounds: list[int] | None = None) -> DataFrame:
         known = join_null_safe(pieces, nets, _PIECE, "left").withColumn(
             "net", F.when(calm, F.col("free")).otherwise(F.coalesce("new_net", "net")))
         known = known.withColumn("looked_at", F.col("start")).drop("new_net", "start")
-        after = stored(_openings(known).select(*pieces.columns), "pieces")
+        after, new_path = stored_at(_openings(known).select(*pieces.columns), "pieces")
         if rounds is not None:
             rounds.append(open_.where(~calm).count())
-        pieces = after
+        discard(layout.sparkSession, path)
+        pieces, path = after, new_path
 
 
 def _fold(rows: DataFrame, walk: Callable, schema: str) -> DataFrame:

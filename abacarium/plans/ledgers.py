@@ -8,7 +8,7 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, Stri
 from abacarium.functions import amount, to_double
 from abacarium.operators import ledger as led
 from abacarium.operators.grading import graded, report_card as cards
-from abacarium.operators.jsonclean import CleanConfig, clean, json_etl as etl, read_records
+from abacarium.operators.jsonclean import NO_DESCRIPTION, CleanConfig, clean, json_etl as etl, read_records
 from abacarium.operators.ordering import running_sums
 from abacarium.operators.replay import replay
 from abacarium.plans.catalog import query
@@ -205,11 +205,14 @@ EVENT_RECORD = StructType([
 ])
 EVENT_CLEAN = CleanConfig(
     columns=("id", "owner.login", "kind", "description", "props.k", "created_at"), dates=("created_at",),
-    fills={"description": "No description"}, renames={"owner.login": "owner", "props.k": "k"})
+    fills={"description": NO_DESCRIPTION}, renames={"owner.login": "owner", "props.k": "k"})
 
 
-def _land(t: Tables, lists: bool) -> str:
-    """Write the events as JSON payloads, one per line; some have no description or no valid time."""
+def _land(t: Tables, envelope: str) -> str:
+    """Write the events as JSON payloads, one per line; some have no description or no valid time.
+
+    ``envelope``: a payload is one ``object``, or each record twice in a bare ``list`` or under ``items``.
+    """
     valid = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
     record = F.struct(
         F.col("event_id").alias("id"),
@@ -220,8 +223,8 @@ def _land(t: Tables, lists: bool) -> str:
         F.array("event_type").alias("tags"),
         F.when(F.col("event_type") != "click", valid).otherwise(F.lit("yesterday")).alias("created_at"),
     )
-    # A payload is one object, or a list in an envelope (here each record twice).
-    payload = F.struct(F.array(record, record).alias("items")) if lists else record
+    twice = F.array(record, record)
+    payload = {"object": record, "list": twice, "items": F.struct(twice.alias("items"))}[envelope]
     path = scratch_path(t.spark, "payloads")
     t.events.select(F.to_json(payload).alias("value")).write.text(path)
     return path
@@ -235,23 +238,33 @@ _RECORD = """SELECT event_id AS id, 'user' || user_id AS owner, event_type AS ki
 @query("json_records", f"""
 WITH r AS ({_RECORD}) SELECT id, owner AS login, kind, k FROM r UNION ALL SELECT id, owner, kind, k FROM r""")
 def json_records(t: Tables) -> DataFrame:
-    records = read_records(t.spark, _land(t, lists=True), EVENT_RECORD, multi_line=False)
+    records = read_records(t.spark, _land(t, "items"), EVENT_RECORD, multi_line=False)
     return records.select("id", "owner.login", "kind", "props.k")
 
 
-_CLEAN = f"WITH r AS ({_RECORD}) SELECT * REPLACE (COALESCE(description, 'No description') AS description) FROM r"
+_CLEAN = f"WITH r AS ({_RECORD}) SELECT * REPLACE (COALESCE(description, '{NO_DESCRIPTION}') AS description) FROM r"
 
 
 @query("json_clean", _CLEAN)
 def json_clean(t: Tables) -> DataFrame:
-    records = read_records(t.spark, _land(t, lists=True), EVENT_RECORD, multi_line=False)
+    records = read_records(t.spark, _land(t, "items"), EVENT_RECORD, multi_line=False)
     return clean(records, EVENT_CLEAN).withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
 
 
+@query("json_drop_empty", "SELECT id, owner, kind FROM (" + _RECORD + ")")
+def json_drop_empty(t: Tables) -> DataFrame:
+    # Bare lists; no record has a homepage, so that column goes.
+    record = StructType([*EVENT_RECORD.fields, StructField("homepage", StringType())])
+    records = read_records(t.spark, _land(t, "list"), record, multi_line=False)
+    config = CleanConfig(columns=("id", "owner.login", "kind", "homepage"), fills={"homepage": NO_DESCRIPTION},
+                         renames={"owner.login": "owner"}, drop_empty_columns=True)
+    return clean(records, config)
+
+
 @query("json_etl", _CLEAN)
 def json_etl(t: Tables) -> DataFrame:
     target = scratch_path(t.spark, "etl") + "/new/folder"
-    rows = etl(t.spark, _land(t, lists=False), target, EVENT_RECORD, EVENT_CLEAN, multi_line=False)
+    rows = etl(t.spark, _land(t, "object"), target, EVENT_RECORD, EVENT_CLEAN, multi_line=False)
     back = t.spark.read.schema(rows.schema).option("header", True).csv(target)
     return back.withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
 

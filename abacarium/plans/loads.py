@@ -88,9 +88,9 @@ def order_days(t: Tables) -> DataFrame:
 
 @query("gen_fact_sales", """
 WITH n AS (SELECT unnest(generate_series(1, (SELECT COUNT(*) FROM lineitem))) AS i),
-b AS (SELECT i, DATE '1995-01-01' + CAST(i * 37 % 2404 AS INT) AS d, 1 + i * 13 % (SELECT COUNT(*) FROM customer) AS ck,
-             1 + i * 11 % (SELECT COUNT(*) FROM part) AS pk, 1 + (i + i // 7) % (SELECT COUNT(*) FROM supplier) AS sk,
-             1 + i * 3 % 5 AS qty, i % 4 * 5 AS disc FROM n),
+b AS (SELECT i, DATE '1995-01-01' + CAST(i * 101 % 2404 AS INT) AS d, 1 + i * 29 % (SELECT COUNT(*) FROM customer) AS ck,
+             1 + i * 17 % (SELECT COUNT(*) FROM part) AS pk, 1 + (i + i // 9) % (SELECT COUNT(*) FROM supplier) AS sk,
+             1 + i * 5 % 8 AS qty, i % 6 * 3 AS disc FROM n),
 g AS (SELECT b.*, CAST(p_retailprice AS DECIMAL(10,2)) AS price, CAST(p_retailprice AS DECIMAL(10,2)) * qty AS gross
       FROM b JOIN part ON p_partkey + 1 = pk WHERE d <= (SELECT CAST(MAX(o_orderdate) AS DATE) FROM orders))
 SELECT i AS sales_key, CAST(strftime(d, '%Y%m%d') AS INT) AS date_key, ck AS customer_key, pk AS product_key,
@@ -103,7 +103,7 @@ def gen_fact_sales(t: Tables) -> DataFrame:
                              amount("p_retailprice", 10).alias("unit_price"))
     facts = sales_facts(
         numbers(t.spark, t.lineitem.count()), products, date_dimension(order_days(t)), dt.date(1995, 1, 1), 2404,
-        t.customer.count(), t.part.count(), t.supplier.count())
+        *[table.agg(F.count(F.lit(1))).scalar() for table in (t.customer, t.part, t.supplier)])
     money = ["unit_price", "discount_pct", "gross_amount", "discount_amount", "net_amount"]
     return facts.withColumns({c: F.col(c).cast("double") for c in money})
 

@@ -144,4 +144,4 @@ WITH found AS ({_union(*_SQL)}), n AS (SELECT rule, COUNT(*) AS violations FROM
 SELECT c."table", c.rule, c.kind, c.clause, COALESCE(n.violations, 0) AS violations
 FROM (VALUES {_CATALOG}) c("table", rule, kind, clause) LEFT JOIN n ON n.rule = c.rule""")
 def dq_catalog(t: Tables) -> DataFrame:
-    return rule_report(t.spark, _tables(t), RULES, KEYS)
+    return rule_report(t.spark, _tables(t), RULES)

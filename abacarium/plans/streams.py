@@ -14,7 +14,7 @@ from abacarium.session import scratch_path
 from abacarium.sources.snapshots import SnapshotTable
 from abacarium.streaming.feeds import read_feed, stream_facts, stream_merge
 
-_BATCHES = 4
+_FILES_PER_BATCH = 2
 _TRACKED = ["o_orderpriority", "o_orderstatus"]
 _NEWER = ["o_orderdate", "o_orderkey"]
 _DIMENSION = (
@@ -23,11 +23,10 @@ _DIMENSION = (
 
 
 def _feed(df: DataFrame, day: str) -> DataFrame:
-    """Land the rows as files by year and stream them in a few batches."""
+    """Land the rows as files by year and stream a fixed number of files per batch."""
     path = scratch_path(df.sparkSession, "feed")
     df.withColumn("feed_year", F.year(day)).hint("rebalance", "feed_year").write.partitionBy("feed_year").parquet(path)
-    files = len(df.sparkSession.read.schema(df.schema).parquet(path).inputFiles())
-    return read_feed(df.sparkSession, path, df.schema, max(1, files // _BATCHES)).select(*df.columns)
+    return read_feed(df.sparkSession, path, df.schema, _FILES_PER_BATCH).select(*df.columns)
 
 
 @query("stream_merge_dim", """

@@ -56,11 +56,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once as Parquet and read it back, columns prunable."""
+def stored_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """Write ``df`` once as Parquet; the table read back, columns prunable, and its path."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once as Parquet and read it back, columns prunable."""
+    return stored_at(df, label)[0]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a table that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def read_if_there(spark: SparkSession, path: str, schema=None) -> DataFrame | None:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from abacarium.functions import date_key
 
@@ -40,24 +41,44 @@ def calendar(spark: SparkSession, first: dt.date, last: dt.date, fiscal_start_mo
     return date_dimension(bounds, fiscal_start_month)
 
 
+@dataclass(frozen=True)
+class Steps:
+    """How far the row number moves each column; a store also moves on after every ``store_run`` rows."""
+
+    day: int = 101
+    customer: int = 29
+    product: int = 17
+    store_run: int = 9
+    quantity: int = 5
+    most: int = 8
+    discounts: int = 6
+    discount: int = 3
+
+
 def sales_facts(
-    numbers: DataFrame, products: DataFrame, dates: DataFrame, first_day: dt.date, days: int, customers: int,
-    product_count: int, stores: int,
+    numbers: DataFrame, products: DataFrame, dates: DataFrame, first_day: dt.date, days: int, customers: Column | int,
+    product_count: Column | int, stores: Column | int, steps: Steps = Steps(),
 ) -> DataFrame:
     """Deterministic facts for the row numbers ``i`` of ``numbers``.
 
     ``products`` has ``product_key, unit_price``, ``dates`` ``full_date, date_key``;
-    a day outside the calendar drops its row, as the join does.
+    a day outside the calendar drops its row, as the join does. The sizes may be
+    scalar subqueries.
     """
     i = F.col("i")
+
+    def spread(step: int, size: Column | int) -> Column:
+        return F.pmod(i * step, F.lit(size) if isinstance(size, int) else size) + 1
+
+    size = F.lit(stores) if isinstance(stores, int) else stores
     base = numbers.select(
         i,
-        F.date_add(F.lit(first_day), F.pmod(i * 37, F.lit(days)).cast("int")).alias("full_date"),
-        (F.pmod(i * 13, F.lit(customers)) + 1).alias("customer_key"),
-        (F.pmod(i * 11, F.lit(product_count)) + 1).alias("product_key"),
-        (F.pmod(i + F.expr("i div 7"), F.lit(stores)) + 1).alias("store_key"),
-        (F.pmod(i * 3, F.lit(5)) + 1).cast("int").alias("quantity"),
-        (F.pmod(i, F.lit(4)) * 5).cast("decimal(5,2)").alias("discount_pct"),
+        F.date_add(F.lit(first_day), (spread(steps.day, days) - 1).cast("int")).alias("full_date"),
+        spread(steps.customer, customers).alias("customer_key"),
+        spread(steps.product, product_count).alias("product_key"),
+        (F.pmod(i + F.expr(f"i div {steps.store_run}"), size) + 1).alias("store_key"),
+        spread(steps.quantity, steps.most).cast("int").alias("quantity"),
+        ((spread(1, steps.discounts) - 1) * steps.discount).cast("decimal(5,2)").alias("discount_pct"),
     )
     gross = F.col("quantity") * F.col("unit_price")
     return (

@@ -10,14 +10,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from abacarium.session import read_if_there
+from abacarium.session import discard, read_if_there
 
 _LOG = "version long, batch long"
 
 
 class SnapshotTable:
-    def __init__(self, spark: SparkSession, path: str, schema: StructType):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+    def __init__(self, spark: SparkSession, path: str, schema: StructType, keep: int = 2):
+        """``keep`` versions stay, so that whoever still reads the one before is not disturbed."""
+        self.spark, self.path, self.schema, self.keep = spark, path.rstrip("/"), schema, keep
 
     def _log(self) -> DataFrame | None:
         return read_if_there(self.spark, f"{self.path}/log", _LOG)
@@ -42,4 +43,6 @@ class SnapshotTable:
         rows.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(f"{self.path}/v={version}")
         entry = self.spark.createDataFrame([(version, batch)], _LOG)
         entry.coalesce(1).write.mode("append").parquet(f"{self.path}/log")
+        if version > self.keep:
+            discard(self.spark, f"{self.path}/v={version - self.keep}")
         return version

@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 
 from abacarium.operators.facts import MonthRange, insert_if_absent, route
 from abacarium.operators.merge import merge_dimension
+from abacarium.session import discard, stored_at
 from abacarium.sources.snapshots import SnapshotTable
 
 
@@ -48,7 +49,10 @@ def stream_facts(
     """Append the new keys of each arriving batch to the partitioned fact table."""
 
     def insert(batch: DataFrame, batch_id: int) -> None:
-        insert_if_absent(batch.sparkSession, route(batch, day, declared, partition), path, keys, partition)
+        # Staged once: the insert looks at its batch more than once.
+        staged, place = stored_at(route(batch, day, declared, partition), "batch")
+        insert_if_absent(batch.sparkSession, staged, path, keys, partition)
+        discard(batch.sparkSession, place)
 
     return (
         feed.writeStream.foreachBatch(insert).option("checkpointLocation", checkpoint)

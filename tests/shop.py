@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from abacarium.functions import amount
 from abacarium.operators.mutations import conditional_update
 from abacarium.operators.reports import order_summary
-from abacarium.schemas import SHOP
+from declared import SHOP
 
 CUSTOMERS = {  # id: city, state, has a phone, referrer
     1: ("Bengaluru", "Karnataka", True, None), 2: ("Mumbai", "Maharashtra", False, None),

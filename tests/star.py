@@ -7,8 +7,8 @@ from __future__ import annotations
 
 import datetime as dt
 
-from abacarium.schemas import STAR
-from abacarium.sources.generators import calendar, numbers, sales_facts
+from declared import STAR
+from abacarium.sources.generators import Steps, calendar, numbers, sales_facts
 
 FIRST, LAST = dt.date(2025, 1, 1), dt.date(2026, 9, 30)
 PRODUCTS = [
@@ -19,6 +19,8 @@ PRODUCTS = [
     ("Gel Pen Pack (10)", "Stationery", 199), ("Desk Organizer", "Stationery", 799),
     ("Cotton T-Shirt", "Clothing", 699), ("Running Shoes", "Clothing", 3499),
 ]
+# How the expected totals were generated.
+STEPS = Steps(day=37, customer=13, product=11, store_run=7, quantity=3, most=5, discounts=4, discount=5)
 CUSTOMER_REGIONS = "North South West South North South North West East West North South East North South East West South West East"
 STORES = [("Online Store", "South", "Online"), ("Delhi Flagship", "North", "Retail"), ("Mumbai Central", "West", "Retail"),
           ("Chennai Mall", "South", "Retail"), ("Kolkata Hub", "East", "Retail")]
@@ -40,5 +42,5 @@ def tables(spark) -> dict:
         "dim_product": product_rows,
         "dim_customer": spark.createDataFrame(customers, STAR["dim_customer"]),
         "dim_store": spark.createDataFrame(stores, STAR["dim_store"]),
-        "fact_sales": sales_facts(numbers(spark, 5000), product_rows, dates, FIRST, 638, 20, 12, 5),
+        "fact_sales": sales_facts(numbers(spark, 5000), product_rows, dates, FIRST, 638, 20, 12, 5, STEPS),
     }

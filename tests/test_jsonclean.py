@@ -8,7 +8,7 @@ from pathlib import Path
 import pytest
 
 from abacarium.operators.jsonclean import REPOSITORY_COLUMNS, CleanConfig, clean, flatten, json_etl, read_records
-from abacarium.schemas import REPOSITORY
+from declared import REPOSITORY
 from abacarium.session import scratch_path
 
 

@@ -14,7 +14,8 @@ from abacarium.operators.merge import dimension_stats, dropped_duplicates, merge
 from abacarium.operators.mutations import (
     apply_defaults, conditional_update, delete_where, evolve_schema, next_key, propagate_delete, reset_table,
 )
-from abacarium.schemas import LOAD, SHOP, SHOP_LINKS
+from abacarium.schemas import LOAD
+from declared import SHOP, SHOP_LINKS
 from abacarium.session import scratch_path
 from abacarium.sources.files import bulk_load, sink_csv
 from abacarium.sources.snapshots import SnapshotTable

@@ -87,3 +87,31 @@ def test_partition_pruning_reads_one_month(spark):
     assert "default" in filters and "1996-12" in filters and "1996-11" not in filters
     assert outside.count() == lines.where(
         "l_shipdate >= timestamp_ntz'1996-12-01' AND l_shipdate < timestamp_ntz'1997-02-01'").count()
+
+
+def test_queries_follow_the_files(spark, tmp_path):
+    """Nothing is kept between two calls: new files give a new answer in the same session."""
+    spark.read.parquet(f"{SF}/events.parquet").where("event_id % 2 = 0").write.parquet(str(tmp_path / "events.parquet"))
+    spark.read.parquet(f"{SF}/lineitem.parquet").where("l_orderkey % 2 = 0").write.parquet(str(tmp_path / "lineitem.parquet"))
+    names = ("ledger_by_account", "ledger_reconcile", "ledger_export", "pruned_month_sum", "partition_audit")
+    before = {name: sorted(map(str, QUERIES[name](spark, str(tmp_path)).collect())) for name in names}
+    spark.read.parquet(f"{SF}/events.parquet").write.mode("overwrite").parquet(str(tmp_path / "events.parquet"))
+    spark.read.parquet(f"{SF}/lineitem.parquet").write.mode("overwrite").parquet(str(tmp_path / "lineitem.parquet"))
+    spark.catalog.refreshByPath(str(tmp_path))
+    for name in names:
+        assert sorted(map(str, QUERIES[name](spark, str(tmp_path)).collect())) != before[name], name
+
+
+def test_few_shuffles(spark):
+    df = QUERIES["q29_basket_pairs"](spark, SF)
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    assert len(re.findall(r"(?<!Reused)Exchange (?:hash|range)partitioning", final)) <= 4
+    scans = re.findall(r"FileScan parquet", plan(QUERIES["dq_catalog"](spark, SF)))
+    assert len(scans) <= 12
+
+
+@pytest.mark.parametrize("name", ["q27_self_join"])
+def test_nullable_keys_stay_out_of_left_joins(spark, name):
+    text = QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftOuter" in text and "Union" in text

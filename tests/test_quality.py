@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from abacarium.operators.quality import Check, Unique, apply_rules, blocked_deletes, rule_catalog, split_rows
-from abacarium.schemas import SHOP, SHOP_KEYS, SHOP_RULES
+from declared import SHOP, SHOP_KEYS, SHOP_RULES
 
 DAY = dt.date(2025, 11, 1)
 

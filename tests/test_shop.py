@@ -15,7 +15,7 @@ from abacarium.operators.reports import (
     lifetime_value, lost_rate, margin, revenue_card, spend_per_customer, spend_segment, stock_action,
 )
 from abacarium.operators.windows import cumulative, period_over_period, top_k_per_group
-from abacarium.schemas import LOST_ORDER, VALID_SALE
+from declared import LOST_ORDER, VALID_SALE
 
 
 @pytest.fixture(scope="module")
@@ -119,11 +119,9 @@ def test_full_outer_equals_spark(spark):
 
 
 def test_basket_pairs(shop):
-    for block_rows in (2000, 1):
-        pairs = {(r[0], r[1]): r[2] for r in pair_counts(
-            shop["order_items"], "order_id", "product_id", block_rows=block_rows).collect()}
-        assert pairs[(5, 6)] == 2
-        assert len(pairs) == 15 and sum(pairs.values()) == 16
+    pairs = {(r[0], r[1]): r[2] for r in pair_counts(shop["order_items"], "order_id", "product_id").collect()}
+    assert pairs[(5, 6)] == 2
+    assert len(pairs) == 15 and sum(pairs.values()) == 16
 
 
 def test_top_products(lines):

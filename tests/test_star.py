@@ -56,9 +56,10 @@ def test_fact_amounts(star):
 
 def test_a_day_outside_the_calendar_drops_its_row(spark, star):
     from abacarium.sources.generators import numbers, sales_facts
+    from star import STEPS
 
     short = star["dim_date"].where("full_date < '2026-01-01'")
-    facts = sales_facts(numbers(spark, 5000), star["dim_product"], short, dt.date(2025, 1, 1), 638, 20, 12, 5)
+    facts = sales_facts(numbers(spark, 5000), star["dim_product"], short, dt.date(2025, 1, 1), 638, 20, 12, 5, STEPS)
     assert 0 < facts.count() < 5000
 
 
