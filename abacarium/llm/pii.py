@@ -75,11 +75,11 @@ def detect(text: str) -> list[tuple[int, int, int]]:
 
 
 # --- transducers ----------------------------------------------------------------------------
-#: Letters that look like the ASCII letter below them.
-_LOOK = str.maketrans(
-    "аеорсухікмтвнАЕОРСУХІКМТВНјѕԁһӏοαερτυνκιΑΒΕΖΗΙΚΜΝΟΡΤΥΧ‐‑‒–—−․。",
-    "aeopcyxikmtbhAEOPCYXIKMTBHjsdhlolaeptuvkiABEZHIKMNOPTYX------..".replace("olaept", "oaept", 1),
-)
+#: A letter or sign and the ASCII one that it looks like.
+_LOOK = {ord(pair[0]): pair[1] for pair in (
+    "аa еe оo рp сc уy хx іi кk мm тt вb нh јj ѕs ԁd һh ӏl АA ЕE ОO РP СC УY ХX ІI КK МM ТT ВB НH Јj Ѕs "
+    "αa εe οo ρp τt υu νv κk ιi ΑA ΒB ΕE ΖZ ΗH ΙI ΚK ΜM ΝN ΟO ΡP ΤT ΥY ΧX ‐- ‑- ‒- –- —- −- ․. 。."
+).split()}
 #: Digits as words.
 _SPELLED = {
     word: str(digit)
@@ -92,6 +92,12 @@ _NUMBER = "|".join(sorted(_SPELLED, key=len, reverse=True))
 #: Two or more spelled digits in a row, with at most blanks, hyphens or dots between them, or next to written digits.
 _RUN = re.compile(rf"(?i)(?<!\w)(?:(?:{_NUMBER})(?:[ .,-]{{1,2}}(?=(?:{_NUMBER}|[0-9])(?!\w)))?){{3,}}(?!\w)|(?<!\w)(?:{_NUMBER})(?!\w)(?=[ -]?[0-9])|(?<=[0-9] )(?:{_NUMBER})(?!\w)")
 _ONE = re.compile(rf"(?i)(?:{_NUMBER})(?!\w)")
+#: A spelled digit next to the word dot, as in addresses of machines; the word itself between digits.
+_BY_DOT = re.compile(rf"(?i)(?<!\w)(?:{_NUMBER})(?=\s{{1,2}}dot\s)|(?<=\bdot\s)(?:{_NUMBER})(?!\w)")
+_DIGIT_DOT = re.compile(r"(?i)(?<=[0-9])\s{1,2}dot\s{1,2}(?=[0-9])")
+_PLUS = re.compile(r"(?i)(?<!\w)plus\s?(?=[0-9])")
+#: Letters that stand for digits between digits.
+_LETTER_DIGIT = re.compile(r"(?<=[0-9])[OoIl](?=[0-9OoIl -])|(?<=[0-9OoIl -])[OoIl](?=[0-9])")
 _SIGN = re.compile(
     r"(?i)(?<=[\w-])\s{0,3}(?:[\[({<]\s{0,2}(?P<at>at|arroba|ät|arobase|@)\s{0,2}[\])}>]|[\[({<]\s{0,2}(?P<dot>dot|punkt|punto|point|\.)\s{0,2}[\])}>])\s{0,3}(?=[\w-])"
 )
@@ -99,17 +105,23 @@ _SIGN = re.compile(
 _ENDINGS = "com|org|net|edu|gov|int|mil|info|biz|io|ai|app|dev|co|eu|uk|us|de|fr|es|it|nl|ch|at|be|test|example|local|invalid"
 #: The bare words, only where a whole address of that form stands: name at host dot ending.
 _BARE = re.compile(
-    rf"(?i)(?<![\w.@%+-])[a-z0-9._%+-]+(?P<at>\s{{1,2}}at\s{{1,2}})[a-z0-9-]+(?:(?:\s{{1,2}}dot\s{{1,2}}|\.)[a-z0-9-]+)*(?:\s{{1,2}}dot\s{{1,2}}|\.)(?:{_ENDINGS})(?![\w-])")
+    rf"(?i)(?<![\w.@%+-])[a-z0-9._%+-]+(?:\s{{1,2}}dot\s{{1,2}}[a-z0-9_%+-]+)*(?P<at>\s{{1,2}}at\s{{1,2}}|@)[a-z0-9-]+"
+    rf"(?:(?:\s{{1,2}}dot\s{{1,2}}|\.)[a-z0-9-]+)*(?:\s{{1,2}}dot\s{{1,2}}|\.)(?:{_ENDINGS})(?![\w-])")
+#: An address with blanks around its signs; only endings that are no words of a language.
+_SPACED = re.compile(
+    rf"(?i)(?<![\w.@%+-])[a-z0-9._%+-]+(?P<at>\s{{1,2}}@\s{{0,2}}|@\s{{1,2}})[a-z0-9-]+(?:\s{{0,2}}\.\s{{0,2}}[a-z0-9-]+)*\s{{0,2}}\.\s{{0,2}}(?:com|org|net|edu|gov|io|info|biz)(?![\w-])")
+_SPACED_DOT = re.compile(r"\s{1,2}\.\s{0,2}|\.\s{1,2}")
 _DOT = re.compile(r"(?i)\s{1,2}dot\s{1,2}")
 _ODD = re.compile("[^\x00-\x7f\xa1-ɏ‘-‟]")
 _BRACKET = re.compile(r"[\[({<]\s{0,2}(?:at|dot|arroba|ät|arobase|punkt|punto|point|@|\.)\s{0,2}[\])}>]")
 _BREAKS = {ord(c): " " for c in ".,;:!?-()[]{}<>\"'/"}
 _WORDS = frozenset({*_SPELLED, "dot"})
+_SPARSE = re.compile(r"\s@|@\s|[0-9][OoIl][0-9 -]")
 
 
 def _clue(text: str) -> bool:
     """Whether there is anything that a transducer might rewrite."""
-    if _ODD.search(text):
+    if _ODD.search(text) or _SPARSE.search(text):
         return True
     low = text.lower()
     return bool(_BRACKET.search(low)) or not _WORDS.isdisjoint(low.translate(_BREAKS).split())
@@ -167,16 +179,21 @@ def spelled_digits(tape: Tape) -> None:
                 end = after.start()
             edits.append((word.start(), end, _SPELLED[word[0].lower()]))
     tape.rewrite(edits)
+    tape.rewrite([(m.start(), m.end(), _SPELLED[m[0].lower()]) for m in _BY_DOT.finditer(tape.text)])
+    tape.rewrite([(m.start(), m.end(), "0" if m[0] in "Oo" else "1") for m in _LETTER_DIGIT.finditer(tape.text)])
+    tape.rewrite([(m.start(), m.end(), "+") for m in _PLUS.finditer(tape.text)])
 
 
 def signs(tape: Tape) -> None:
     tape.rewrite([(m.start(), m.end(), "@" if m["at"] else ".") for m in _SIGN.finditer(tape.text)])
-    edits = []
-    for m in _BARE.finditer(tape.text):
-        if _DOT.search(m[0]):
-            edits.append((*m.span("at"), "@"))
-            edits += [(d.start(), d.end(), ".") for d in _DOT.finditer(tape.text, m.end("at"), m.end())]
-    tape.rewrite(edits)
+    tape.rewrite([(m.start(), m.end(), ".") for m in _DIGIT_DOT.finditer(tape.text)])
+    for form, dot, needed in ((_BARE, _DOT, True), (_SPACED, _SPACED_DOT, False)):
+        edits = []
+        for m in form.finditer(tape.text):
+            dots = list(dot.finditer(tape.text, m.start(), m.end()))
+            if dots or not needed:
+                edits += sorted([(*m.span("at"), "@"), *((d.start(), d.end(), ".") for d in dots)])
+        tape.rewrite(edits)
 
 
 def disguised(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:

@@ -33,12 +33,15 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The longest original of each group of equal texts; a row repeated in full stays once."""
     kept = stored(exact_groups(docs).where("kept").select(F.col("doc_id").alias("_id"), "text_sha256"), "kept")
-    marked = docs.withColumn("_digest", text_digest(F.col("text")))
+    digest = "_digest"
+    while digest in docs.columns:
+        digest += "_"
+    marked = docs.withColumn(digest, text_digest(F.col("text")))
     chosen = kept.distinct()
-    out = marked.join(chosen, marked["doc_id"].eqNullSafe(chosen["_id"]) & (F.col("_digest") == F.col("text_sha256")), "left_semi")
+    out = marked.join(chosen, marked["doc_id"].eqNullSafe(chosen["_id"]) & (marked[digest] == chosen["text_sha256"]), "left_semi")
     if not kept.groupBy("_id", "text_sha256").count().where("count > 1").isEmpty():
-        out = out.dropDuplicates(["doc_id", "_digest"])
-    return out.drop("_digest")
+        out = out.dropDuplicates(["doc_id", digest])
+    return out.drop(digest)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

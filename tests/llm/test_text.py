@@ -89,13 +89,20 @@ def test_plain_spans_are_those_of_the_fixed_patterns(text):
     ("or ＋１ ５５５ ０００ １２３４.", "phone", "＋１ ５５５ ０００ １２３４"),
     ("card four one one one one one one one one one one one one one one one", "card", "four" + " one" * 15),
     ("ip １０.0.0.1 x", "ip", "１０.0.0.1"),
+    ("mail john dot doe at example dot com.", "email", "john dot doe at example dot com"),
+    ("or to john @ example . com now", "email", "john @ example . com"),
+    ("one nine two dot one six eight dot one dot one is up", "ip", "one nine two dot one six eight dot one dot one"),
+    ("call plus one five five five one two three four five six seven", "phone", "plus one five five five one two three four five six seven"),
+    ("card 4l11 1111 1111 1lI1", "card", "4l11 1111 1111 1lI1"),
+    ("jo\u200bhn@exa\u200bmple.com", "email", "jo\u200bhn@exa\u200bmple.com"),
+    ("JANE (AT) SITE (DOT) ORG", "email", "JANE (AT) SITE (DOT) ORG"),
 ])
 def test_disguises_are_seen_through_and_mapped_back(text, kind, found):
     spans = pii.disguised(text, pii.detect(text))
     assert [(pii.KINDS[k], text[a:b]) for a, b, k in spans] == [(kind, found)]
 
 
-@pytest.mark.parametrize("text", ["He looked at the dot on the map", "one two three four", "un deux trois", "a – b", "nine at dot", ""])
+@pytest.mark.parametrize("text", ["He looked at the dot on the map", "one two three four", "un deux trois", "a – b", "nine at dot", "", "two plus 3", "the dot at the end", "Ill 1O1 and 2l", "see @ home . de facto", "a1 at 2 dot three"])
 def test_clean_texts_are_left_alone(text):
     assert pii.disguised(text, pii.detect(text)) == []
 
