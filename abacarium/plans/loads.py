@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
 from abacarium.functions import amount, from_cents, to_double
 from abacarium.operators.facts import (
-    fact_scan, insert_if_absent, new_facts, partition_audit as audit, route, surrogate_lookup,
+    fact_scan, insert_if_absent, new_facts, partition_audit as audit, refresh_statistics, route, surrogate_lookup,
 )
 from abacarium.operators.merge import assign_keys, dimension_stats, merge_dimension, merge_stats
 from abacarium.operators.mutations import (
@@ -177,6 +178,25 @@ def load_fact(t: Tables) -> DataFrame:
     return audit(fact, "amount").withColumn("revenue", to_double("revenue"))
 
 
+@query("fact_statistics", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST(MIN({c}) AS VARCHAR) AS low, CAST(MAX({c}) AS VARCHAR) AS high, "
+    f"CAST(COUNT(*) - COUNT({c}) AS BIGINT) AS num_nulls FROM lineitem" for c in ("l_orderkey", "l_linenumber")))
+def fact_statistics(t: Tables) -> DataFrame:
+    """The optimizer's column statistics after a load, as the catalogue holds them."""
+    path, name = scratch_path(t.spark, "loaded"), f"loaded_{uuid.uuid4().hex}"
+    t.lineitem.select("l_orderkey", "l_linenumber").write.parquet(path)
+    t.spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+    try:
+        refresh_statistics(t.spark, name)
+        rows = []
+        for column in ("l_orderkey", "l_linenumber"):
+            found = {r["info_name"]: r["info_value"] for r in t.spark.sql(f"DESCRIBE EXTENDED {name} {column}").collect()}
+            rows.append((column, found["min"], found["max"], int(found["num_nulls"])))
+    finally:
+        t.spark.sql(f"DROP TABLE {name}")
+    return t.spark.createDataFrame(rows, "column_name string, low string, high string, num_nulls bigint")
+
+
 @query("insert_if_absent", f"""
 WITH b AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {_LINE_ORDER}) AS rn
            FROM lineitem WHERE l_shipdate >= TIMESTAMP '1999-01-01')

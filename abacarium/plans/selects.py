@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from abacarium.functions import (
-    cents, contains_any_ci, labels, month_range, text_or, to_double, whole_ratio,
+    cents, contains_any_ci, labels, month_range, text_or, to_double, trimmed_or, whole_ratio,
 )
 from abacarium.operators.reports import stock_action
 from abacarium.plans.catalog import query
@@ -108,6 +108,14 @@ def q13(t: Tables) -> DataFrame:
     return t.orders.select("o_orderkey", "o_orderstatus", note.alias("note"))
 
 
+@query("strip_or_default", """
+SELECT p_partkey, CASE WHEN p_size % 5 = 0 THEN 'Not provided' ELSE trim(p_name) END AS name FROM part""")
+def strip_or_default(t: Tables) -> DataFrame:
+    # Padded names; those of every fifth size are blank.
+    padded = F.when(F.col("p_size") % 5 == 0, F.lit("   ")).otherwise(F.concat(F.lit("  "), "p_name", F.lit(" ")))
+    return t.part.select("p_partkey", trimmed_or(padded, labels.NOT_PROVIDED).alias("name"))
+
+
 @query("q49_low_stock", """
 SELECT p_partkey, p_name, p_size - 1 AS stock,
        CASE WHEN p_size - 1 = 0 THEN 'OUT OF STOCK - reorder now' ELSE 'Low stock - reorder soon' END AS action
