@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from abacarium.llm.common import stored
+from abacarium.session import discard, stored_at
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -35,7 +35,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     are ignored; direction and repeats do not matter; no edges give no rows.
     """
     pairs = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"), F.col(a).alias("_a"), F.col(b).alias("_b"))
-    current = stored(pairs.where("_a IS NOT NULL AND _b IS NOT NULL AND u <> v").select("u", "v").distinct(), "edges")
+    current, path = stored_at(pairs.where("_a IS NOT NULL AND _b IS NOT NULL AND u <> v").select("u", "v").distinct(), "edges")
     mark = None
     while True:
         state = current.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
@@ -43,4 +43,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             return current.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
                 current.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
         mark = state
-        current = stored(_star(_star(current, True), False), "edges")
+        after, new_path = stored_at(_star(_star(current, True), False), "edges")
+        discard(edges.sparkSession, path)
+        current, path = after, new_path

@@ -33,7 +33,7 @@ from abacarium.llm.common import bit_slots, by_value, most_frequent, stored, tex
 from abacarium.llm.components import components
 from abacarium.llm.grams import shingle_set
 
-FLUSH = 2_000_000
+FLUSH = 1_000_000
 SLOT_BITS = 26
 ID_BITS = 23
 HEAVY, HEAVY_FROM = 1 << 19, 8

@@ -121,7 +121,7 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Bytes of text that a shard of op4 may hold.
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 64 << 20
 
 
 @query
