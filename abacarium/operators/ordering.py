@@ -53,6 +53,7 @@ def global_ranks(
     row_number: str | None = "row_num",
     rank: str | None = "rnk",
     dense_rank: str | None = "dense_rnk",
+    slices: int | None = None,
 ) -> DataFrame:
     """ROW_NUMBER, RANK and DENSE_RANK by ``order``, per ``within`` if given.
 
@@ -60,11 +61,12 @@ def global_ranks(
     makes the row number total. The rows are range-partitioned once; every group is
     ranked inside each slice, and one small row per group and slice carries what
     came before: the rows, the distinct values, and where a run of ties that goes
-    on across a slice began. Neither a large group nor many ties meet in one task.
+    on across a slice began. Neither a large group nor many ties meet in one task. ``slices``
+    sets the number of slices.
     """
     keys = list(within)
     slots = {f"_v{i}": F.col(c) for i, c in enumerate(order_columns)}
-    ranged = df.withColumns(slots).repartitionByRange(*keys, *order, *tie_break)
+    ranged = df.withColumns(slots).repartitionByRange(*([slices] if slices else []), *keys, *order, *tie_break)
     laid = stored(ranged.withColumn("_slice", F.spark_partition_id()), "ranks")
     piece = [*keys, "_slice"]
     sorted_ = Window.partitionBy(*piece).orderBy(*order, *tie_break)

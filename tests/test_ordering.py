@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import Window, functions as F
 
 from abacarium.operators.ordering import global_index, global_ranks, running_sums
@@ -23,9 +24,11 @@ def test_global_index_is_dense_and_ordered(spark):
     assert sorted(found.select("id", "row_num").collect()) == sorted(expected.collect())
 
 
-def test_ranks_within_skewed_groups(spark):
-    df = _skewed(spark)
-    found = global_ranks(df, [F.desc("v")], ["v"], ["id"], within=["k"])
+@pytest.mark.parametrize("slices", [None, 1, 7, 90])
+def test_ranks_within_skewed_groups(spark, slices):
+    """With 90 slices runs of ties go on over several slices."""
+    df = _skewed(spark).withColumn("k", F.nullif("k", F.lit(5)))
+    found = global_ranks(df, [F.desc("v")], ["v"], ["id"], within=["k"], slices=slices)
     window = Window.partitionBy("k").orderBy(F.desc("v"))
     expected = df.select(
         "id", F.row_number().over(Window.partitionBy("k").orderBy(F.desc("v"), "id")).cast("long"),
@@ -40,3 +43,12 @@ def test_running_sums_cut_every_key(spark):
     for slices in (1, 9, 60, None):
         found = running_sums(df, ["k"], ["id"], {"total": F.col("add")}, slices)
         assert sorted(found.select("id", "total").collect()) == expected, slices
+
+
+def test_ranks_without_groups(spark):
+    df = _skewed(spark)
+    found = global_ranks(df, [F.desc("v")], ["v"], ["id"], slices=40)
+    window = Window.orderBy(F.desc("v"))
+    expected = df.select("id", F.row_number().over(Window.orderBy(F.desc("v"), "id")).cast("long"),
+                         F.rank().over(window).cast("long"), F.dense_rank().over(window).cast("long"))
+    assert sorted(found.select("id", "row_num", "rnk", "dense_rnk").collect()) == sorted(expected.collect())
