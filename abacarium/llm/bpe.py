@@ -29,7 +29,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from abacarium.llm.automaton import Automaton, compile_words
-from abacarium.llm.common import by_value, most_frequent, texts
+from abacarium.llm.common import by_value, most_frequent, small_batches, texts
 
 #: Texts below this character are normalised and split here.
 _LIMIT = 0x530
@@ -197,7 +197,7 @@ def word_counts(docs: DataFrame, vocabulary: Broadcast, text: str = "text") -> D
                     seen.clear()
         yield from _counted(seen)
 
-    return docs.select(F.col(text).cast("string").alias("text")).mapInArrow(count, "word string, n bigint").groupBy(
+    return small_batches(docs).select(F.col(text).cast("string").alias("text")).mapInArrow(count, "word string, n bigint").groupBy(
         "word").agg(F.sum("n").alias("n"))
 
 
@@ -237,7 +237,7 @@ def _per_text(docs: DataFrame, encoder: Broadcast, key: str, text: str, make, ki
                 yield pa.RecordBatch.from_arrays(
                     [part.column("key"), *(c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(cols, kinds, strict=True))], schema=schema)
 
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
+    rows = small_batches(docs).select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(run, f"key bigint, {spec}").withColumnRenamed("key", key)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from abacarium.session import stored
 
-__all__ = ["by_value", "stored", "read_table", "vocabulary_path", "remainder", "whole_text", "bit_slots", "most_frequent", "texts"]
+__all__ = ["by_value", "stored", "read_table", "vocabulary_path", "remainder", "whole_text", "bit_slots", "most_frequent", "small_batches", "texts"]
 
 
 def by_value(module: str) -> None:
@@ -71,6 +71,18 @@ def most_frequent(counts: DataFrame, size: int, least: int) -> DataFrame:
     return kept.where(F.col("step") >= cut).drop("step")
 
 
+def small_batches(docs: DataFrame) -> DataFrame:
+    """``docs``, in a session that hands texts to Python in batches of at most 1,000 rows.
+
+    Spark's 10,000 rows of long texts take hundreds of MB in every task, in the JVM and
+    again in Python. A setting of the session's owner below that is left alone.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(docs.sparkSession.conf.get(name)) <= 1000:
+        docs.sparkSession.conf.set(name, "1000")
+    return docs
+
+
 def texts(batch: pa.RecordBatch, column: str = "text") -> Iterator[str]:
     """The texts of a batch one by one, NULL as the empty text."""
     for value in batch.column(column):

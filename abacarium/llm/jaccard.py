@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from abacarium.llm.common import bit_slots, by_value, most_frequent, stored, texts
+from abacarium.llm.common import bit_slots, by_value, most_frequent, small_batches, stored, texts
 from abacarium.llm.components import components
 from abacarium.llm.grams import shingle_set
 
@@ -229,7 +229,7 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
     none and stay alone. Repeated rows fall into one component; NULL keys are
     ignored in the minimum. An empty table gives no rows; other columns are ignored.
     """
-    base = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
+    base = small_batches(docs).select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     frequency, bits = _frequencies(base, shingle)
     mask = bytearray(1 << (SLOT_BITS - 3))
     width = 1 << (SLOT_BITS - 3 - bits)
@@ -241,7 +241,6 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
     sets_of = rows.where("n > 0").groupBy("sid").agg(F.min("key").alias("key"), *[F.first(c).alias(c) for c in ("n", "need", "tok", "pos")])
     postings = sets_of.select("sid", "key", "n", "need", F.explode(F.arrays_zip("tok", "pos")).alias("p")).select(
         "sid", "key", "n", "need", F.col("p.tok").alias("tok"), F.col("p.pos").alias("pos"))
-    postings = stored(postings, "postings")
     lists = postings.groupBy("tok").agg(F.min(F.struct("pos", "n", "sid", "need")).alias("head"), F.count(F.lit(1)).alias("size"))
     met = stored(postings.join(lists.where("size > 1").drop("size"), "tok"), "met")
     sets = stored(_sets(base, shingle, met.select("key").distinct()), "sets").dropDuplicates(["sid"])
@@ -252,10 +251,9 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
     star = star.groupBy("sid", F.col("head.sid").alias("b")).count().groupBy("sid").agg(
         F.max(F.struct("count", "b")).alias("best")).select(F.col("sid").alias("a"), F.col("best.b").alias("b"))
     star = stored(star, "star")
-    label = stored(components(_verify(star, sets, percent)), "labels")
+    label = components(_verify(star, sets, percent))
 
     known = met.drop("head", "key").join(label.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    known = stored(known, "known")
     left, right = (known.select("tok", *[F.col(c).alias(c + end) for c in ("sid", "root", "n", "need", "pos")]) for end in "12")
     asked = F.least("need1", "need2")
     pairs = left.join(right, "tok").where("sid1 < sid2 AND root1 <> root2").where(
@@ -263,7 +261,7 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
     pairs = pairs.groupBy(F.col("sid1").alias("a"), F.col("sid2").alias("b")).agg(
         F.count(F.lit(1)).alias("met"), F.max(asked).alias("asked")).where("met >= asked").select("a", "b")
     tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    links = _verify(stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs"), sets, percent)
+    links = _verify(pairs.join(tried, ["a", "b"], "left_anti"), sets, percent)
 
     roots = label.select("node", "root")
     named = links.join(roots.withColumnsRenamed({"node": "a", "root": "ra"}), "a", "left").join(

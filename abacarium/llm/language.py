@@ -18,7 +18,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from abacarium.llm.common import by_value, stored, texts
+from abacarium.llm.common import by_value, small_batches, stored, texts
 from abacarium.llm.ftrl import Penalty, softmax, temperature, train
 from abacarium.llm.grams import mix
 
@@ -116,7 +116,7 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     at most about ``per_language`` rows of each language, drawn by a hash of the key,
     which is used for nothing else. No usable rows give a model that answers ``und``.
     """
-    known = rows.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"),
+    known = small_batches(rows).select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"),
                         F.xxhash64(F.col(key).cast("string"), F.lit("language")).alias("order")).where("text IS NOT NULL AND lang IS NOT NULL")
     sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
     classes = sorted(sizes)
@@ -160,7 +160,7 @@ def predict(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: st
                 [batch.column("key"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
                 ["key", "lang_pred", "score"])
 
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
+    rows = small_batches(docs).select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(run, "key bigint, lang_pred string, score double").select(
         F.col("key").alias(key), *more, "lang_pred", "score")
 
@@ -178,7 +178,7 @@ def recognised(docs: DataFrame, model: LanguageModel, text: str = "text", least:
             found = [own.predict(v) for v in texts(batch, text)]
             yield batch.filter(pa.array([lang != "und" and score >= least for lang, score in found], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)
 
 
 by_value(__name__)

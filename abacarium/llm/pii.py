@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from abacarium.llm.common import by_value, texts
+from abacarium.llm.common import by_value, small_batches, texts
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -248,7 +248,7 @@ def find_personal(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
                  pa.array(listed, pa.string()), pa.array(plain, pa.string())],
                 ["key", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "base_spans"])
 
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
+    rows = small_batches(docs).select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     spec = ", ".join(f"n_{k} bigint" for k in KINDS)
     return rows.mapInArrow(run, f"key bigint, {spec}, base_sha256 string, spans string, base_spans string").withColumnRenamed("key", key)
 

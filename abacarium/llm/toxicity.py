@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from abacarium.llm.common import by_value, stored, texts
+from abacarium.llm.common import by_value, small_batches, stored, texts
 from abacarium.llm.ftrl import Penalty, train
 
 #: Lengths of word beginnings that may be voters.
@@ -167,7 +167,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         limit = F.when(F.col("toxic") == mark, int(parts * min(1.0, per_class / size))).otherwise(limit)
     chosen = marks.where(F.pmod(F.xxhash64("key", F.lit("toxicity")), F.lit(parts)) < limit).groupBy("key").agg(F.max("toxic").alias("toxic"))
     # At most about two times per_class rows, hence the broadcast.
-    sample = stored(docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text")).join(
+    sample = stored(small_batches(docs).select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text")).join(
         F.broadcast(chosen), "key").select("key", "text", "toxic"), "toxicity")
     known = _mine(sample, voters)
     size = len(known) + FIXED
@@ -224,7 +224,7 @@ def score(docs: DataFrame, model: ToxicityModel, key: str = "doc_id", text: str
         for batch in source:
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array([own.score(v) for v in texts(batch)], pa.float64())], ["key", "score"])
 
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
+    rows = small_batches(docs).select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(run, "key bigint, score double").select(
         F.col("key").alias(key), *more, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 

@@ -21,7 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from abacarium.llm.common import bit_slots, by_value, stored
+from abacarium.llm.common import bit_slots, by_value, small_batches, stored
 from abacarium.llm.grams import ALNUM, mix, ngrams, word_hashes, words
 
 WINDOW, GRAM = 13, 5
@@ -155,7 +155,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
             flags = find.flags = np.unpackbits(np.frombuffer(bitmap.value, np.uint8), bitorder="little").astype(bool)
         return document_prints(value, flags, lengths)
 
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
+    rows = small_batches(docs).select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     seen = rows.mapInArrow(_scan(find, ["key"], _schema("key", pa.int64())),
                            f"key bigint, n_words bigint, hits array<struct<{_spec()}>>")
     seen = stored(seen.withColumn("row", F.monotonically_increasing_id()), "prints")
