@@ -5,7 +5,7 @@ into a shared automaton with id outputs. Executors map it into memory; words tha
 it does not hold are merged exactly, rank by rank. The vocabulary is a JSON file of
 a word-end BPE (lower-cased, white space dropped), whose place is a parameter.
 
-Texts whose characters all lie below U+0530 are normalised and split by the rules
+Texts whose characters all lie below U+0530, also when composed and lower-cased, are normalised and split by the rules
 written here. For others the tokenizer's own normaliser and splitter are asked,
 because their Unicode tables may be newer than Python's; merging is the same.
 """
@@ -123,17 +123,20 @@ class Encoder:
 
     def words(self, text: str) -> list[str]:
         """The words of a text without special tokens, normalised."""
-        if _LATER.search(text):
-            if self.library is None:
-                from tokenizers import Tokenizer
-
-                self.library = Tokenizer.from_str(self.source)
-                self.back = {c: b for b, c in enumerate(byte_letters())}
-            pieces = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
-            return [bytes(self.back[c] for c in piece).decode("utf-8") for piece, _ in pieces]
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        return _SPLIT.findall(text.lower())
+        if text.isascii():
+            return _SPLIT.findall(text.lower())
+        # Composed and lower-cased first: both may lead to characters beyond the limit.
+        low = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        return self._split_by_library(text) if _LATER.search(text) or _LATER.search(low) else _SPLIT.findall(low)
+
+    def _split_by_library(self, text: str) -> list[str]:
+        if self.library is None:
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_str(self.source)
+            self.back = {c: b for b, c in enumerate(byte_letters())}
+        pieces = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
+        return [bytes(self.back[c] for c in piece).decode("utf-8") for piece, _ in pieces]
 
     def _entry(self, ids: list[int]) -> tuple:
         numbers, tokens = self.numbers, self.tokens
