@@ -3,7 +3,7 @@
 BENCH_SF_DIR   folder of the tables      (default /root/testdata/sf0.1)
 BENCH_CPUS     cores of the local master (default 8)
 BENCH_QUERIES  comma-separated names, or "all" (default: the headline queries)
-BENCH_RUNS     timed runs per query after one warm-up (default 2, the median counts)
+BENCH_RUNS     timed runs per query after one warm-up (default 2; the mean of two, the median of more)
 """
 
 from __future__ import annotations
