@@ -125,6 +125,19 @@ def test_repeated_lines_match_all_pairs(spark):
     assert all(r[2] == r[1] - len(r[3]) for r in found.collect())
 
 
+def test_near_lines_are_found_among_hundreds_that_share_a_passage(spark):
+    rng = random.Random(8)
+
+    def some(n):
+        return " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 8))) for _ in range(n))
+
+    passage = some(25)
+    lines = [f"{passage} {some(8)}" for _ in range(200)]
+    rows = [(2 * i + copy, line + "s" * copy) for i, line in enumerate(lines) for copy in (0, 1)]
+    got = {r["doc_id"]: r["dropped"] for r in repeated_lines(brute.docs_frame(spark, rows)).collect()}
+    assert got == {key: [0] * (key % 2) for key, _ in rows}
+
+
 def test_lines_are_taken_out_of_texts(spark):
     docs = brute.docs_frame(spark, [(1, "a line that repeats\nb"), (2, "c\na line that repeats"), (3, None)])
     out = without_lines(docs, repeated_lines(docs))
