@@ -138,6 +138,18 @@ def test_near_lines_are_found_among_hundreds_that_share_a_passage(spark):
     assert got == {key: [0] * (key % 2) for key, _ in rows}
 
 
+def test_one_edit_in_lines_of_usual_length(spark):
+    rng = random.Random(10)
+    lines = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(size)).strip() or "a" for size in range(52, 101) for _ in range(3)]
+    rows = [(2 * i, line) for i, line in enumerate(lines)]
+    rows += [(2 * i + 1, f"{line[: len(line) // 2]}#{line[len(line) // 2 + 1 :]}") for i, line in enumerate(lines)]
+    ends = ["nine char", "fourteen chars", "some twenty odd chars", "a line of about thirty chars in"]
+    rows += [(1000 + 2 * i + copy, line + "." * copy) for i, line in enumerate(ends) for copy in (0, 1)]
+    got = {r["doc_id"]: r["dropped"] for r in repeated_lines(brute.docs_frame(spark, rows)).collect()}
+    wrong = [key for key, _ in rows if got[key] != [0] * (key % 2)]
+    assert len(wrong) <= 0.02 * len(lines) and not [key for key in wrong if key >= 1000 or key % 2 == 0]
+
+
 def test_lines_are_taken_out_of_texts(spark):
     docs = brute.docs_frame(spark, [(1, "a line that repeats\nb"), (2, "c\na line that repeats"), (3, None)])
     out = without_lines(docs, repeated_lines(docs))
