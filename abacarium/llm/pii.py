@@ -88,6 +88,8 @@ _SPELLED = {
         "five fünf cinco cinq", "six sechs seis", "seven sieben siete sept", "eight acht ocho huit", "nine neun nueve neuf"))
     for word in words.split()
 }
+#: Letters that a pattern without regard to case takes for i and s.
+_CASES = str.maketrans("İıſ", "iis")
 _NUMBER = "|".join(sorted(_SPELLED, key=len, reverse=True))
 #: Two or more spelled digits in a row, with at most blanks, hyphens or dots between them, or next to written digits.
 _RUN = re.compile(rf"(?i)(?<!\w)(?:(?:{_NUMBER})(?:[ .,-]{{1,2}}(?=(?:{_NUMBER}|[0-9])(?!\w)))?){{3,}}(?!\w)|(?<!\w)(?:{_NUMBER})(?!\w)(?=[ -]?[0-9])|(?<=[0-9] )(?:{_NUMBER})(?!\w)")
@@ -113,18 +115,18 @@ _SPACED = re.compile(
 _SPACED_DOT = re.compile(r"\s{1,2}\.\s{0,2}|\.\s{1,2}")
 _DOT = re.compile(r"(?i)\s{1,2}dot\s{1,2}")
 _ODD = re.compile("[^\x00-\x7f\xa1-ɏ‘-‟]")
-_BRACKET = re.compile(r"[\[({<]\s{0,2}(?:at|dot|arroba|ät|arobase|punkt|punto|point|@|\.)\s{0,2}[\])}>]")
-_BREAKS = {ord(c): " " for c in ".,;:!?-()[]{}<>\"'/"}
-_WORDS = frozenset({*_SPELLED, "dot"})
-_SPARSE = re.compile(r"\s@|@\s|[0-9][OoIl][0-9 -]")
+_BRACKET = re.compile(r"(?i)[\[({<]\s{0,2}(?:at|dot|arroba|ät|arobase|punkt|punto|point|@|\.)\s{0,2}[\])}>]")
+#: What every match of _BY_DOT and _DIGIT_DOT and every edit by _BARE holds; then what every match of _SPACED holds.
+_DOT_WORD = re.compile(r"(?i)\bdot\s")
+_SPARSE = re.compile(r"\s@|@\s")
+#: Each transducer's pattern, or one that matches wherever it does. A text without any is left
+#: as it is by the first step that might change it, hence by all.
+_CLUES = (_ODD, _SPARSE, _LETTER_DIGIT, _BRACKET, _DOT_WORD, _PLUS, _RUN)
 
 
 def _clue(text: str) -> bool:
     """Whether there is anything that a transducer might rewrite."""
-    if _ODD.search(text) or _SPARSE.search(text):
-        return True
-    low = text.lower()
-    return bool(_BRACKET.search(low)) or not _WORDS.isdisjoint(low.translate(_BREAKS).split())
+    return any(pattern.search(text) for pattern in _CLUES)
 
 
 class Tape:
@@ -169,6 +171,10 @@ def homoglyphs(tape: Tape) -> None:
     tape.rewrite(edits)
 
 
+def _value(word: str) -> str:
+    return _SPELLED[word.translate(_CASES).lower()]
+
+
 def spelled_digits(tape: Tape) -> None:
     edits = []
     for run in _RUN.finditer(tape.text):
@@ -177,9 +183,9 @@ def spelled_digits(tape: Tape) -> None:
             end = word.end()
             if after is not None and tape.text[end : after.start()].strip() == "":
                 end = after.start()
-            edits.append((word.start(), end, _SPELLED[word[0].lower()]))
+            edits.append((word.start(), end, _value(word[0])))
     tape.rewrite(edits)
-    tape.rewrite([(m.start(), m.end(), _SPELLED[m[0].lower()]) for m in _BY_DOT.finditer(tape.text)])
+    tape.rewrite([(m.start(), m.end(), _value(m[0])) for m in _BY_DOT.finditer(tape.text)])
     tape.rewrite([(m.start(), m.end(), "0" if m[0] in "Oo" else "1") for m in _LETTER_DIGIT.finditer(tape.text)])
     tape.rewrite([(m.start(), m.end(), "+") for m in _PLUS.finditer(tape.text)])
 

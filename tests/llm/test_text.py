@@ -107,6 +107,27 @@ def test_clean_texts_are_left_alone(text):
     assert pii.disguised(text, pii.detect(text)) == []
 
 
+@pytest.mark.parametrize("text, kind, found", [
+    ("call plus 49 170 1234567 now", "phone", "plus 49 170 1234567"),
+    ("card 4111-l111-1111-1111", "card", "4111-l111-1111-1111"),
+    ("card 4OO0 0000 0000 0002", "card", "4OO0 0000 0000 0002"),
+    ("tel=plus one two three four five six seven eight nine!", "phone", "plus one two three four five six seven eight nine"),
+])
+def test_disguises_without_any_other_clue(text, kind, found):
+    assert [(pii.KINDS[k], text[a:b]) for a, b, k in pii.disguised(text, pii.detect(text))] == [(kind, found)]
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(st.sampled_from([
+    "plus", "one", "TWO", "ſix", "NİNE", "fünf", "dot", "at", "a", "com", "x", "O", "l", "I", "0", "4", "17", " ", " ", "  ", "\n", ".", "-", ",", "@",
+    "[at]", "(DOT)", "{poİnt}", "<", ">", "_", "=", "*", "+", "é", "\u200b", "а"]), max_size=14).map("".join))
+def test_every_rewritten_text_has_a_clue(text):
+    tape = pii.Tape(text)
+    for step in (pii.homoglyphs, pii.spelled_digits, pii.signs):
+        step(tape)
+    assert tape.text == text or pii._clue(text)
+
+
 def test_personal_data_rows(spark):
     rows = [*brute.odd_rows(), (50, "a@b.c and me [at] b (dot) org"), (51, "1." * 50_000), (52, "+" + "1 " * 50_000), (53, "a" * 200_000)]
     got = {(r["doc_id"], r["base_sha256"]): r for r in pii.find_personal(brute.docs_frame(spark, rows)).collect()}
