@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -203,7 +204,7 @@ def signs(tape: Tape) -> None:
 
 
 def disguised(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Spans that only the rewritten text shows, in source positions, none over a plain span."""
+    """Spans that only the rewritten text shows, in source positions, none within a plain span of its kind."""
     if not _clue(text):
         return []
     tape = Tape(text)
@@ -211,14 +212,13 @@ def disguised(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, in
         step(tape)
     if tape.text == text:
         return []
-    taken = sorted((a, b) for a, b, _ in base)
-    starts = np.array([a for a, _ in taken], np.int64)
-    ends = np.maximum.accumulate(np.array([b for _, b in taken], np.int64)) if taken else starts
+    # Spans of one kind do not overlap, so only the last one that starts in time can cover.
+    plain = {kind: [(a, b) for a, b, k in base if k == kind] for kind in range(len(KINDS))}
     out = []
     for a, b, kind in detect(tape.text):
         lo, hi = tape.source(a, b)
-        before = int(np.searchsorted(starts, hi))
-        if not before or ends[before - 1] <= lo:
+        before = bisect_right(plain[kind], lo, key=lambda span: span[0])
+        if not before or plain[kind][before - 1][1] < hi:
             out.append((lo, hi, kind))
     return out
 
@@ -233,7 +233,8 @@ def find_personal(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     ``spans`` lists all spans as kind:start:end in code points of the source, by start
     then kind, and the four numbers count them; ``base_spans`` lists the plain ones,
     whose digest is ``base_sha256``. Plain spans are never changed or dropped; a
-    disguised span is added where no plain span lies. NULL and empty texts have no
+    disguised span is added unless a plain span of its kind covers it, so a plain match
+    on the rest of a disguised identifier is listed next to the whole one. NULL and empty texts have no
     spans; repeated rows give equal answers; an empty table works; other columns are
     ignored.
     """

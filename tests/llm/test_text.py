@@ -117,6 +117,15 @@ def test_disguises_without_any_other_clue(text, kind, found):
     assert [(pii.KINDS[k], text[a:b]) for a, b, k in pii.disguised(text, pii.detect(text))] == [(kind, found)]
 
 
+@pytest.mark.parametrize("text, found", [
+    ("аdmin@example.com", "аdmin@example.com"), ("mail jo\u200bhn@example.com now", "jo\u200bhn@example.com"),
+    ("plain a@b.org and аdmin@example.com", "аdmin@example.com"),
+])
+def test_a_disguise_in_the_local_part_alone(text, found):
+    base = pii.detect(text)
+    assert base and [(k, text[a:b]) for a, b, k in pii.disguised(text, base)] == [(0, found)]
+
+
 @settings(max_examples=1500, deadline=None)
 @given(st.lists(st.sampled_from([
     "plus", "one", "TWO", "ſix", "NİNE", "fünf", "dot", "at", "a", "com", "x", "O", "l", "I", "0", "4", "17", " ", " ", "  ", "\n", ".", "-", ",", "@",
