@@ -10,8 +10,9 @@
 3. A linear classifier (FTRL) is trained on the posterior labels of the model and
    scores every whole text.
 
-Counts and fits use at most about ``per_class`` labelled rows of each class, drawn
-by a hash of the key; the rate of toxic rows comes from all labels.
+Words are counted over all labelled rows. The label model and the classifier are
+fitted on at most about ``per_class`` rows of each class, drawn by a hash of the key;
+the rate of toxic rows comes from all labels.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ STEMS = (3, 4, 5, 6, 7)
 DENSE = 1 / 200
 #: Shares of words of the whole lexicon, one voter each.
 SHARES = (0.004, 0.008, 0.012, 0.016, 0.02, 0.03)
+#: Different terms that a task holds before it hands on their counts.
+FLUSH = 200_000
 _WORD = re.compile(r"[^\W\d_]+")
 #: Common English insults.
 INSULTS = ("idiot", "moron", "loser", "stupid", "scum", "trash", "pathetic", "worthless", "disgusting", "clown", "dumb", "fool", "jerk")
@@ -77,35 +80,41 @@ def votes(text: str, voters: dict[str, int]) -> list[int]:
     return sorted(out)
 
 
-def _mine(sample: DataFrame, most: int) -> dict[str, int]:
+def _mine(labelled: DataFrame, most: int) -> dict[str, int]:
     """The terms that set toxic rows apart: the largest lower bounds of the log odds, seen often enough."""
 
+    def packed(clean: Counter, toxic: Counter) -> pa.RecordBatch:
+        words = [*clean, *toxic]
+        return pa.RecordBatch.from_pydict({
+            "term": pa.array(words, pa.string()), "n": pa.array([*clean.values(), *toxic.values()], pa.int64()),
+            "toxic": pa.array([0] * len(clean) + [1] * len(toxic), pa.int32())})
+
     def count(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         clean, toxic = Counter(), Counter()
         for batch in source:
             for value, label in zip(texts(batch), batch.column("toxic").to_pylist(), strict=True):
                 total, words, stems = terms(value)
                 own = toxic if label else clean
+                own[None] += 1  # the number of rows
                 own.update(w for w in words if len(w) <= 40)
-                own.update(s for s, n in stems.items() if _fires(s, n, total))
-        for name in (clean, toxic):
-            words = list(name)
-            yield pa.RecordBatch.from_pydict({
-                "term": pa.array(words, pa.string()), "n": pa.array([name[w] for w in words], pa.int64()),
-                "toxic": pa.array([int(name is toxic)] * len(words), pa.int32())})
-
-    counts = sample.mapInArrow(count, "term string, n bigint, toxic int").groupBy("term").agg(
+                own.update(s for s, n in stems.items() if len(s) <= 40 and _fires(s, n, total))
+                if len(clean) + len(toxic) > FLUSH:
+                    yield packed(clean, toxic)
+                    clean, toxic = Counter(), Counter()
+        yield packed(clean, toxic)
+
+    counts = labelled.mapInArrow(count, "term string, n bigint, toxic int").groupBy("term").agg(
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("hit"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("miss"))
-    size = sample.agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n")).first()
-    bad = size["t"] or 0
+    counts = stored(counts.where("hit >= 3 OR term IS NULL"), "terms")
+    size = counts.where("term IS NULL").first()
+    bad, good = (size["hit"], size["miss"]) if size else (0, 0)
     if not bad:
         return {}
-    good = size["n"] - bad
     a, b = F.col("hit") + 0.5, F.col("miss") + 0.5
     odds = F.log(a / (bad - F.col("hit") + 0.5)) - F.log(b / (good - F.col("miss") + 0.5))
     error = F.sqrt(1 / a + 1 / b + 1 / (bad - F.col("hit") + 0.5) + 1 / (good - F.col("miss") + 0.5))
     floor = odds - 2 * error
-    best = counts.where(F.col("hit") >= 3).withColumn("floor", floor).where("floor > 1").withColumn(
+    best = counts.where("hit >= 3 AND term IS NOT NULL").withColumn("floor", floor).where("floor > 1").withColumn(
         "worth", F.col("floor") * F.sqrt("hit")).orderBy(F.desc("worth"), "term").limit(most)
     return {row["term"]: i for i, row in enumerate(best.select("term").collect())}
 
@@ -166,10 +175,11 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     for mark, size in sizes.items():
         limit = F.when(F.col("toxic") == mark, int(parts * min(1.0, per_class / size))).otherwise(limit)
     chosen = marks.where(F.pmod(F.xxhash64("key", F.lit("toxicity")), F.lit(parts)) < limit).groupBy("key").agg(F.max("toxic").alias("toxic"))
+    rows = small_batches(docs).select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     # At most about two times per_class rows, hence the broadcast.
-    sample = stored(small_batches(docs).select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text")).join(
-        F.broadcast(chosen), "key").select("key", "text", "toxic"), "toxicity")
-    known = _mine(sample, voters)
+    sample = stored(rows.join(F.broadcast(chosen), "key").select("key", "text", "toxic"), "toxicity")
+    every = marks.groupBy("key").agg(F.max("toxic").alias("toxic"))
+    known = _mine(rows.join(every, "key").select("text", "toxic"), voters)
     size = len(known) + FIXED
 
     def cast(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -101,6 +101,14 @@ def test_toxicity_of_held_out_documents(spark):
     assert above > 0.8 and np.mean([g < 0.5 for g in good]) > 0.97
 
 
+def test_terms_are_counted_beyond_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "FLUSH", 50)
+    rows = [(i, f"plain words here {i % 7}" + (" zorgon" if i < 600 and i % 50 == 0 else ""), int(i < 600)) for i in range(2600)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int").repartition(3)
+    model = toxicity.fit(table.select("doc_id", "text"), table.select("doc_id", "toxic"), per_class=30)
+    assert "zorgon" in model.voters and "plain" not in model.voters
+
+
 def test_toxicity_of_odd_tables(spark):
     docs = brute.docs_frame(spark, [*brute.odd_rows(), (60, "you are an idiot, you moron")])
     labels = spark.createDataFrame([(60, 1, 1), (9, 1, 0), (10, 1, None), (None, 1, 1)], "doc_id bigint, quality int, toxic int")
