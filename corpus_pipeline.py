@@ -1,7 +1,9 @@
 """From documents to token ids: language, exact copies, near copies, benchmark passages, encoding.
 
 Every stage but the last returns rows of ``documents`` with all their columns. A
-stage drops rows by its operator's verdict on their id; NULL ids compare as equal.
+stage drops rows by its operator's verdict on the row, not on the id: the language
+is told row by row, exact copies go by id and text, the other two by a row number
+that is written with the rows.
 """
 
 from __future__ import annotations
@@ -20,9 +22,12 @@ from abacarium.llm.winnow import decontaminate
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def _by_id(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    chosen = ids.select(F.col("doc_id").alias("_id"))
-    return docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["_id"]), how)
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a number for each row, fixed by writing it, and the name of that column."""
+    row = "_row"
+    while row in docs.columns:
+        row += "_"
+    return stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,15 +50,19 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar texts: the one with the smallest id."""
-    groups = similar_groups(docs)
-    return _by_id(docs, groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))), "left_semi")
+    """One document of each group of similar texts: the one with the smallest id, NULL last, then the first row."""
+    rows, row = _numbered(docs)
+    groups = similar_groups(rows, row).select(F.col(row).alias("at"), F.col("component_id").alias("group"))
+    ids = rows.select(F.col(row).alias("at"), F.col("doc_id").cast("long").alias("id"))
+    first = groups.join(ids, "at").groupBy("group").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "at")).alias("stays"))
+    return rows.join(first.select(F.col("stays.at").alias(row)), row, "left_semi").drop(row)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of whose words less than 5 % lie in benchmark passages."""
-    found = decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
-    return _by_id(docs, found.where("contaminated"), "left_anti")
+    rows, row = _numbered(docs)
+    found = decontaminate(rows, read_table(spark, sf_dir, "benchmark"), row)
+    return rows.join(found.where("contaminated").select(row), row, "left_anti").drop(row)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -152,6 +152,20 @@ def test_repeated_rows_survive_the_exact_stage_once(spark):
     assert sorted((r["doc_id"] or 0, r["text"] or "") for r in out) == [(0, "d"), (1, "a b"), (3, "c"), (4, "")]
 
 
+def test_stages_judge_rows_with_null_or_equal_ids_one_by_one(spark):
+    near = " ".join(f"v{i}" for i in range(400))
+    item = read_table(spark, SF, "benchmark").first()["text"]
+    clean = "nothing of that kind stands in this text"
+    rows = [(None, near), (None, near + " end"), (7, near + " last"), (7, clean), (None, clean + " either"), (7, item), (None, item + " more")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    kept = corpus_pipeline.near_dedup(spark, docs.where("text LIKE 'v%' OR text LIKE 'nothing%'"), SF)
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept.collect()) == [(0, clean + " either"), (7, clean), (7, near + " last")]
+    left = corpus_pipeline.decontamination(spark, docs, SF)
+    assert left.columns == docs.columns
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in left.collect()) == sorted((d or 0, t) for d, t in rows[:5])
+
+
 def test_nothing_else_imports_the_subpackage():
     root = Path(corpus_pipeline.__file__).parent
     for path in (root / "abacarium").rglob("*.py"):
