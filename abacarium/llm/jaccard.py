@@ -40,7 +40,8 @@ HEAVY, HEAVY_FROM = 1 << 19, 8
 LONGEST = 6
 
 
-def _digest(shingles: np.ndarray) -> bytes:
+def set_digest(shingles: np.ndarray) -> bytes:
+    """The name of a set, from its sorted shingles."""
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
@@ -76,7 +77,7 @@ def _frequencies(docs: DataFrame, shingle: int) -> tuple[DataFrame, int]:
         for batch in source:
             for value in texts(batch):
                 own = shingle_set(value, shingle)
-                mark = _digest(own)
+                mark = set_digest(own)
                 if not len(own) or mark in seen:
                     continue
                 seen.add(mark)
@@ -173,10 +174,10 @@ def _prefix(own: np.ndarray, percent: int, flags: np.ndarray, keys: np.ndarray,
     ask = choose(df[order], n, need)
     size = min(n, n - need + ask)
     pos = np.flatnonzero(hit[order[:size]])
-    return n, _digest(own), ask, own[order[pos]].view(np.int64), pos.astype(np.int32)
+    return n, set_digest(own), ask, own[order[pos]].view(np.int64), pos.astype(np.int32)
 
 
-def _sets(docs: DataFrame, shingle: int, wanted: DataFrame) -> DataFrame:
+def whole_sets(docs: DataFrame, shingle: int, wanted: DataFrame) -> DataFrame:
     """The whole sets of the documents whose keys are in ``wanted`` (and a few more, by a bitmap of fixed size)."""
     place = F.pmod(F.xxhash64("key"), F.lit(1 << ID_BITS))
     shared = docs.sparkSession.sparkContext.broadcast(bit_slots(wanted.select(place.alias("slot")), ID_BITS))
@@ -190,12 +191,12 @@ def _sets(docs: DataFrame, shingle: int, wanted: DataFrame) -> DataFrame:
                 own = [shingle_set(batch.column("text")[i].as_py() or "", shingle) for i in keep[lo : lo + 256].tolist()]
                 own = [s for s in own if len(s)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([_digest(s) for s in own], pa.binary()), pa.array([s.tobytes() for s in own], pa.binary())], ["sid", "items"])
+                    [pa.array([set_digest(s) for s in own], pa.binary()), pa.array([s.tobytes() for s in own], pa.binary())], ["sid", "items"])
 
     return docs.select(place.alias("place"), "text").mapInArrow(run, "sid binary, items binary")
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose whole sets are alike."""
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,6 +220,31 @@ def _may_join(percent: int, n1: Column, n2: Column, pos1: Column, pos2: Column,
             & (pos1 < n1 - overlap + ask) & (pos2 < n2 - overlap + ask))
 
 
+def _met_apart(known: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a < b`` of different roots that share as many prefix shingles as asked for.
+
+    Posting lists of one root are left out, and in the others roots are paired before
+    their members, so that members of one root do not meet. The smaller set of a pair
+    shares ``2 percent / (100 + percent)`` of its shingles at least, which shortens its
+    prefix to what no template without own words fits into. Sizes that cannot be alike
+    do not meet either: a step of ``log n`` is as wide as the similarity allows.
+    """
+    several = known.groupBy("tok").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("tok")
+    known = known.join(several, "tok", "left_semi").withColumn("step", F.floor(F.log(F.col("n")) / math.log(100.0001 / percent)).cast("int"))
+    known = stored(known, "several")
+    small = known.where(F.col("pos") < F.col("n") - F.ceil(F.col("n") * (2 * percent) / (100 + percent) - F.lit(1e-9)) + F.col("need"))
+    left, right = (rows.select("tok", "step", *[F.col(c).alias(c + end) for c in ("sid", "root", "n", "need", "pos")])
+                   for rows, end in ((small, "1"), (known, "2")))
+    left = left.withColumn("step", F.explode(F.array("step", F.col("step") + 1)))
+    met = left.select("tok", "step", "root1").distinct().join(right.select("tok", "step", "root2").distinct(), ["tok", "step"]).where("root1 <> root2")
+    asked = F.least("need1", "need2")
+    pairs = left.join(met, ["tok", "step", "root1"]).join(right, ["tok", "step", "root2"]).where("n1 < n2 OR n1 = n2 AND sid1 < sid2").where(
+        _may_join(percent, F.col("n1"), F.col("n2"), F.col("pos1"), F.col("pos2"), asked))
+    pairs = pairs.groupBy(F.least("sid1", "sid2").alias("a"), F.greatest("sid1", "sid2").alias("b")).agg(
+        F.count(F.lit(1)).alias("met"), F.max(asked).alias("asked"))
+    return pairs.where("met >= asked").select("a", "b")
+
+
 def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, percent: int = 90) -> DataFrame:
     """One row per row of ``docs``: key, ``n_shingles``, ``component_id``.
 
@@ -243,7 +269,7 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
         "sid", "key", "n", "need", F.col("p.tok").alias("tok"), F.col("p.pos").alias("pos"))
     lists = postings.groupBy("tok").agg(F.min(F.struct("pos", "n", "sid", "need")).alias("head"), F.count(F.lit(1)).alias("size"))
     met = stored(postings.join(lists.where("size > 1").drop("size"), "tok"), "met")
-    sets = stored(_sets(base, shingle, met.select("key").distinct()), "sets").dropDuplicates(["sid"])
+    sets = stored(whole_sets(base, shingle, met.select("key").distinct()), "sets").dropDuplicates(["sid"])
 
     ask = F.least("need", "head.need")
     star = met.where(F.col("sid") != F.col("head.sid")).where(
@@ -251,17 +277,12 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
     star = star.groupBy("sid", F.col("head.sid").alias("b")).count().groupBy("sid").agg(
         F.max(F.struct("count", "b")).alias("best")).select(F.col("sid").alias("a"), F.col("best.b").alias("b"))
     star = stored(star, "star")
-    label = components(_verify(star, sets, percent))
+    label = components(confirmed(star, sets, percent))
 
     known = met.drop("head", "key").join(label.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    left, right = (known.select("tok", *[F.col(c).alias(c + end) for c in ("sid", "root", "n", "need", "pos")]) for end in "12")
-    asked = F.least("need1", "need2")
-    pairs = left.join(right, "tok").where("sid1 < sid2 AND root1 <> root2").where(
-        _may_join(percent, F.col("n1"), F.col("n2"), F.col("pos1"), F.col("pos2"), asked))
-    pairs = pairs.groupBy(F.col("sid1").alias("a"), F.col("sid2").alias("b")).agg(
-        F.count(F.lit(1)).alias("met"), F.max(asked).alias("asked")).where("met >= asked").select("a", "b")
+    pairs = _met_apart(known, percent)
     tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    links = _verify(pairs.join(tried, ["a", "b"], "left_anti"), sets, percent)
+    links = confirmed(pairs.join(tried, ["a", "b"], "left_anti"), sets, percent)
 
     roots = label.select("node", "root")
     named = links.join(roots.withColumnsRenamed({"node": "a", "root": "ra"}), "a", "left").join(
