@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from abacarium.llm import toxicity
+from abacarium.llm.bbit_minhash import near_copies
 from abacarium.llm.bpe import build_encoder, round_trip, token_lengths
 from abacarium.llm.common import read_table, remainder, vocabulary_path
 from abacarium.llm.exact_dedup import exact_groups
@@ -98,22 +99,6 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(read_table(spark, sf_dir, "documents"))
 
 
-CHECKS["op2_jaccard_join"] = r"""
-WITH RECURSIVE t AS (
-  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
-s AS (
-  SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS g
-  FROM t, unnest(generate_series(1, greatest(1, len(w) - 2))) AS u(i) WHERE len(w) > 0),
-n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
-l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * i >= 90 * (nx.n + ny.n - i)),
-r AS (SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT r.a, l.y FROM r JOIN l ON l.x = r.b),
-c AS (SELECT a, min(b) AS b FROM r GROUP BY a)
-SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(b, doc_id) AS component_id
-FROM t LEFT JOIN n USING (doc_id) LEFT JOIN c ON a = doc_id"""
-
-
 @query
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
@@ -159,3 +144,30 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_lines(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies(read_table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
+def _groups_check(percent: int, more: str = "") -> str:
+    """All pairs of documents by their shared shingles, and the smallest id reachable over links."""
+    return rf"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^ 	-]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS g
+  FROM t, unnest(generate_series(1, greatest(1, len(w) - 2))) AS u(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * i >= {percent} * (nx.n + ny.n - i)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT r.a, l.y FROM r JOIN l ON l.x = r.b),
+c AS (SELECT a, min(b) AS b FROM r GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(b, doc_id) AS component_id{more}
+FROM t LEFT JOIN n USING (doc_id) LEFT JOIN c ON a = doc_id"""
+
+
+CHECKS["op12_near_copies"] = _groups_check(85, ", coalesce(b, doc_id) = doc_id AS kept")
+CHECKS["op2_jaccard_join"] = _groups_check(90)
