@@ -15,8 +15,10 @@ from abacarium.llm.jaccard import similar_groups
 from abacarium.llm.language import fit, predict
 from abacarium.llm.line_dedup import repeated_lines
 from abacarium.llm.pii import find_personal
+from abacarium.llm.prefix_trie import borrowed_trie
 from abacarium.llm.sharding import assign_shards
 from abacarium.llm.token_counts import length_histogram, suffix_sums
+from abacarium.llm.turn_repair import damaged, repair
 from abacarium.llm.winnow import decontaminate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,7 +158,8 @@ def _groups_check(percent: int, more: str = "") -> str:
     return rf"""
 WITH RECURSIVE t AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                    '[^ 	-]+') AS w FROM documents),
+                                    '[^ 	-
+]+') AS w FROM documents),
 s AS (
   SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS g
   FROM t, unnest(generate_series(1, greatest(1, len(w) - 2))) AS u(i) WHERE len(w) > 0),
@@ -171,3 +174,111 @@ FROM t LEFT JOIN n USING (doc_id) LEFT JOIN c ON a = doc_id"""
 
 CHECKS["op12_near_copies"] = _groups_check(85, ", coalesce(b, doc_id) = doc_id AS kept")
 CHECKS["op2_jaccard_join"] = _groups_check(90)
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return borrowed_trie(read_table(spark, sf_dir, "conversations"))
+
+
+def _crc32(text: str) -> str:
+    """The crc32 of an ASCII text, byte by byte and bit by bit (DuckDB has no function for it)."""
+    codes = f"list_transform(string_split({text}, ''), lambda ch: CAST(ascii(ch) AS BIGINT))"
+    one = "list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, (x & 1) * 3988292384))"
+    return f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {codes}), lambda a, b: {one}), 4294967295)"
+
+
+CHECKS["op13_prefix_trie"] = f"""
+WITH t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p,
+         coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT DISTINCT conv_id AS c, conv_id - conv_id % 5 AS lender, {_crc32("CAST(conv_id AS VARCHAR)")} % 9 AS h FROM t),
+size AS (SELECT conv_id, max(p) AS n FROM t GROUP BY conv_id),
+built AS (
+  SELECT c, p AS d, r, x FROM ids JOIN t ON conv_id = lender WHERE p <= h
+  UNION ALL
+  SELECT c, p - h + least(h, coalesce(n, 0)), r, x FROM ids JOIN t ON t.conv_id = c LEFT JOIN size ON size.conv_id = lender WHERE p > h),
+path AS (
+  SELECT c, 0 AS d, '' AS k, 0 AS b FROM ids
+  UNION ALL
+  SELECT c, d, string_agg(md5(length(r) || ':' || r || x), '') OVER (PARTITION BY c ORDER BY d), strlen(x) FROM built),
+node AS (SELECT k, any_value(d) AS d, min(c) AS c, count(*) AS n, any_value(b) AS b FROM path GROUP BY k),
+kids AS (SELECT left(k, 32 * (d - 1)) AS k, count(*) AS kids FROM node WHERE d > 0 GROUP BY ALL),
+full_node AS (SELECT node.*, coalesce(kids, 0) AS kids FROM node LEFT JOIN kids USING (k)),
+tree AS (
+  SELECT a.k, count(*) FILTER (WHERE b.kids = 0) AS leaves, sum((b.n - 1) * b.b) AS saved
+  FROM full_node a JOIN full_node b ON starts_with(b.k, a.k) GROUP BY a.k),
+ends AS (
+  SELECT k, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS list
+  FROM (SELECT c, arg_max(k, d) AS k FROM path GROUP BY c) GROUP BY k)
+SELECT f.c AS conv_id, CAST(f.d AS BIGINT) AS depth, up.c AS parent_conv_id, f.n AS n_convs, f.kids AS n_children,
+       leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(list, '')) AS ends_sha256
+FROM full_node f JOIN tree USING (k) LEFT JOIN ends USING (k) LEFT JOIN node up ON f.d > 0 AND up.k = left(f.k, 32 * (f.d - 1))"""
+
+
+@query
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read_table(spark, sf_dir, "conversations")
+    return repair(damaged(conversations), conversations.select("conv_id"))
+
+
+def _repair_check() -> str:
+    """One step of the recursion for every turn and two for insertions before it; a state keeps its best way."""
+    start, s, u, a = (f"w.st[{i}]" for i in (1, 2, 3, 4))
+
+    def add(state: str, cost: str, letter: str, line: str = "''") -> str:
+        return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 't': {state}.t || {line}}}"
+
+    def best(*ways: str) -> str:
+        return f"list_min([{', '.join(ways)}])"
+
+    def taken(state: str, initial: str, role: str) -> str:
+        kept, other = add(state, "o.late", "K", "o.role || ':' || o.text || chr(10)"), add(state, "3 + o.late", "R", f"'{role}:' || o.text || chr(10)")
+        return f"CASE WHEN o.initial = '{initial}' THEN {kept} ELSE {other} END"
+
+    def told(state: str, role: str) -> str:
+        return add(state, "3", "I", f"'{role}:' || chr(10)")
+
+    gone = [add(x, "4", "D") for x in (start, s, u, a)]
+    system = f"CASE WHEN o.initial = 's' THEN {add(start, 'o.late', 'K', "o.role || ':' || o.text || chr(10)")} ELSE {{'c': 1000000000, 'a': '', 't': ''}} END"
+    inserted = f"[{start}, {s}, {best(u, told(start, 'user'), told(s, 'user'), told(a, 'user'))}, {best(a, told(u, 'assistant'))}]"
+    edited = (f"[{gone[0]}, {best(gone[1], system)}, {best(gone[2], taken(start, 'u', 'user'), taken(s, 'u', 'user'), taken(a, 'u', 'user'))}, "
+              f"{best(gone[3], taken(u, 'a', 'assistant'))}]")
+    key = "coalesce(CAST(conv_id AS VARCHAR), ' ')"
+    return rf"""
+WITH RECURSIVE named AS (
+  SELECT conv_id, {key} AS key, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_crc32(f"{key} || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS kind FROM conversations),
+rows_ AS (
+  SELECT key, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM named, unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS c(n) WHERE kind <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY key ORDER BY turn NULLS FIRST, role, text) AS i,
+         regexp_extract(text, '(?s)([^ 	-])[ 	-]*\z', 1) AS final FROM rows_),
+marked AS (
+  SELECT *, left(role, 1) AS initial, CASE WHEN final = '' THEN 'b' WHEN row_number() OVER (PARTITION BY key, role, text ORDER BY i) > 1 THEN 'd'
+                 WHEN final NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+         lag(left(role, 1)) OVER (PARTITION BY key ORDER BY i) || left(role, 1) AS pair FROM placed),
+facts AS (
+  SELECT key, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'b') AS blank,
+         count(*) FILTER (WHERE fault = 'd') AS duplicate, count(*) FILTER (WHERE fault = 't') AS truncated,
+         count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n FROM marked GROUP BY key),
+steps AS (
+  SELECT key, 3 * i + x AS i, x < 2 AS adds, role, text, initial, fault IN ('b', 'd') AS must, CASE WHEN fault = 't' THEN 3 ELSE 0 END AS late
+  FROM marked, unnest([0, 1, 2]) AS u(x)
+  UNION ALL SELECT key, 3 * n + 3 + x, true, '', '', '', false, 0 FROM facts, unnest([0, 1]) AS u(x)),
+walk AS (
+  SELECT key, CAST(2 AS BIGINT) AS i, [{{'c': CAST(0 AS BIGINT), 'a': '', 't': ''}}, {{'c': 1000000000, 'a': '', 't': ''}},
+         {{'c': 1000000000, 'a': '', 't': ''}}, {{'c': 1000000000, 'a': '', 't': ''}}] AS st FROM facts
+  UNION ALL
+  SELECT w.key, o.i, CASE WHEN o.adds THEN {inserted} WHEN o.must THEN [{', '.join(gone)}] ELSE {edited} END
+  FROM walk w JOIN steps o ON o.key = w.key AND o.i = w.i + 1),
+done AS (SELECT walk.key, list_min([st[1], st[4]]) AS r FROM walk JOIN facts ON facts.key = walk.key AND walk.i = 3 * n + 4)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(r.c, 0) AS cost, coalesce(r.a, '') AS audit,
+       sha256(coalesce(CASE WHEN r.t = '' THEN '' ELSE left(r.t, length(r.t) - 1) END, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, key FROM named) LEFT JOIN facts USING (key) LEFT JOIN done USING (key)"""
+
+
+CHECKS["op11_turn_repair"] = _repair_check()
