@@ -236,7 +236,15 @@ def _met_apart(known: DataFrame, percent: int) -> DataFrame:
     left, right = (rows.select("tok", "step", *[F.col(c).alias(c + end) for c in ("sid", "root", "n", "need", "pos")])
                    for rows, end in ((small, "1"), (known, "2")))
     left = left.withColumn("step", F.explode(F.array("step", F.col("step") + 1)))
-    met = left.select("tok", "step", "root1").distinct().join(right.select("tok", "step", "root2").distinct(), ["tok", "step"]).where("root1 <> root2")
+    first, second = (rows.groupBy("tok", "step", "root" + end).agg(
+        F.min("n" + end).alias("low" + end), F.max("n" + end).alias("high" + end), F.max("need" + end).alias("most" + end),
+        F.min("pos" + end).alias("at" + end)) for rows, end in ((left, "1"), (right, "2")))
+    # What some pair of members might satisfy; exact for roots of one set.
+    overlap = F.ceil((F.col("low1") + F.col("low2")) * percent / (100 + percent) - F.lit(1e-9))
+    most = F.least("most1", "most2")
+    may = ((F.col("high1") * 100 >= F.col("low2") * percent) & (F.col("low1") <= F.col("high2"))
+           & (F.col("at1") < F.col("high1") - overlap + most) & (F.col("at2") < F.col("high2") - overlap + most))
+    met = first.join(second, ["tok", "step"]).where("root1 <> root2").where(may).select("tok", "step", "root1", "root2")
     asked = F.least("need1", "need2")
     pairs = left.join(met, ["tok", "step", "root1"]).join(right, ["tok", "step", "root2"]).where("n1 < n2 OR n1 = n2 AND sid1 < sid2").where(
         _may_join(percent, F.col("n1"), F.col("n2"), F.col("pos1"), F.col("pos2"), asked))

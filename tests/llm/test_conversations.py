@@ -84,7 +84,7 @@ def test_many_equal_and_truncated_conversations(spark, monkeypatch):
 
 
 def test_one_long_conversation_lies_in_many_slices(spark):
-    rows = [(5, t, "user", f"{t}") for t in range(3000)] + [(10, t, "user", f"{t}") for t in range(2500)]
+    rows = [(5, t, "user", f"{t}") for t in range(300)] + [(10, t, "user", f"{t}") for t in range(250)]
     assert counted(borrowed_trie(frame(spark, rows))) == trie_by_hand(rows)
 
 
