@@ -5,30 +5,35 @@ decisions about the account. Requests are laid out once in (account, time) order
 and cut into slices of bounded size. The part of an account in one slice, a piece,
 has a net amount and a lowest running sum if everything in it is accepted; both are
 window sums. A piece whose opening balance plus that lowest sum does not fall below
-the account's floor has no refusal, and its net is known without a replay. Only the
-other pieces are replayed row by row, each from its assumed opening. Then the
-openings are worked out again from the nets, and the pieces whose opening moved are
-looked at again until none moves; then all assumptions hold.
-
-Each round settles the earliest open piece of every account at least, so there are
-no more rounds than slices that one account spans, plus one; accounts inside one
-slice need one round. A round writes one small table, with a row per piece.
-
-Transfers are not replayed: a chain of transfers that depend on one another has no
-parallel form. Their two legs are ledger entries (``transfer_legs``), which the
-pairing check and the audit of balances take.
+the account's floor is calm: it has no refusal, and its net is known.
+
+Any other piece is a step function from its opening to its closing balance, with
+breakpoints where a withdrawal begins to be accepted. Three passes over the requests
+do, however many slices an account spans:
+
+1. Interval arithmetic bounds what a piece may close with if it is not calm. Where the
+   lowest sum is reached, such balances lie within one withdrawal of the floor, so the
+   bounds are narrow; they limit the openings of the pieces that follow.
+2. Pieces that may refuse something are turned into step functions over the openings
+   in their range, some hundred requests at a time, and composed. Walking along the
+   functions of an account, one row per slice, gives every opening.
+3. Calm pieces are summed by windows, the others replayed from their openings.
+
+Transfers between accounts are decided by ``operators/transfers.py`` on top of this.
 """
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from abacarium.operators.ledger import balance_floor, default_accounts, refusal_reason
 from abacarium.operators.ordering import join_null_safe
-from abacarium.session import discard, stored, stored_at
+from abacarium.session import stored
 
 _ORDER = ["account_id", "ts", "seq"]
 _PIECE = ["account_id", "slice"]
@@ -86,41 +91,34 @@ def _lay_out(requests: DataFrame, accounts: DataFrame, slices: int | None) -> Da
     return stored(ranged.withColumn("slice", F.spark_partition_id()), "replay")
 
 
-def _openings(pieces: DataFrame) -> DataFrame:
-    """Add the balance before each piece: the account's opening plus the net of its earlier pieces."""
-    before = Window.partitionBy("account_id").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    return pieces.withColumn("start", F.col("opening") + F.coalesce(F.sum("net").over(before), F.lit(0)))
-
-
-def settle(layout: DataFrame, rounds: list[int] | None = None) -> DataFrame:
-    """Per piece its ``start``, ``floor`` and ``low``, with starts that agree with the decisions they lead to.
-
-    ``rounds``, if given, receives the number of pieces that each round replayed.
-    """
+def settle(layout: DataFrame) -> DataFrame:
+    """Per piece its ``start``, ``floor`` and ``low``: the balance it opens with, and what it must not fall below."""
     inside = Window.partitionBy(*_PIECE).orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     sums = layout.withColumn("sum", F.sum(_effect()).over(inside))
-    pieces = sums.groupBy(*_PIECE).agg(
+    pieces = stored(sums.groupBy(*_PIECE).agg(
         F.max("opening").alias("opening"), F.max("floor").alias("floor"), F.sum(_effect()).alias("free"),
         # Only withdrawals are refused; a piece without any can have no refusal.
-        F.coalesce(F.min(F.when((F.col("cents") < 0) & F.col("early").isNull(), F.col("sum"))), F.lit(1 << 62)).alias("low"))
-    pieces, path = stored_at(
-        _openings(pieces.withColumn("net", F.col("free"))).withColumn("looked_at", F.lit(None).cast("long")), "pieces")
-    while True:
-        open_ = pieces.where(~F.col("start").eqNullSafe(F.col("looked_at")))
-        if open_.isEmpty():
-            return pieces
-        calm = F.col("start") + F.col("low") >= F.col("floor")
-        hard = join_null_safe(layout, open_.where(~calm).select(*_PIECE, "start"), _PIECE)
-        kind = layout.schema["account_id"].dataType.simpleString()
-        nets = _fold(hard, _netter(), f"account_id {kind}, slice int, net bigint").groupBy(*_PIECE).agg(F.sum("net").alias("new_net"))
-        known = join_null_safe(pieces, nets, _PIECE, "left").withColumn(
-            "net", F.when(calm, F.col("free")).otherwise(F.coalesce("new_net", "net")))
-        known = known.withColumn("looked_at", F.col("start")).drop("new_net", "start")
-        after, new_path = stored_at(_openings(known).select(*pieces.columns), "pieces")
-        if rounds is not None:
-            rounds.append(open_.where(~calm).count())
-        discard(layout.sparkSession, path)
-        pieces, path = after, new_path
+        F.coalesce(F.min(F.when((F.col("cents") < 0) & F.col("early").isNull(), F.col("sum"))), F.lit(1 << 62)).alias("low")), "pieces")
+    kind = layout.schema["account_id"].dataType.simpleString()
+
+    # Round 1: what a piece may close with if it is not calm.
+    hard = pieces.where(F.least("floor", "opening") + F.col("low") < F.col("floor")).select(*_PIECE, "low")
+    bounds = _fold(join_null_safe(layout.where(_effect() != 0), hard, _PIECE), _bounder(), f"account_id {kind}, slice int, least bigint, most bigint")
+    bounded = stored(join_null_safe(pieces, bounds, _PIECE, "left").fillna(0, ["least", "most"]), "bounds")
+    ranges = stored(_along(bounded, _ranger(), f"account_id {kind}, slice int, lowest bigint, highest bigint"), "ranges")
+    # Round 2: the step functions of pieces that may refuse something.
+    known = join_null_safe(pieces, ranges, _PIECE)
+    unsure = known.where(F.col("lowest") + F.col("low") < F.col("floor")).select(*_PIECE, "lowest", "highest")
+    steps = _fold(join_null_safe(layout.where(_effect() != 0), unsure, _PIECE), _stepper(), f"account_id {kind}, slice int, at array<bigint>, moves array<bigint>")
+    functions = stored(join_null_safe(pieces, steps, _PIECE, "left"), "functions")
+    starts = _along(functions, _opener(), f"account_id {kind}, slice int, start bigint")
+    opened = join_null_safe(pieces.select(*_PIECE, "opening", "floor", "low"), starts, _PIECE, "left")
+    return stored(opened.select(*_PIECE, F.coalesce("start", "opening").alias("start"), "floor", "low"), "starts")
+
+
+def _along(pieces: DataFrame, walk: Callable, schema: str) -> DataFrame:
+    """Walk along the pieces of each account, one small row per slice, as a stream; a NULL account accepts nothing."""
+    return pieces.where("account_id IS NOT NULL").repartition("account_id").sortWithinPartitions("account_id", "slice").mapInPandas(walk, schema)
 
 
 def _fold(rows: DataFrame, walk: Callable, schema: str) -> DataFrame:
@@ -173,16 +171,132 @@ def _walker() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     return walk
 
 
-def _netter() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """Only what each batch adds to its pieces, a row per piece and batch."""
-    steps = _steps()
+def _bounder() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """The least and the greatest closing balance of a piece over all openings with which it is not calm."""
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        piece, balance = None, 0
+        piece, least, most = None, 0, 0
+        for batch in batches:
+            done = []
+            columns = (batch[c].tolist() for c in ("account_id", "slice", "cents", "floor", "opening", "low"))
+            for account, slice_no, cents, floor, opening, low in zip(*columns, strict=True):
+                if (account, slice_no) != piece:
+                    if piece is not None:
+                        done.append((*piece, least, most))
+                    piece, least, most = (account, slice_no), min(floor, opening), floor - low - 1
+                if cents > 0 or least + cents >= floor:
+                    least, most = least + cents, most + cents
+                elif most + cents >= floor:
+                    # Some openings are refused, the others leave the floor at least.
+                    least, most = min(least, floor), max(floor - cents - 1, most + cents)
+            yield pd.DataFrame(done, columns=["account_id", "slice", "least", "most"])
+        if piece is not None:
+            yield pd.DataFrame([(*piece, least, most)], columns=["account_id", "slice", "least", "most"])
+
+    return walk
+
+
+def _ranger() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """The range of balances with which each piece may open, from the bounds of the pieces before."""
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, low, high, none = None, 0, 0, True
+        for batch in batches:
+            out = []
+            columns = (batch[c].tolist() for c in ("account_id", "slice", "opening", "floor", "free", "low", "least", "most"))
+            for account, slice_no, opening, floor, free, lowest_sum, least, most in zip(*columns, strict=True):
+                if none or account != last:
+                    last, low, high, none = account, opening, opening, False
+                out.append((account, slice_no, low, high))
+                calm_from = floor - lowest_sum
+                if low >= calm_from:
+                    low, high = low + free, high + free
+                elif high >= calm_from:
+                    low, high = min(int(least), calm_from + free), max(int(most), high + free)
+                else:
+                    low, high = int(least), int(most)
+            yield pd.DataFrame(out, columns=["account_id", "slice", "lowest", "highest"])
+
+    return walk
+
+
+def _stepper() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Each piece as a step function: from the opening ``at[i]`` on, the balance moves by ``moves[i]``."""
+    block = 256
+
+    def merged(at: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        keep = np.append(True, moves[1:] != moves[:-1])
+        return at[keep], moves[keep]
+
+    def steps(cents: list[int], floor: int, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+        """The function of a few requests over openings from ``low`` to ``high``."""
+        at, moves = np.array([low]), np.array([0])
+        for change in cents:
+            if change > 0:
+                moves = moves + change
+                continue
+            need = floor - change
+            ends = np.append(at[1:] - 1, high)
+            first = at + moves
+            cut = np.flatnonzero((first < need) & (ends + moves >= need))
+            if len(cut):
+                at, moves = np.insert(at, cut + 1, need - moves[cut]), np.insert(moves, cut + 1, moves[cut])
+            moves = moves + np.where(at + moves >= need, change, 0)
+        return merged(at, moves)
+
+    def then(at: np.ndarray, moves: np.ndarray, high: int, cents: list[int], floor: int) -> tuple[np.ndarray, np.ndarray]:
+        """The function followed by some more requests."""
+        ends = np.append(at[1:] - 1, high)
+        next_at, next_moves = steps(cents, floor, int((at + moves).min()), int((ends + moves).max()))
+        begin = np.searchsorted(next_at, at + moves, "right") - 1
+        parts = np.searchsorted(next_at, ends + moves, "right") - begin
+        own = np.repeat(np.arange(len(at)), parts)
+        other = np.repeat(begin - np.append(0, np.cumsum(parts)[:-1]), parts) + np.arange(len(own))
+        return merged(np.maximum(at[own], next_at[other] - moves[own]), moves[own] + next_moves[other])
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        piece, held, at, moves, floor, high = None, [], None, None, 0, 0
+
+        def result() -> tuple:
+            done = then(at, moves, high, held, floor)
+            return (*piece, done[0].tolist(), done[1].tolist())
+
+        for batch in batches:
+            out = []
+            columns = (batch[c].tolist() for c in ("account_id", "slice", "cents", "floor", "lowest", "highest"))
+            for account, slice_no, cents, own_floor, lowest, highest in zip(*columns, strict=True):
+                if (account, slice_no) != piece:
+                    if piece is not None:
+                        out.append(result())
+                    piece, held, floor, high = (account, slice_no), [], own_floor, highest
+                    at, moves = np.array([lowest]), np.array([0])
+                held.append(cents)
+                if len(held) == block:
+                    at, moves = then(at, moves, high, held, floor)
+                    held = []
+            yield pd.DataFrame(out, columns=["account_id", "slice", "at", "moves"])
+        if piece is not None:
+            yield pd.DataFrame([result()], columns=["account_id", "slice", "at", "moves"])
+
+    return walk
+
+
+def _opener() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """The balance with which each piece opens, by the functions of the pieces before."""
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, balance, none = None, 0, True
         for batch in batches:
-            piece, balance, accepted, _, _ = steps(batch, piece, balance)
-            out = batch[["account_id", "slice"]].copy()
-            out["net"] = batch["cents"].where(accepted, 0).astype("int64")
-            yield out.groupby(["account_id", "slice"], dropna=False, sort=False, as_index=False)["net"].sum()
+            out = []
+            columns = (batch[c].tolist() for c in ("account_id", "slice", "opening", "floor", "free", "low", "at", "moves"))
+            for account, slice_no, opening, floor, free, low, at, moves in zip(*columns, strict=True):
+                if none or account != last:
+                    last, balance, none = account, opening, False
+                out.append((account, slice_no, balance))
+                if balance + low >= floor:
+                    balance += free
+                else:
+                    balance += int(moves[bisect.bisect_right(at, balance) - 1])
+            yield pd.DataFrame(out, columns=["account_id", "slice", "start"])
 
     return walk

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import bisect
 import datetime as dt
 import random
 from decimal import Decimal as D
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from abacarium.operators import ledger as led
-from abacarium.operators.replay import _lay_out, replay, settle
+from abacarium.operators.replay import _stepper, replay
 from abacarium.session import scratch_path
 
 NOW = dt.datetime(2026, 9, 15, 9, 41, 40)
@@ -151,9 +153,9 @@ def test_replay_of_the_recorded_session(spark, accounts):
     assert found[6]["reason"] == "below minimum balance"
 
 
-def _loop(requests, floors):
+def _loop(requests, floors, opening=None):
     """All requests one after the other."""
-    balance, out = dict.fromkeys(floors, 0), {}
+    balance, out = {**dict.fromkeys(floors, 0), **(opening or {})}, {}
     for seq, _, account, kind, value in requests:
         value = int(value * 100)
         ok = value > 0 and (kind == "DEPOSIT" or balance[account] - value >= floors[account])
@@ -178,18 +180,45 @@ def test_replay_matches_a_loop(spark, seed, slices):
     assert {r["seq"]: (r["accepted"], int(r["balance_after"] * 100)) for r in done.collect()} == _loop(requests, floors)
 
 
-def test_rounds_are_bounded_by_the_slices_of_an_account(spark):
-    rng, slices = random.Random(4), 6
-    requests = [(i, NOW, "a", rng.choice(["DEPOSIT", "WITHDRAWAL"]), D(rng.randint(1, 900))) for i in range(4000)]
+@pytest.mark.parametrize("slices", [8, 32, 128])
+def test_one_busy_account_over_many_slices(spark, slices):
+    """6,400 requests of one account, hundreds refused; the passes do not depend on the slices."""
+    rng = random.Random(4)
+    requests = [(i, NOW, "a", rng.choice(["DEPOSIT", "WITHDRAWAL"]), D(rng.randint(1, 900))) for i in range(6400)]
     accounts = spark.createDataFrame([("a", "base")], "account_id string, kind string")
-    rounds: list[int] = []
-    frame = spark.createDataFrame(requests, REQUESTS)
-    settle(_lay_out(frame, accounts, slices), rounds)
-    assert 0 < len(rounds) <= slices + 1
-    rich = accounts.withColumn("opening", F.lit(9_000_000).cast("decimal(12,2)"))
-    rounds.clear()
-    settle(_lay_out(frame, rich, slices), rounds)
-    assert rounds == [0], "pieces without a refusal are not replayed"
+    done = replay(spark.createDataFrame(requests, REQUESTS), accounts, slices)
+    expected = _loop(requests, {"a": 0})
+    assert {r["seq"]: (r["accepted"], int(r["balance_after"] * 100)) for r in done.collect()} == expected
+    assert sum(not ok for ok, _ in expected.values()) > 50
+
+
+def _functions(cents, floor, low, high):
+    """The step function of requests in one piece, as the second pass makes it."""
+    rows = pd.DataFrame({"account_id": "a", "slice": 0, "cents": cents, "floor": floor, "lowest": low, "highest": high})
+    return [r for batch in _stepper()(iter([rows])) for r in batch.itertuples()][0]
+
+
+def test_step_functions_give_the_closing_balance_of_every_opening():
+    rng = random.Random(6)
+    for size in (1, 5, 40, 700):
+        cents = [rng.choice([-1, 1, -1]) * rng.randint(1, 60) for _ in range(size)]
+        floor = rng.choice([-50, 0, 20])
+        found = _functions(cents, floor, floor, floor + 400)
+        for opening in range(floor, floor + 401):
+            balance = opening
+            for c in cents:
+                balance += c if c > 0 or balance + c >= floor else 0
+            assert opening + found.moves[bisect.bisect_right(found.at, opening) - 1] == balance
+
+
+def test_calm_pieces_and_pieces_below_the_floor(spark):
+    """An opening below the minimum, and one that nothing can empty."""
+    requests = [(i, NOW, a, k, D(v)) for i, (a, k, v) in enumerate(
+        [("s", "WITHDRAWAL", 1), ("s", "DEPOSIT", 450), ("s", "WITHDRAWAL", 40), ("s", "DEPOSIT", 30), ("s", "WITHDRAWAL", 40)] * 40
+        + [("r", "WITHDRAWAL", 5)] * 50)]
+    accounts = spark.createDataFrame([("s", "savings", D(100)), ("r", "base", D(9_000_000))], "account_id string, kind string, opening decimal(12,2)")
+    done = {r["seq"]: (r["accepted"], int(r["balance_after"] * 100)) for r in replay(spark.createDataFrame(requests, REQUESTS), accounts, 9).collect()}
+    assert done == _loop(requests, {"s": 50_000, "r": 0}, {"s": 10_000, "r": 900_000_000})
 
 
 def test_requests_that_cannot_be_served_are_refused(spark, accounts):
