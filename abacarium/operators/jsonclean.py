@@ -43,6 +43,11 @@ def read_records(spark: SparkSession, path: str, record: StructType, multi_line:
     return payloads.select(F.inline(F.coalesce("items", alone)))
 
 
+def quoted(name: str) -> str:
+    """A column name that may hold dots and backticks, as Spark's ``col`` takes it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def flatten(df: DataFrame) -> DataFrame:
     """Nested structs to columns with dotted names; lists stay as they are."""
     return df.select(*_leaves(df.schema, ()))
@@ -55,7 +60,7 @@ def _leaves(schema: StructType, path: tuple[str, ...]) -> list[Column]:
         if isinstance(f.dataType, StructType):
             found += _leaves(f.dataType, here)
         else:
-            found.append(F.col(".".join(f"`{part}`" for part in here)).alias(".".join(here)))
+            found.append(F.col(".".join(quoted(part) for part in here)).alias(".".join(here)))
     return found
 
 
@@ -68,14 +73,14 @@ def clean(records: DataFrame, config: CleanConfig | None = None) -> DataFrame:
     config = config or CleanConfig()
     flat = flatten(records)
     kept = [c for c in config.columns if c in flat.columns] or flat.columns
-    out = flat.select(*[F.col(f"`{c}`") for c in kept])
+    out = flat.select(*[F.col(quoted(c)) for c in kept])
     if config.drop_empty_columns:
         # Counted with the duplicates, which cannot change whether a column is empty.
-        filled = out.agg(*[F.count(f"`{c}`").alias(c) for c in kept]).first()
+        filled = out.agg(*[F.count(quoted(c)).alias(c) for c in kept]).first()
         kept = [c for c in kept if filled[c] > 0]
     final = []
     for c in kept:
-        value = F.col(f"`{c}`")
+        value = F.col(quoted(c))
         if c in config.dates:
             value = parse_or_null(value)
         if c in config.fills:
