@@ -7,10 +7,12 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, Stri
 
 from abacarium.functions import amount, to_double
 from abacarium.operators import ledger as led
+from abacarium.operators.freejson import infer_clean, read_free
 from abacarium.operators.grading import graded, report_card as cards
 from abacarium.operators.jsonclean import NO_DESCRIPTION, CleanConfig, clean, json_etl as etl, read_records
 from abacarium.operators.ordering import running_sums
 from abacarium.operators.replay import replay
+from abacarium.operators.transfers import settle_transfers
 from abacarium.plans.catalog import query
 from abacarium.plans.checks import ACCOUNTS, LEDGER, dbl, mean as sql_mean
 from abacarium.plans.tables import LEDGER_IN, LEDGER_OUT, Tables
@@ -141,6 +143,42 @@ def unpaired(t: Tables) -> DataFrame:
     return _money(led.unpaired_transfers(legs), "difference")
 
 
+def _mixed_requests(t: Tables) -> DataFrame:
+    """The events as requests: purchases pay another user, clicks and errors withdraw, all others deposit."""
+    kind = F.when(F.col("event_type") == "purchase", "TRANSFER").when(F.col("event_type").isin(*LEDGER_OUT), "WITHDRAWAL").otherwise("DEPOSIT")
+    other = F.when(F.col("event_type") == "purchase", F.get_json_object("props", "$.k").cast("long"))
+    return t.events.select(F.col("event_id").alias("seq"), "ts", kind.alias("type"), F.col("user_id").alias("account_id"),
+                           other.alias("to_account"), amount("value").alias("amount"))
+
+
+@query("ledger_transfer_replay", f"""
+WITH RECURSIVE {ACCOUNTS}, named AS (SELECT *, ROW_NUMBER() OVER (ORDER BY account_id) AS i FROM acc),
+e AS (
+  SELECT event_id AS seq, ts, CASE WHEN event_type = 'purchase' THEN 'TRANSFER' WHEN event_type IN ('click', 'error') THEN 'WITHDRAWAL' ELSE 'DEPOSIT' END AS type,
+         user_id AS account_id, CASE WHEN event_type = 'purchase' THEN CAST(props->>'$.k' AS BIGINT) END AS to_account,
+         CAST(CAST(value AS DECIMAL(12,2)) * 100 AS BIGINT) AS cents, a.i AS own, b.i AS other, a.kind, a.floor * 100 AS floor,
+         ROW_NUMBER() OVER (ORDER BY ts, event_id) AS rn
+  FROM events JOIN named a ON a.account_id = user_id LEFT JOIN named b ON event_type = 'purchase' AND b.account_id = CAST(props->>'$.k' AS BIGINT)),
+r AS (
+  SELECT CAST(0 AS BIGINT) AS rn, false AS accepted, (SELECT list_transform(range(COUNT(*)), lambda x: CAST(0 AS BIGINT)) FROM named) AS b
+  UNION ALL
+  SELECT e.rn, CASE WHEN type = 'DEPOSIT' THEN cents > 0 WHEN type = 'TRANSFER' AND other IS NULL THEN false ELSE cents > 0 AND b[own] - cents >= floor END,
+         CASE WHEN type = 'DEPOSIT' AND cents > 0 THEN list_transform(b, lambda x, i: CASE WHEN i = own THEN x + cents ELSE x END)
+              WHEN type <> 'DEPOSIT' AND (type = 'WITHDRAWAL' OR other IS NOT NULL) AND cents > 0 AND b[own] - cents >= floor
+              THEN list_transform(b, lambda x, i: x - CASE WHEN i = own THEN cents ELSE 0 END + CASE WHEN i = coalesce(other, 0) THEN cents ELSE 0 END)
+              ELSE b END
+  FROM r JOIN e ON e.rn = r.rn + 1)
+SELECT seq, ts, type, account_id, to_account, CAST(cents AS DOUBLE) / 100 AS amount, accepted,
+       CASE WHEN type = 'TRANSFER' AND other IS NULL THEN NULL
+            -- A transfer to oneself is credited after its debit, which is what the row shows.
+            ELSE CAST(b[own] - CASE WHEN accepted AND other = own THEN cents ELSE 0 END AS DOUBLE) / 100 END AS balance_after,
+       CASE WHEN accepted THEN NULL WHEN type = 'TRANSFER' AND other IS NULL THEN 'unknown account to pay to' WHEN cents <= 0 THEN 'amount not positive'
+            WHEN kind = 'savings' THEN 'below minimum balance' WHEN kind = 'current' THEN 'overdraft limit exceeded' ELSE 'insufficient funds' END AS reason
+FROM r JOIN e USING (rn)""")
+def transfer_replay(t: Tables) -> DataFrame:
+    return _money(settle_transfers(_mixed_requests(t), t.accounts), "amount", "balance_after")
+
+
 @query("ledger_interest", f"""
 WITH {LEDGER}, {ACCOUNTS}, b AS (SELECT account_id, SUM(delta) AS balance FROM led GROUP BY account_id),
 c AS (SELECT account_id, CAST(balance * 100 AS BIGINT) AS cents FROM b JOIN acc USING (account_id) WHERE kind = 'savings'),
@@ -269,6 +307,40 @@ def json_etl(t: Tables) -> DataFrame:
     return back.withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
 
 
+def _land_free(t: Tables) -> str:
+    """Payloads in which fields come and go and change their type, in all three envelopes, one per line."""
+    n = F.col("event_id")
+    record = F.struct(
+        n.alias("id"), F.struct(F.concat(F.lit("user"), F.col("user_id")).alias("login"), F.when(n % 7 == 0, F.lit(True)).alias("site_admin")).alias("owner"),
+        F.when(F.col("event_type") != "error", F.col("event_type")).alias("description"),
+        F.parse_json("props").alias("props"), F.lit(None).cast("string").alias("homepage"),
+        F.parse_json(F.when(n % 3 == 0, n.cast("string")).when(n % 3 == 1, F.format_string('"c%d"', n))).alias("code"),
+        F.when(n % 2 == 0, F.array("event_type", F.lit("x"))).alias("topics"),
+        F.parse_json(F.when(n % 5 == 0, F.format_string('[%d, "%s", {"a": null}]', n, "event_type"))).alias("mixed"),
+        F.when(n % 11 == 0, F.struct(F.struct(n.alias("depth")).alias("inner"))).alias("meta"),
+        F.when(F.col("event_type") != "click", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).otherwise("yesterday").alias("created_at"))
+    payload = F.when(n % 4 == 0, F.to_json(F.struct(F.array(record, record).alias("items")))).when(n % 4 == 1, F.to_json(F.array(record))).otherwise(F.to_json(record))
+    path = scratch_path(t.spark, "payloads")
+    t.events.select(payload.alias("value")).write.text(path)
+    return path
+
+
+@query("json_infer_clean", f"""
+SELECT event_id AS id, 'user' || user_id AS owner, CASE WHEN event_id % 7 = 0 THEN true END AS admin,
+       COALESCE(CASE WHEN event_type <> 'error' THEN event_type END, '{NO_DESCRIPTION}') AS description, CAST(props->>'$.k' AS BIGINT) AS k,
+       CASE event_id % 3 WHEN 0 THEN CAST(event_id AS VARCHAR) WHEN 1 THEN 'c' || event_id END AS code,
+       CASE WHEN event_id % 2 = 0 THEN event_type || ',x' END AS topics,
+       CASE WHEN event_id % 5 = 0 THEN '[' || event_id || ',"' || event_type || '",{{"a":null}}]' END AS mixed,
+       CASE WHEN event_id % 11 = 0 THEN event_id END AS depth,
+       CASE WHEN event_type <> 'click' THEN date_trunc('second', ts) END AS created_at FROM events""")
+def json_infer_clean(t: Tables) -> DataFrame:
+    config = CleanConfig(
+        columns=("id", "owner.login", "owner.site_admin", "description", "props.k", "homepage", "code", "topics", "mixed", "meta.inner.depth", "created_at"),
+        dates=("created_at",), renames={"owner.login": "owner", "owner.site_admin": "admin", "props.k": "k", "meta.inner.depth": "depth"})
+    rows = infer_clean(read_free(t.spark, _land_free(t), multi_line=False), config)
+    return rows.withColumns({"topics": F.array_join("topics", ","), "created_at": F.col("created_at").cast("timestamp_ntz")})
+
+
 # ---- grades ----------------------------------------------------------------------------------------------------
 
 _GRADE = ("CASE WHEN {0} >= 90 THEN 'A+' WHEN {0} >= 80 THEN 'A' WHEN {0} >= 70 THEN 'B' WHEN {0} >= 60 THEN 'C' "

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from abacarium.operators import ledger as led
 from abacarium.operators.replay import _stepper, replay
+from abacarium.operators.transfers import ChainTooLong, settle_transfers, settled_entries
 from abacarium.session import scratch_path
 
 NOW = dt.datetime(2026, 9, 15, 9, 41, 40)
@@ -227,3 +228,71 @@ def test_requests_that_cannot_be_served_are_refused(spark, accounts):
     found = {r["seq"]: (r["accepted"], r["reason"]) for r in replay(spark.createDataFrame(rows, REQUESTS), accounts, 3).collect()}
     assert found == {1: (False, "unknown account"), 2: (False, "unknown account"), 3: (False, "unknown type"),
                      4: (False, "amount not positive")}
+
+
+MIXED = "seq bigint, ts timestamp_ntz, type string, account_id string, to_account string, amount decimal(12,2)"
+
+
+def _settle_by_hand(requests, floors, opening):
+    balance, out = dict(opening), {}
+    for seq, _, kind, account, other, value in requests:
+        value = int(value * 100)
+        if kind == "TRANSFER" and other not in floors:
+            out[seq] = (False, None)
+            continue
+        ok = value > 0 and (kind == "DEPOSIT" or balance[account] - value >= floors[account])
+        balance[account] += (value if kind == "DEPOSIT" else -value) * ok
+        out[seq] = (ok, balance[account])
+        if ok and kind == "TRANSFER":
+            balance[other] += value
+    return out, balance
+
+
+def _settled(frame):
+    return {r["seq"]: (r["accepted"], None if r["balance_after"] is None else int(r["balance_after"] * 100)) for r in frame.collect()}
+
+
+@pytest.fixture(scope="module")
+def payers(spark):
+    return spark.createDataFrame([(a, "base", D(60)) for a in "abcdefgh"], "account_id string, kind string, opening decimal(12,2)")
+
+
+def test_transfers_to_and_fro_match_a_loop(spark, payers):
+    rng = random.Random(12)
+    requests = [(i, NOW + dt.timedelta(seconds=i // 4), rng.choice(["TRANSFER"] * 6 + ["DEPOSIT", "WITHDRAWAL"]), rng.choice("abcdefgh"),
+                 rng.choice("abcdefgh" * 4 + "?"), D(rng.randint(-2, 90))) for i in range(160)]
+    requests = [(i, t, k, a, o if k == "TRANSFER" else None, v) for i, t, k, a, o, v in requests]
+    frame = spark.createDataFrame(requests, MIXED)
+    expected, left = _settle_by_hand(requests, dict.fromkeys("abcdefgh", 0), dict.fromkeys("abcdefgh", 6000))
+    assert 20 < sum(not ok for ok, _ in expected.values()) < 140
+    rounds = []
+    assert _settled(settle_transfers(frame, payers, 4, rounds=rounds)) == expected
+    assert len(rounds) < 60
+    entries = settled_entries(frame, payers, 4)
+    assert led.unpaired_transfers(entries).count() == 0
+    held = {r["account_id"]: int(r["balance"] * 100) for r in led.current_balances(entries).collect()}
+    assert {a: 6000 + held.get(a, 0) for a in left} == left
+
+
+def test_rounds_follow_refusals_not_transfers(spark, payers):
+    """Money that goes round fifty times takes one round; a refusal that stops a chain takes one per link."""
+    ring = [(i, NOW, "TRANSFER", "abcdefgh"[i % 8], "abcdefgh"[(i + 1) % 8], D(60)) for i in range(400)]
+    rounds = []
+    done = settle_transfers(spark.createDataFrame(ring, MIXED), payers, rounds=rounds)
+    assert done.where("NOT accepted").count() == 0 and rounds == [0]
+    # All but the first have nothing of their own, and the first one is refused.
+    poor = payers.withColumn("opening", F.lit(0).cast("decimal(12,2)"))
+    chain = [(i, NOW, "TRANSFER", "abcdefgh"[i], "abcdefgh"[i + 1], D(60)) for i in range(3)]
+    rounds.clear()
+    done = settle_transfers(spark.createDataFrame(chain, MIXED), poor, rounds=rounds)
+    assert done.where("accepted").count() == 0 and rounds == [1, 1, 1, 0]
+    with pytest.raises(ChainTooLong, match="still changed in round 2"):
+        settle_transfers(spark.createDataFrame(chain, MIXED), poor, max_rounds=2)
+
+
+def test_a_transfer_to_oneself_and_to_nobody(spark, payers):
+    rows = [(1, NOW, "TRANSFER", "a", "a", D(60)), (2, NOW, "TRANSFER", "a", None, D(5)), (3, NOW, "TRANSFER", "a", "zz", D(5)),
+            (4, NOW, "TRANSFER", "zz", "a", D(5)), (5, NOW, "WITHDRAWAL", "a", None, D(60)), (6, NOW, "TRANSFER", "b", "c", None)]
+    found = {r["seq"]: (r["accepted"], r["reason"]) for r in settle_transfers(spark.createDataFrame(rows, MIXED), payers).collect()}
+    assert found == {1: (True, None), 2: (False, "unknown account to pay to"), 3: (False, "unknown account to pay to"), 4: (False, "unknown account"),
+                     5: (True, None), 6: (False, "amount not positive")}
