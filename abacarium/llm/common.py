@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from abacarium.session import stored
 
-__all__ = ["by_value", "stored", "read_table", "vocabulary_path", "remainder", "whole_text", "bit_slots", "most_frequent", "small_batches", "texts"]
+__all__ = ["by_value", "stored", "read_table", "vocabulary_path", "remainder", "whole_text", "bit_slots", "among", "most_frequent", "small_batches", "texts"]
 
 
 def by_value(module: str) -> None:
@@ -56,6 +56,18 @@ def bit_slots(slots: DataFrame, bits: int) -> bytes:
     return out.tobytes()
 
 
+def among(rows: DataFrame, column: str, wanted: DataFrame, bits: int = 24) -> DataFrame:
+    """The rows whose ``column`` is in ``wanted`` and a few more, by a bitmap of ``2 ** bits`` bits.
+
+    The bitmap has at most ``2 ** (bits - 6)`` rows, hence the broadcast.
+    """
+    slot = F.pmod(F.xxhash64(column), F.lit(1 << bits))
+    words = wanted.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("word")).agg(
+        F.expr("bit_or(shiftleft(1L, CAST(slot % 64 AS INT)))").alias("mask"))
+    marked = rows.withColumn("slot", slot).withColumn("word", F.shiftright("slot", 6))
+    return marked.join(F.broadcast(words), "word").where(F.expr("getbit(mask, CAST(slot % 64 AS INT)) = 1")).drop("word", "slot", "mask")
+
+
 def most_frequent(counts: DataFrame, size: int, least: int) -> DataFrame:
     """Rows of ``counts`` with the largest ``n``: at most ``size``, each of ``least`` or more.
 

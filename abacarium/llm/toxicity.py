@@ -10,9 +10,10 @@
 3. A linear classifier (FTRL) is trained on the posterior labels of the model and
    scores every whole text.
 
-Words are counted over all labelled rows. The label model and the classifier are
-fitted on at most about ``per_class`` rows of each class, drawn by a hash of the key;
-the rate of toxic rows comes from all labels.
+Words are counted over all labelled rows, in the one pass over their texts that also
+hands out the sample. The label model and the classifier are fitted on at most about
+``per_class`` rows of each class, drawn by a hash of key and text; the rate of toxic
+rows comes from all labelled rows.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from abacarium.llm.common import by_value, small_batches, stored, texts
+from abacarium.llm.common import among, by_value, small_batches, stored, texts
 from abacarium.llm.ftrl import Penalty, train
 
 #: Lengths of word beginnings that may be voters.
@@ -80,30 +81,49 @@ def votes(text: str, voters: dict[str, int]) -> list[int]:
     return sorted(out)
 
 
-def _mine(labelled: DataFrame, most: int) -> dict[str, int]:
-    """The terms that set toxic rows apart: the largest lower bounds of the log odds, seen often enough."""
+def _read_labelled(labelled: DataFrame) -> DataFrame:
+    """One pass over ``key``, ``text``, ``toxic``, ``pick``: counts of terms per class, and the picked rows.
+
+    Terms count in how many rows they occur; the row without a term has the number of rows.
+    A picked row that repeats in a task is handed on once.
+    """
+    names = ["kind", "term", "n", "toxic", "order", "text"]
+    types = [pa.int32(), pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.string()]
+
+    def batch_of(*columns: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
     def packed(clean: Counter, toxic: Counter) -> pa.RecordBatch:
-        words = [*clean, *toxic]
-        return pa.RecordBatch.from_pydict({
-            "term": pa.array(words, pa.string()), "n": pa.array([*clean.values(), *toxic.values()], pa.int64()),
-            "toxic": pa.array([0] * len(clean) + [1] * len(toxic), pa.int32())})
+        words, size = [*clean, *toxic], len(clean) + len(toxic)
+        return batch_of([0] * size, words, [*clean.values(), *toxic.values()], [0] * len(clean) + [1] * len(toxic), [None] * size, [None] * size)
 
-    def count(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        clean, toxic = Counter(), Counter()
+    def read(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clean, toxic, seen = Counter(), Counter(), set()
         for batch in source:
-            for value, label in zip(texts(batch), batch.column("toxic").to_pylist(), strict=True):
+            picked = []
+            for value, label, pick, order in zip(texts(batch), *(batch.column(c).to_pylist() for c in ("toxic", "pick", "order")), strict=True):
                 total, words, stems = terms(value)
                 own = toxic if label else clean
-                own[None] += 1  # the number of rows
+                own[None] += 1
                 own.update(w for w in words if len(w) <= 40)
                 own.update(s for s, n in stems.items() if len(s) <= 40 and _fires(s, n, total))
+                if pick and order not in seen:
+                    seen.add(order)
+                    picked.append((order, value, label))
                 if len(clean) + len(toxic) > FLUSH:
                     yield packed(clean, toxic)
                     clean, toxic = Counter(), Counter()
+            if picked:
+                size = len(picked)
+                yield batch_of([1] * size, [None] * size, [None] * size, [r[2] for r in picked], [r[0] for r in picked], [r[1] for r in picked])
         yield packed(clean, toxic)
 
-    counts = labelled.mapInArrow(count, "term string, n bigint, toxic int").groupBy("term").agg(
+    return labelled.mapInArrow(read, "kind int, term string, n bigint, toxic int, order bigint, text string")
+
+
+def _mine(counted: DataFrame, most: int) -> dict[str, int]:
+    """The terms that set toxic rows apart: the largest lower bounds of the log odds, seen often enough."""
+    counts = counted.groupBy("term").agg(
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("hit"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("miss"))
     counts = stored(counts.where("hit >= 3 OR term IS NULL"), "terms")
     size = counts.where("term IS NULL").first()
@@ -163,32 +183,38 @@ class ToxicityModel:
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
         per_class: int = 5000, voters: int = 200) -> ToxicityModel:
-    """A model from ``docs`` and the labels of training rows (one per key; NULL labels are ignored).
+    """A model from ``docs`` and the labels of training rows (NULL labels are ignored, of several of one key the largest counts).
 
-    Without a toxic training row the voters are the fixed patterns alone and every
-    score stays below one half.
+    Terms are counted over all labelled rows, and so is the rate of toxic ones. The label
+    model and the classifier are fitted on at most about ``per_class`` rows of each class,
+    drawn by a hash of key and text, equal ones once; there are at most ``voters`` terms.
+    Without a toxic training row the voters are the fixed patterns alone and every score
+    stays below one half.
     """
     marks = labels.select(F.col(key).cast("long").alias("key"), F.col(label).cast("int").alias("toxic")).where("toxic IN (0, 1)")
-    sizes = {r["toxic"]: r["count"] for r in marks.groupBy("toxic").count().collect()}
+    marks = stored(marks.groupBy("key").agg(F.max("toxic").alias("toxic")), "marks")
+    rows = small_batches(docs).select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
+    # The same join at every size: texts of labelled ids are dealt once, and not sorted.
+    labelled = among(rows, "key", marks).join(marks.hint("shuffle_hash"), "key")
+    sizes = {r["toxic"]: r["count"] for r in labelled.groupBy("toxic").count().collect()}
     parts = 1 << 20
     limit = F.lit(0)
     for mark, size in sizes.items():
         limit = F.when(F.col("toxic") == mark, int(parts * min(1.0, per_class / size))).otherwise(limit)
-    chosen = marks.where(F.pmod(F.xxhash64("key", F.lit("toxicity")), F.lit(parts)) < limit).groupBy("key").agg(F.max("toxic").alias("toxic"))
-    rows = small_batches(docs).select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
-    # At most about two times per_class rows, hence the broadcast.
-    sample = stored(rows.join(F.broadcast(chosen), "key").select("key", "text", "toxic"), "toxicity")
-    every = marks.groupBy("key").agg(F.max("toxic").alias("toxic"))
-    known = _mine(rows.join(every, "key").select("text", "toxic"), voters)
+    order = F.xxhash64("key", "text", F.lit("toxicity"))
+    pick = F.pmod(F.shiftright("order", 8), F.lit(parts)) < limit
+    read = stored(_read_labelled(labelled.withColumn("order", order).select("text", "toxic", "order", pick.alias("pick"))), "labelled")
+    sample = read.where("kind = 1").select("order", "text", "toxic").dropDuplicates(["order"])
+    known = _mine(read.where("kind = 0").select("term", "n", "toxic"), voters)
     size = len(known) + FIXED
 
     def cast(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), batch.column("toxic"), pa.array([votes(v, known) for v in texts(batch)], pa.list_(pa.int32()))], ["key", "toxic", "fired"])
+                [batch.column("order"), batch.column("toxic"), pa.array([votes(v, known) for v in texts(batch)], pa.list_(pa.int32()))], ["order", "toxic", "fired"])
 
-    cast_rows = stored(sample.mapInArrow(cast, "key bigint, toxic int, fired array<int>"), "votes")
-    got = cast_rows.orderBy("key").toArrow()
+    cast_rows = stored(sample.mapInArrow(cast, "order bigint, toxic int, fired array<int>"), "votes")
+    got = cast_rows.orderBy("order").toArrow()
     if not got.num_rows or not sizes.get(1):
         return ToxicityModel(known, np.zeros(size), -3.0)
     fired = np.zeros((got.num_rows, size))
@@ -209,7 +235,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
                 x[i, r] = 1
             p = own.posterior(x)
             yield pa.RecordBatch.from_arrays([
-                batch.column("key"), pa.array([[size, *r] for r in rows], pa.list_(pa.int32())),
+                batch.column("order"), pa.array([[size, *r] for r in rows], pa.list_(pa.int32())),
                 pa.array([[1.0] * (len(r) + 1) for r in rows], pa.list_(pa.float32())),
                 pa.array([[1 - v, v] for v in p], pa.list_(pa.float64()))], ["order", "idx", "val", "target"])
 

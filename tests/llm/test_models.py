@@ -109,6 +109,32 @@ def test_terms_are_counted_beyond_the_sample(spark, monkeypatch):
     assert "zorgon" in model.voters and "plain" not in model.voters
 
 
+def _busy(spark, other):
+    """Half of the rows have one id, a third of all are one text."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(6000):
+        text = " ".join(rng.choice(("plain", "words", "of", "text", f"w{i}")) for _ in range(8))
+        rows.append((7 if i % 2 else i, "the same text again" if i % 3 == 0 else text, "en" if i % 5 else "de", int(i % 4 == 0)))
+    return spark.createDataFrame([(other if d == 7 else d, *r) for d, *r in rows], "doc_id bigint, text string, lang string, toxic int").repartition(5)
+
+
+@pytest.mark.parametrize("busy", [7, 12, 99_999])
+def test_bounds_of_the_fits_hold_for_repeated_ids_and_texts(spark, monkeypatch, busy):
+    table = _busy(spark, busy)
+    seen = []
+    for module, features in ((language, 1 << language.BITS), (toxicity, None)):
+        def spy(rows, *more, **kw):
+            seen.append(rows.count())
+            return train(rows, *more, **kw)
+
+        monkeypatch.setattr(module, "train", spy)
+    language.fit(table, per_language=50)
+    labels = table.select("doc_id", F.lit(1).alias("toxic") if busy == 12 else F.pmod("doc_id", F.lit(2)).alias("toxic")).distinct()
+    toxicity.fit(table.select("doc_id", "text"), labels, per_class=50)
+    assert len(seen) == 2 and all(10 < n < 2 * 2 * 50 for n in seen)
+
+
 def test_toxicity_of_odd_tables(spark):
     docs = brute.docs_frame(spark, [*brute.odd_rows(), (60, "you are an idiot, you moron")])
     labels = spark.createDataFrame([(60, 1, 1), (9, 1, 0), (10, 1, None), (None, 1, 1)], "doc_id bigint, quality int, toxic int")
@@ -123,7 +149,7 @@ def test_query_matches_sql(spark, name):
     assert differences(QUERIES[name](spark, SF), connect(SF), CHECKS[name]) is None
 
 
-@pytest.mark.parametrize("number", range(1, 11))
+@pytest.mark.parametrize("number", range(1, 14))
 def test_every_operator_is_registered(number):
     assert sum(name.startswith(f"op{number}_") for name in QUERIES) == 1
 
