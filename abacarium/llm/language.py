@@ -70,7 +70,10 @@ def _vectors(sample: DataFrame, idf: np.ndarray, classes: list[str]) -> DataFram
     shared = sample.sparkSession.sparkContext.broadcast(idf)
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in source:
+            fresh = [order not in seen and not seen.add(order) for order in batch.column("order").to_pylist()]
+            batch = batch.filter(pa.array(fresh, pa.bool_()))
             idx, val = [], []
             for value in texts(batch):
                 total = np.zeros(1 << BITS)
@@ -113,11 +116,11 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     """A model from all rows with a text and a language.
 
     Document frequencies and language sizes come from all rows. The weights come from
-    at most about ``per_language`` rows of each language, drawn by a hash of the key,
-    which is used for nothing else. No usable rows give a model that answers ``und``.
+    at most about ``per_language`` rows of each language, drawn by a hash of key and
+    text, equal ones once; the key is used for nothing else. No usable rows give a model that answers ``und``.
     """
     known = small_batches(rows).select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"),
-                        F.xxhash64(F.col(key).cast("string"), F.lit("language")).alias("order")).where("text IS NOT NULL AND lang IS NOT NULL")
+                        F.xxhash64(F.col(key).cast("string"), F.col(text).cast("string"), F.lit("language")).alias("order")).where("text IS NOT NULL AND lang IS NOT NULL")
     sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
     classes = sorted(sizes)
     if not classes:
@@ -129,7 +132,8 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     for name, size in sizes.items():
         limit = F.when(F.col("lang") == name, int(parts * min(1.0, per_language / size))).otherwise(limit)
     place = F.pmod(F.shiftright("order", 8), F.lit(parts))
-    sample = stored(_vectors(known.where(place < limit), idf, classes), "language")
+    # Rows that repeat in a task are gone by now, those of other tasks go here.
+    sample = stored(_vectors(known.where(place < limit), idf, classes), "language").dropDuplicates(["order"])
     kept_back = F.pmod("order", F.lit(5)) == 0
     table = train(sample.where(~kept_back), 1 << BITS, len(classes), penalty)
     shared = rows.sparkSession.sparkContext.broadcast(table)
