@@ -255,7 +255,9 @@ rows_ AS (
   FROM named, unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS c(n) WHERE kind <> 0),
 placed AS (
   SELECT *, row_number() OVER (PARTITION BY key ORDER BY turn NULLS FIRST, role, text) AS i,
-         regexp_extract(text, '(?s)([^ 	-])[ 	-]*\z', 1) AS final FROM rows_),
+         regexp_extract(text, '(?s)([^ 	-
+])[ 	-
+]*\z', 1) AS final FROM rows_),
 marked AS (
   SELECT *, left(role, 1) AS initial, CASE WHEN final = '' THEN 'b' WHEN row_number() OVER (PARTITION BY key, role, text ORDER BY i) > 1 THEN 'd'
                  WHEN final NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
@@ -282,3 +284,25 @@ FROM (SELECT DISTINCT conv_id, key FROM named) LEFT JOIN facts USING (key) LEFT
 
 
 CHECKS["op11_turn_repair"] = _repair_check()
+
+#: All pairs of different lines. The operator proposes pairs by signatures, so a link may be missed with a small chance.
+CHECKS["op8_line_dedup"] = r"""
+WITH RECURSIVE d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+t AS (SELECT doc_id, i, trim(parts[i + 1], ' ') AS x FROM d, unnest(generate_series(0, len(parts) - 1)) AS u(i)),
+names AS (SELECT x, row_number() OVER () AS id FROM (SELECT DISTINCT x FROM t WHERE x <> '')),
+s AS (SELECT DISTINCT id, substr(x, j, 5) AS g FROM names, unnest(generate_series(1, greatest(1, length(x) - 4))) AS u(j)),
+n AS (SELECT id, count(*) AS n FROM s GROUP BY id),
+sized AS (SELECT s.id, g, n FROM s JOIN n USING (id)),
+p AS (
+  SELECT a.id AS x, b.id AS y, a.n + b.n AS total, count(*) AS i FROM sized a JOIN sized b ON a.g = b.g AND a.id < b.id
+  AND 10 * least(a.n, b.n) >= 8 * greatest(a.n, b.n) GROUP BY ALL),
+one AS (SELECT x, y FROM p WHERE 100 * i >= 80 * (total - i)),
+l AS (SELECT x, y FROM one UNION ALL SELECT y, x FROM one),
+r AS (SELECT id AS a, id AS b FROM names UNION SELECT r.a, l.y FROM r JOIN l ON l.x = r.b),
+c AS (SELECT a AS id, min(b) AS root FROM r GROUP BY a),
+placed AS (SELECT doc_id, i, root FROM t JOIN names USING (x) JOIN c USING (id)),
+lost AS (
+  SELECT doc_id, list(CAST(i AS INTEGER) ORDER BY i) AS dropped
+  FROM (SELECT *, row_number() OVER (PARTITION BY root ORDER BY doc_id, i) AS k FROM placed) WHERE k > 1 GROUP BY doc_id)
+SELECT doc_id, CAST(len(parts) AS BIGINT) AS n_lines, CAST(len(parts) - coalesce(len(dropped), 0) AS BIGINT) AS n_kept,
+       coalesce(dropped, CAST([] AS INTEGER[])) AS dropped FROM d LEFT JOIN lost USING (doc_id)"""

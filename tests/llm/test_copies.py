@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from abacarium.llm.components import components
 from abacarium.llm.exact_dedup import exact_groups
 from abacarium.llm.jaccard import choose, similar_groups
-from abacarium.llm.line_dedup import repeated_lines, without_lines
+from abacarium.llm.line_dedup import WIDTH, repeated_lines, without_lines
 
 
 def counted(df):
@@ -80,7 +80,7 @@ def lines_by_hand(rows):
             if line.strip(" "):
                 places.append((line.strip(" "), (d is None, d or 0, at), i))
                 seen.setdefault(line.strip(" "), len(seen))
-    sets = [frozenset(s[i:i + 12] for i in range(max(1, len(s) - 11))) for s in seen]
+    sets = [frozenset(s[i:i + WIDTH] for i in range(max(1, len(s) - WIDTH + 1))) for s in seen]
     links = brute.Union()
     for i, a in enumerate(sets):
         links.root(i)
