@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from abacarium.llm import toxicity
 from abacarium.llm.bbit_minhash import near_copies
@@ -145,7 +145,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_lines(read_table(spark, sf_dir, "documents"))
+    found = repeated_lines(read_table(spark, sf_dir, "documents"))
+    return found.withColumn("dropped", F.array_join(F.col("dropped").cast("array<string>"), ","))
 
 
 @query
@@ -302,7 +303,7 @@ r AS (SELECT id AS a, id AS b FROM names UNION SELECT r.a, l.y FROM r JOIN l ON
 c AS (SELECT a AS id, min(b) AS root FROM r GROUP BY a),
 placed AS (SELECT doc_id, i, root FROM t JOIN names USING (x) JOIN c USING (id)),
 lost AS (
-  SELECT doc_id, list(CAST(i AS INTEGER) ORDER BY i) AS dropped
+  SELECT doc_id, string_agg(CAST(i AS VARCHAR), ',' ORDER BY i) AS dropped, count(*) AS gone
   FROM (SELECT *, row_number() OVER (PARTITION BY root ORDER BY doc_id, i) AS k FROM placed) WHERE k > 1 GROUP BY doc_id)
-SELECT doc_id, CAST(len(parts) AS BIGINT) AS n_lines, CAST(len(parts) - coalesce(len(dropped), 0) AS BIGINT) AS n_kept,
-       coalesce(dropped, CAST([] AS INTEGER[])) AS dropped FROM d LEFT JOIN lost USING (doc_id)"""
+SELECT doc_id, CAST(len(parts) AS BIGINT) AS n_lines, CAST(len(parts) - coalesce(gone, 0) AS BIGINT) AS n_kept,
+       coalesce(dropped, '') AS dropped FROM d LEFT JOIN lost USING (doc_id)"""
