@@ -31,6 +31,8 @@ def _plain(value):
         return repr(float(value)) if isinstance(value, float) else int(value)
     if isinstance(value, dt.datetime):
         return value.replace(tzinfo=None).isoformat()
+    if isinstance(value, list):
+        return tuple(_plain(v) for v in value)
     return value
 
 
