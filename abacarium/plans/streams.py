@@ -12,6 +12,7 @@ from abacarium.plans.catalog import query
 from abacarium.plans.tables import DECLARED, Tables
 from abacarium.session import scratch_path
 from abacarium.sources.snapshots import SnapshotTable
+from abacarium.streaming.changes import current_rows, stream_changes
 from abacarium.streaming.feeds import read_feed, stream_facts, stream_merge
 
 _FILES_PER_BATCH = 2
@@ -42,6 +43,20 @@ def stream_merge_dim(t: Tables) -> DataFrame:
     return table.read().select("o_custkey", *_TRACKED, "o_orderkey")
 
 
+@query("stream_changes", """
+SELECT o_custkey, o_orderpriority, o_orderstatus, true AS counted FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE) DESC, o_orderkey DESC) AS rn FROM orders)
+WHERE rn = 1""")
+def stream_changed(t: Tables) -> DataFrame:
+    rows = t.orders.select("o_custkey", *_TRACKED, F.to_date("o_orderdate").alias("day"), "o_orderkey")
+    path = scratch_path(t.spark, "changes")
+    stream_changes(_feed(rows, "day"), path, "o_custkey", _TRACKED, ["day", "o_orderkey"], scratch_path(t.spark, "progress")).awaitTermination()
+    changes = t.spark.read.parquet(path)
+    # Versions count the changes of a key, without a gap.
+    versions = changes.groupBy("o_custkey").agg((F.max("version") == F.count(F.lit(1))).alias("counted"))
+    return current_rows(changes, "o_custkey").select("o_custkey", *_TRACKED).join(versions, "o_custkey")
+
+
 @query("stream_fact", """
 SELECT DISTINCT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS ship_date,
        CASE WHEN strftime(l_shipdate, '%Y-%m') BETWEEN '1996-01' AND '1996-12'

@@ -10,6 +10,7 @@ from abacarium.operators.facts import MonthRange
 from abacarium.schemas import table
 from abacarium.session import scratch_path
 from abacarium.sources.snapshots import SnapshotTable
+from abacarium.streaming.changes import current_rows, stream_changes
 from abacarium.streaming.feeds import dedupe_bounded, read_feed, stream_facts, stream_merge
 
 FEED = table("id int?, city string?, day date?")
@@ -41,6 +42,33 @@ def test_dimension_stream(spark):
     assert run()[1] == ("B", DAY[3]) and dimension.state() == version
 
 
+def test_changes_of_a_dimension(spark):
+    feed, progress, path = (scratch_path(spark, name) for name in ("feed", "progress", "changes"))
+    store = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+
+    def run():
+        stream = stream_changes(read_feed(spark, feed, FEED), path, "id", ["city"], ["day"], progress)
+        stream.awaitTermination()
+        written = sum(p["numInputRows"] > 0 for p in stream.recentProgress)
+        updates = sum(op["numRowsUpdated"] for p in stream.recentProgress for op in p["stateOperators"])
+        rows = spark.read.parquet(path)
+        return {r["id"]: (r["city"], r["version"]) for r in current_rows(rows, "id").collect()}, rows.count(), written, updates
+
+    _drop(spark, feed, [(i, "A", DAY[0]) for i in range(200)] + [(1, "B", DAY[1]), (1, "A", DAY[0]), (None, "X", DAY[0])])
+    now, rows, _, _ = run()
+    assert len(now) == 200 and rows == 200 and now[1] == ("B", 1) and now[7] == ("A", 1)
+    # After a restart the state is there: a change, a late row, a newer row without a change, a repeated one.
+    _drop(spark, feed, [(2, "C", DAY[1]), (1, "Z", DAY[0]), (3, "A", DAY[2]), (4, "A", DAY[0]), (5, None, DAY[1])])
+    now, rows, batches, updates = run()
+    assert batches == 1 and rows == 202 and updates <= 5, "a batch costs what it brings"
+    assert now[2] == ("C", 2) and now[1] == ("B", 1) and now[3] == ("A", 1) and now[5] == (None, 2)
+    _drop(spark, feed, [(3, "D", DAY[1]), (2, "C", DAY[3])])  # older than the newer row of 3, which gave no output
+    now, rows, _, _ = run()
+    assert rows == 202 and now[3] == ("A", 1) and now[2] == ("C", 2)
+    assert run()[:2] == (now, rows)
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) == store
+
+
 def test_fact_stream(spark):
     schema = table("order_id int?, order_date date?, amount int?")
     feed, progress, path = (scratch_path(spark, name) for name in ("feed", "progress", "fact"))
