@@ -107,9 +107,11 @@ _SIGN = re.compile(
 #: Domain endings that the bare words must lead to.
 _ENDINGS = "com|org|net|edu|gov|int|mil|info|biz|io|ai|app|dev|co|eu|uk|us|de|fr|es|it|nl|ch|at|be|test|example|local|invalid"
 #: The bare words, only where a whole address of that form stands: name at host dot ending.
-_BARE = re.compile(
-    rf"(?i)(?<![\w.@%+-])[a-z0-9._%+-]+(?:\s{{1,2}}dot\s{{1,2}}[a-z0-9_%+-]+)*(?P<at>\s{{1,2}}at\s{{1,2}}|@)[a-z0-9-]+"
-    rf"(?:(?:\s{{1,2}}dot\s{{1,2}}|\.)[a-z0-9-]+)*(?:\s{{1,2}}dot\s{{1,2}}|\.)(?:{_ENDINGS})(?![\w-])")
+_AT = re.compile(r"(?i)\s{1,2}at\s{1,2}|@")
+_HOST = re.compile(rf"(?i)[a-z0-9-]+(?:(?:\s{{1,2}}dot\s{{1,2}}|\.)[a-z0-9-]+)*(?:\s{{1,2}}dot\s{{1,2}}|\.)(?:{_ENDINGS})(?![\w-])")
+_NAME_CHAR = re.compile(r"(?i)[a-z0-9._%+-]")
+_BEFORE_NAME = re.compile(r"[\w.@%+-]")
+_DOT_BEFORE = re.compile(r"(?i)\s{1,2}dot\s{1,2}\Z")
 #: An address with blanks around its signs; only endings that are no words of a language.
 _SPACED = re.compile(
     rf"(?i)(?<![\w.@%+-])[a-z0-9._%+-]+(?P<at>\s{{1,2}}@\s{{0,2}}|@\s{{1,2}})[a-z0-9-]+(?:\s{{0,2}}\.\s{{0,2}}[a-z0-9-]+)*\s{{0,2}}\.\s{{0,2}}(?:com|org|net|edu|gov|io|info|biz)(?![\w-])")
@@ -117,7 +119,7 @@ _SPACED_DOT = re.compile(r"\s{1,2}\.\s{0,2}|\.\s{1,2}")
 _DOT = re.compile(r"(?i)\s{1,2}dot\s{1,2}")
 _ODD = re.compile("[^\x00-\x7f\xa1-ɏ‘-‟]")
 _BRACKET = re.compile(r"(?i)[\[({<]\s{0,2}(?:at|dot|arroba|ät|arobase|punkt|punto|point|@|\.)\s{0,2}[\])}>]")
-#: What every match of _BY_DOT and _DIGIT_DOT and every edit by _BARE holds; then what every match of _SPACED holds.
+#: What every match of _BY_DOT and _DIGIT_DOT and every edit of a bare address holds; then what every match of _SPACED holds.
 _DOT_WORD = re.compile(r"(?i)\bdot\s")
 _SPARSE = re.compile(r"\s@|@\s")
 #: Each transducer's pattern, or one that matches wherever it does. A text without any is left
@@ -191,16 +193,52 @@ def spelled_digits(tape: Tape) -> None:
     tape.rewrite([(m.start(), m.end(), "+") for m in _PLUS.finditer(tape.text)])
 
 
+def _name_start(text: str, end: int, least: int) -> int | None:
+    """Where a name with bare dots that ends at ``end`` begins, as far left as it may, not before ``least``."""
+    start, at = None, end
+    while True:
+        first = at
+        while first > least and _NAME_CHAR.match(text, first - 1):
+            first -= 1
+        if first == at:
+            return start
+        if first == 0 or not _BEFORE_NAME.match(text, first - 1):
+            start = first
+        dot = None if "." in text[first:at] else _DOT_BEFORE.search(text[max(least, first - 7) : first])
+        if dot is None:
+            return start
+        at = first - (dot.end() - dot.start())
+
+
+def bare_addresses(text: str) -> Iterator[tuple[int, int, tuple[int, int]]]:
+    """Start, end and the stretch of the sign of each address in bare words, from the left.
+
+    Each sign is looked at once, with the words that lead to it and from it, so a long
+    chain of words does not start over at each of them.
+    """
+    least = at = 0
+    while sign := _AT.search(text, at):
+        at = sign.start() + 1
+        host = _HOST.match(text, sign.end())
+        start = _name_start(text, sign.start(), least) if host else None
+        if start is not None:
+            yield start, host.end(), sign.span()
+            least = at = host.end()
+
+
 def signs(tape: Tape) -> None:
     tape.rewrite([(m.start(), m.end(), "@" if m["at"] else ".") for m in _SIGN.finditer(tape.text)])
     tape.rewrite([(m.start(), m.end(), ".") for m in _DIGIT_DOT.finditer(tape.text)])
-    for form, dot, needed in ((_BARE, _DOT, True), (_SPACED, _SPACED_DOT, False)):
-        edits = []
-        for m in form.finditer(tape.text):
-            dots = list(dot.finditer(tape.text, m.start(), m.end()))
-            if dots or not needed:
-                edits += sorted([(*m.span("at"), "@"), *((d.start(), d.end(), ".") for d in dots)])
-        tape.rewrite(edits)
+    edits = []
+    for start, end, sign in bare_addresses(tape.text):
+        dots = list(_DOT.finditer(tape.text, start, end))
+        if dots:
+            edits += sorted([(*sign, "@"), *((d.start(), d.end(), ".") for d in dots)])
+    tape.rewrite(edits)
+    edits = []
+    for m in _SPACED.finditer(tape.text):
+        edits += sorted([(*m.span("at"), "@"), *((d.start(), d.end(), ".") for d in _SPACED_DOT.finditer(tape.text, m.start(), m.end()))])
+    tape.rewrite(edits)
 
 
 def disguised(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
@@ -234,7 +272,7 @@ def find_personal(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     then kind, and the four numbers count them; ``base_spans`` lists the plain ones,
     whose digest is ``base_sha256``. Plain spans are never changed or dropped; a
     disguised span is added unless a plain span of its kind covers it, so a plain match
-    on the rest of a disguised identifier is listed next to the whole one. NULL and empty texts have no
+    on the rest of a disguised identifier is listed, and counted, next to the whole one. NULL and empty texts have no
     spans; repeated rows give equal answers; an empty table works; other columns are
     ignored.
     """
