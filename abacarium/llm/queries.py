@@ -107,8 +107,8 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_sums(length_histogram(token_lengths(docs, build_encoder(docs, vocabulary_path()))))
 
 
-#: Bytes of text that a shard of op4 may hold.
-SHARD_BYTES = 64 << 20
+#: Bytes of text that a shard of op4 may hold; small enough that the given tables are split over several levels.
+SHARD_BYTES = 64 << 10
 
 
 @query

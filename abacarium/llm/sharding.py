@@ -86,8 +86,20 @@ def assign_shards(docs: DataFrame, limit: int, key: str = "doc_id", text: str =
                         F.col("docs").alias("shard_docs"), "fits")
 
 
-def write_shards(docs: DataFrame, limit: int, path: str, key: str = "doc_id", text: str = "text") -> None:
-    """Write ``docs`` as Parquet with one folder per shard; a shard, being bounded, is written by one task."""
-    shards = assign_shards(docs, limit, key, text).select(F.col(key).alias("_key"), "shard").distinct()
-    joined = docs.join(shards, docs[key].cast("long").eqNullSafe(shards["_key"])).drop("_key")
-    joined.repartition("shard").write.partitionBy("shard").parquet(path)
+def write_shards(docs: DataFrame, limit: int, path: str, key: str = "doc_id", text: str = "text") -> str:
+    """Write ``docs`` as Parquet with one folder per shard; returns the name of the folder column.
+
+    That name is ``shard``, with underscores in front if ``docs`` has such a column. A
+    shard that fits is written by one task; one that cannot (a single long document, or
+    one repeated key) is dealt to as many tasks as limits fit into it.
+    """
+    def free(name: str) -> str:
+        return free("_" + name) if name in docs.columns else name
+
+    folder, own, parts = free("shard"), free("_key"), free("_parts")
+    many = F.when(F.col("fits"), 1).otherwise(F.ceil(F.col("shard_bytes") / limit))
+    shards = assign_shards(docs, limit, key, text).select(F.col(key).alias(own), F.col("shard").alias(folder), many.cast("int").alias(parts)).distinct()
+    joined = docs.join(shards, docs[key].cast("long").eqNullSafe(shards[own])).drop(own)
+    dealt = joined.withColumn(parts, F.pmod(F.monotonically_increasing_id(), F.col(parts).cast("long")))
+    dealt.repartition(folder, parts).drop(parts).write.partitionBy(folder).parquet(path)
+    return folder

@@ -178,6 +178,32 @@ def test_repeated_rows_survive_the_exact_stage_once(spark):
     assert sorted((r["doc_id"] or 0, r["text"] or "") for r in out) == [(0, "d"), (1, "a b"), (3, "c"), (4, "")]
 
 
+def test_the_longest_original_of_a_repeated_id_stays(spark):
+    rows = [(1, "a b"), (1, "a    b"), (2, "ab"), (None, "c"), (None, " c"), (3, None), (3, "   ")]
+    for order in (rows, rows[::-1]):
+        out = corpus_pipeline.exact_dedup(spark, spark.createDataFrame(order, "doc_id bigint, text string").coalesce(1), SF)
+        assert sorted((r["doc_id"] or 0, r["text"]) for r in out.collect()) == [(0, " c"), (1, "a    b"), (3, "   ")]
+
+
+def test_stages_with_null_and_empty_texts_and_empty_tables(spark):
+    rows = [(1, None, "k"), (2, "", "k"), (3, " \n ", "k"), (3, " \n ", "k"), (None, None, None), (4, "some words of a text", "k")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _row string")
+    near = corpus_pipeline.near_dedup(spark, docs, SF)
+    assert near.columns == docs.columns and near.count() == len(rows), "texts without words are alike with nothing"
+    assert corpus_pipeline.decontamination(spark, docs, SF).count() == len(rows)
+    assert {r["doc_id"]: r["n_tokens"] for r in corpus_pipeline.encoding(spark, docs, SF).collect()}[2] == 0
+    for name, stage in corpus_pipeline.STAGES[1:]:
+        empty = stage(spark, docs.limit(0), SF)
+        assert empty.count() == 0 and (name == "encoding" or empty.columns == docs.columns)
+
+
+def test_the_pipeline_on_empty_documents(spark, tmp_path):
+    for name in ("documents", "benchmark", "labels"):
+        table = read_table(spark, SF, name)
+        (table.limit(0) if name == "documents" else table).write.parquet(str(tmp_path / f"{name}.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_stages_judge_rows_with_null_or_equal_ids_one_by_one(spark):
     near = " ".join(f"v{i}" for i in range(400))
     item = read_table(spark, SF, "benchmark").first()["text"]

@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter
 from pathlib import Path
 
@@ -239,3 +240,39 @@ def test_shards_are_written_whole(spark, tmp_path):
     back = spark.read.option("basePath", str(tmp_path / "out")).schema("doc_id bigint, text string, shard string").parquet(str(tmp_path / "out"))
     assert counted(back.select("doc_id", "text")) == counted(docs)
     assert back.groupBy("shard").agg(F.sum(F.octet_length("text")).alias("b")).agg(F.max("b")).first()[0] <= 300
+
+
+def test_shards_are_written_with_clashing_columns_and_documents_above_the_limit(spark, tmp_path):
+    rows = [(i, "y" * 50, "own", 1) for i in range(40)] + [(100, "z" * 400, "own", 1) for _ in range(30)] + [(None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, shard string, _key int").repartition(3)
+    path, merge = str(tmp_path / "out"), "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merge, "false")  # which would make one task of so few rows
+    try:
+        assert write_shards(docs, 500, path) == "_shard"
+    finally:
+        spark.conf.unset(merge)
+    back = spark.read.option("basePath", path).schema("doc_id bigint, text string, shard string, _key int, _shard string").parquet(path)
+    assert counted(back.drop("_shard")) == counted(docs)
+    large = back.where("doc_id = 100")
+    assert large.select("_shard").distinct().count() == 1 and large.select(F.input_file_name()).distinct().count() > 1
+
+
+#: The bare addresses as one pattern, which tries every word as a beginning.
+_WHOLE = re.compile(
+    rf"(?i)(?<![\w.@%+-])[a-z0-9._%+-]+(?:\s{{1,2}}dot\s{{1,2}}[a-z0-9_%+-]+)*(?P<at>\s{{1,2}}at\s{{1,2}}|@)[a-z0-9-]+"
+    rf"(?:(?:\s{{1,2}}dot\s{{1,2}}|\.)[a-z0-9-]+)*(?:\s{{1,2}}dot\s{{1,2}}|\.)(?:{pii._ENDINGS})(?![\w-])")
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(["a", "b.c", "x-y", "at", "dot", "com", "de", "@", ".", " ", "  ", " at ", " dot ", "é", "_", "%", "info", "AT", "Dot"]), max_size=24))
+def test_bare_addresses_are_those_of_the_whole_pattern(parts):
+    for text in ("".join(parts), " ".join(parts)):
+        assert list(pii.bare_addresses(text)) == [(m.start(), m.end(), m.span("at")) for m in _WHOLE.finditer(text)]
+
+
+@pytest.mark.parametrize("part", ["a dot ", "a at ", "dot ", "a@", "at dot ", "a at b dot "])
+def test_a_megabyte_of_disguises_takes_no_time(part):
+    text = part * (1_000_000 // len(part))
+    began = time.time()
+    list(pii.bare_addresses(text))
+    assert time.time() - began < 5
