@@ -36,7 +36,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The longest original of each group of equal texts; a row repeated in full stays once."""
+    """The longest original of each group of equal texts, of equally long ones that of the smallest id; one row of each group stays."""
     kept = stored(exact_groups(docs).where("kept").select(F.col("doc_id").alias("_id"), "text_sha256"), "kept")
     digest = "_digest"
     while digest in docs.columns:
@@ -45,7 +45,11 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     chosen = kept.distinct()
     out = marked.join(chosen, marked["doc_id"].eqNullSafe(chosen["_id"]) & (marked[digest] == chosen["text_sha256"]), "left_semi")
     if not kept.groupBy("_id", "text_sha256").count().where("count > 1").isEmpty():
-        out = out.dropDuplicates(["doc_id", digest])
+        # An id that repeats: of its rows the longest, then the first.
+        rows, row = _numbered(out)
+        rank = F.struct((-F.length(F.coalesce(F.col("text"), F.lit("")))).alias("size"), F.col(row).alias("at"))
+        first = rows.groupBy("doc_id", digest).agg(F.min(rank).alias("stays")).select(F.col("stays.at").alias(row))
+        out = rows.join(first, row, "left_semi").drop(row)
     return out.drop(digest)
 
 
