@@ -13,7 +13,7 @@ from abacarium.plans.tables import DECLARED, Tables
 from abacarium.session import scratch_path
 from abacarium.sources.snapshots import SnapshotTable
 from abacarium.streaming.changes import current_rows, stream_changes
-from abacarium.streaming.feeds import read_feed, stream_facts, stream_merge
+from abacarium.streaming.feeds import dedupe_bounded, read_feed, stream_facts, stream_merge
 
 _FILES_PER_BATCH = 2
 _TRACKED = ["o_orderpriority", "o_orderstatus"]
@@ -71,3 +71,14 @@ def stream_fact(t: Tables) -> DataFrame:
     stream.awaitTermination()
     fact = t.spark.read.schema(rows.withColumn("order_month", partition_of("l_shipdate", DECLARED)).schema).parquet(path)
     return fact.select("l_orderkey", "l_linenumber", F.to_date("l_shipdate").alias("ship_date"), "order_month")
+
+
+@query("stream_dedupe", "SELECT event_id, user_id, event_type FROM events")
+def stream_dedupe(t: Tables) -> DataFrame:
+    # Every event arrives twice, in one file or in two; the delay covers the whole feed.
+    rows = t.events.select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("at"))
+    feed = _feed(rows.unionByName(rows), "at").withColumn("at", F.col("at").cast("timestamp"))
+    path = scratch_path(t.spark, "deduped")
+    dedupe_bounded(feed, ["event_id"], "at", "5000 days").writeStream.format("parquet").option("path", path).option(
+        "checkpointLocation", scratch_path(t.spark, "progress")).trigger(availableNow=True).start().awaitTermination()
+    return t.spark.read.schema(rows.schema).parquet(path).select("event_id", "user_id", "event_type")
