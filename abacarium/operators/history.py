@@ -1,11 +1,11 @@
-"""Versioned dimensions, cohorts, stock and archived months."""
+"""Versioned dimensions, cohorts and stock."""
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from abacarium.functions import month_label, month_start, percentage
 from abacarium.operators.windows import dedupe_latest
@@ -66,13 +66,6 @@ def decrement_stock(products: DataFrame, key: str, stock: str, lines: DataFrame,
     )
 
 
-def archive_partition(spark: SparkSession, table: str, partition: str, value: str, archive: str) -> DataFrame:
-    """Copy one partition of a catalogue table to ``archive``, then drop it from the table."""
-    spark.table(table).where(F.col(partition) == value).write.mode("append").partitionBy(partition).parquet(archive)
-    spark.sql(f"ALTER TABLE {table} DROP PARTITION ({partition} = '{value}')")
-    return spark.table(table)
-
-
 def with_holidays(dates: DataFrame, holidays: DataFrame) -> DataFrame:
     """Flag the days of the calendar that are listed in ``holidays (full_date)``."""
     listed = holidays.select("full_date").distinct().withColumn("_holiday", F.lit(True))

@@ -4,9 +4,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from abacarium.operators.history import archive_partition, cohort_retention, decrement_stock, merge_versions
+from abacarium.operators.history import cohort_retention, decrement_stock, merge_versions
 from abacarium.schemas import table
-from abacarium.session import scratch_path
 
 T1, T2, T3 = (dt.datetime(2026, 7, d) for d in (1, 2, 3))
 HISTORY = table("id int?, city string?, valid_from time?, valid_to time?, is_current bool?")
@@ -38,14 +37,3 @@ def test_stock(spark, shop):
         shop["products"], "product_id", "stock_qty",
         shop["order_items"].withColumnRenamed("product_id", "p"), "p", "quantity").collect()}
     assert left[4] == (-1, True) and left[15] == (490, False) and left[14] == (30, False)
-
-
-def test_archive_a_month(spark):
-    spark.sql("DROP TABLE IF EXISTS archive_demo")
-    rows = [(1, "2026-07"), (2, "2026-07"), (3, "2026-08")]
-    spark.createDataFrame(rows, "id int, order_month string").write.partitionBy("order_month").saveAsTable("archive_demo")
-    archive = scratch_path(spark, "archive")
-    left = archive_partition(spark, "archive_demo", "order_month", "2026-07", archive)
-    assert [r["id"] for r in left.collect()] == [3]
-    assert sorted(r["id"] for r in spark.read.parquet(archive).collect()) == [1, 2]
-    spark.sql("DROP TABLE archive_demo")
