@@ -95,20 +95,23 @@ def settle(layout: DataFrame) -> DataFrame:
     """Per piece its ``start``, ``floor`` and ``low``: the balance it opens with, and what it must not fall below."""
     inside = Window.partitionBy(*_PIECE).orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     sums = layout.withColumn("sum", F.sum(_effect()).over(inside))
-    pieces = stored(sums.groupBy(*_PIECE).agg(
+    pieces = sums.groupBy(*_PIECE).agg(
         F.max("opening").alias("opening"), F.max("floor").alias("floor"), F.sum(_effect()).alias("free"),
         # Only withdrawals are refused; a piece without any can have no refusal.
-        F.coalesce(F.min(F.when((F.col("cents") < 0) & F.col("early").isNull(), F.col("sum"))), F.lit(1 << 62)).alias("low")), "pieces")
+        F.coalesce(F.min(F.when((F.col("cents") < 0) & F.col("early").isNull(), F.col("sum"))), F.lit(1 << 62)).alias("low"))
+    # Nothing opens with what an account's last piece closes with, so accounts inside one slice need neither pass.
+    follower = F.lead("slice").over(Window.partitionBy("account_id").orderBy("slice"))
+    pieces = stored(pieces.withColumn("goes_on", follower.isNotNull()), "pieces")
     kind = layout.schema["account_id"].dataType.simpleString()
 
     # Round 1: what a piece may close with if it is not calm.
-    hard = pieces.where(F.least("floor", "opening") + F.col("low") < F.col("floor")).select(*_PIECE, "low")
+    hard = pieces.where("goes_on").where(F.least("floor", "opening") + F.col("low") < F.col("floor")).select(*_PIECE, "low")
     bounds = _fold(join_null_safe(layout.where(_effect() != 0), hard, _PIECE), _bounder(), f"account_id {kind}, slice int, least bigint, most bigint")
     bounded = stored(join_null_safe(pieces, bounds, _PIECE, "left").fillna(0, ["least", "most"]), "bounds")
     ranges = stored(_along(bounded, _ranger(), f"account_id {kind}, slice int, lowest bigint, highest bigint"), "ranges")
     # Round 2: the step functions of pieces that may refuse something.
     known = join_null_safe(pieces, ranges, _PIECE)
-    unsure = known.where(F.col("lowest") + F.col("low") < F.col("floor")).select(*_PIECE, "lowest", "highest")
+    unsure = known.where("goes_on").where(F.col("lowest") + F.col("low") < F.col("floor")).select(*_PIECE, "lowest", "highest")
     steps = _fold(join_null_safe(layout.where(_effect() != 0), unsure, _PIECE), _stepper(), f"account_id {kind}, slice int, at array<bigint>, moves array<bigint>")
     functions = stored(join_null_safe(pieces, steps, _PIECE, "left"), "functions")
     starts = _along(functions, _opener(), f"account_id {kind}, slice int, start bigint")
@@ -295,7 +298,7 @@ def _opener() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
                 out.append((account, slice_no, balance))
                 if balance + low >= floor:
                     balance += free
-                else:
+                elif at is not None:
                     balance += int(moves[bisect.bisect_right(at, balance) - 1])
             yield pd.DataFrame(out, columns=["account_id", "slice", "start"])
 
