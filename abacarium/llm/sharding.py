@@ -15,7 +15,8 @@ from abacarium.llm.common import stored
 
 #: Bits of the hash that splits may use: the first 15 hexadecimal digits of an MD5.
 HASH_BITS = 60
-LEVELS = 12
+#: Levels that one aggregate settles. What does not fit then is read once more, so few tables should get there.
+LEVELS = 16
 
 
 def key_hash(key: Column) -> Column:
@@ -61,7 +62,7 @@ def directory(docs: DataFrame, limit: int) -> DataFrame:
         full = found.where("NOT fits")
         if bottom == HASH_BITS or full.isEmpty():
             return done
-        open_rows = open_rows.withColumn("prefix", _prefix(F.col("hash"), bottom)).join(full.select("prefix"), "prefix", "left_semi").drop("prefix")
+        open_rows = stored(open_rows.withColumn("prefix", _prefix(F.col("hash"), bottom)).join(full.select("prefix"), "prefix", "left_semi").drop("prefix"), "open")
         top = bottom
 
 
