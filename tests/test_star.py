@@ -101,6 +101,22 @@ def test_rollup_labels_and_distinct(star):
     assert report.where("state = 'Region subtotal'").count() == 4
 
 
+def test_rollup_distinct_without_a_table_of_values(spark):
+    rows = [("a", "x", 1, 1), ("a", "x", 1, 2), ("a", "y", 1, 4), ("b", "x", 1, 8), (None, "x", 1, 16), (None, None, 2, 32),
+            ("b", "z", None, 64), ("c", "x", None, 128), ("a", None, 2, 256), ("a", "x", 3, 512)]
+    df = spark.createDataFrame(rows, "r string, s string, item int, amount int")
+    report = rollup_report(df, ["r", "s"], {"amount": "amount"}, {"r": "ALL", "s": "all"}, distinct={"items": "item"})
+    plain = df.rollup("r", "s").agg(F.sum("amount").alias("amount"), F.countDistinct("item").alias("items"),
+                                    F.grouping("r").alias("_g_r"), F.grouping("s").alias("_g_s"))
+    columns = ["items", "amount", "_g_r", "_g_s"]
+    assert sorted(map(str, report.select(*columns).collect())) == sorted(map(str, plain.select(*columns).collect()))
+    assert report.where("_g_r = 1").first()["items"] == 3 and report.where("r = 'c'").first()["items"] == 0
+    # A task sorts values, which can go to disk in pieces; it aggregates and expands groups of levels only.
+    text = report._jdf.queryExecution().executedPlan().toString()
+    assert not any("Aggregate(" in line and "item#" in line for line in text.splitlines()), text
+    assert report.schema["items"].dataType == plain.schema["items"].dataType and not report.schema["items"].nullable
+
+
 def test_month_over_month(months):
     rows = period_over_period(months, "yr_month", "revenue").withColumn("trend", trend("revenue", "prev")).orderBy(
         "yr_month").collect()
