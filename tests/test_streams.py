@@ -5,16 +5,18 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from abacarium.operators.facts import MonthRange
 from abacarium.schemas import table
 from abacarium.session import scratch_path
 from abacarium.sources.snapshots import SnapshotTable
-from abacarium.streaming.changes import current_rows, stream_changes
+from abacarium.streaming.changes import changed_rows, current_rows, stream_changes
 from abacarium.streaming.feeds import dedupe_bounded, read_feed, stream_facts, stream_merge
 
 FEED = table("id int?, city string?, day date?")
 DIMENSION = table("id int?, city string?, day date?, is_active bool?, created_at time?, updated_at time?")
+STORE = "spark.sql.streaming.stateStore.providerClass"
 DAY = [dt.date(2026, 7, d) for d in range(1, 5)]
 
 
@@ -69,6 +71,35 @@ def test_changes_of_a_dimension(spark):
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) == store
 
 
+def test_keys_share_calls_to_the_state(spark):
+    schema = StructType.fromDDL("id double, city string, day date, at timestamp")
+    feed, progress, path = (scratch_path(spark, name) for name in ("feed", "progress", "changes"))
+
+    def run():
+        rows = changed_rows(read_feed(spark, feed, schema), "id", ["city"], ["day", "at"], buckets=8)
+        stream = rows.writeStream.format("parquet").option("path", path).option(
+            "checkpointLocation", progress).trigger(availableNow=True).start()
+        stream.awaitTermination()
+        return sum(op["numRowsUpdated"] for p in stream.recentProgress for op in p["stateOperators"])
+
+    before = spark.conf.get(STORE, None)
+    spark.conf.set(STORE, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        nan, at = float("nan"), dt.datetime(2026, 7, 1, 5)
+        _drop(spark, feed, [(float(i), "A", DAY[0], None) for i in range(300)] + [(nan, "A", DAY[0], at), (nan, "B", DAY[1], at), (None, "X", DAY[3], at)], schema)
+        assert run() <= 8, "one update for a bucket, not for a key"
+        _drop(spark, feed, [(float(i), "A" if i % 2 else None, DAY[1], at) for i in range(100)] + [(nan, "C", DAY[1], None), (-0.0, "Z", DAY[0], at)], schema)
+        assert run() <= 8
+        _drop(spark, feed, [(float(i), "B", DAY[0], at) for i in range(300)] + [(nan, "C", DAY[2], None)], schema)
+        assert run() <= 8
+    finally:
+        spark.conf.unset(STORE) if before is None else spark.conf.set(STORE, before)
+    now = {str(r["id"]): (r["city"], r["version"], r["at"]) for r in current_rows(spark.read.parquet(path), "id").collect()}
+    assert len(now) == 301 and now["nan"] == ("C", 2, None)
+    # Z for -0.0, a late row of 0, changes nothing; B of the first day is newer than A without a time.
+    assert now["0.0"] == (None, 2, at) and now["1.0"] == ("A", 1, None) and now["200.0"] == ("B", 2, at)
+
+
 def test_fact_stream(spark):
     schema = table("order_id int?, order_date date?, amount int?")
     feed, progress, path = (scratch_path(spark, name) for name in ("feed", "progress", "fact"))
