@@ -79,7 +79,8 @@ class Automaton:
             with os.fdopen(handle, "wb") as out:
                 out.write(block)
             os.replace(own, path)
-        mapped = np.memmap(path, np.uint8, "r")
+        # As a plain array: every slice of a memmap object goes through Python.
+        mapped = np.asarray(np.memmap(path, np.uint8, "r"))
         lengths, at = mapped[: 8 * len(_PARTS)].view("<i8"), 8 * len(_PARTS)
         for name, kind, length in zip(_PARTS, _TYPES, lengths.tolist(), strict=True):
             setattr(self, name, mapped[at : at + length].view(kind))
@@ -109,5 +110,9 @@ class Automaton:
         """The ids of word ``number``."""
         return self.ids[self.offsets[number] : self.offsets[number + 1]].tolist()
 
+    def outputs(self, numbers: np.ndarray) -> list[list[int]]:
+        """The ids of many words."""
+        return [self.ids[lo:hi].tolist() for lo, hi in zip(self.offsets[numbers].tolist(), self.offsets[numbers + 1].tolist(), strict=True)]
+
 
 by_value(__name__)

@@ -20,6 +20,7 @@ import unicodedata
 from array import array
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate, chain
 from pathlib import Path
 
 import numpy as np
@@ -42,14 +43,21 @@ def _splitter() -> re.Pattern:
         return "".join(f"\\u{c:04x}" for c in range(_LIMIT) if regex.match(kind, chr(c)))
 
     letter, number, space = listed(r"\p{L}"), listed(r"\p{N}"), listed(r"\s")
-    return re.compile(f"'(?:[stmd]|re|ve|ll)|[{letter}]+|[{number}]|[^{space}{letter}{number}]+")
+    # Letters first: only the last two begin alike.
+    return re.compile(f"[{letter}]+|[{number}]|'(?:[stmd]|re|ve|ll)|[^{space}{letter}{number}]+")
 
 
 _SPLIT = _splitter()
 _LATER = re.compile("[԰-\U0010ffff]")
+#: White space for ``str.split`` that is none for the word rule.
+_NO_SPACE = re.compile("[\x1c-\x1f]")
 _NEVER = 1 << 62
-_FLUSH = 400_000
-_KEEP = 250_000
+_NONE = np.iinfo(np.int32).max
+#: Widths of the tables in which words are merged together; fewer than ``_FEW`` words, or longer ones, go one by one.
+_WIDTHS, _FEW = (4, 8, 12, 16, 24, 32, 64), 64
+_FLUSH, _FOLD = 400_000, 200_000
+#: Words outside the lexicon that are remembered.
+_KEEP = 150_000
 
 
 def byte_letters() -> list[str]:
@@ -75,12 +83,26 @@ class Encoder:
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             self.merges[vocab[a], vocab[b]] = rank << 20 | vocab[a + b]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        # Sorted pairs with their ranks, and the id that each rank makes, for many words at once.
+        pairs = np.array([a << 20 | b for a, b in self.merges] + [_NEVER], np.int64)
+        found = np.array([v >> 20 for v in self.merges.values()] + [_NONE], np.int32)
+        order = np.argsort(pairs)
+        self.pairs, self.ranks = pairs[order], found[order]
+        self.made = np.zeros(len(model["merges"]), np.int32)
+        self.made[found[:-1]] = [v & 0xFFFFF for v in self.merges.values()]
         self.numbers = {i: str(i) for i in [*vocab.values(), *self.special.values()]}
         self.tokens = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.lexicon = Automaton(lexicon) if lexicon else None
         self.library = None
-        self.known: dict[str, tuple] = {}
+        # Entries in columns, a number for each: single objects per word would be work for Python's garbage collector.
+        self.sizes: list[int] = []
+        self.as_numbers: list[str] = []
+        self.as_tokens: list[str] = []
+        self.as_bytes: list[bytes] = []
+        self.known: dict[str, int] = {}
+        # The numbers of special tokens and of words in the lexicon, which stay.
+        self.kept = self._remember(list(self.special), [[i] for i in self.special.values()])
 
     def merge(self, word: bytes) -> list[int]:
         """Merge the bytes of one word, always the pair of lowest rank first."""
@@ -121,13 +143,66 @@ class Encoder:
                 heapq.heappush(heap, (r, before[i]))
         return [i for i in ids if i >= 0]
 
-    def words(self, text: str) -> list[str]:
-        """The words of a text without special tokens, normalised."""
+    def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        key = a.astype(np.int64) << 20 | b
+        at = np.searchsorted(self.pairs, key)
+        return np.where(self.pairs[at] == key, self.ranks[at], np.int32(_NONE))
+
+    def merge_all(self, words: list[bytes]) -> list[list[int]]:
+        """``merge`` of every word; words of like length take each step together."""
+        out: list = [None] * len(words)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        starts = np.cumsum(sizes) - sizes
+        data = np.frombuffer(b"".join(words) + bytes(_WIDTHS[-1]), np.uint8)
+        inner, outer = np.array(self.inner, np.int32), np.array(self.outer, np.int32)
+        least = 0
+        for width in _WIDTHS:
+            rows = np.flatnonzero((sizes > least) & (sizes <= width))
+            least = width
+            if len(rows) < _FEW:
+                continue
+            place, size = np.arange(width + 1), sizes[rows, None]
+            units = data[starts[rows, None] + np.minimum(place, width - 1)]
+            # After the last token of a word stands -1, which no pair has.
+            ids = np.where(place < size - 1, inner[units], np.where(place < size, outer[units], np.int32(-1)))
+            rank = np.full(ids.shape, _NONE, np.int32)
+            rank[:, :-1] = self._rank(ids[:, :-1], ids[:, 1:])
+            while len(rows):
+                low = rank.min(axis=1)
+                done = low == _NONE
+                if done.any():
+                    ended = ids[done]
+                    ends = np.cumsum((ended >= 0).sum(axis=1)).tolist()
+                    flat, lo = ended[ended >= 0].tolist(), 0
+                    for row, hi in zip(rows[done].tolist(), ends, strict=True):
+                        out[row] = flat[lo:hi]
+                        lo = hi
+                    rows, ids, rank, low = rows[~done], ids[~done], rank[~done], low[~done]
+                    if not len(rows):
+                        break
+                each, at = np.arange(len(rows)), rank.argmin(axis=1)
+                after = place[:-1] > at[:, None]
+                ids[:, :-1] = np.where(after, ids[:, 1:], ids[:, :-1])
+                rank[:, :-1] = np.where(after, rank[:, 1:], rank[:, :-1])
+                ids[each, at] = self.made[low]
+                rank[each, at] = self._rank(ids[each, at], ids[each, at + 1])
+                back = each[at > 0]
+                at = at[back]
+                rank[back, at - 1] = self._rank(ids[back, at - 1], ids[back, at])
+        return [self.merge(word) if ids is None else ids for word, ids in zip(words, out, strict=True)]
+
+    def plain(self, text: str) -> str | None:
+        """The text, composed and lower-cased, None if that is up to the library."""
         if text.isascii():
-            return _SPLIT.findall(text.lower())
+            return text.lower()
         # Composed and lower-cased first: both may lead to characters beyond the limit.
         low = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        return self._split_by_library(text) if _LATER.search(text) or _LATER.search(low) else _SPLIT.findall(low)
+        return None if _LATER.search(text) or _LATER.search(low) else low
+
+    def words(self, text: str) -> list[str]:
+        """The words of a text without special tokens, normalised."""
+        low = self.plain(text)
+        return self._split_by_library(text) if low is None else _SPLIT.findall(low)
 
     def _split_by_library(self, text: str) -> list[str]:
         if self.library is None:
@@ -138,39 +213,64 @@ class Encoder:
         pieces = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
         return [bytes(self.back[c] for c in piece).decode("utf-8") for piece, _ in pieces]
 
-    def _entry(self, ids: list[int]) -> tuple:
-        numbers, tokens = self.numbers, self.tokens
-        return (len(ids), " ".join([numbers[i] for i in ids]), " ".join([tokens[i] for i in ids]), array("i", ids).tobytes())
-
-    def _learn(self, words: set[str]) -> None:
+    def _remember(self, words: list[str], found: list[list[int]]) -> dict[str, int]:
+        """Entries of words, and their numbers."""
+        number, token = self.numbers.__getitem__, self.tokens.__getitem__
+        own = dict(zip(words, range(len(self.sizes), len(self.sizes) + len(words)), strict=True))
+        self.sizes += map(len, found)
+        self.as_numbers += [" ".join(map(number, ids)) for ids in found]
+        self.as_tokens += [" ".join(map(token, ids)) for ids in found]
+        self.as_bytes += [array("i", ids).tobytes() for ids in found]
+        self.known.update(own)
+        return own
+
+    def _forget(self) -> None:
+        """Drop the entries of words outside the lexicon."""
+        at = list(self.kept.values())
+        for column in (self.sizes, self.as_numbers, self.as_tokens, self.as_bytes):
+            column[:] = [column[i] for i in at]
+        self.kept = dict(zip(self.kept, range(len(at)), strict=True))
+        self.known = dict(self.kept)
+
+    def _learn(self, words: list[str]) -> None:
         """Remember the entries of words: from the lexicon if it holds them, else by merging."""
-        if len(self.known) + len(words) > _KEEP:
-            self.known.clear()
-        listed = list(words)
-        raw = [w.encode() for w in listed]
-        numbers = self.lexicon.numbers(raw).tolist() if self.lexicon else [-1] * len(raw)
-        for word, own, number in zip(listed, raw, numbers, strict=True):
-            self.known[word] = self._entry(self.merge(own) if number < 0 else self.lexicon.output(number))
-
-    def entries(self, values: list[str]) -> list[list[tuple]]:
-        """Per text, per word or special token: number of ids, ids as text, tokens as text, ids as 32-bit integers."""
+        raw = [w.encode() for w in words]
+        numbers = self.lexicon.numbers(raw) if self.lexicon else np.full(len(raw), -1)
+        held, others = np.flatnonzero(numbers >= 0), np.flatnonzero(numbers < 0).tolist()
+        if len(held):
+            self.kept.update(self._remember([words[i] for i in held.tolist()], self.lexicon.outputs(numbers[held])))
+        if others:
+            self._remember([words[i] for i in others], self.merge_all([raw[i] for i in others]))
+
+    def entries(self, values: list[str]) -> list[list[int]]:
+        """Per text, the numbers of the entries of its words and special tokens; they hold until the next call."""
         split = []
         for text in values:
             parts = self.cut.split(text) if self.cut else [text]
             split.append(self.words(text) if len(parts) == 1 else [
                 w for p in parts for w in ([p] if p in self.special else self.words(p))])
-        wanted = set().union(*split)
-        special = wanted & self.special.keys()
-        new = wanted - self.known.keys() - special
+        flat = list(chain.from_iterable(split))
+        found = list(map(self.known.get, flat))
+        new = {w for w, number in zip(flat, found, strict=True) if number is None}
+        if len(self.known) - len(self.kept) + len(new) > _KEEP:
+            self._forget()
+            found = list(map(self.known.get, flat))
+            new = {w for w, number in zip(flat, found, strict=True) if number is None}
         if new:
-            self._learn(new if len(self.known) + len(new) <= _KEEP else wanted - special)
-        for token in special:
-            self.known[token] = self._entry([self.special[token]])
-        look = self.known.__getitem__
-        return [list(map(look, own)) for own in split]
+            self._learn(list(new))
+            found = [self.known[w] if number is None else number for w, number in zip(flat, found, strict=True)]
+        ends = list(accumulate(map(len, split)))
+        return [found[lo:hi] for lo, hi in zip([0, *ends], ends, strict=False)]
+
+    def joined(self, column: list, entries: list[int], blank=" "):
+        """A column of the given entries, joined."""
+        return blank.join(map(column.__getitem__, entries))
+
+    def ids(self, entries: list[int]) -> np.ndarray:
+        return np.frombuffer(self.joined(self.as_bytes, entries, b""), np.int32)
 
     def encode(self, text: str) -> list[int]:
-        return np.frombuffer(b"".join(e[3] for e in self.entries([text])[0]), np.int32).tolist()
+        return self.ids(self.entries([text])[0]).tolist()
 
     def decode(self, ids: list[int]) -> str:
         """Tokens joined by blanks, special ones too; unknown ids are left out."""
@@ -189,21 +289,38 @@ def word_counts(docs: DataFrame, vocabulary: Broadcast, text: str = "text") -> D
     """``word``, ``n`` over all documents; each task counts its own words before the shuffle."""
 
     def count(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, seen = encoder_of(vocabulary), Counter()
+        encoder, seen, runs = encoder_of(vocabulary), Counter(), Counter()
         for batch in source:
             for value in texts(batch):
                 for part in encoder.cut.split(value) if encoder.cut else [value]:
-                    if part not in encoder.special:
+                    if part in encoder.special:
+                        continue
+                    low = encoder.plain(part)
+                    if low is None:
                         seen.update(encoder.words(part))
+                    else:
+                        # No word reaches over white space: what lies between is counted first, each split once.
+                        runs.update(_SPLIT.findall(low) if _NO_SPACE.search(low) else low.split())
+                if len(runs) > _FOLD:
+                    _fold(runs, seen)
                 if len(seen) > _FLUSH:
                     yield from _counted(seen)
                     seen.clear()
+        _fold(runs, seen)
         yield from _counted(seen)
 
     return small_batches(docs).select(F.col(text).cast("string").alias("text")).mapInArrow(count, "word string, n bigint").groupBy(
         "word").agg(F.sum("n").alias("n"))
 
 
+def _fold(runs: Counter, seen: Counter) -> None:
+    """Add the words of counted runs to ``seen``, and empty ``runs``."""
+    for run, n in runs.items():
+        for word in _SPLIT.findall(run):
+            seen[word] += n
+    runs.clear()
+
+
 def _counted(seen: Counter) -> Iterator[pa.RecordBatch]:
     words, counts = list(seen.keys()), list(seen.values())
     for lo in range(0, len(words), 20_000):
@@ -223,9 +340,8 @@ def build_encoder(docs: DataFrame, path: str, size: int = 100_000, text: str = "
     context = docs.sparkSession.sparkContext
     vocabulary = Path(path).read_text(encoding="utf-8")
     plain = context.broadcast({"vocabulary": vocabulary, "lexicon": None})
-    merge = Encoder(vocabulary).merge
     listed = sorted(w.encode() for w in frequent_words(word_counts(docs, plain, text), size) if len(w) <= 64)
-    lexicon = compile_words((w, merge(w)) for w in listed) if listed else None
+    lexicon = compile_words(zip(listed, Encoder(vocabulary).merge_all(listed), strict=True)) if listed else None
     return context.broadcast({"vocabulary": vocabulary, "lexicon": lexicon})
 
 
@@ -236,7 +352,8 @@ def _per_text(docs: DataFrame, encoder: Broadcast, key: str, text: str, make, ki
         for batch in source:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                cols = list(zip(*map(make, encoder_of(encoder).entries(list(texts(part)))), strict=True))
+                own = encoder_of(encoder)
+                cols = list(zip(*[make(own, found) for found in own.entries(list(texts(part)))], strict=True))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("key"), *(c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(cols, kinds, strict=True))], schema=schema)
 
@@ -247,8 +364,8 @@ def _per_text(docs: DataFrame, encoder: Broadcast, key: str, text: str, make, ki
 def encode(docs: DataFrame, encoder: Broadcast, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, ``n_tokens``, ``ids`` per row. NULL and empty texts have no ids; repeated rows are encoded each."""
 
-    def make(entries: list[tuple]) -> tuple:
-        ids = np.frombuffer(b"".join([e[3] for e in entries]), np.int32)
+    def make(own: Encoder, entries: list[int]) -> tuple:
+        ids = own.ids(entries)
         return len(ids), ids
 
     kinds = pa.schema([("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))])
@@ -257,7 +374,7 @@ def encode(docs: DataFrame, encoder: Broadcast, key: str = "doc_id", text: str =
 
 def token_lengths(docs: DataFrame, encoder: Broadcast, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, ``n_tokens`` per row."""
-    return _per_text(docs, encoder, key, text, lambda entries: (sum([e[0] for e in entries]),), pa.schema([("n_tokens", pa.int64())]), "n_tokens bigint")
+    return _per_text(docs, encoder, key, text, lambda own, entries: (sum(map(own.sizes.__getitem__, entries)),), pa.schema([("n_tokens", pa.int64())]), "n_tokens bigint")
 
 
 def decode(rows: DataFrame, encoder: Broadcast, key: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -280,10 +397,10 @@ def round_trip(docs: DataFrame, encoder: Broadcast, key: str = "doc_id", text: s
     rows give a row each; an empty table gives no rows; other columns are ignored.
     """
 
-    def make(entries: list[tuple]) -> tuple:
-        sha = lambda parts: hashlib.sha256(" ".join(parts).encode()).hexdigest()
-        found = sum([e[0] for e in entries]), sha([e[1] for e in entries]), sha([e[2] for e in entries])
-        return (*found, np.frombuffer(b"".join([e[3] for e in entries]), np.int32)) if with_ids else found
+    def make(own: Encoder, entries: list[int]) -> tuple:
+        sha = lambda column: hashlib.sha256(own.joined(column, entries).encode()).hexdigest()
+        found = sum(map(own.sizes.__getitem__, entries)), sha(own.as_numbers), sha(own.as_tokens)
+        return (*found, own.ids(entries)) if with_ids else found
 
     kinds = [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
     spec = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"

@@ -16,9 +16,9 @@ from llm import brute
 from llm.test_copies import counted
 from pyspark.sql import functions as F
 
-from abacarium.llm import pii
+from abacarium.llm import bpe, pii
 from abacarium.llm.automaton import Automaton, compile_words
-from abacarium.llm.bpe import Encoder, build_encoder, decode, encode, round_trip, token_lengths
+from abacarium.llm.bpe import Encoder, build_encoder, decode, encode, round_trip, token_lengths, word_counts
 from abacarium.llm.common import vocabulary_path
 from abacarium.llm.sharding import assign_shards, write_shards
 from abacarium.llm.token_counts import length_histogram, length_quantiles, suffix_sums, truncated_totals
@@ -170,6 +170,42 @@ def test_long_words_and_special_tokens(library, own):
         assert own.encode(text) == library.encode(text, add_special_tokens=False).ids
 
 
+def test_words_merged_together_are_those_merged_alone(own, monkeypatch):
+    rng = random.Random(7)
+    words = [bytes(rng.choices(b"theandsingro\xc3\xa9!", k=rng.randint(1, 90))) for _ in range(3000)] + [b"the", b"x"] * 40 + [bytes([b]) for b in range(256)]
+    expected = [own.merge(w) for w in words]
+    alone = []
+    monkeypatch.setattr(own, "merge", lambda word, merge=own.merge: alone.append(word) or merge(word))
+    assert own.merge_all(words) == expected
+    assert all(len(w) > 64 for w in alone), "only long words go one by one"
+    assert own.merge_all([b"the"]) == [expected[words.index(b"the")]] and own.merge_all([]) == []
+
+
+def test_words_of_the_lexicon_stay_when_others_are_forgotten(library, monkeypatch):
+    monkeypatch.setattr(bpe, "_KEEP", 20)
+    vocabulary = Path(vocabulary_path()).read_text(encoding="utf-8")
+    listed, merge = [b"cat", b"the"], Encoder(vocabulary).merge
+    own = Encoder(vocabulary, compile_words((w, merge(w)) for w in listed))
+    rng = random.Random(8)
+    for _ in range(30):
+        values = [" ".join(["the cat", *("".join(rng.choices("abcdé!", k=5)) for _ in range(rng.randint(0, 9))), "<|endoftext|>"]) for _ in range(3)]
+        for value, found in zip(values, own.entries(values), strict=True):
+            ids = library.encode(value, add_special_tokens=False).ids
+            assert own.ids(found).tolist() == ids
+            assert own.joined(own.as_numbers, found) == " ".join(map(str, ids))
+            assert sum(own.sizes[i] for i in found) == len(ids)
+        assert len(own.known) <= 20 + 100 and {"the", "cat"} <= own.kept.keys() <= own.known.keys()
+
+
+def test_words_are_counted_as_the_splitter_finds_them(spark, own):
+    spaces = "".join(map(chr, range(0x21))) + "\x7f\x85\xa0"
+    values = [*(f"Don't{c}stop, NOW{c}'re ye'll 12{c}é{c}\u0301x" for c in spaces), "日本 the\u3000cat <|endoftext|>the", "", None]
+    docs = brute.docs_frame(spark, list(enumerate(values)))
+    expected = Counter(w for v in values for p in own.cut.split(v or "") if p not in own.special for w in own.words(p))
+    shared = spark.sparkContext.broadcast({"vocabulary": own.source, "lexicon": None})
+    assert {r["word"]: r["n"] for r in word_counts(docs, shared).collect()} == expected
+
+
 def test_encode_decode_and_round_trip(spark, library):
     rows = [*brute.odd_rows(), *((60 + i, "the cat and the hat " * 20) for i in range(9))]
     docs = brute.docs_frame(spark, rows)
