@@ -285,12 +285,13 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
     star = star.groupBy("sid", F.col("head.sid").alias("b")).count().groupBy("sid").agg(
         F.max(F.struct("count", "b")).alias("best")).select(F.col("sid").alias("a"), F.col("best.b").alias("b"))
     star = stored(star, "star")
-    label = components(confirmed(star, sets, percent))
+    # Written, and the pairs below too: a plan that holds all steps takes much of the driver's memory each time it is adapted.
+    label = stored(components(confirmed(star, sets, percent)), "label")
 
     known = met.drop("head", "key").join(label.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     pairs = _met_apart(known, percent)
     tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    links = confirmed(pairs.join(tried, ["a", "b"], "left_anti"), sets, percent)
+    links = confirmed(stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs"), sets, percent)
 
     roots = label.select("node", "root")
     named = links.join(roots.withColumnsRenamed({"node": "a", "root": "ra"}), "a", "left").join(

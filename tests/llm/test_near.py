@@ -107,3 +107,21 @@ def test_the_join_on_templates_stays_linear(spark):
         assert similar_groups(docs).where("doc_id <> component_id").count() == 0
         took.append(time.time() - began)
     assert took[1] < 2.5 * took[0] + 5
+
+
+def test_no_plan_holds_all_steps_of_the_set_join(spark, monkeypatch):
+    from abacarium.llm import jaccard
+
+    joins = []
+
+    def watched(edges, a="a", b="b", find=jaccard.components):
+        joins.append(edges._jdf.queryExecution().analyzed().toString().count("Join "))
+        return find(edges, a, b)
+
+    monkeypatch.setattr(jaccard, "components", watched)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(words)), (2, " ".join(words) + " more"), (3, "quite another text")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r["doc_id"]: r["component_id"] for r in jaccard.similar_groups(docs).collect()}
+    assert found == {1: 1, 2: 1, 3: 3}
+    assert len(joins) == 2 and max(joins) <= 4, joins
