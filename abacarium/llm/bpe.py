@@ -55,9 +55,10 @@ _NEVER = 1 << 62
 _NONE = np.iinfo(np.int32).max
 #: Widths of the tables in which words are merged together; fewer than ``_FEW`` words, or longer ones, go one by one.
 _WIDTHS, _FEW = (4, 8, 12, 16, 24, 32, 64), 64
-_FLUSH, _FOLD = 400_000, 200_000
-#: Words outside the lexicon that are remembered.
-_KEEP = 150_000
+#: Counted words and runs that a task holds. Two of an executor's workers hold these, and what ``_KEEP`` allows, at once.
+_FLUSH, _FOLD = 150_000, 60_000
+#: Words outside the lexicon that are remembered, at about 0.6 KB each; they are rare, so that more would seldom be met again.
+_KEEP = 30_000
 
 
 def byte_letters() -> list[str]:
@@ -67,12 +68,47 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(256 + next(rest)) for b in range(256)]
 
 
-class Encoder:
+class Splitter:
+    """Splits texts into special tokens and normalised words; counting needs no more than this."""
+
+    def __init__(self, vocabulary: str):
+        self._begin(vocabulary, json.loads(vocabulary))
+
+    def _begin(self, vocabulary: str, spec: dict) -> None:
+        self.source = vocabulary
+        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
+        self.library = None
+
+    def plain(self, text: str) -> str | None:
+        """The text, composed and lower-cased, None if that is up to the library."""
+        if text.isascii():
+            return text.lower()
+        # Composed and lower-cased first: both may lead to characters beyond the limit.
+        low = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        return None if _LATER.search(text) or _LATER.search(low) else low
+
+    def words(self, text: str) -> list[str]:
+        """The words of a text without special tokens, normalised."""
+        low = self.plain(text)
+        return self._split_by_library(text) if low is None else _SPLIT.findall(low)
+
+    def _split_by_library(self, text: str) -> list[str]:
+        if self.library is None:
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_str(self.source)
+            self.back = {c: b for b, c in enumerate(byte_letters())}
+        pieces = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
+        return [bytes(self.back[c] for c in piece).decode("utf-8") for piece, _ in pieces]
+
+
+class Encoder(Splitter):
     """Encodes and decodes texts; ``lexicon`` is a compiled automaton or None."""
 
     def __init__(self, vocabulary: str, lexicon: bytes | None = None):
-        self.source = vocabulary
         spec = json.loads(vocabulary)
+        self._begin(vocabulary, spec)
         model, end = spec["model"], spec["model"]["end_of_word_suffix"]
         vocab = model["vocab"]
         letters = byte_letters()
@@ -82,7 +118,6 @@ class Encoder:
         for rank, pair in enumerate(model["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             self.merges[vocab[a], vocab[b]] = rank << 20 | vocab[a + b]
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         # Sorted pairs with their ranks, and the id that each rank makes, for many words at once.
         pairs = np.array([a << 20 | b for a, b in self.merges] + [_NEVER], np.int64)
         found = np.array([v >> 20 for v in self.merges.values()] + [_NONE], np.int32)
@@ -92,9 +127,7 @@ class Encoder:
         self.made[found[:-1]] = [v & 0xFFFFF for v in self.merges.values()]
         self.numbers = {i: str(i) for i in [*vocab.values(), *self.special.values()]}
         self.tokens = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
-        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.lexicon = Automaton(lexicon) if lexicon else None
-        self.library = None
         # Entries in columns, a number for each: single objects per word would be work for Python's garbage collector.
         self.sizes: list[int] = []
         self.as_numbers: list[str] = []
@@ -191,28 +224,6 @@ class Encoder:
                 rank[back, at - 1] = self._rank(ids[back, at - 1], ids[back, at])
         return [self.merge(word) if ids is None else ids for word, ids in zip(words, out, strict=True)]
 
-    def plain(self, text: str) -> str | None:
-        """The text, composed and lower-cased, None if that is up to the library."""
-        if text.isascii():
-            return text.lower()
-        # Composed and lower-cased first: both may lead to characters beyond the limit.
-        low = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        return None if _LATER.search(text) or _LATER.search(low) else low
-
-    def words(self, text: str) -> list[str]:
-        """The words of a text without special tokens, normalised."""
-        low = self.plain(text)
-        return self._split_by_library(text) if low is None else _SPLIT.findall(low)
-
-    def _split_by_library(self, text: str) -> list[str]:
-        if self.library is None:
-            from tokenizers import Tokenizer
-
-            self.library = Tokenizer.from_str(self.source)
-            self.back = {c: b for b, c in enumerate(byte_letters())}
-        pieces = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
-        return [bytes(self.back[c] for c in piece).decode("utf-8") for piece, _ in pieces]
-
     def _remember(self, words: list[str], found: list[list[int]]) -> dict[str, int]:
         """Entries of words, and their numbers."""
         number, token = self.numbers.__getitem__, self.tokens.__getitem__
@@ -285,19 +296,27 @@ def encoder_of(shared: Broadcast) -> Encoder:
     return state["encoder"]
 
 
+def splitter_of(shared: Broadcast) -> Splitter:
+    """The splitter of this process."""
+    state = shared.value
+    if "splitter" not in state:
+        state["splitter"] = Splitter(state["vocabulary"])
+    return state["splitter"]
+
+
 def word_counts(docs: DataFrame, vocabulary: Broadcast, text: str = "text") -> DataFrame:
     """``word``, ``n`` over all documents; each task counts its own words before the shuffle."""
 
     def count(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, seen, runs = encoder_of(vocabulary), Counter(), Counter()
+        splitter, seen, runs = splitter_of(vocabulary), Counter(), Counter()
         for batch in source:
             for value in texts(batch):
-                for part in encoder.cut.split(value) if encoder.cut else [value]:
-                    if part in encoder.special:
+                for part in splitter.cut.split(value) if splitter.cut else [value]:
+                    if part in splitter.special:
                         continue
-                    low = encoder.plain(part)
+                    low = splitter.plain(part)
                     if low is None:
-                        seen.update(encoder.words(part))
+                        seen.update(splitter.words(part))
                     else:
                         # No word reaches over white space: what lies between is counted first, each split once.
                         runs.update(_SPLIT.findall(low) if _NO_SPACE.search(low) else low.split())

@@ -197,6 +197,26 @@ def test_words_of_the_lexicon_stay_when_others_are_forgotten(library, monkeypatc
         assert len(own.known) <= 20 + 100 and {"the", "cat"} <= own.kept.keys() <= own.known.keys()
 
 
+def test_a_worker_remembers_few_rare_words(library):
+    """Entries of words outside the lexicon take memory in every worker of an executor."""
+    own, rng = Encoder(Path(vocabulary_path()).read_text(encoding="utf-8")), random.Random(6)
+    for _ in range(12):
+        values = [" ".join("".join(rng.choices("abcdefghij", k=8)) for _ in range(60)) for _ in range(100)]
+        found = own.entries(values)
+        assert len(own.known) - len(own.kept) <= 36_000 and len(own.sizes) == len(own.known)
+        assert own.ids(found[7]).tolist() == library.encode(values[7], add_special_tokens=False).ids
+
+
+def test_counting_builds_no_merges(own):
+    class Shared:
+        value = {"vocabulary": own.source, "lexicon": None}
+
+    splitter = bpe.splitter_of(Shared)
+    assert splitter is bpe.splitter_of(Shared) and not hasattr(splitter, "merges")
+    for text in ("Don't stop, NOW 12\u00e9", "日本 the\u3000cat", ""):
+        assert splitter.words(text) == own.words(text)
+
+
 def test_words_are_counted_as_the_splitter_finds_them(spark, own):
     spaces = "".join(map(chr, range(0x21))) + "\x7f\x85\xa0"
     values = [*(f"Don't{c}stop, NOW{c}'re ye'll 12{c}é{c}\u0301x" for c in spaces), "日本 the\u3000cat <|endoftext|>the", "", None]
