@@ -141,7 +141,7 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", shingl
     met = stored(postings.join(buckets, "band"), "met")
     pairs = stored(_candidates(sets, met, percent), "pairs")
     wanted = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct().join(sets.select("sid", "key"), "sid").select("key")
-    whole = stored(whole_sets(base, shingle, wanted), "whole").dropDuplicates(["sid"])
+    whole = stored(whole_sets(base, shingle, wanted).dropDuplicates(["sid"]), "whole")
     label = stored(components(confirmed(pairs, whole, percent)), "label")
 
     large = met.where(F.col("size") > FEW).select("band", "sid").join(label.withColumnRenamed("node", "sid"), "sid", "left").withColumn(

@@ -277,7 +277,8 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
         "sid", "key", "n", "need", F.col("p.tok").alias("tok"), F.col("p.pos").alias("pos"))
     lists = postings.groupBy("tok").agg(F.min(F.struct("pos", "n", "sid", "need")).alias("head"), F.count(F.lit(1)).alias("size"))
     met = stored(postings.join(lists.where("size > 1").drop("size"), "tok"), "met")
-    sets = stored(whole_sets(base, shingle, met.select("key").distinct()), "sets").dropDuplicates(["sid"])
+    # Sorted by name once, before they are written: each read would sort whole sets again.
+    sets = stored(whole_sets(base, shingle, met.select("key").distinct()).dropDuplicates(["sid"]), "sets")
 
     ask = F.least("need", "head.need")
     star = met.where(F.col("sid") != F.col("head.sid")).where(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 import random
 import time
 
@@ -109,6 +110,23 @@ def test_the_join_on_templates_stays_linear(spark):
     assert took[1] < 2.5 * took[0] + 5
 
 
+@pytest.mark.parametrize("module", ["bbit_minhash", "jaccard"])
+def test_whole_sets_are_told_apart_once(spark, monkeypatch, module):
+    """Equal sets go before they are written, into few files, and not again on either side of every join."""
+    module, plans = importlib.import_module(f"abacarium.llm.{module}"), []
+
+    def watched(pairs, sets, percent, find=module.confirmed):
+        plans.append(sets._jdf.queryExecution().analyzed().toString())
+        return find(pairs, sets, percent)
+
+    monkeypatch.setattr(module, "confirmed", watched)
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, text), (2, text), (3, text + " more"), (4, "quite another text")], "doc_id bigint, text string")
+    find = module.near_copies if module is bbit_minhash else module.similar_groups
+    assert {r["doc_id"]: r["component_id"] for r in find(docs, shingle=3, percent=85).collect()} == {1: 1, 2: 1, 3: 1, 4: 4}
+    assert plans and not any("Deduplicate" in p or "Aggregate" in p for p in plans), plans
+
+
 def test_no_plan_holds_all_steps_of_the_set_join(spark, monkeypatch):
     from abacarium.llm import jaccard
 
