@@ -58,7 +58,7 @@ _WIDTHS, _FEW = (4, 8, 12, 16, 24, 32, 64), 64
 #: Counted words and runs that a task holds. Two of an executor's workers hold these, and what ``_KEEP`` allows, at once.
 _FLUSH, _FOLD = 150_000, 60_000
 #: Words outside the lexicon that are remembered, at about 0.6 KB each; they are rare, so that more would seldom be met again.
-_KEEP = 30_000
+_KEEP = 80_000
 
 
 def byte_letters() -> list[str]:
