@@ -13,7 +13,7 @@
    similarity go.
 4. What is left is confirmed on whole sets; components are taken over the links.
 5. Large buckets whose sets are not all connected by then are open: their documents go
-   through the exact join on prefixes, and its groups are united with the others. So
+   through the exact join on prefixes, which begins with the components known by then. So
    no bucket is cut short, and none is expanded into all its pairs.
 """
 
@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from abacarium.llm.common import by_value, small_batches, stored, texts
 from abacarium.llm.components import components
 from abacarium.llm.grams import mix, shingle_set
-from abacarium.llm.jaccard import confirmed, set_digest, similar_groups, whole_sets
+from abacarium.llm.jaccard import confirmed, joined, set_digest, whole_sets
 
 MINIMA, BITS = 128, 4
 BANDS, ROWS = 25, 5
@@ -160,23 +160,10 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", shingl
 
 
 def _united(base: DataFrame, sets: DataFrame, open_sets: DataFrame, label: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """``label`` with the links of an exact join among the sets of open buckets."""
-    # The documents are numbered, since their keys may repeat or be NULL.
+    """``label`` with the links of an exact join among the sets of open buckets; what ``label`` unites is not joined again."""
     keys = sets.join(open_sets, "sid", "left_semi").select(F.col("key").alias("wanted")).distinct()
-    numbered = stored(base.join(keys, F.col("key").eqNullSafe(F.col("wanted")), "left_semi").select(
-        F.monotonically_increasing_id().alias("number"), "text"), "open_texts")
-
-    def name(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in source:
-            own = [shingle_set(value, shingle) for value in texts(batch)]
-            yield pa.RecordBatch.from_arrays([batch.column("number"), pa.array([set_digest(s) for s in own], pa.binary())], ["number", "sid"])
-
-    named = stored(numbered.mapInArrow(name, "number bigint, sid binary"), "open_names")
-    groups = similar_groups(numbered, "number", "text", shingle, percent).select("number", "component_id")
-    tops = named.select(F.col("number").alias("component_id"), F.col("sid").alias("b"))
-    more = groups.join(named, "number").join(tops, "component_id").select(F.col("sid").alias("a"), "b")
-    links = label.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)
-    return stored(components(links), "united")
+    chosen = stored(base.join(keys, F.col("key").eqNullSafe(F.col("wanted")), "left_semi"), "open_texts")
+    return joined(chosen, shingle, percent, label)[1]
 
 
 by_value(__name__)

@@ -210,7 +210,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     first = sets.select(F.col("sid").alias("a"), F.col("items").alias("x"))
     second = sets.select(F.col("sid").alias("b"), F.col("items").alias("y"))
-    return pairs.select("a", "b").join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary").distinct()
+    return pairs.select("a", "b").join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
 
 
 def _may_join(percent: int, n1: Column, n2: Column, pos1: Column, pos2: Column, ask: Column) -> Column:
@@ -253,17 +253,21 @@ def _met_apart(known: DataFrame, percent: int) -> DataFrame:
     return pairs.where("met >= asked").select("a", "b")
 
 
-def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, percent: int = 90) -> DataFrame:
-    """One row per row of ``docs``: key, ``n_shingles``, ``component_id``.
+def _merged(label: DataFrame, links: DataFrame) -> DataFrame:
+    """``node``, ``root`` of ``label`` after its classes were united over ``links`` (``a``, ``b``) of sets."""
+    named = links.join(label.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left").join(
+        label.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
+    more = components(named.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")))
+    lifted = label.join(more.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left").select(
+        "node", F.coalesce("top", "root").alias("root"))
+    return stored(lifted.unionByName(more.join(label, "node", "left_anti")), "label")
 
-    Words are what white space separates, A-Z lower-cased. Two texts are linked if
-    100 times the shared shingles is at least ``percent`` times all their shingles;
-    ``component_id`` is the smallest key reachable over links, its own included. A
-    text with fewer words than a shingle is one shingle; NULL and empty texts have
-    none and stay alone. Repeated rows fall into one component; NULL keys are
-    ignored in the minimum. An empty table gives no rows; other columns are ignored.
+
+def joined(base: DataFrame, shingle: int, percent: int, label: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The sets of ``base`` (``key``, ``text``) by row, and ``node``, ``root`` of the sets that are linked.
+
+    ``label`` has classes that are known already; they are united with those found here.
     """
-    base = small_batches(docs).select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     frequency, bits = _frequencies(base, shingle)
     mask = bytearray(1 << (SLOT_BITS - 3))
     width = 1 << (SLOT_BITS - 3 - bits)
@@ -272,8 +276,7 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
     heavy = most_frequent(frequency.select(F.explode("heavy").alias("h")).select("h.key", "h.n"), HEAVY, HEAVY_FROM).toArrow()
     rows = stored(_prefixes(base, shingle, percent, bytes(mask), heavy, bits), "prefixes")
 
-    sets_of = rows.where("n > 0").groupBy("sid").agg(F.min("key").alias("key"), *[F.first(c).alias(c) for c in ("n", "need", "tok", "pos")])
-    postings = sets_of.select("sid", "key", "n", "need", F.explode(F.arrays_zip("tok", "pos")).alias("p")).select(
+    postings = _sets_of(rows, "n", "need", "tok", "pos").select("sid", "key", "n", "need", F.explode(F.arrays_zip("tok", "pos")).alias("p")).select(
         "sid", "key", "n", "need", F.col("p.tok").alias("tok"), F.col("p.pos").alias("pos"))
     lists = postings.groupBy("tok").agg(F.min(F.struct("pos", "n", "sid", "need")).alias("head"), F.count(F.lit(1)).alias("size"))
     met = stored(postings.join(lists.where("size > 1").drop("size"), "tok"), "met")
@@ -287,22 +290,36 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
         F.max(F.struct("count", "b")).alias("best")).select(F.col("sid").alias("a"), F.col("best.b").alias("b"))
     star = stored(star, "star")
     # Written, and the pairs below too: a plan that holds all steps takes much of the driver's memory each time it is adapted.
-    label = stored(components(confirmed(star, sets, percent)), "label")
+    close = confirmed(star, sets, percent)
+    label = stored(components(close), "label") if label is None else _merged(label, close)
 
     known = met.drop("head", "key").join(label.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     pairs = _met_apart(known, percent)
     tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     links = confirmed(stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs"), sets, percent)
+    return rows, _merged(label, links)
 
-    roots = label.select("node", "root")
-    named = links.join(roots.withColumnsRenamed({"node": "a", "root": "ra"}), "a", "left").join(
-        roots.withColumnsRenamed({"node": "b", "root": "rb"}), "b", "left")
-    more = components(named.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")))
-    of_set = sets_of.select("sid", "key").join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    of_set = of_set.join(more.select(F.col("root").alias("top"), F.col("node").alias("root")), "root", "left").withColumn("top", F.coalesce("top", "root"))
-    of_set = stored(of_set.select("sid", "key", "top"), "classes")
-    lowest = of_set.groupBy("top").agg(F.min("key").alias("low"))
-    found = of_set.join(lowest, "top").select("sid", "low")
+
+def _sets_of(rows: DataFrame, *columns: str) -> DataFrame:
+    return rows.where("n > 0").groupBy("sid").agg(F.min("key").alias("key"), *[F.first(c).alias(c) for c in columns])
+
+
+def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, percent: int = 90) -> DataFrame:
+    """One row per row of ``docs``: key, ``n_shingles``, ``component_id``.
+
+    Words are what white space separates, A-Z lower-cased. Two texts are linked if
+    100 times the shared shingles is at least ``percent`` times all their shingles;
+    ``component_id`` is the smallest key reachable over links, its own included. A
+    text with fewer words than a shingle is one shingle; NULL and empty texts have
+    none and stay alone. Repeated rows fall into one component; NULL keys are
+    ignored in the minimum. An empty table gives no rows; other columns are ignored.
+    """
+    base = small_batches(docs).select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
+    rows, label = joined(base, shingle, percent)
+    of_set = _sets_of(rows).join(label.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+    of_set = stored(of_set, "classes")
+    lowest = of_set.groupBy("root").agg(F.min("key").alias("low"))
+    found = of_set.join(lowest, "root").select("sid", "low")
     return rows.select("key", "n", "sid").join(found, "sid", "left").select(
         F.col("key").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("low")).otherwise(F.col("key")).alias("component_id"))
 

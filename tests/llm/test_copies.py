@@ -13,6 +13,7 @@ from abacarium.llm.components import components
 from abacarium.llm.exact_dedup import exact_groups
 from abacarium.llm.jaccard import choose, similar_groups
 from abacarium.llm.line_dedup import WIDTH, repeated_lines, without_lines
+from abacarium.session import stored_at
 
 
 def counted(df):
@@ -72,6 +73,15 @@ def test_components_of_random_graphs(spark):
     assert found == {n: links.root(n) for n in links.up}
 
 
+@pytest.mark.parametrize("edges, rounds", [([(1, i) for i in range(2, 9)] + [(20, 21), (21, 20)], 0), ([], 0), ([(1, 2), (2, 3)], 1)])
+def test_components_that_are_stars_take_no_further_round(spark, monkeypatch, edges, rounds):
+    written = []
+    monkeypatch.setattr("abacarium.llm.components.stored_at", lambda df, label: written.append(label) or stored_at(df, label))
+    found = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert found == {n: 20 if n in (20, 21) else 1 for e in edges for n in e}
+    assert len(written) == 1 + rounds
+
+
 def lines_by_hand(rows):
     """(key, lines, dropped) by comparing all pairs of distinct lines."""
     seen, places = {}, []

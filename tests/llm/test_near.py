@@ -49,6 +49,19 @@ def test_buckets_that_stay_open_are_joined_exactly(spark):
     assert found.where("not kept").count() >= 150
 
 
+def test_the_join_of_open_buckets_goes_on_from_known_groups(spark, monkeypatch):
+    """Groups known from the buckets are not found again, and writing of edges ends as soon as all are stars."""
+    from abacarium.llm import components
+
+    written = []
+    monkeypatch.setattr(components, "stored_at", lambda df, label, write=components.stored_at: written.append(label) or write(df, label))
+    rows = template_rows(60, own=6, words=60)
+    rows += [(1000 + i, t + " end") for i, t in rows]
+    found = near_copies(brute.docs_frame(spark, rows), shingle=3, percent=85)
+    assert counted(found) == expected(rows, 85)
+    assert 3 <= len(written) <= 5, written
+
+
 def test_a_large_group_and_repeated_texts(spark):
     rng = random.Random(2)
     base = [f"w{rng.randrange(5000)}" for _ in range(150)]
