@@ -165,3 +165,20 @@ def test_lines_are_taken_out_of_texts(spark):
     out = without_lines(docs, repeated_lines(docs))
     assert {r["doc_id"]: r["text"] for r in out.collect()} == {1: "a line that repeats\nb", 2: "c", 3: None}
     assert out.columns == docs.columns
+
+
+def test_marks_keep_similar_lines_and_little_else(spark):
+    """Lines of shared pieces meet often; only those that may be similar go on to be verified, and the table of the order is small."""
+    from abacarium.llm import line_dedup
+
+    rng = random.Random(8)
+    pieces = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(25)) for _ in range(24)]
+    lines = [" ".join(rng.sample(pieces, 8)) for _ in range(100)]
+    lines += [x[:90] + "#" + x[91:] for x in lines[:20]] + [pieces[0], "q", "qrst"]
+    frame = spark.createDataFrame([(b"%04d" % i, b"%04d" % i, x) for i, x in enumerate(lines)], "name binary, root binary, line string")
+    found = {(int(r["name"]), int(r["with"])) for r in line_dedup._prefix_pairs(frame).collect()}
+    sets = [frozenset(x[i:i + WIDTH] for i in range(max(1, len(x) - WIDTH + 1))) for x in lines]
+    alike = {(i, j) for j in range(len(lines)) for i in range(j) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+    assert len(alike) >= 20 and alike <= found
+    assert len(found) <= 2 * len(alike), (len(found), len(alike))
+    assert len(line_dedup._order(frame.select(line_dedup.shingles(F.col("line")).alias("set")))) <= 1 << 19
