@@ -182,3 +182,65 @@ def test_marks_keep_similar_lines_and_little_else(spark):
     assert len(alike) >= 20 and alike <= found
     assert len(found) <= 2 * len(alike), (len(found), len(alike))
     assert len(line_dedup._order(frame.select(line_dedup.shingles(F.col("line")).alias("set")))) <= 1 << 19
+
+
+def lines_of_pieces(seed):
+    """Lines that share pieces, some with an edit, and short ones; and the pairs that are alike."""
+    rng = random.Random(seed)
+    pieces = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(25)).strip() for _ in range(24)]
+    lines = [" ".join(rng.sample(pieces, 8)) for _ in range(100)]
+    lines += [x[:90] + "#" + x[91:] for x in lines[:20]] + [pieces[0], "q", "qrst", "abcdefghijklmnopq", "abcdefghijklmnopqr", "日本語の行 ひとつ", "日本語の行 ひとつ日"]
+    sets = [frozenset(x[i:i + WIDTH] for i in range(max(1, len(x) - WIDTH + 1))) for x in lines]
+    return lines, {(i, j) for j in range(len(lines)) for i in range(j) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+
+
+def test_lines_that_share_pieces_are_seldom_verified(spark, monkeypatch):
+    """Lines that meet in bands are told apart by marks; before, each of their pairs was taken apart into shingles."""
+    from abacarium.llm import line_dedup
+
+    rng = random.Random(14)
+
+    def some(size):
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(size)).strip()
+
+    lines = []
+    for _ in range(8):
+        passage = some(120)
+        lines += [f"{passage} {some(240)}" for _ in range(6)]
+        lines.append(lines[-1] + "#")
+    verified, similar = [], line_dedup._similar
+    monkeypatch.setattr(line_dedup, "_similar", lambda pairs, found: verified.append(pairs.count()) or similar(pairs, found))
+    rows = list(enumerate(lines))
+    found = Counter((r[0], r[1], tuple(r[3])) for r in repeated_lines(brute.docs_frame(spark, rows)).collect())
+    assert found == lines_by_hand(rows)
+    assert 8 <= sum(verified) <= 16, verified
+
+
+def test_marks_of_lines_and_of_sets_lose_no_similar_pair(spark):
+    from abacarium.llm import line_dedup
+
+    lines, alike = lines_of_pieces(9)
+    frame = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "name bigint, line string")
+    pairs = frame.select("name").crossJoin(frame.select(F.col("name").alias("with"))).where("name < with")
+    sets = frame.select("name", F.array_distinct(line_dedup.shingles(F.col("line"))).alias("set"))
+    for marks, words, most in ((line_dedup._line_marks(frame), line_dedup.LINE_MARKS, pairs.count() // 5), (line_dedup._marks(sets, "name"), line_dedup.MARKS, 3 * len(alike))):
+        assert marks.count() == len(lines)
+        kept = {tuple(r) for r in line_dedup._may_be_alike(pairs, marks, words, ("name", "with")).collect()}
+        assert alike <= kept and len(kept) <= most, (len(kept), len(alike))
+
+
+def test_lines_of_bands_of_any_size_are_compared(spark, monkeypatch):
+    """Copies among lines that share a passage are found in bands whose pairs are compared and in those that go on to the prefix join."""
+    from abacarium.llm import line_dedup
+
+    rng = random.Random(12)
+    passage = " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 8))) for _ in range(25))
+    lines = [f"{passage} " + "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(60)).strip() for _ in range(20)]
+    rows = [(2 * i + copy, line + "s" * copy) for i, line in enumerate(lines) for copy in (0, 1)]
+    expected = {(key, (0,) * (key % 2)) for key, _ in rows}
+    joined, prefix = [], line_dedup._prefix_pairs
+    monkeypatch.setattr(line_dedup, "_prefix_pairs", lambda lines: joined.append(lines.count()) or prefix(lines))
+    for many in (1024, 16):
+        monkeypatch.setattr(line_dedup, "MANY", many)
+        assert {(r["doc_id"], tuple(r["dropped"])) for r in repeated_lines(brute.docs_frame(spark, rows)).collect()} == expected
+    assert len(joined) == 1
